@@ -145,7 +145,8 @@ def token_counts(urls: DataFrame, vocabulary: set[str]) -> dict[str, int]:
         for batch in batches:
             for url in batch["url"]:
                 n.update(vocabulary.intersection(TOKEN.findall(_ascii_lower(url or ""))))
-        yield pd.DataFrame({"token": list(n), "n": list(n.values())})
+        if n:  # an empty partition has no frame whose types Arrow could read
+            yield pd.DataFrame({"token": list(n), "n": list(n.values())})
 
     found = urls.mapInPandas(count, "token string, n long").groupBy("token").sum("n").collect()
     return dict(map(tuple, found))
@@ -164,7 +165,7 @@ def filter_urls(df: DataFrame, id_col: str = "page_id", url_col: str = "url", si
     id_type = urls.schema["page_id"].dataType.simpleString()
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in filter(len, batches):
             found = pd.DataFrame([index.judge(u) for u in batch["url"]], columns=["host", "path", "rule", "verdict", "n_regex"])
             yield pd.concat([batch["page_id"].reset_index(drop=True), found], axis=1)
 
