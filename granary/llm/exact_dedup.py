@@ -80,7 +80,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     named = name_documents(df, id_col, text_col, **how)
     identity = ["n_blocks", "name"]
     best = named.groupBy(*identity).agg(F.max(F.struct("doc_id", "row_id")).alias("best"), F.count("*").alias("group_size"))
-    joined = named.join(best, identity)
+    # Written first, so that the join's exchange of a hot identity is the join's own and can be split.
+    joined = named.join(stage(best, "best"), identity)
     return joined.select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("row_id") == F.col("best.row_id")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
