@@ -1,9 +1,13 @@
 """The registered queries of this subpackage and their oracle SQL."""
 
+from granary.llm.chat_format import op4_preference_format
 from granary.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from granary.llm.url_filter import OP10_SQL, op10_url_filter
+from granary.llm.warc import op1_warc
 
 QUERIES = {
+    "op1_warc": op1_warc,
+    "op4_preference_format": op4_preference_format,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_url_filter": op10_url_filter,
 }
