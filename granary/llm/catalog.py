@@ -2,13 +2,19 @@
 
 from granary.llm.chat_format import op4_preference_format
 from granary.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from granary.llm.language_model import op9_deleted_interpolation
+from granary.llm.packing import op6_best_fit_packing
+from granary.llm.quality import op3_quality_rules
 from granary.llm.url_filter import OP10_SQL, op10_url_filter
 from granary.llm.warc import op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op3_quality_rules": op3_quality_rules,
     "op4_preference_format": op4_preference_format,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_deleted_interpolation": op9_deleted_interpolation,
     "op10_url_filter": op10_url_filter,
 }
 ORACLES = {
