@@ -2,6 +2,7 @@
 
 from granary.llm.chat_format import op4_preference_format
 from granary.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from granary.llm.jaccard_join import op8_jaccard_join
 from granary.llm.language_model import op9_deleted_interpolation
 from granary.llm.packing import op6_best_fit_packing
 from granary.llm.quality import op3_quality_rules
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_preference_format": op4_preference_format,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_deleted_interpolation": op9_deleted_interpolation,
     "op10_url_filter": op10_url_filter,
 }
