@@ -15,6 +15,7 @@ OWN_CHECKPOINT_DIR = "/tmp/checkpoints"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 _staged: list[str] = []
+_tables: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +70,8 @@ def clear_staged(spark: SparkSession | None = None) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while _staged:
         try:
+            while _tables:
+                spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
             path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
             path.getFileSystem(conf).delete(path, True)
         except Exception:  # the JVM may be gone at exit
@@ -82,6 +85,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_by(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Like stage, but laid out in buckets of key, so that grouping and joining by key moves only the other side."""
+    spark = df.sparkSession
+    path, name = new_path(spark, label), f"granary_{label}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, key).option("path", path).option("compression", "zstd").saveAsTable(name)
+    _tables.append(name)
+    return spark.table(name)
+
+
 def integer_names(df: DataFrame, keys: list[str], name: str, label: str) -> DataFrame:
     """Distinct keys with one integer each, in the order of the sorted keys, as a written table.
 

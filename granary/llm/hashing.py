@@ -24,12 +24,15 @@ def joined(first: np.ndarray, then: np.ndarray) -> np.ndarray:
     return mix(first * _K2 + mix(then) + _K1)
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words [^\\x20\\x09-\\x0D]+ of all texts, A-Z lower-cased, and the number in each text."""
+def word_hashes(texts: list[str | None], space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words [^\\x20\\x09-\\x0D]+ of all texts, A-Z lower-cased, and the number in each text.
+
+    space: by byte, what parts words; it holds the line feed.
+    """
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     buffer = np.frombuffer(b"\n".join(raw) + b"\n" + bytes(8), np.uint8)
     low = LOWERED[buffer]
-    gap = SPACE[low[:-8]]
+    gap = space[low[:-8]]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], gap)).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
     size = ends - starts
