@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and their oracle SQL."""
 
 from granary.llm.chat_format import op4_preference_format
+from granary.llm.decontaminate import op5_decontaminate
 from granary.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from granary.llm.jaccard_join import op8_jaccard_join
 from granary.llm.language_model import op9_deleted_interpolation
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op3_quality_rules": op3_quality_rules,
     "op4_preference_format": op4_preference_format,
+    "op5_decontaminate": op5_decontaminate,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_jaccard_join": op8_jaccard_join,
