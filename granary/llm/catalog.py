@@ -7,11 +7,13 @@ from granary.llm.jaccard_join import op8_jaccard_join
 from granary.llm.language_model import op9_deleted_interpolation
 from granary.llm.packing import op6_best_fit_packing
 from granary.llm.quality import op3_quality_rules
+from granary.llm.suffix_dedup import op2_suffix_dedup
 from granary.llm.url_filter import OP10_SQL, op10_url_filter
 from granary.llm.warc import op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_preference_format": op4_preference_format,
     "op5_decontaminate": op5_decontaminate,
