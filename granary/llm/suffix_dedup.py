@@ -23,7 +23,7 @@ from granary.llm.common import pick, stage, stage_by, table
 from granary.llm.hashing import mix, pack, unpack
 
 LENGTH = 400
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 4 << 20
 #: Anchors that one counting and sorting task handles, about.
 ANCHORS_PER_RANGE = 20_000
 #: Distinct stretches of one anchor that are sorted together.
@@ -94,14 +94,13 @@ def two_stage_suffixes(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.n
     directly; a suffix greater than its successor (type A) goes, within the bucket of its first byte and before the
     bucket's B suffixes, by the place of its successor, which a scan of the buckets from the least byte up has set.
     """
-    n = len(text)
+    n, every = len(text), np.arange(len(text), dtype=np.int32)
     step = np.zeros(n, np.int8)
-    step[:-1] = np.sign(text[1:].astype(np.int16) - text[:-1].astype(np.int16))
+    step[:-1] = (text[1:] > text[:-1]).astype(np.int8) - (text[1:] < text[:-1])
     step[-1] = -1
-    decided = np.where(step != 0, np.arange(n), n - 1)
-    decided = np.minimum.accumulate(decided[::-1])[::-1]
+    decided = np.minimum.accumulate(np.where(step != 0, every, n - 1)[::-1])[::-1]
     is_b = step[decided] > 0
-    next_b = np.minimum.accumulate(np.where(is_b | (text == 0), np.arange(n), n - 1)[::-1])[::-1]
+    next_b = np.minimum.accumulate(np.where(is_b | (text == 0), every, n - 1)[::-1])[::-1]
     # Wanted suffixes and the successors that induce them.
     active = np.zeros(n + 1, np.int32)
     np.add.at(active, wanted, 1)
@@ -110,7 +109,7 @@ def two_stage_suffixes(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.n
     direct = active[is_b[active] | (text[active] == 0)]
     direct = _sorted_directly(text, direct, depth)
     induced = active[~is_b[active] & (text[active] != 0)]
-    rank, out, placed = np.zeros(n, np.int64), [], 0
+    rank, out, placed = np.zeros(n, np.int32), [], 0
 
     def place(positions: np.ndarray) -> None:
         nonlocal placed
