@@ -9,7 +9,7 @@ interchangeable; each takes its place in the plan by its rank among those of its
 from __future__ import annotations
 
 import bisect
-import itertools
+import json
 import os
 import re
 import struct
@@ -34,38 +34,47 @@ _SIMPLE = re.compile(f"[\\t\\n\\r -~¡-±´-¸º»¿-ɏ]*")
 _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^ \\t\\n\\r0-9{_LETTERS}]+|[ \\t\\n\\r]+(?![^ \\t\\n\\r])|[ \\t\\n\\r]+")
 
 
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it prints, else one from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_AS_CHARACTERS = _byte_characters()
+
+
 class PieceEncoder(dict):
-    """Ids, as little-endian unsigned 32-bit bytes, of texts under a byte-level BPE tokenizer file."""
+    """Ids, as little-endian unsigned 32-bit bytes, of texts under a tokenizer file; keeps those of frequent pre-tokens.
+
+    Where the file is a byte-level BPE that cuts texts as _PIECES does, texts of plain characters are cut here and each
+    pre-token is given to the tokenizer's model once; other texts, and all texts under other files, go to it whole.
+    """
 
-    def __init__(self, path: str, simple: bool = True):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        # Special tokens are found across pre-tokens, so texts that may hold one go to the tokenizer whole.
+        self.model = self.tokenizer.model
+        kind = json.loads(self.tokenizer.to_str())
+        cut = kind["pre_tokenizer"] or {}
+        self.cuts = kind["model"]["type"] == "BPE" and kind["normalizer"] is None and (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex")) == ("ByteLevel", False, True)
+        # Special tokens are found across pre-tokens.
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.simple = simple
-
-    def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, piece: str) -> bytes:
-        out = self.whole(piece)
+        ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_AS_CHARACTERS))]
+        out = struct.pack(f"<{len(ids)}I", *ids)
         if len(self) < CACHE_SIZE and len(piece) < 100:
             self[piece] = out
         return out
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text. New pre-tokens of all the texts are encoded in one call."""
-        cut = [_PIECES.findall(t) if self.simple and _SIMPLE.fullmatch(t) and not any(s in t for s in self.special) else None for t in texts]
-        new = list({p for pieces in cut if pieces for p in pieces} - self.keys())
-        own = dict(zip(new, (struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-        room = max(0, CACHE_SIZE - len(self))
-        self.update(itertools.islice(((p, v) for p, v in own.items() if len(p) < 100), room))
-        get = lambda p: own[p] if p in own else self[p]
-        lookup = self.__getitem__ if len(own) <= room else get
-        return [self.whole(t) if pieces is None else b"".join(map(lookup, pieces)) for t, pieces in zip(texts, cut, strict=True)]
+    def encode(self, text: str) -> bytes:
+        if self.cuts and _SIMPLE.fullmatch(text) and not any(s in text for s in self.special):
+            return b"".join(map(self.__getitem__, _PIECES.findall(text)))
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -86,12 +95,12 @@ def tokenised_pieces(df: DataFrame, tokenizer: str, capacity: int = CAPACITY, en
     end = struct.pack("<I", end_id)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, part, seen = encoder(tokenizer).encode_all, TaskContext.get().partitionId(), {}
+        encode, part, seen = encoder(tokenizer).encode, TaskContext.get().partitionId(), {}
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                some, rows = batch.iloc[at : at + 256], []
-                for doc_id, ids in zip(some["doc_id"], encode([t or "" for t in some["text"]]), strict=True):
-                    ids += end
+            for at in range(0, len(batch), 1024):
+                some, rows = batch.iloc[at : at + 1024], []
+                for doc_id, text in zip(some["doc_id"], some["text"], strict=True):
+                    ids = encode(text or "") + end
                     n = len(ids) // 4
                     start, length = 0, (n - 1) % capacity + 1
                     for piece in range(-(-n // capacity)):
