@@ -103,3 +103,13 @@ def integer_names(df: DataFrame, keys: list[str], name: str, label: str) -> Data
     """
     sorted_keys = df.select(*keys).distinct().repartitionByRange(*keys).sortWithinPartitions(*keys)
     return stage(sorted_keys.withColumn(name, F.monotonically_increasing_id()), label)
+
+
+#: Ids that are sent to every task at most; more go by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows of df whose key is not among ids (distinct, of one column named key). Rows with a null key stay."""
+    ids = stage(ids, "ids")
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, "left_anti")

@@ -7,7 +7,6 @@ are compiled into one Spark column expression over the statistics.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granary.llm.common import fold, pick, table
 
@@ -59,16 +59,14 @@ def statistics(text: str | None) -> tuple[float, ...]:
     )
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and the features of each row of (doc_id, text)."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+@F.pandas_udf(T.StructType([T.StructField(f, T.DoubleType()) for f in FEATURES]))
+def _measure(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([statistics(t) for t in texts], columns=list(FEATURES), dtype="float64")
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in filter(len, batches):
-            found = pd.DataFrame([statistics(t) for t in batch["text"]], columns=list(FEATURES))
-            yield pd.concat([batch["doc_id"].reset_index(drop=True), found], axis=1)
 
-    return docs.mapInPandas(measure, f"doc_id {id_type}, " + ", ".join(f"{f} double" for f in FEATURES))
+def with_statistics(df: DataFrame, text: Column) -> DataFrame:
+    """df and a struct `_statistics` of the features; only the texts go to Python."""
+    return df.withColumn("_statistics", _measure(text.cast("string")))
 
 
 Rule = tuple[tuple[str, str, float], ...]  # (feature, "<=" or ">", threshold), all of which hold
@@ -149,7 +147,7 @@ class RuleModel:
 
     def column(self) -> Column:
         """The score as a Spark expression over the statistics."""
-        terms = [F.when(reduce(lambda a, b: a & b, [F.col(f) <= t if op == "<=" else F.col(f) > t for f, op, t in rule]), c).otherwise(0.0) for rule, c in self.rules]
+        terms = [F.when(reduce(lambda a, b: a & b, [F.col(f"_statistics.{f}") <= t if op == "<=" else F.col(f"_statistics.{f}") > t for f, op, t in rule]), c).otherwise(0.0) for rule, c in self.rules]
         total = reduce(lambda a, b: a + b, terms, F.lit(self.intercept))
         return 1 / (1 + F.exp(-total))
 
@@ -162,7 +160,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
     known = pick(labels, "doc_id", "quality").where("doc_id is not null and quality is not null").where(fold(F.col("doc_id"), 5) != 0)
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     some = pick(docs, "doc_id", "text").join(F.broadcast(known), "doc_id")  # sample_rows ids at most
-    found = with_statistics(some.select("doc_id", "text")).join(F.broadcast(known), "doc_id").orderBy("doc_id").toPandas()
+    found = with_statistics(some, F.col("text")).select("doc_id", "quality", "_statistics.*").orderBy("doc_id", *FEATURES).toPandas()
     return RuleModel.fit(found[list(FEATURES)].to_numpy(float), found["quality"].to_numpy(float))
 
 
@@ -173,10 +171,15 @@ def score_quality(docs: DataFrame, model: RuleModel) -> DataFrame:
     and null ids are scored like any row; whole texts of any length are measured; other columns are ignored; an
     empty table gives no rows.
     """
-    rows = with_statistics(pick(docs, "doc_id", "text")).withColumn("score", model.column())
+    rows = with_statistics(pick(docs, "doc_id", "text"), F.col("text")).withColumn("score", model.column())
     return rows.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def keep_quality(docs: DataFrame, model: RuleModel) -> DataFrame:
+    """The rows of docs, all columns, that the model does not reject. docs has a column text and none named _statistics."""
+    return with_statistics(docs, F.col("text")).where(model.column() >= THRESHOLD).drop("_statistics")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
