@@ -78,9 +78,9 @@ def orphans(fact: DataFrame, dimension: DataFrame, key: str, dimension_key: str)
 
 def dimension_violations(dim: DataFrame, key: str, natural: Sequence[str], unknown: int | None = None) -> DataFrame:
     """One row: empty, repeated surrogate and natural keys, and a wrong number of Unknown members."""
-    rows = dim.groupBy(key).agg(F.count("*").alias("n"))
-    same = dim.groupBy(*natural).agg(F.count("*").alias("n"))
-    a = rows.agg((F.count("*") == 0).cast("long").alias("empty"), F.count_if(F.col("n") > 1).alias("repeated_keys"), F.count_if(F.col(key) == F.lit(unknown)).alias("members"))
-    b = same.agg(F.count_if(F.col("n") > 1).alias("repeated_natural_keys"))
+    rows = dim.groupBy(key).agg(F.count("*").alias("_n"))
+    same = dim.groupBy(*natural).agg(F.count("*").alias("_n"))
+    a = rows.agg((F.count("*") == 0).cast("long").alias("empty"), F.count_if(F.col("_n") > 1).alias("repeated_keys"), F.count_if(F.col(key) == F.lit(unknown)).alias("members"))
+    b = same.agg(F.count_if(F.col("_n") > 1).alias("repeated_natural_keys"))
     expected = 0 if unknown is None else 1
     return a.crossJoin(b).select("empty", "repeated_keys", "repeated_natural_keys", F.abs(F.col("members") - expected).alias("unknown_members"))
