@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
-Test items are taken in blocks of bounded size. An item's seeds are the rarest half of its n-grams, by the number of
-training documents that hold them; a passage that holds a seed is aligned with the item, so that copies with words
-changed, left out or put in are found too.
+Test items are taken in blocks of bounded size. An item's seeds are its rare n-grams: the rarer half of them, by the
+number of training documents that hold them, and all that few documents hold. A passage that holds a seed is aligned
+with the item, so that copies with words changed, left out or put in are found too.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from granary.llm.hashing import joined, word_hashes
 
 SEED_WORDS = 3
 MIN_SCORE = 0.5
+#: n-grams in so many documents, or one of so many of all, are rare in any case.
+RARE, RARE_SHARE = 10, 20_000
 #: Characters of the test items that are handled, and sent to each task, at once.
 BLOCK_CHARS = 8_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -77,13 +79,13 @@ class Items:
             for j, g in enumerate(_grams(w, k).tolist()):
                 self.places[g].append((i, j))
 
-    def rare(self, df: dict[int, int]) -> None:
-        """Keep the rarest half of each item's n-grams, and all that are as rare; at least four."""
+    def rare(self, df: dict[int, int], few: int) -> None:
+        """Keep the rarer half of each item's n-grams, at least four, all that are as rare, and all in at most `few` documents."""
         own = defaultdict(list)
         for g, places in self.places.items():
             for i, _ in places:
                 own[i].append(df.get(g, 0))
-        limit = {i: sorted(n)[min(len(n) - 1, max(3, len(n) // 2))] for i, n in own.items()}
+        limit = {i: max(few, sorted(n)[min(len(n) - 1, max(3, len(n) // 2))]) for i, n in own.items()}
         self.places = {g: kept for g, places in self.places.items() if (kept := [(i, j) for i, j in places if df.get(g, 0) <= limit[i]])}
 
     def finder(self) -> tuple[np.ndarray, np.ndarray]:
@@ -175,10 +177,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, seed_words: int = SEED_W
     kinds = [docs.schema["doc_id"].dataType.simpleString(), tests.schema["item_id"].dataType.simpleString()]
     out = f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, start_word long, end_word long, n_seeds int"
     results, block, size = [], [], 0
+    few = max(RARE, docs.count() // RARE_SHARE)
 
     def run() -> None:
         items = Items(block, seed_words)
-        items.rare(_document_counts(docs, items))
+        items.rare(_document_counts(docs, items), few)
         results.append(_align(docs, items, min_score, out))
 
     for row in tests.toLocalIterator():
