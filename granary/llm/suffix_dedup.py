@@ -73,7 +73,7 @@ class Anchors:
         self.first = np.concatenate(([0], change)).astype(np.int64)
         self.last = np.concatenate((change - 1, [windows - 1])).astype(np.int64)
         at = least[self.first].astype(np.int64)
-        self.hash = h[at]
+        self.hash = mix(h[at])  # the least of many are small: spread them over the ranges
         whole = (self.sums[self.last + length] - self.sums[self.first]) * inverse[self.first]
         self.digest = mix(mix(whole) ^ ((self.last - self.first).astype(np.uint64) << np.uint64(32)) ^ (at - self.first).astype(np.uint64))
 
