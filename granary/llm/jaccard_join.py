@@ -17,12 +17,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import new_path, pick, stage, table
+from granary.llm.common import pick, stage, stage_by, table
 from granary.llm.components import components
 from granary.llm.hashing import joined, mix, pack, unpack, word_hashes
 
-CHUNK_BYTES = 12 << 20
-KEYS_PER_RANGE = 250_000
+CHUNK_BYTES = 6 << 20
+KEYS_PER_RANGE = 500_000
 #: Documents of a block; a group of more is dealt over pairs of blocks.
 BLOCK = 256
 #: Small groups are compared together, about so many documents a task.
@@ -157,13 +157,10 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     documents linked with directly. Rows that repeat an id are one node of the graph; null ids are one node below all
     others, shown as null. Any length of text; other columns are ignored; an empty table gives no rows.
     """
-    spark = df.sparkSession
     docs = pick(df, id_col, text_col).toDF("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("row_id"), "text")
-    path = new_path(spark, "chunks")
-    _chunks(docs, chunk_bytes).write.option("compression", "zstd").parquet(path)
-    chunks = spark.read.schema(CHUNK).parquet(path)
+    chunks = stage_by(_chunks(docs, chunk_bytes), "chunk", "chunks")
     total = chunks.agg(F.sum("n_tokens")).first()[0] or 0
     bits = max(1, int(np.ceil(np.log2(total / KEYS_PER_RANGE + 1))))
     answers = stage(_send(chunks, words, bits).groupBy("range").applyInPandas(_count, "range int, chunk long, df binary"), "frequencies")
