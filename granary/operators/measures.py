@@ -115,3 +115,9 @@ def ratio_histogram(df: DataFrame, log_ratio: str, edges: Sequence[float], name:
         bucket = bucket + F.when(r >= e, 1).otherwise(0)
     rows = df.where(F.col(log_ratio).isNotNull()).groupBy(bucket.alias(name)).agg(F.count("*").alias("pairs"))
     return rows.withColumn("pair_share", share(F.col("pairs"), F.sum("pairs").over(W.partitionBy())))
+
+
+def filtered_share(fact: DataFrame, by: Sequence[str], condition: Column, product: str = "product_id") -> DataFrame:
+    """Rows and products that hold the condition, and their share of all rows."""
+    rows = fact.groupBy(*by).agg(F.count("*").alias("observations"), F.count_if(condition).alias("matching"), F.count_distinct(F.when(condition, F.col(product))).alias("matching_products"))
+    return rows.withColumn("matching_share", share(F.col("matching"), F.col("observations")))

@@ -213,3 +213,21 @@ def calendar_rollup(t: Tables) -> DataFrame:
     d = F.col("o_orderdate")
     rows = t.orders.select(F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month"), "o_totalprice")
     return rows.rollup("year", "quarter", "month").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query(fact_sql() + """
+SELECT location, count(*) AS observations, count(*) FILTER (WHERE p_size <= 25) AS matching, count(DISTINCT product_id) FILTER (WHERE p_size <= 25) AS matching_products, count(*) FILTER (WHERE p_size <= 25) / CAST(count(*) AS DOUBLE) AS matching_share
+FROM fact LEFT JOIN part ON product_id = p_partkey GROUP BY location""")
+def classified_share(t: Tables) -> DataFrame:
+    """Share of observations whose product is of a class; the same measure gives that of inferred products."""
+    rows = fact(t).join(t.part.select(F.col("p_partkey").alias("product_id"), "p_size"), "product_id", "left")
+    return M.filtered_share(rows, ["location"], F.col("p_size") <= 25)
+
+
+@query(fact_sql() + """,
+s AS (SELECT f.location, f.product_id, f.week, p_brand FROM fact f JOIN part ON product_id = p_partkey)
+SELECT p_brand, location, count(DISTINCT product_id) AS products, count(*) AS observations, min(week) AS first_week FROM s GROUP BY ROLLUP (p_brand, location)""")
+def brand_rollup(t: Tables) -> DataFrame:
+    """The drill from brand to place, with its totals."""
+    rows = fact(t).join(t.part.select(F.col("p_partkey").alias("product_id"), "p_brand"), "product_id")
+    return rows.rollup("p_brand", "location").agg(F.count_distinct("product_id").alias("products"), F.count("*").alias("observations"), F.min("week").alias("first_week"))

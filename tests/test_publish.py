@@ -100,3 +100,25 @@ def test_sources(spark, tmp_path):
         write_verified(df.unionAll(df), f"{tmp_path}/u", ["k"])
     register(spark, {"registered": read_table(spark, str(tmp_path), "t", df.schema)})
     assert spark.sql("SELECT count(*) FROM registered").first()[0] == 3
+
+
+def test_snapshot_is_whole_and_kept(spark, tmp_path):
+    from granary.sources.extract import jdbc_readers, open_snapshot, snapshot
+
+    target, readers = f"{tmp_path}/raw", {"a": lambda: spark.range(4), "b": lambda: spark.range(2).selectExpr("id as x")}
+    assert snapshot(spark, target, readers)["tables"]["a"]["rows"] == 4
+    with pytest.raises(PublishError, match="holds a snapshot"):
+        snapshot(spark, target, readers)
+
+    def broken():
+        raise OSError("connection lost")
+
+    with pytest.raises(OSError, match="connection lost"):
+        snapshot(spark, target, readers | {"b": broken}, replace=True)
+    assert open_snapshot(spark, target)["a"].count() == 4
+    snapshot(spark, target, {"a": lambda: spark.range(5)}, replace=True)
+    assert open_snapshot(spark, target)["a"].count() == 5
+    spark.range(1).write.mode("overwrite").parquet(f"{target}/a")
+    with pytest.raises(PublishError, match="not what was published"):
+        open_snapshot(spark, target)
+    assert set(jdbc_readers(spark, "jdbc:postgresql://h/d", {"a": "public.a"}, {})) == {"a"}
