@@ -21,19 +21,19 @@ from granary.operators.keys import attach_key, surrogate_keys, unique_match
 from granary.operators.versions import canonical, collapse_duplicates, price_versions
 from granary.plans.publish import Job
 
-PRODUCT = ["daltix_id", "shop", "name", "brand", "country", "description", "categories", "language"]
+PRODUCT = ["product_id", "shop", "name", "brand", "country", "description", "categories", "language"]
 RAW = {
     "products": PRODUCT,
     "weekly_prices_products": PRODUCT,
     "locations": ["shop", "id", "country_code", "type", "postcode", "geolocation_latitude", "geolocation_longitude", "sources"],
     "weekly_prices_locations": ["shop", "location", "location_name", "shop_type", "postcode", "locality", "state", "geolocation_latitude", "geolocation_longitude"],
-    "prices": ["daltix_id", "shop", "country", "location", "price", "promo_price", "downloaded_on", "unit_std", "currency"],
-    "weekly_prices": ["daltix_id", "shop", "location", "week", "price", "price_promo"],
-    "nutritionals": ["daltix_id", "shop", "country", "language", "download_date", "nutritional_values_std"],
+    "prices": ["product_id", "shop", "country", "location", "price", "promo_price", "downloaded_on", "unit_std", "currency"],
+    "weekly_prices": ["product_id", "shop", "location", "week", "price", "price_promo"],
+    "nutritionals": ["product_id", "shop", "country", "language", "download_date", "nutritional_values_std"],
 }
 LAT, LON = "geolocation_latitude", "geolocation_longitude"
-IDENTITY = ["daltix_id", "shop", "country"]
-GRAIN = ["daltix_id", "shop", "location", "week"]
+IDENTITY = ["product_id", "shop", "country"]
+GRAIN = ["product_id", "shop", "location", "week"]
 
 
 @dataclass(frozen=True)
@@ -73,7 +73,7 @@ def products(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
 
 def weekly_products(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
     own = with_shop(clean(raw(tables, "weekly_prices_products"), PRODUCT), spec)
-    return enrich.fallback(own, tables["silver_products"], ["daltix_id"], ["name", "brand", "description", "categories"], ["shop", "country", "language"])
+    return enrich.fallback(own, tables["silver_products"], ["product_id"], ["name", "brand", "description", "categories"], ["shop", "country", "language"])
 
 
 def _coordinate_flags() -> dict[str, Column]:
@@ -120,7 +120,7 @@ def weekly_locations(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
 
 
 def prices(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
-    df = with_shop(clean(raw(tables, "prices"), ["daltix_id", "shop", "country", "location", "unit_std", "currency"]), spec)
+    df = with_shop(clean(raw(tables, "prices"), ["product_id", "shop", "country", "location", "unit_std", "currency"]), spec)
     df = Q.require_date(df, "downloaded_on").withColumns({"price": F.col("price").cast("double"), "promo_price": F.col("promo_price").cast("double")})
     price, promo = F.col("price"), F.col("promo_price")
     return df.withColumns({"is_promotion": C.flag(promo < price), "dq_non_positive_price": C.flag(price <= 0), "dq_non_positive_promo_price": C.flag(promo <= 0), "dq_promo_not_below_price": C.flag(promo >= price)})
@@ -128,7 +128,7 @@ def prices(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
 
 def weekly_prices(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
     df = Q.require_date(raw(tables, "weekly_prices"), "week")
-    df = with_shop(clean(df, ["daltix_id", "shop", "location"]), spec).withColumns({"price": F.col("price").cast("double"), "price_promo": F.col("price_promo").cast("double")})
+    df = with_shop(clean(df, ["product_id", "shop", "location"]), spec).withColumns({"price": F.col("price").cast("double"), "price_promo": F.col("price_promo").cast("double")})
     out = price_versions(df.drop("shop_name"), GRAIN)
     return out.withColumn("shop_name", C.lookup(F.col("shop"), spec.shops, "shop"))
 
@@ -136,11 +136,11 @@ def weekly_prices(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
 def nutritionals(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
     """One row per entry of each grain's canonical label; all labels are checked first, also those not taken."""
     path, payload = "$.nutrients", "nutritional_values_std"
-    df = with_shop(clean(Q.require_date(raw(tables, "nutritionals"), "download_date"), ["daltix_id", "shop", "country", "language"]), spec)
+    df = with_shop(clean(Q.require_date(raw(tables, "nutritionals"), "download_date"), ["product_id", "shop", "country", "language"]), spec)
     df = collapse_duplicates(df.drop("shop_name"))
     problem = labels.payload_problems(F.col(payload), path)
     df = df.withColumn(payload, F.when(problem.isNull(), F.col(payload)).otherwise(F.raise_error(F.concat(F.lit("label: "), problem))))
-    grain = ["daltix_id", "shop", "country", "download_date"]
+    grain = ["product_id", "shop", "country", "download_date"]
     stats = df.groupBy(*grain).agg(F.count("*").alias("_rows"), F.count_distinct(payload).alias("_payloads"), F.count_distinct("language").alias("_languages"))
     best = canonical(labels.completeness(df, payload, path), grain, ["numeric_entry_count", "entry_count", "populated_unit_count"], payload, [F.coalesce("language", F.lit(""))])
     best = Q.join_checked(best, stats, grain, "1:1")
@@ -158,7 +158,7 @@ def nutritionals(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
     mass = C.flag((F.col("standard_unit") == "g") & (F.col("portion_unit") == "g") & (F.col("value") > F.col("portion_value")))
     out = out.withColumns({"status": F.coalesce(unknown, "status"), "dq_mass_exceeds_portion": mass, "shop_name": C.lookup(F.col("shop"), spec.shops, "shop")})
     return out.select(
-        "daltix_id", "shop", "country", "language", "download_date", F.col("entry").alias("nutrient_name_raw"), F.col("raw_value").alias("nutrient_value_raw"), F.col("raw_unit").alias("nutrient_unit_raw"), "portion_value", "portion_unit", "source_payload_hash",
+        "product_id", "shop", "country", "language", "download_date", F.col("entry").alias("nutrient_name_raw"), F.col("raw_value").alias("nutrient_value_raw"), F.col("raw_unit").alias("nutrient_unit_raw"), "portion_value", "portion_unit", "source_payload_hash",
         F.col("entry_count").alias("nutrient_count"), F.col("numeric_entry_count").alias("numeric_nutrient_count"), "populated_unit_count", "dq_source_exact_duplicate", "dq_repeated_grain", "dq_conflicting_nutrition", "dq_language_conflict", F.col("selection_reason").alias("nutrition_selection_reason"),
         F.col("entry").alias("nutrient_name"), F.col("value").alias("nutrient_value"), F.col("standard_unit").alias("nutrient_unit"), F.col("factor").alias("unit_conversion_factor"), F.col("status").alias("unit_standardization_status"), F.col("dq_negative_value").alias("dq_negative_nutrient_value"),
         "energy_pair_difference_kj", "dq_energy_kcal_mismatch", F.col("dq_missing_value").alias("dq_missing_nutrient_value"), "dq_non_numeric_value", F.col("dq_incompatible_unit").alias("dq_incompatible_nutrient_unit"), "dq_mass_exceeds_portion", "shop_name",
@@ -197,7 +197,7 @@ SILVER = {
     "silver_products": products, "silver_locations": locations, "silver_prices": prices, "silver_nutritionals": nutritionals, "silver_weekly_products": weekly_products, "silver_weekly_locations": weekly_locations,
     "silver_weekly_prices": weekly_prices, "silver_product_category_paths": category_paths, "silver_product_primary_categories": primary_categories,
 }
-KEYS = {"silver_products": ["daltix_id"], "silver_weekly_products": IDENTITY, "silver_weekly_locations": ["shop", "location"], "silver_product_primary_categories": IDENTITY, "silver_weekly_prices": [*GRAIN, "price", "price_promo"]}
+KEYS = {"silver_products": ["product_id"], "silver_weekly_products": IDENTITY, "silver_weekly_locations": ["shop", "location"], "silver_product_primary_categories": IDENTITY, "silver_weekly_prices": [*GRAIN, "price", "price_promo"]}
 
 
 def silver_jobs(spec: Spec) -> list[Job]:
@@ -221,17 +221,17 @@ def dim_product(t: dict[str, DataFrame], spec: Spec) -> DataFrame:
     attributes = ["language", "name", "brand", "description"]
     market = F.col("country") == spec.market
     labelled = t["silver_nutritionals"].where(market).select(*IDENTITY).distinct()
-    priced = t["silver_weekly_prices"].select("daltix_id", "shop").distinct()
+    priced = t["silver_weekly_prices"].select("product_id", "shop").distinct()
     weekly = t["silver_weekly_products"].where(market)
-    weekly = weekly.join(priced, ["daltix_id", "shop"], "left_semi").unionByName(weekly.join(labelled, IDENTITY, "left_semi")).distinct()
+    weekly = weekly.join(priced, ["product_id", "shop"], "left_semi").unionByName(weekly.join(labelled, IDENTITY, "left_semi")).distinct()
     reference = t["silver_products"].where(market).join(labelled, IDENTITY, "left_semi")
     described = enrich.describe(weekly.select(*IDENTITY).unionByName(reference.select(*IDENTITY)).unionByName(labelled).distinct(), weekly, reference, IDENTITY, attributes)
-    rest = priced.join(described.select("daltix_id", "shop").distinct(), ["daltix_id", "shop"], "left_anti")
+    rest = priced.join(described.select("product_id", "shop").distinct(), ["product_id", "shop"], "left_anti")
     others = t["silver_weekly_products"].select(*IDENTITY, *attributes).unionByName(t["silver_products"].select(*IDENTITY, *attributes))
-    recovered = mart.recover(rest.withColumn("country", F.lit(spec.market)), others, ["daltix_id", "shop"], "country", attributes)
-    inferred = mart.infer(rest.join(recovered, ["daltix_id", "shop"], "left_anti"), ["shop", "daltix_id"], "name", "Unmatched product (%s %s)").withColumn("country", F.lit(spec.market))
-    dim = mart.entity_dimension("product_key", ["shop", "country", "daltix_id"], [(described.drop("descriptive_source"), "described"), (recovered, "recovered"), (inferred, "inferred")], attributes, {"name": "Unknown"})
-    return mart.attach_decision(dim, t["silver_product_primary_categories"].select(*IDENTITY, "code", "status"), ["shop", "country", "daltix_id"], "product_key")
+    recovered = mart.recover(rest.withColumn("country", F.lit(spec.market)), others, ["product_id", "shop"], "country", attributes)
+    inferred = mart.infer(rest.join(recovered, ["product_id", "shop"], "left_anti"), ["shop", "product_id"], "name", "Unmatched product (%s %s)").withColumn("country", F.lit(spec.market))
+    dim = mart.entity_dimension("product_key", ["shop", "country", "product_id"], [(described.drop("descriptive_source"), "described"), (recovered, "recovered"), (inferred, "inferred")], attributes, {"name": "Unknown"})
+    return mart.attach_decision(dim, t["silver_product_primary_categories"].select(*IDENTITY, "code", "status"), ["shop", "country", "product_id"], "product_key")
 
 
 def dim_location(t: dict[str, DataFrame], spec: Spec) -> DataFrame:
@@ -245,30 +245,30 @@ def dim_nutrient(t: dict[str, DataFrame], spec: Spec) -> DataFrame:
 
 def _categories(t: dict[str, DataFrame], spec: Spec) -> tuple[DataFrame, DataFrame]:
     own = paths.categories(t["silver_product_category_paths"].where((F.col("source_dataset") == "silver_weekly_products") & (F.col("country") == spec.market)), [*IDENTITY, "language"])
-    members = own.join(t["dim_product"].select("product_key", *IDENTITY), IDENTITY).drop("daltix_id")
+    members = own.join(t["dim_product"].select("product_key", *IDENTITY), IDENTITY).drop("product_id")
     return mart.category_dimension(members.withColumn("category_path_normalized", F.col("category_path")), ["shop", "country", "category_path_text"], "category_key", "product_key")
 
 
 def fact_weekly_prices(t: dict[str, DataFrame], spec: Spec) -> DataFrame:
     fact = facts.weekly_fact(t["silver_weekly_prices"], GRAIN)
-    mapping = unique_match(t["dim_product"].where("product_key != -1"), ["daltix_id", "shop"], "product_key")
-    fact = attach_key(fact, mapping, ["daltix_id", "shop"], "product_key")
+    mapping = unique_match(t["dim_product"].where("product_key != -1"), ["product_id", "shop"], "product_key")
+    fact = attach_key(fact, mapping, ["product_id", "shop"], "product_key")
     places = t["dim_location"].select("location_key", "shop", "location", "location_type")
     fact = fact.join(t["dim_shop"].select("shop_key", "shop"), "shop").join(places, ["shop", "location"]).join(t["dim_date"].select("date_key", F.col("date").alias("week")), "week")
     known = fact.where("product_key != -1")
     series = ["product_key", "location_key"]
     ratios = facts.lag_ratios(known, series, "week", 364, {"log_paid_yoy_ratio": "effective_price", "log_shelf_yoy_ratio": "regular_price"})
     ratios = facts.reference_ratio(ratios, ["product_key", "shop", "week"], "location_type", spec.national, "effective_price", "log_store_vs_national_ratio")
-    grain = [*series, "week", "daltix_id"]
+    grain = [*series, "week", "product_id"]
     extra = ratios.select(*grain, "log_paid_yoy_ratio", "log_shelf_yoy_ratio", "log_store_vs_national_ratio")
-    return Q.join_checked(fact, extra, grain, "m:1").drop("location_type", "shop", "location", "week").withColumnRenamed("daltix_id", "source_daltix_id")
+    return Q.join_checked(fact, extra, grain, "m:1").drop("location_type", "shop", "location", "week").withColumnRenamed("product_id", "source_product_id")
 
 
 def fact_product_nutrition(t: dict[str, DataFrame], spec: Spec) -> DataFrame:
     rows = t["silver_nutritionals"].where(F.col("country") == spec.market).withColumn("date", F.col("download_date"))
     dims = {"product_key": (t["dim_product"], IDENTITY), "shop_key": (t["dim_shop"], ["shop"]), "date_key": (t["dim_date"], ["date"]), "nutrient_key": (t["dim_nutrient"], ["nutrient_name"])}
     out = mart.entry_fact(rows, dims, ["product_key", "nutrient_key"], "date", "portion_value", "portion_unit", "nutrient_value")
-    return out.drop("shop", "country", "language", "date", "download_date", "shop_name", "nutrient_name", "nutrient_name_raw", "nutrient_value_raw", "nutrient_unit_raw").withColumnsRenamed({"daltix_id": "source_daltix_id", "basis": "nutrition_basis"})
+    return out.drop("shop", "country", "language", "date", "download_date", "shop_name", "nutrient_name", "nutrient_name_raw", "nutrient_value_raw", "nutrient_unit_raw").withColumnsRenamed({"product_id": "source_product_id", "basis": "nutrition_basis"})
 
 
 GOLD = {
@@ -285,10 +285,10 @@ def check_gold(t: dict[str, DataFrame]) -> None:
     """The mart's contracts over its published tables."""
     dims = {"product_key": t["dim_product"], "shop_key": t["dim_shop"], "date_key": t["dim_date"]}
     MC.check_mart(
-        prices=MC.fact_violations(t["fact_weekly_prices"], ["product_key", "shop_key", "location_key", "date_key", "source_daltix_id"], dims | {"location_key": t["dim_location"]}),
+        prices=MC.fact_violations(t["fact_weekly_prices"], ["product_key", "shop_key", "location_key", "date_key", "source_product_id"], dims | {"location_key": t["dim_location"]}),
         nutrition=MC.fact_violations(t["fact_product_nutrition"], ["product_key", "date_key", "nutrient_key", "nutrition_basis"], dims | {"nutrient_key": t["dim_nutrient"]}),
         bridge=MC.bridge_violations(t["bridge_product_category"], t["dim_product"], t["dim_category"], "product_key", "category_key"),
         locations=MC.scope_violations(t["fact_weekly_prices"], t["dim_location"], "location_key", domain={"location_type": ["Store", "National"]}),
         latest=MC.latest_violations(t["fact_product_nutrition"], ["product_key", "nutrient_key"], "date_key"),
-        product=Q.dimension_violations(t["dim_product"], "product_key", ["shop", "country", "daltix_id"], -1).first().asDict(),
+        product=Q.dimension_violations(t["dim_product"], "product_key", ["shop", "country", "product_id"], -1).first().asDict(),
     )

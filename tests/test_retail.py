@@ -13,7 +13,7 @@ SPEC = R.Spec(
     anchors=[("dairy", "dairy"), ("bread", "bakery")], names=[("milk", "dairy")], category_names={"dairy": "Dairy", "bakery": "Bakery"},
 )
 LABEL = '{"nutrients":{"fat":{"value":3.5,"unit":"g"},"salt":{"value":"100","unit":"mg"},"energy_kj":{"value":418.4,"unit":"kJ"},"energy_kcal":{"value":100,"unit":"kcal"}},"portion":{"value":100,"unit":"ml"}}'
-P = "daltix_id string, shop string, name string, brand string, country string, description string, categories string, language string"
+P = "product_id string, shop string, name string, brand string, country string, description string, categories string, language string"
 
 
 @pytest.fixture
@@ -26,9 +26,9 @@ def raw(spark):
         "weekly_prices_products": df([("1", "alpha", None, "geen", "be", "fresh", None, "nl"), ("2", "alpha", "Milk drink", None, "be", None, None, "nl")], P),
         "locations": df([("alpha", "s1", "be", None, "1000", 50.8, 4.3, "w")], "shop string, id string, country_code string, type string, postcode string, geolocation_latitude double, geolocation_longitude double, sources string"),
         "weekly_prices_locations": df([("alpha", "s1", None, " REPUS", None, None, None, None, None), ("alpha", "nat", "Default", None, None, None, None, None, None)], "shop string, location string, location_name string, shop_type string, postcode string, locality string, state string, geolocation_latitude double, geolocation_longitude double"),
-        "prices": df([("1", "alpha", "be", "s1", 2.0, None, date(2020, 12, 1), "kg", "EUR")], "daltix_id string, shop string, country string, location string, price double, promo_price double, downloaded_on date, unit_std string, currency string"),
-        "weekly_prices": df([("1", "alpha", "s1", date(2020, 1, 6), 2.0, 2.0), ("1", "alpha", "s1", date(2021, 1, 4), 3.0, 2.5), ("1", "alpha", "nat", date(2021, 1, 4), 2.5, 2.5), ("9", "alpha", "s1", date(2021, 1, 4), 1.0, 1.0), ("3", "beta", "x", date(2021, 1, 4), 1.0, 1.0)], "daltix_id string, shop string, location string, week date, price double, price_promo double"),
-        "nutritionals": df([("1", "alpha", "be", "nl", date(2020, 12, 1), LABEL), ("1", "alpha", "be", "nl", date(2020, 12, 1), LABEL), ("1", "alpha", "be", "fr", date(2020, 12, 1), '{"nutrients":{"fat":{"value":"1","unit":"g"}},"portion":{"value":100,"unit":"g"}}')], "daltix_id string, shop string, country string, language string, download_date date, nutritional_values_std string"),
+        "prices": df([("1", "alpha", "be", "s1", 2.0, None, date(2020, 12, 1), "kg", "EUR")], "product_id string, shop string, country string, location string, price double, promo_price double, downloaded_on date, unit_std string, currency string"),
+        "weekly_prices": df([("1", "alpha", "s1", date(2020, 1, 6), 2.0, 2.0), ("1", "alpha", "s1", date(2021, 1, 4), 3.0, 2.5), ("1", "alpha", "nat", date(2021, 1, 4), 2.5, 2.5), ("9", "alpha", "s1", date(2021, 1, 4), 1.0, 1.0), ("3", "beta", "x", date(2021, 1, 4), 1.0, 1.0)], "product_id string, shop string, location string, week date, price double, price_promo double"),
+        "nutritionals": df([("1", "alpha", "be", "nl", date(2020, 12, 1), LABEL), ("1", "alpha", "be", "nl", date(2020, 12, 1), LABEL), ("1", "alpha", "be", "fr", date(2020, 12, 1), '{"nutrients":{"fat":{"value":"1","unit":"g"}},"portion":{"value":100,"unit":"g"}}')], "product_id string, shop string, country string, language string, download_date date, nutritional_values_std string"),
     }
 
 
@@ -43,25 +43,25 @@ def test_snapshot(spark, raw, tmp_path):
         paths[name] = f"{tmp_path}/raw/{name}"
     publish(spark, f"{tmp_path}/silver", paths, R.silver_jobs(SPEC))
     silver = load(spark, f"{tmp_path}/silver")
-    assert rows(silver["silver_products"], "daltix_id")[0] | {} == {"daltix_id": "1", "shop": "alpha", "name": "Milk", "brand": "nan", "country": "be", "description": None, "categories": '[["food"],["food","dairy"]]', "language": "nl", "shop_name": "Alpha"}
-    one = rows(silver["silver_weekly_products"], "daltix_id")[0]
+    assert rows(silver["silver_products"], "product_id")[0] | {} == {"product_id": "1", "shop": "alpha", "name": "Milk", "brand": "nan", "country": "be", "description": None, "categories": '[["food"],["food","dairy"]]', "language": "nl", "shop_name": "Alpha"}
+    one = rows(silver["silver_weekly_products"], "product_id")[0]
     assert (one["name"], one["is_name_enriched"], one["brand"], one["is_brand_enriched"], one["description"], one["categories"]) == ("Milk", True, "nan", True, "fresh", '[["food"],["food","dairy"]]')
     store = rows(silver["silver_weekly_locations"], "location")[1]
     assert (store["shop_type"], store["is_shop_type_reversed"], store["postcode"], store["region"], store["is_coordinates_enriched"], store["location_type"], store["country_code"]) == ("super", True, "1000", "Brussels", True, "Store", "be")
     label = {r["nutrient_name"]: r for r in rows(silver["silver_nutritionals"], "nutrient_name")}
     assert label["salt"]["nutrient_value"] == pytest.approx(0.1) and label["fat"]["nutrition_selection_reason"] == "completeness_first"
     assert label["fat"]["dq_source_exact_duplicate"] and label["fat"]["dq_language_conflict"] and not label["fat"]["dq_energy_kcal_mismatch"]
-    found = {(r["daltix_id"], r["shop"]): (r["code"], r["status"], r["basis"]) for r in rows(silver["silver_product_primary_categories"], "daltix_id")}
+    found = {(r["product_id"], r["shop"]): (r["code"], r["status"], r["basis"]) for r in rows(silver["silver_product_primary_categories"], "product_id")}
     assert found == {("1", "alpha"): ("dairy", "classified", "paths"), ("2", "alpha"): ("dairy", "classified", "name"), ("3", "beta"): ("unclassified", "missing_evidence", None)}
 
     inputs = {n: f"{tmp_path}/silver/{n}" for n in R.SILVER}
     publish(spark, f"{tmp_path}/gold", inputs, R.gold_jobs(SPEC), cross_check=R.check_gold)
     gold = load(spark, f"{tmp_path}/gold")
-    products = {r["daltix_id"]: r for r in rows(gold["dim_product"], "product_key")}
+    products = {r["product_id"]: r for r in rows(gold["dim_product"], "product_key")}
     assert {k: r["descriptive_source"] for k, r in products.items()} == {None: "unknown", "1": "described", "3": "recovered", "9": "inferred"}
     assert products["9"]["name"] == "Unmatched product (alpha 9)" and products["9"]["category_status"] == "missing_evidence" and products["1"]["category_code"] == "dairy"
     fact = gold["fact_weekly_prices"].join(gold["dim_location"].select("location_key", "location"), "location_key")
-    got = {(r["source_daltix_id"], r["location"], r["date_key"]): r for r in rows(fact, "date_key")}
+    got = {(r["source_product_id"], r["location"], r["date_key"]): r for r in rows(fact, "date_key")}
     assert set(got) == {("1", "s1", 20200106), ("1", "s1", 20210104), ("1", "nat", 20210104), ("9", "s1", 20210104)}
     later = got["1", "s1", 20210104]
     assert later["log_shelf_yoy_ratio"] == pytest.approx(math.log(1.5)) and later["log_paid_yoy_ratio"] == pytest.approx(math.log(1.25)) and later["log_store_vs_national_ratio"] == pytest.approx(0.0)
@@ -86,4 +86,4 @@ def test_schema_drift_fails(spark, raw):
     with pytest.raises(ContractError, match="unexpected"):
         R.products(raw | {"products": raw["products"].selectExpr("*", "1 as extra")}, SPEC)
     with pytest.raises(ContractError, match="date"):
-        R.weekly_prices(raw | {"weekly_prices": raw["weekly_prices"].selectExpr("daltix_id", "shop", "location", "cast(week as timestamp) week", "price", "price_promo")}, SPEC)
+        R.weekly_prices(raw | {"weekly_prices": raw["weekly_prices"].selectExpr("product_id", "shop", "location", "cast(week as timestamp) week", "price", "price_promo")}, SPEC)
