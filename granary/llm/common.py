@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import re
 import uuid
 
+import pyarrow
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,10 +80,34 @@ def clear_staged(spark: SparkSession | None = None) -> None:
             return
 
 
+#: Tasks, and so files, of an intermediate table for each core of the cluster.
+TASKS_PER_CORE = 4
+
+
+def few_files(df: DataFrame) -> DataFrame:
+    """df in no more partitions than a few per core, without a shuffle; a task takes its partitions one after the other.
+
+    Tables of few rows else leave a file for every shuffle partition, and every file costs the executor calls to the store.
+    """
+    return df.coalesce(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
+def release_memory() -> None:
+    """Give what a Python worker has freed back to the system: it lives on, beside the executor, through later tasks."""
+    pyarrow.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # only glibc has it
+        trim(0)
+
+
+def new_id() -> int:
+    """A random positive long: unique also where one task runs a function over several partitions."""
+    return uuid.uuid4().int >> 65
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    few_files(df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -90,7 +116,7 @@ def stage_by(df: DataFrame, key: str, label: str) -> DataFrame:
     spark = df.sparkSession
     path, name = new_path(spark, label), f"granary_{label}_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(n, key).option("path", path).option("compression", "zstd").saveAsTable(name)
+    few_files(df).write.bucketBy(n, key).option("path", path).option("compression", "zstd").saveAsTable(name)
     _tables.append(name)
     return spark.table(name)
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import pick, table
+from granary.llm.common import pick, release_memory, table
 from granary.llm.hashing import joined, word_hashes
 
 SEED_WORDS = 3
@@ -26,7 +26,7 @@ RARE, RARE_SHARE = 10, 20_000
 BLOCK_CHARS = 8_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Texts handled at once by a task.
-_CHARS = 4_000_000
+_CHARS = 1_000_000
 
 #: Letters, digits and every byte of a longer character make words; all else parts them.
 _PARTS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -124,6 +124,7 @@ def _document_counts(docs: DataFrame, items: Items) -> dict[int, int]:
                 _, _, _, text, g = _hits(rows["text"].tolist(), k, keys, mask)
                 for _, gram in set(zip(text.tolist(), g.tolist(), strict=True)):
                     n[gram] += 1
+            release_memory()
         if n:
             yield pd.DataFrame({"gram": np.array(list(n), np.uint64).view(np.int64), "n": list(n.values())})
 
@@ -160,6 +161,7 @@ def _align(docs: DataFrame, items: Items, min_score: float, out: str) -> DataFra
                         found.append((rows["doc_id"].iloc[d], items.ids[i], best[0] / (MATCH * len(item)), best[1], best[2], len(diagonals)))
                 if found:
                     yield pd.DataFrame(found, columns=["doc_id", "item_id", "score", "start_word", "end_word", "n_seeds"])
+            release_memory()
 
     return docs.mapInPandas(align, out)
 

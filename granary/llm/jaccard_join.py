@@ -13,11 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import pick, stage, stage_by, table
+from granary.llm.common import new_id, pick, release_memory, stage, stage_by, table
 from granary.llm.components import components
 from granary.llm.hashing import joined, mix, pack, unpack, word_hashes
 
@@ -48,14 +47,13 @@ def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
 
 def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, made = TaskContext.get().partitionId(), 0
         for batch in filter(len, batches):
             cut = (batch["text"].str.len().fillna(0).cumsum() // chunk_bytes).astype(int)
             for _, rows in batch.groupby(cut):
                 h, n = word_hashes(rows["text"].tolist())
                 words, codes = np.unique(h, return_inverse=True)
-                yield pd.DataFrame([{"chunk": (part << 32) + made, "n_tokens": len(h), "ids": pack(rows["row_id"].to_numpy(np.int64)), "sizes": pack(n.astype(np.int64)), "words": pack(words), "codes": pack(codes.astype(np.uint32))}])
-                made += 1
+                yield pd.DataFrame([{"chunk": new_id(), "n_tokens": len(h), "ids": pack(rows["row_id"].to_numpy(np.int64)), "sizes": pack(n.astype(np.int64)), "words": pack(words), "codes": pack(codes.astype(np.uint32))}])
+            release_memory()
 
     return docs.mapInPandas(build, CHUNK)
 
@@ -76,6 +74,7 @@ def _send(chunks: DataFrame, k: int, bits: int) -> DataFrame:
                 cuts = [0, *np.searchsorted(keys, edges), len(keys)]
                 spans = [slice(x, y) for x, y in zip(cuts, cuts[1:])]  # noqa: B905
                 yield pd.DataFrame({"range": np.arange(1 << bits), "chunk": row["chunk"], "keys": [pack(np.diff(keys[s], prepend=np.uint64(0))) for s in spans], "n": [pack(n[s].astype(np.uint32)) for s in spans]})
+                release_memory()
 
     return chunks.mapInPandas(send, "range int, chunk long, keys binary, n binary")
 
@@ -83,6 +82,7 @@ def _send(chunks: DataFrame, k: int, bits: int) -> DataFrame:
 def _count(group: pd.DataFrame) -> pd.DataFrame:
     keys = [np.cumsum(unpack(b, np.uint64), dtype=np.uint64) for b in group["keys"]]
     found, at = np.unique(np.concatenate(keys), return_inverse=True)
+    release_memory()
     n = np.bincount(at, weights=np.concatenate([unpack(b, np.uint32) for b in group["n"]]), minlength=len(found)).astype(np.uint32)
     return pd.DataFrame({"range": group["range"], "chunk": group["chunk"], "df": [pack(x) for x in np.split(n[at], np.cumsum([len(x) for x in keys])[:-1])]})
 
@@ -184,6 +184,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 rows.append((i, n, a, b, room, t[:room].astype(np.int64).tolist(), pack(t)))
             else:
                 rows.append((i, n, a, b, 0, None, None))
+        del flat, keys, at, df, sets
+        release_memory()
         return pd.DataFrame(rows, columns=["row_id", "n", "d1", "d2", "prefix", "rare", "tokens"])
 
     found = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(order, "row_id long, n long, d1 long, d2 long, prefix int, rare array<long>, tokens binary")

@@ -16,17 +16,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import fold, new_path, pick, stage, table
+from granary.llm.common import fold, new_id, pick, release_memory, stage, stage_by, table
 from granary.llm.hashing import joined, pack, unpack, word_hashes
 
 FOLDS, HELD_OUT, TUNING = 7, 2, 3
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 #: n-grams that one counting task handles, about.
-KEYS_PER_RANGE = 250_000
+KEYS_PER_RANGE = 500_000
 END = np.uint64(0x5E17E17E17E17E1)
 #: Steps of the histogram that the weights are learned from, to the doubling of a probability or count.
 GRID = 8
@@ -39,7 +38,6 @@ def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     """Documents as rows of many: word hashes (sorted), codes into them, and per document row number, fold and tokens."""
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, made = TaskContext.get().partitionId(), 0
         for batch in batches:
             for tuning, some in batch.groupby(batch["fold"] == TUNING):
                 ends = some["text"].str.len().fillna(0).cumsum().to_numpy()
@@ -49,10 +47,10 @@ def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
                     tokens = np.insert(h, np.cumsum(n), END)
                     words, codes = np.unique(tokens, return_inverse=True)
                     yield pd.DataFrame([{
-                        "chunk": (part << 32) + made, "tuning": bool(tuning), "n_tokens": len(tokens), "ids": pack(rows["row_id"].to_numpy(np.int64)), "folds": rows["fold"].to_numpy(np.uint8).tobytes(),
+                        "chunk": new_id(), "tuning": bool(tuning), "n_tokens": len(tokens), "ids": pack(rows["row_id"].to_numpy(np.int64)), "folds": rows["fold"].to_numpy(np.uint8).tobytes(),
                         "sizes": pack((n + 1).astype(np.int64)), "words": pack(words), "codes": pack(codes.astype(np.uint32)),
                     }])
-                    made += 1
+            release_memory()
 
     return docs.mapInPandas(build, CHUNK)
 
@@ -89,6 +87,7 @@ def _send(chunks: DataFrame, bits: int) -> DataFrame:
                     spans = [slice(x, y) for x, y in zip(cuts, cuts[1:])]  # noqa: B905
                     out |= {f"{name}_keys": [pack(np.diff(keys[s], prepend=np.uint64(0))) for s in spans], f"{name}_a": [pack(a[s]) for s in spans], f"{name}_b": [pack(b[s]) for s in spans]}
                 yield pd.DataFrame(out)
+                release_memory()
 
     kinds = ", ".join(f"{n}_{k} binary" for n in ("uni", "bi") for k in ("keys", "a", "b"))
     return chunks.mapInPandas(send, f"range int, chunk long, {kinds}")
@@ -111,6 +110,7 @@ def _count(group: pd.DataFrame) -> pd.DataFrame:
             out[f"{name}_{k}"] = [pack(x) for x in np.split(sums[k][at], cuts)]
             if name == "uni":  # said once for the range
                 totals[f"vocabulary_{k}"][0], totals[f"tokens_{k}"][0] = (sums[k] > 0).sum(), sums[k].sum()
+    release_memory()
     return pd.DataFrame(out | totals)
 
 
@@ -167,7 +167,6 @@ def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     count and are scored each. Texts of any length. Other columns are ignored; an empty table gives no rows.
     Without training rows every token has the floor's probability.
     """
-    spark = df.sparkSession
     docs = pick(df, id_col, text_col).toDF("doc_id", "text")
     # Ids may be of any type; rows go by their place in the written table of ids.
     docs = docs.select("doc_id", "text", fold(F.col("doc_id"), FOLDS).cast("int").alias("fold"))
@@ -179,9 +178,7 @@ def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         docs = docs.withColumn("row_id", F.col("doc_id").cast("long"))
     null_id = -(1 << 63)
     keyed = docs.select(F.coalesce("row_id", F.lit(null_id)).alias("row_id"), "text", "fold")
-    path = new_path(spark, "chunks")
-    _chunks(keyed, chunk_bytes).write.option("compression", "zstd").parquet(path)
-    chunks = spark.read.schema(CHUNK).parquet(path)
+    chunks = stage_by(_chunks(keyed, chunk_bytes), "chunk", "chunks")
     total = chunks.agg(F.sum("n_tokens")).first()[0] or 0
     bits = max(1, int(np.ceil(np.log2(total / KEYS_PER_RANGE + 1))))
     answers = stage(_send(chunks, bits).groupBy("range").applyInPandas(_count, _COUNTED), "counts")
@@ -207,6 +204,7 @@ def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         c, context, pair, token = _gather(left.iloc[0], right, "t")
         p = estimates(context, pair, token, tokens, vocabulary)
         add = lambda v: np.add.reduceat(v, c.first)
+        release_memory()
         return pd.DataFrame({
             "row_id": c.ids, "held_out": c.folds == HELD_OUT, "n_tokens": c.sizes, "n_known": add((token > 0).astype(np.int64)), "train_tokens": tokens,
             "base_score": add(np.log10(p[:, 2])), "score": add(np.log10((weights[bucket(context)] * p).sum(axis=1))),

@@ -17,17 +17,16 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from granary.llm.common import pick, stage, table
+from granary.llm.common import new_id, pick, release_memory, stage, table
 
 CAPACITY = 1024
 END_ID = 2
 #: Pre-tokens kept with their ids by each Python worker; others are encoded anew.
-CACHE_SIZE = 500_000
+CACHE_SIZE = 200_000
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 #: Texts of these characters only are cut into pre-tokens here, as the tokenizer's own pattern cuts them; others go to it whole.
 _SIMPLE = re.compile(f"[\\t\\n\\r -~¡-±´-¸º»¿-ɏ]*")
@@ -95,7 +94,7 @@ def tokenised_pieces(df: DataFrame, tokenizer: str, capacity: int = CAPACITY, en
     end = struct.pack("<I", end_id)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, part, seen = encoder(tokenizer).encode, TaskContext.get().partitionId(), {}
+        encode, part, seen = encoder(tokenizer).encode, new_id(), {}
         for batch in batches:
             for at in range(0, len(batch), 1024):
                 some, rows = batch.iloc[at : at + 1024], []
@@ -110,8 +109,9 @@ def tokenised_pieces(df: DataFrame, tokenizer: str, capacity: int = CAPACITY, en
                         start, length = start + length, capacity
                 if rows:
                     yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
+            release_memory()
 
-    return docs.mapInPandas(cut, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, part int, nth long")
+    return docs.mapInPandas(cut, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, part long, nth long")
 
 
 def plan_packing(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple], int]:

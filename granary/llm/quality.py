@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.llm.common import fold, pick, table
+from granary.llm.common import fold, pick, release_memory, table
 
 #: The most labelled rows that the rules are fitted on, those with the least hash of their id.
 SAMPLE_ROWS = 20_000
@@ -61,7 +61,9 @@ def statistics(text: str | None) -> tuple[float, ...]:
 
 @F.pandas_udf(T.StructType([T.StructField(f, T.DoubleType()) for f in FEATURES]))
 def _measure(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([statistics(t) for t in texts], columns=list(FEATURES), dtype="float64")
+    out = pd.DataFrame([statistics(t) for t in texts], columns=list(FEATURES), dtype="float64")
+    release_memory()
+    return out
 
 
 def with_statistics(df: DataFrame, text: Column) -> DataFrame:

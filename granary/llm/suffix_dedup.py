@@ -15,11 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import pick, stage, stage_by, table
+from granary.llm.common import new_id, pick, release_memory, stage, stage_by, table
 from granary.llm.hashing import mix, pack, unpack
 
 LENGTH = 400
@@ -198,13 +197,12 @@ CHUNK = "chunk long, ids binary, sizes binary, bytes binary"
 
 def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, made = TaskContext.get().partitionId(), 0
         for batch in filter(len, batches):
             cut = (batch["raw"].map(len).cumsum() // chunk_bytes).astype(int)
             for _, rows in batch.groupby(cut):
                 raw = [bytes(r) for r in rows["raw"]]
-                yield pd.DataFrame([{"chunk": (part << 32) + made, "ids": pack(rows["row_id"].to_numpy(np.int64)), "sizes": pack(np.array([len(r) for r in raw], np.int64)), "bytes": b"".join(raw)}])
-                made += 1
+                yield pd.DataFrame([{"chunk": new_id(), "ids": pack(rows["row_id"].to_numpy(np.int64)), "sizes": pack(np.array([len(r) for r in raw], np.int64)), "bytes": b"".join(raw)}])
+            release_memory()
 
     return docs.mapInPandas(build, CHUNK)
 
@@ -239,6 +237,8 @@ def _send(chunks: DataFrame, length: int, bits: int) -> DataFrame:
                 c = Chunk(row, length)
                 spans = _spans(c.hash, bits)
                 yield pd.DataFrame({"range": np.arange(1 << bits), "chunk": row["chunk"], "hash": [pack(c.hash[s]) for s in spans], "digest": [pack(c.digest[s]) for s in spans]})
+                del c
+                release_memory()
 
     return chunks.mapInPandas(send, "range int, chunk long, hash binary, digest binary")
 
@@ -258,6 +258,7 @@ def _classify(group: pd.DataFrame, most: int) -> pd.DataFrame:
     times, copies, distinct = np.bincount(of_hash), np.bincount(of_pair), np.bincount(of_hash, weights=new)
     kind = np.where(new, np.where(copies[of_pair] > 1, SEVERAL, SINGLE), COPY)
     kind = np.where(times[of_hash] < 2, ONCE, np.where(distinct[of_hash] > most, MANY, kind)).astype(np.uint8) if len(h) else np.zeros(0, np.uint8)
+    release_memory()
     back = np.empty(len(h), np.uint8)
     back[order] = kind
     return pd.DataFrame({"range": group["range"], "chunk": group["chunk"], "kind": [x.tobytes() for x in np.split(back, np.cumsum(sizes)[:-1])]})
@@ -381,6 +382,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             ones = np.zeros(len(order), bool)
             ones[order] = np.frombuffer(said["single"], np.uint8).astype(bool)
             mark(np.flatnonzero(kind == MANY), ones)
+        release_memory()
         rows = []
         for i, text, begin in zip(c.ids, c.texts, repeats, strict=True):
             kept, removed, spans = text, 0, 0
