@@ -23,6 +23,8 @@ SAMPLE_ROWS = 20_000
 THRESHOLD = 0.3
 TREES, DEPTH, BINS, RATE = 20, 3, 24, 0.3
 L1 = 2e-3
+#: Distinct words are counted in runs of so many, else the longest texts would look repetitive.
+RUN_WORDS = 200
 
 _UPPER, _LOWER, _DIGIT, _SPACE = (np.zeros(256, bool) for _ in range(4))
 _UPPER[65:91], _LOWER[97:123], _DIGIT[48:58], _SPACE[[32, *range(9, 14)]] = True, True, True, True
@@ -54,7 +56,7 @@ def statistics(text: str | None) -> tuple[float, ...]:
     capitals = sum(map(str.isupper, words))
     return (
         float(np.log1p(n)), float(np.log1p(m)), solid / m, share(_UPPER), share(_DIGIT), share(_SPACE), share(_HIGH), share(_STOP), share(_SYMBOL),
-        float(counts[33]) / m, float(counts[124]) / m, len(lines) / m, len(tally) / m, len(set(lines)) / max(1, len(lines)), max(tally.values()) / m,
+        float(counts[33]) / m, float(counts[124]) / m, len(lines) / m, sum(len(set(words[i : i + RUN_WORDS])) for i in range(0, m, RUN_WORDS)) / m, len(set(lines)) / max(1, len(lines)), max(tally.values()) / m,
         sum(c for w, c in tally.items() if len(w) < 3) / m, capitals / m, float(-(p * np.log2(p)).sum()), float(counts[_STOP].sum()) / m, float(counts[_SYMBOL].sum()) / m,
     )
 
@@ -74,6 +76,14 @@ def with_statistics(df: DataFrame, text: Column) -> DataFrame:
 Rule = tuple[tuple[str, str, float], ...]  # (feature, "<=" or ">", threshold), all of which hold
 
 
+def tightened(path: Rule) -> Rule:
+    """The conjunction with one condition for each feature and side."""
+    least: dict[tuple[str, str], float] = {}
+    for f, op, t in path:
+        least[f, op] = (min if op == "<=" else max)(t, least.get((f, op), t))
+    return tuple(sorted((f, op, t) for (f, op), t in least.items()))
+
+
 def tree_rules(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, bins: int = BINS) -> list[Rule]:
     """Paths of boosted regression trees for the logistic loss, without repeats, in the order found."""
     cuts = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
@@ -82,7 +92,7 @@ def tree_rules(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DE
 
     def grow(rows: np.ndarray, path: Rule, grad: np.ndarray, hess: np.ndarray) -> None:
         if path:
-            rules[tuple(sorted(path))] = None
+            rules[tightened(path)] = None
         best, g, h = (1e-3, None, None), grad[rows], hess[rows]
         if len(path) < depth and len(rows) >= 20:
             whole = g.sum() ** 2 / (h.sum() + 1)
