@@ -62,7 +62,7 @@ def conversation_pairs(df: DataFrame) -> DataFrame:
     answered by the last assistant turn of the odd one, where both have one; without it the rejected side is the odd conversation itself.
     Rows with a null conv_id belong to no conversation and are left out.
     """
-    rows = pick(df, "conv_id", "turn", "role", "text").withColumns({"pair_id": F.floor(F.col("conv_id") / 2), "even": F.col("conv_id") % 2 == 0})
+    rows = pick(df, "conv_id", "turn", "role", "text").withColumns({"pair_id": F.expr("cast((conv_id - pmod(conv_id, 2)) div 2 as long)"), "even": F.col("conv_id") % 2 == 0})
     ends = rows.groupBy("pair_id").agg(
         F.max(F.when((F.col("role") == "assistant") & F.col("even"), F.col("turn"))).alias("at"),
         F.max(F.when((F.col("role") == "assistant") & ~F.col("even"), F.struct("turn", "text"))).alias("reply"),
