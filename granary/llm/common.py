@@ -80,16 +80,19 @@ def clear_staged(spark: SparkSession | None = None) -> None:
             return
 
 
-#: Tasks, and so files, of an intermediate table for each core of the cluster.
-TASKS_PER_CORE = 4
+#: Tasks, and so files, of an intermediate table: for each core of the cluster at least, and shuffle partitions that one takes.
+TASKS_PER_CORE, PARTITIONS_PER_TASK = 4, 8
 
 
 def few_files(df: DataFrame) -> DataFrame:
-    """df in no more partitions than a few per core, without a shuffle; a task takes its partitions one after the other.
+    """df in fewer partitions, without a shuffle; a task takes its partitions one after the other.
 
     Tables of few rows else leave a file for every shuffle partition, and every file costs the executor calls to the store.
+    The number goes with the session's shuffle partitions, which are set for the size of the data.
     """
-    return df.coalesce(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, partitions // PARTITIONS_PER_TASK))
 
 
 def release_memory() -> None:
