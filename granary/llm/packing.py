@@ -26,7 +26,7 @@ from granary.llm.common import new_id, pick, release_memory, stage, table
 CAPACITY = 1024
 END_ID = 2
 #: Pre-tokens kept with their ids by each Python worker; others are encoded anew.
-CACHE_SIZE = 200_000
+CACHE_SIZE = 300_000
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 #: Texts of these characters only are cut into pre-tokens here, as the tokenizer's own pattern cuts them; others go to it whole.
 _SIMPLE = re.compile(f"[\\t\\n\\r -~¡-±´-¸º»¿-ɏ]*")
