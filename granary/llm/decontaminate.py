@@ -1,8 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-Test items are taken in blocks of bounded size. An item's seeds are its rare n-grams: the rarer half of them, by the
-number of training documents that hold them, and all that few documents hold. A passage that holds a seed is aligned
-with the item, so that copies with words changed, left out or put in are found too.
+Test items are taken in blocks of bounded size. Every n-gram of an item is a seed, however many documents hold it: the
+n-grams that recurring edited copies share are common by these copies themselves. A passage around a seed is aligned
+with the item where a bound on its score, from the item's words that stand in it at all, leaves that open, so that
+copies with words changed, left out or put in are found too.
 """
 
 from __future__ import annotations
@@ -20,8 +21,6 @@ from granary.llm.hashing import joined, word_hashes
 
 SEED_WORDS = 3
 MIN_SCORE = 0.5
-#: n-grams in so many documents, or one of so many of all, are rare in any case.
-RARE, RARE_SHARE = 10, 20_000
 #: Characters of the test items that are handled, and sent to each task, at once.
 BLOCK_CHARS = 8_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -67,6 +66,12 @@ def smith_waterman(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int
     return best
 
 
+def score_bound(item: np.ndarray, passage: np.ndarray) -> int:
+    """No alignment scores more: each word of the item between its ends matches, which asks for the word, or costs one at least."""
+    reach = np.concatenate(([0], np.cumsum(np.where(np.isin(item, passage), MATCH, max(MISMATCH, GAP)))))
+    return int((reach - np.minimum.accumulate(reach)).max())
+
+
 class Items:
     """A block of test items and their n-grams: n-gram -> (item, place)."""
 
@@ -79,15 +84,6 @@ class Items:
             for j, g in enumerate(_grams(w, k).tolist()):
                 self.places[g].append((i, j))
 
-    def rare(self, df: dict[int, int], few: int) -> None:
-        """Keep the rarer half of each item's n-grams, at least four, all that are as rare, and all in at most `few` documents."""
-        own = defaultdict(list)
-        for g, places in self.places.items():
-            for i, _ in places:
-                own[i].append(df.get(g, 0))
-        limit = {i: max(few, sorted(n)[min(len(n) - 1, max(3, len(n) // 2))]) for i, n in own.items()}
-        self.places = {g: kept for g, places in self.places.items() if (kept := [(i, j) for i, j in places if df.get(g, 0) <= limit[i]])}
-
     def finder(self) -> tuple[np.ndarray, np.ndarray]:
         keys = np.array(sorted(self.places), np.uint64)
         mask = np.zeros(1 << 20, bool)
@@ -112,26 +108,6 @@ def _parts(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         yield from (rows for _, rows in batch.groupby((batch["text"].str.len().fillna(0).cumsum() // _CHARS).astype(int)))
 
 
-def _document_counts(docs: DataFrame, items: Items) -> dict[int, int]:
-    """In how many documents each of the items' n-grams is: as many entries as the block of items has n-grams."""
-    keys, mask = items.finder()
-    k = items.k
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n: dict[int, int] = defaultdict(int)
-        for batch in batches:
-            for rows in _parts(batch):
-                _, _, _, text, g = _hits(rows["text"].tolist(), k, keys, mask)
-                for _, gram in set(zip(text.tolist(), g.tolist(), strict=True)):
-                    n[gram] += 1
-            release_memory()
-        if n:
-            yield pd.DataFrame({"gram": np.array(list(n), np.uint64).view(np.int64), "n": list(n.values())})
-
-    found = docs.select("text").mapInPandas(count, "gram long, n long").groupBy("gram").sum("n").collect()
-    return {g % (1 << 64): n for g, n in found}
-
-
 def _align(docs: DataFrame, items: Items, min_score: float, out: str) -> DataFrame:
     keys, mask = items.finder()
 
@@ -146,7 +122,8 @@ def _align(docs: DataFrame, items: Items, min_score: float, out: str) -> DataFra
                 found = []
                 for (d, i), diagonals in seeds.items():
                     item, best = items.words[i], (0, 0, 0)
-                    pad, end = len(item) // 4 + 4, -1
+                    need = min_score * MATCH * len(item)
+                    pad, end = max(0, int(MATCH * len(item) - need)) // -GAP + 1, -1  # more gaps leave too low a score
                     spans = []
                     for s in sorted(diagonals):  # passages that overlap are aligned as one
                         a, b = max(at[d], s - pad), min(at[d + 1], s + len(item) + pad)
@@ -155,9 +132,11 @@ def _align(docs: DataFrame, items: Items, min_score: float, out: str) -> DataFra
                         else:
                             spans.append([a, end := b])
                     for a, b in spans:
+                        if score_bound(item, h[a:b]) < need:
+                            continue
                         score, x, y = smith_waterman(item, h[a:b])
                         best = max(best, (score, x + int(a - at[d]), y + int(a - at[d])), key=lambda z: z[0])
-                    if best[0] >= min_score * MATCH * len(item):
+                    if best[0] >= need:
                         found.append((rows["doc_id"].iloc[d], items.ids[i], best[0] / (MATCH * len(item)), best[1], best[2], len(diagonals)))
                 if found:
                     yield pd.DataFrame(found, columns=["doc_id", "item_id", "score", "start_word", "end_word", "n_seeds"])
@@ -168,7 +147,7 @@ def _align(docs: DataFrame, items: Items, min_score: float, out: str) -> DataFra
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, seed_words: int = SEED_WORDS, min_score: float = MIN_SCORE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id, score, start_word, end_word, n_seeds: for each document and test item whose best alignment reaches
-    min_score of the item's alignment with itself. start_word and end_word bound the passage among the document's words.
+    min_score of the item's alignment with itself and holds seed_words unchanged words in a row. start_word and end_word bound the passage among the document's words.
 
     Words are runs of letters and digits, lower-cased. Null, empty and blank texts, and items of fewer words than a seed has, match nothing.
     Of equally good passages the first counts. Repeated documents and repeated items give a row each, null ids too.
@@ -179,12 +158,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, seed_words: int = SEED_W
     kinds = [docs.schema["doc_id"].dataType.simpleString(), tests.schema["item_id"].dataType.simpleString()]
     out = f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, start_word long, end_word long, n_seeds int"
     results, block, size = [], [], 0
-    few = max(RARE, docs.count() // RARE_SHARE)
 
     def run() -> None:
-        items = Items(block, seed_words)
-        items.rare(_document_counts(docs, items), few)
-        results.append(_align(docs, items, min_score, out))
+        results.append(_align(docs, Items(block, seed_words), min_score, out))
 
     for row in tests.toLocalIterator():
         block.append((row["item_id"], row["text"]))

@@ -177,3 +177,24 @@ def test_decontaminate(spark, duck):
     assert contaminated(df.limit(0), bench).collect() == [] and contaminated(df, bench.limit(0)).collect() == []
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "one two")], "item_id int, text string")
     assert contaminated(df, odd).collect() == []
+
+
+def test_decontaminate_recurring_edited_copies(spark):
+    rng = np.random.default_rng(5)
+    text = lambda n: [f"w{x}" for x in rng.integers(0, 3000, n)]
+    items = [text(n) for n in (16, 24, 37, 59)]
+    edits = [(5, 2), (4, 1), (6, 3), (5, 0)]
+    docs = [text(40) + [w if n % every != at else "zzz" for n, w in enumerate(item)] + text(20) for item, (every, at) in zip(items, edits, strict=True) for _ in range(50)]
+    docs += [text(100) for _ in range(50)] + [[x for w in items[1] for x in (w, "put", "in")[: 1 + (rng.random() < 0.3)]] for _ in range(20)]
+    code = {w: n for n, w in enumerate(sorted({w for d in docs + items for w in d}))}
+    coded = lambda d: np.array([code[w] for w in d])
+    want = {}
+    for i, item in enumerate(items):
+        for d, doc in enumerate(docs):
+            score = smith_waterman(coded(item), coded(doc))[0]
+            if score >= len(item):
+                want[d, i] = score / (2 * len(item))
+    assert len(want) >= 200
+    df = spark.createDataFrame([(d, " ".join(doc)) for d, doc in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id int, text string")
+    assert {(r.doc_id, r.item_id): r.score for r in contaminated(df, bench).collect()} == want
