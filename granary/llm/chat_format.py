@@ -55,30 +55,42 @@ def preference_format(df: DataFrame) -> DataFrame:
     return both.select("pair_id", "n_prompt_turns", "prompt", *(_render(F.col(s)).alias(s) for s in rest), *(_spans(F.col(s)).alias(f"{s}_mask") for s in rest))
 
 
-def conversation_pairs(df: DataFrame) -> DataFrame:
+def conversation_pairs(df: DataFrame, odd: bool = False) -> DataFrame:
     """Preference pairs made of single conversations, two neighbouring ids each.
 
-    A pair's chosen side is the conversation with the even id. Its rejected side is the same with the last assistant turn
-    answered by the last assistant turn of the odd one, where both have one; without it the rejected side is the odd conversation itself.
-    Rows with a null conv_id belong to no conversation and are left out.
+    A pair's chosen side is the conversation with the even id, or with `odd` that with the odd one. Its rejected side is the same with
+    the last assistant turn answered by the last assistant turn of the other, where both have one, and ends there; without it the
+    rejected side is the other conversation itself. Rows with a null conv_id belong to no conversation and are left out.
     """
-    rows = pick(df, "conv_id", "turn", "role", "text").withColumns({"pair_id": F.expr("cast((conv_id - pmod(conv_id, 2)) div 2 as long)"), "even": F.col("conv_id") % 2 == 0})
+    rows = pick(df, "conv_id", "turn", "role", "text").withColumns({"pair_id": F.expr("cast((conv_id - pmod(conv_id, 2)) div 2 as long)"), "own": (F.col("conv_id") % 2 != 0) == F.lit(odd)})
     ends = rows.groupBy("pair_id").agg(
-        F.max(F.when((F.col("role") == "assistant") & F.col("even"), F.col("turn"))).alias("at"),
-        F.max(F.when((F.col("role") == "assistant") & ~F.col("even"), F.struct("turn", "text"))).alias("reply"),
+        F.max(F.when((F.col("role") == "assistant") & F.col("own"), F.col("turn"))).alias("at"),
+        F.max(F.when((F.col("role") == "assistant") & ~F.col("own"), F.struct("turn", "text"))).alias("reply"),
     )
-    chosen = rows.where("even").withColumn("side", F.lit("chosen"))
+    chosen = rows.where("own").withColumn("side", F.lit("chosen"))
     joined = rows.join(ends, "pair_id")
     swap = F.col("at").isNotNull() & F.col("reply").isNotNull()
-    swapped = joined.where(swap & F.col("even") & (F.col("turn") <= F.col("at")))
+    swapped = joined.where(swap & F.col("own") & (F.col("turn") <= F.col("at")))
     swapped = swapped.withColumn("text", F.when((F.col("turn") == F.col("at")) & (F.col("role") == "assistant"), F.col("reply.text")).otherwise(F.col("text")))
-    other = joined.where(~swap & ~F.col("even"))
+    other = joined.where(~swap & ~F.col("own"))
     rejected = swapped.unionByName(other).withColumn("side", F.lit("rejected"))
     columns = ["pair_id", "side", "turn", "role", "text"]
     return chosen.select(*columns).unionByName(rejected.select(*columns))
 
 
+def conversation_preferences(df: DataFrame) -> DataFrame:
+    """Each conversation chosen once: preference_format's columns for the even one of each pair, and as other_... for the odd one.
+
+    Rows with a null conv_id are the chosen side of one more row, whose pair_id is null; it has no rejected side and nulls as other_....
+    """
+    nulls = pick(df, "conv_id", "turn", "role", "text").where("conv_id is null")
+    nulls = nulls.select(F.col("conv_id").cast("long").alias("pair_id"), F.lit("chosen").alias("side"), "turn", "role", "text")
+    out = preference_format(conversation_pairs(df).unionByName(nulls))
+    other = preference_format(conversation_pairs(df, odd=True))
+    return out.join(other.toDF("pair_id", *(f"other_{c}" for c in other.columns[1:])), "pair_id", "left")
+
+
 def op4_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = preference_format(conversation_pairs(table(spark, sf_dir, "conversations")))
+    out = conversation_preferences(table(spark, sf_dir, "conversations"))
     text = lambda c: F.array_join(F.transform(c, lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["stop"].cast("string"))), ";")
-    return out.withColumns({c: text(c) for c in ("chosen_mask", "rejected_mask")})
+    return out.withColumns({c: text(c) for c in out.columns if c.endswith("_mask")})

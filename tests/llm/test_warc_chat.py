@@ -86,3 +86,20 @@ def test_conversations_against_brute_force(spark, duck):
     got = {r.pair_id: (r.n_prompt_turns, r.prompt, r.chosen, r.rejected) for r in op4_preference_format(spark, SF).collect()}
     assert got == want
     assert conversation_pairs(spark.createDataFrame([(None, 0, "user", "x")], "conv_id long, turn long, role string, text string")).collect() == []
+
+
+def test_every_turn_is_chosen_once(spark, duck, tmp_path):
+    turns = [(c, t, "user" if t % 2 == 0 else "assistant", f"c{c}t{t}.") for c, n in [(0, 5), (1, 6), (2, 3), (5, 4), (-1, 2), (-2, 1), (None, 3)] for t in range(n)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.pair_id: r for r in op4_preference_format(spark, str(tmp_path)).collect()}
+    assert set(got) == {0, 1, 2, -1, None}
+    show = lambda c: "".join(f"<|im_start|>{role}\n{text}<|im_end|>\n" for i, _, role, text in turns if i == c)
+    for k in (0, 1, 2, -1):
+        assert got[k].prompt + got[k].chosen == show(2 * k) and got[k].other_prompt + got[k].other_chosen == show(2 * k + 1)
+    assert got[0].rejected == show(0)[len(got[0].prompt) :].split("c0t3.")[0] + "c1t5.<|im_end|>\n"
+    assert got[0].other_rejected == show(1)[len(got[0].other_prompt) :].split("c1t5.")[0] + "c0t3.<|im_end|>\n"
+    assert got[0].other_n_prompt_turns == 5 and got[0].other_chosen_mask == got[0].other_rejected_mask
+    assert (got[None].prompt + got[None].chosen, got[None].rejected, got[None].other_chosen) == (show(None), "", None)
+    texts = [t for (t,) in duck.execute("SELECT text FROM conversations").fetchall()]
+    whole = "".join(f"{r.prompt}{r.chosen}{r.other_prompt}{r.other_chosen}" for r in op4_preference_format(spark, SF).collect())
+    assert sum(map(len, texts)) > 0 and all(t in whole for t in texts) and whole.count("<|im_start|>") == len(texts)
