@@ -154,8 +154,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     A document's set holds its distinct shingles of `words` words, A-Z lower-cased; with fewer words the whole sequence
     is its one shingle; without words, or with a null text, the set is empty and linked with nothing. Two documents link
     when 100 * intersection >= percent * union. component_id is the least id that links reach; n_links counts the other
-    documents linked with directly. Rows that repeat an id are one node of the graph; null ids are one node below all
-    others, shown as null. Any length of text; other columns are ignored; an empty table gives no rows.
+    documents that the row's own set links with directly, an id with several sets once for each. Rows that repeat an id are one
+    node of the graph, with the links of all their sets; null ids are one node below all others, shown as null. Any length of text; other columns are ignored; an empty table gives no rows.
     """
     docs = pick(df, id_col, text_col).toDF("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -190,10 +190,12 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     found = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(order, "row_id long, n long, d1 long, d2 long, prefix int, rare array<long>, tokens binary")
     found = stage(found, "sets")
-    # Equal sets, told by their size and 128 bits, are one class under its least id; empty sets stand alone.
+    # Equal sets, told by their size and 128 bits, are one class, numbered as it is written; empty sets stand alone.
     digest = ["n", "d1", "d2"]
-    classes = stage(found.where("n > 0").groupBy(*digest).agg(F.min("row_id").alias("rep"), F.count_distinct("row_id").alias("copies")), "classes")
-    reps = found.where("prefix > 0").join(classes, digest).where("row_id = rep")
+    classes = found.where("n > 0").groupBy(*digest).agg(F.min("row_id").alias("rep"), F.count_distinct("row_id").alias("copies"))
+    classes = stage(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
+    members = found.where("n > 0").select("row_id", *digest).join(classes, digest).select("row_id", "class")
+    reps = found.where("prefix > 0").join(classes, digest).where("row_id = rep").withColumn("row_id", F.col("class"))
     tokens = stage(reps.select("row_id", F.explode("rare").alias("token")).distinct(), "rare")
     leaders = stage(tokens.groupBy("token").agg(F.min("row_id").alias("leader"), F.count("*").alias("m")).where("m > 1").drop("m"), "leaders")
     grouped = stage(components(tokens.join(leaders, "token").select(F.col("row_id").alias("a"), F.col("leader").alias("b"))), "groups")
@@ -209,13 +211,21 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
     work = reps.select("row_id", "n", "prefix", "tokens", "copies").join(stage(placed, "placed"), "row_id")
     forest = stage(work.groupBy("split", "bundle", "bi", "bj").applyInPandas(lambda g: _forest(g, percent), "a long, b long, links long"), "forest")
-    linked = components(forest.where("a != b")).select(F.col("node").alias("rep"), "component")
-    degrees = forest.where("links > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    classes = stage(classes.join(linked, "rep", "left").join(degrees, "rep", "left"), "linked")
-    out = found.select("row_id", *digest).join(classes, digest, "left")
+    # The classes of an id that has several are linked by it.
+    several = stage(members.groupBy("row_id").agg(F.min("class").alias("first"), F.max("class").alias("last")).where("first < last").drop("last"), "several")
+    by_id = members.join(several, "row_id").where("class != first").select(F.col("class").alias("a"), F.col("first").alias("b")).distinct()
+    linked = stage(components(forest.where("a != b").select("a", "b").unionByName(by_id)).withColumnRenamed("node", "class"), "reached")
+    least = stage(linked.join(classes.select("class", "rep"), "class").groupBy("component").agg(F.min("rep").alias("least")), "least")
+    degrees = forest.where("links > 0").groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
+    classes = classes.join(linked.join(least, "component").select("class", "least"), "class", "left").join(degrees, "class", "left")
+    classes = stage(classes.withColumn("component", F.coalesce("least", "rep")).select("class", *digest, "component", "links", "copies"), "linked")
+    # Rows without words belong to the other rows of their id.
+    empty = members.join(found.where("n = 0").select("row_id").distinct(), "row_id", "left_semi").groupBy("row_id").agg(F.min("class").alias("class"))
+    empty = stage(empty.join(classes.select("class", "component"), "class").select("row_id", F.lit(0).cast("long").alias("n"), F.col("component").alias("of_id")), "empty")
+    out = found.select("row_id", *digest).join(classes, digest, "left").join(empty, ["row_id", "n"], "left")
     as_id = lambda c: F.when(c != NULL_ID, c).cast(id_type)
     return out.select(
-        as_id(F.col("row_id")).alias("doc_id"), F.col("n").alias("n_shingles"), as_id(F.coalesce("component", "rep", "row_id")).alias("component_id"),
+        as_id(F.col("row_id")).alias("doc_id"), F.col("n").alias("n_shingles"), as_id(F.coalesce("component", "of_id", "row_id")).alias("component_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"),
     )
 

@@ -81,6 +81,16 @@ def test_jaccard_edges(spark):
     assert jaccard_components(df.limit(0)).collect() == []
 
 
+def test_jaccard_of_ids_with_several_texts(spark):
+    text = lambda c, last="z": " ".join(f"{c}{i}" for i in range(60)) + f" {last}"
+    rows = [(None, text("x")), (7, text("x")), (9, text("x", "y")), (None, text("y")), (8, text("y", "x")), (20, text("a")), (20, text("b")), (21, text("b", "y")), (30, text("a", "y")), (31, text("c")), (40, ""), (40, text("c")), (41, "")]
+    for turn in range(3):
+        df = spark.createDataFrame(rows[turn * 4 :] + rows[: turn * 4], "doc_id long, text string")
+        got = sorted(((r.doc_id, r.component_id, r.n_links) for r in jaccard_components(df).collect()), key=str)
+        want = [(None, None, 2), (7, None, 2), (9, None, 2), (None, None, 1), (8, None, 1), (20, 20, 1), (20, 20, 1), (21, 20, 1), (30, 20, 1), (31, 31, 1), (40, 31, 0), (40, 31, 1), (41, 41, 0)]
+        assert got == sorted(want, key=str)
+
+
 def test_prefix_size_is_safe():
     for n in range(1, 200):
         for percent in (50, 80, 85, 100):
