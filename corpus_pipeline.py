@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from granary.llm.common import stage, table, without
+from granary.llm.common import ascii_lower, stage, table, without
 from granary.llm.decontaminate import contaminated
 from granary.llm.exact_dedup import exact_dedup
 from granary.llm.jaccard_join import jaccard_components
@@ -22,26 +21,47 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts, that with the largest id. A row repeated with its id stays once."""
-    found = stage(exact_dedup(docs), "exact")
-    kept = without(docs, found.where("doc_id != keep_id").select("doc_id").distinct(), "doc_id")
-    again = stage(found.where("doc_id = keep_id and not kept").select("doc_id").distinct(), "again")
+    """One row of each group of equal texts, that with the largest id; null ids are below all others."""
+    key = lambda sha: F.concat_ws(":", F.col("doc_id").cast("string"), sha)
+    found = stage(exact_dedup(docs).withColumn("_key", key(F.col("text_sha256"))), "exact")
+    keyed = docs.withColumn("_key", key(F.sha2(ascii_lower(F.coalesce("text", F.lit(""))).cast("binary"), 256)))
+    kept = without(keyed, found.where("not (doc_id <=> keep_id)").select("_key").distinct(), "_key")
+    again = stage(found.where("doc_id <=> keep_id and not kept").select("_key").distinct(), "again")
     if again.isEmpty():
-        return kept
-    first = W.partitionBy("doc_id").orderBy("text")
-    once = kept.join(again, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
-    return kept.join(again, "doc_id", "left_anti").unionByName(once)
+        return kept.drop("_key")
+    once = kept.join(again, "_key", "left_semi").groupBy("_key").agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("row"))
+    return kept.join(again, "_key", "left_anti").drop("_key").unionByName(once.select("row.*"))
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """docs with a number for each distinct pair of id and text as _row, and a written table of _row and doc_id.
+
+    Numbers are hashes, so that every scan gives the same; one under which two pairs meet, told by SHA-256, is not used.
+    """
+    for seed in range(100):
+        row = F.xxhash64(F.lit(seed), F.isnull("doc_id"), "doc_id", F.isnull("text"), "text").bitwiseAND((1 << 63) - 1)
+        rows = docs.withColumn("_row", row)
+        names = stage(rows.select("_row", "doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha")).distinct(), "rows")
+        if names.count() == names.select("_row").distinct().count():
+            return rows, names.drop("sha")
+    raise RuntimeError("every hash of the rows collides")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by near copies, that with the least id."""
-    found = jaccard_components(docs, words=SHINGLE_WORDS, percent=PERCENT)
-    return without(docs, found.where("doc_id != component_id").select("doc_id").distinct(), "doc_id")
+    """One row of each group linked by near copies, that with the least id; null ids come last. Rows equal in id and text are one."""
+    rows, names = _numbered(docs)
+    found = jaccard_components(rows, id_col="_row", words=SHINGLE_WORDS, percent=PERCENT)
+    found = found.where("n_links > 0").select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    found = stage(found.join(names, "_row"), "near")
+    best = stage(found.groupBy("component_id").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "_row")).alias("best")), "best")
+    return without(rows, found.join(best, "component_id").where("_row != best._row").select("_row"), "_row").drop("_row")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage that aligns with a test item."""
-    return without(docs, contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").where("doc_id is not null").distinct(), "doc_id")
+    """Rows without a passage that aligns with a test item."""
+    rows, _ = _numbered(docs)
+    texts = rows.select(F.col("_row").alias("doc_id"), "text")
+    return without(rows, contaminated(texts, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_row")).distinct(), "_row").drop("_row")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

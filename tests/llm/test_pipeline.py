@@ -42,3 +42,15 @@ def test_stages_on_odd_rows(spark, name):
     if name == "exact":
         assert sorted((r.doc_id for r in got.collect()), key=str) == [2, 3, None]
     assert f(spark, df.limit(0), SF).collect() == []
+
+
+def test_stages_decide_by_row(spark, duck):
+    text = lambda c, last: " ".join(f"{c}{i}" for i in range(60)) + f" {last}"
+    run = lambda f, rows: sorted(((r.doc_id, r.text) for r in f(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()), key=str)
+    rows = [(None, text("a", "x")), (7, text("a", "y")), (9, text("a", "z")), (1, text("b", "x")), (5, text("b", "y")), (5, text("c", "x")), (None, text("d", "x")), (None, text("d", "y"))]
+    got = run(P.near, rows)
+    assert (7, text("a", "y")) in got and (1, text("b", "x")) in got and (5, text("c", "x")) in got
+    assert len(got) == 4 and sum(i is None for i, _ in got) == 1
+    assert run(P.exact, [(5, "one two"), (8, "ONE two"), (5, "other"), (None, "null"), (None, "NULL"), (None, "one two")]) == sorted([(8, "ONE two"), (5, "other"), (None, "NULL")], key=str)
+    leak = duck.execute("SELECT text FROM benchmark ORDER BY length(text) DESC").fetchone()[0]
+    assert run(P.decontaminate, [(None, leak), (3, leak), (3, "clean"), (None, "clean too")]) == sorted([(3, "clean"), (None, "clean too")], key=str)
