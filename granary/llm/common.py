@@ -6,7 +6,10 @@ import atexit
 import ctypes
 import re
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,8 +54,11 @@ def fold(c: Column, mod: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or OWN_CHECKPOINT_DIR).rstrip("/")
+    """The folder that driver and executors share. Only a local session may go without naming one: on a cluster it would be another disk on each node."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (named or OWN_CHECKPOINT_DIR).rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -102,6 +108,58 @@ def release_memory() -> None:
         trim(0)
 
 
+class Pool:
+    """Gathers rows into frames of about `limit` bytes, whatever the batches that they come in."""
+
+    def __init__(self, limit: int):
+        self.limit, self.held, self.room = limit, [], limit
+
+    def add(self, rows: pd.DataFrame, sizes: np.ndarray) -> Iterator[pd.DataFrame]:
+        ends, start = np.concatenate(([0], np.cumsum(sizes))), 0
+        while start < len(rows):
+            stop = int(np.searchsorted(ends, ends[start] + self.room, side="right")) - 1
+            if stop <= start and not self.held:
+                stop = start + 1  # a row over the limit is a frame of its own
+            if stop > start:
+                self.held.append(rows.iloc[start:stop])
+                self.room -= int(ends[stop] - ends[start])
+            if stop < len(rows):
+                yield from self.rest()
+            start = max(start, stop)
+
+    def rest(self) -> Iterator[pd.DataFrame]:
+        if self.held:
+            yield pd.concat(self.held, ignore_index=True) if len(self.held) > 1 else self.held[0]
+        self.held, self.room = [], self.limit
+
+
+def pooled(batches: Iterator[pd.DataFrame], size: Callable[[pd.DataFrame], pd.Series], limit: int) -> Iterator[pd.DataFrame]:
+    """The rows of all batches in frames of about `limit` bytes."""
+    pool = Pool(limit)
+    for batch in batches:
+        if len(batch):
+            yield from pool.add(batch, size(batch).to_numpy())
+    yield from pool.rest()
+
+
+def root_sized(least: int, most: int, size: float, unit: float) -> int:
+    """`least` up to a size of `unit`, growing with the square root of the size beyond it, `most` at most.
+
+    Chunks of documents and ranges of hashes that both grow so keep the number of messages between them in proportion to
+    the input; at `most` of both, a chunk sends a message to no range that it has nothing for, so one for each distinct key at most.
+    """
+    return int(min(most, max(least, least * (size / unit) ** 0.5)))
+
+
+#: Size of ids and texts, as the optimizer estimates it (a fraction of the texts' bytes), from which chunks grow.
+UNIT_BYTES = 40 << 20
+
+
+def input_bytes(df: DataFrame) -> float:
+    """The optimizer's estimate of df's size, from its files; no job. It sets the size of chunks only, never a result."""
+    return float(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def new_id() -> int:
     """A random positive long: unique also where one task runs a function over several partitions."""
     return uuid.uuid4().int >> 65

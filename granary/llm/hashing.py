@@ -48,6 +48,31 @@ def word_hashes(texts: list[str | None], space: np.ndarray = SPACE) -> tuple[np.
     return h, np.diff(np.searchsorted(starts, bounds))
 
 
+def runs(*keys: np.ndarray) -> np.ndarray:
+    """Where in equally long sorted arrays another tuple of values begins."""
+    out = np.zeros(len(keys[0]), bool)
+    if len(out):
+        out[0] = True
+        for k in keys:
+            out[1:] |= k[1:] != k[:-1]
+    return out
+
+
+def spans(keys: np.ndarray, bits: int) -> tuple[np.ndarray, list[slice]]:
+    """The ranges, by their first bits, that sorted keys fall in, and the keys of each; no range without keys."""
+    of = (keys >> np.uint64(64 - bits)).astype(np.int32)
+    cuts = np.append(np.flatnonzero(runs(of)), len(of))
+    return of[cuts[:-1]], [slice(a, b) for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_sorted(b: bytes) -> np.ndarray:
+    return np.cumsum(unpack(b, np.uint64), dtype=np.uint64)
+
+
 def pack(a: np.ndarray) -> bytes:
     """The array's bytes plane by plane, which compress well where values are small."""
     return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()

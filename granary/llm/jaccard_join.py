@@ -16,12 +16,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import new_id, pick, release_memory, stage, stage_by, table
+from granary.llm.common import UNIT_BYTES, input_bytes, new_id, pick, pooled, release_memory, root_sized, stage, stage_by, table
 from granary.llm.components import components
-from granary.llm.hashing import joined, mix, pack, unpack, word_hashes
+from granary.llm.hashing import joined, mix, pack, pack_sorted, spans, unpack, unpack_sorted, word_hashes
 
-CHUNK_BYTES = 4 << 20
-KEYS_PER_RANGE = 500_000
+#: Characters of a chunk, and shingles that one counting task handles, about: the least and the most.
+CHUNK_BYTES, MOST_CHUNK_BYTES = 4 << 20, 10 << 20
+KEYS_PER_RANGE, MOST_PER_RANGE = 500_000, 4_000_000
+#: Words in a table of UNIT_BYTES, about.
+UNIT_WORDS = 28_000_000
 #: Documents of a block; a group of more is dealt over pairs of blocks.
 BLOCK = 256
 #: Small groups are compared together, about so many documents a task.
@@ -47,12 +50,13 @@ def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
 
 def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in filter(len, batches):
-            cut = (batch["text"].str.len().fillna(0).cumsum() // chunk_bytes).astype(int)
-            for _, rows in batch.groupby(cut):
-                h, n = word_hashes(rows["text"].tolist())
-                words, codes = np.unique(h, return_inverse=True)
-                yield pd.DataFrame([{"chunk": new_id(), "n_tokens": len(h), "ids": pack(rows["row_id"].to_numpy(np.int64)), "sizes": pack(n.astype(np.int64)), "words": pack(words), "codes": pack(codes.astype(np.uint32))}])
+        for rows in pooled(batches, lambda b: b["text"].str.len().fillna(0).astype(int), chunk_bytes):
+            h, n = word_hashes(rows["text"].tolist())
+            words, codes = np.unique(h, return_inverse=True)
+            yield pd.DataFrame([{
+                "chunk": new_id(), "n_tokens": len(h), "ids": pack(rows["row_id"].to_numpy(np.int64)), "sizes": pack(n.astype(np.int64)),
+                "words": pack(words), "codes": pack(codes.astype(np.uint32)),
+            }])
             release_memory()
 
     return docs.mapInPandas(build, CHUNK)
@@ -64,26 +68,24 @@ def _sets(row, k: int) -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 def _send(chunks: DataFrame, k: int, bits: int) -> DataFrame:
-    """Each chunk's distinct shingles and in how many of its documents they are, a row for each range of hashes."""
-    edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+    """Each chunk's distinct shingles and in how many of its documents they are, a row for each range of hashes that has some."""
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, row in batch.iterrows():
                 keys, n = np.unique(np.concatenate(_sets(row, k)[1]), return_counts=True)
-                cuts = [0, *np.searchsorted(keys, edges), len(keys)]
-                spans = [slice(x, y) for x, y in zip(cuts, cuts[1:])]  # noqa: B905
-                yield pd.DataFrame({"range": np.arange(1 << bits), "chunk": row["chunk"], "keys": [pack(np.diff(keys[s], prepend=np.uint64(0))) for s in spans], "n": [pack(n[s].astype(np.uint32)) for s in spans]})
+                ranges, parts = spans(keys, bits)
+                yield pd.DataFrame({"range": ranges, "chunk": np.full(len(ranges), row["chunk"]), "keys": [pack_sorted(keys[s]) for s in parts], "n": [pack(n[s].astype(np.uint32)) for s in parts]})
                 release_memory()
 
     return chunks.mapInPandas(send, "range int, chunk long, keys binary, n binary")
 
 
 def _count(group: pd.DataFrame) -> pd.DataFrame:
-    keys = [np.cumsum(unpack(b, np.uint64), dtype=np.uint64) for b in group["keys"]]
+    keys = [unpack_sorted(b) for b in group["keys"]]
     found, at = np.unique(np.concatenate(keys), return_inverse=True)
-    release_memory()
     n = np.bincount(at, weights=np.concatenate([unpack(b, np.uint32) for b in group["n"]]), minlength=len(found)).astype(np.uint32)
+    release_memory()
     return pd.DataFrame({"range": group["range"], "chunk": group["chunk"], "df": [pack(x) for x in np.split(n[at], np.cumsum([len(x) for x in keys])[:-1])]})
 
 
@@ -148,7 +150,7 @@ def _overlap(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 85, chunk_bytes: int = CHUNK_BYTES, block: int = BLOCK) -> DataFrame:
+def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 85, chunk_bytes: int | None = None, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links for each row of df; ids are integers.
 
     A document's set holds its distinct shingles of `words` words, A-Z lower-cased; with fewer words the whole sequence
@@ -160,9 +162,11 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     docs = pick(df, id_col, text_col).toDF("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("row_id"), "text")
+    chunk_bytes = chunk_bytes or root_sized(CHUNK_BYTES, MOST_CHUNK_BYTES, input_bytes(docs), UNIT_BYTES)
     chunks = stage_by(_chunks(docs, chunk_bytes), "chunk", "chunks")
     total = chunks.agg(F.sum("n_tokens")).first()[0] or 0
-    bits = max(1, int(np.ceil(np.log2(total / KEYS_PER_RANGE + 1))))
+    per_range = root_sized(KEYS_PER_RANGE, MOST_PER_RANGE, total, UNIT_WORDS)
+    bits = max(1, int(np.ceil(np.log2(total / per_range + 1))))
     answers = stage(_send(chunks, words, bits).groupBy("range").applyInPandas(_count, "range int, chunk long, df binary"), "frequencies")
 
     def order(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -170,7 +174,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         ids, sets = _sets(left.iloc[0], words)
         flat = np.concatenate(sets)
         keys, at = np.unique(flat, return_inverse=True)
-        df = np.concatenate([unpack(b, np.uint32) for b in right.sort_values("range")["df"]])[at]
+        df = np.concatenate([unpack(b, np.uint32) for b in right.sort_values("range")["df"]] or [np.zeros(0, np.uint32)])[at]
         rows, start = [], 0
         for i, s in zip(ids, sets, strict=True):
             n, own = len(s), df[start : start + len(s)]

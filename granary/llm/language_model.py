@@ -19,13 +19,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import fold, new_id, pick, release_memory, stage, stage_by, table
-from granary.llm.hashing import joined, pack, unpack, word_hashes
+from granary.llm.common import UNIT_BYTES, Pool, fold, input_bytes, new_id, pick, release_memory, root_sized, stage, stage_by, table
+from granary.llm.hashing import joined, pack, pack_sorted, spans, unpack, unpack_sorted, word_hashes
 
 FOLDS, HELD_OUT, TUNING = 7, 2, 3
-CHUNK_BYTES = 6 << 20
-#: n-grams that one counting task handles, about.
-KEYS_PER_RANGE = 500_000
+#: Characters of a chunk, and tokens whose n-grams one counting task handles, about: the least and the most.
+CHUNK_BYTES, MOST_CHUNK_BYTES = 4 << 20, 10 << 20
+KEYS_PER_RANGE, MOST_PER_RANGE = 400_000, 3_000_000
+#: Tokens in a table of UNIT_BYTES, about.
+UNIT_TOKENS = 28_000_000
 END = np.uint64(0x5E17E17E17E17E1)
 #: Steps of the histogram that the weights are learned from, to the doubling of a probability or count.
 GRID = 8
@@ -37,20 +39,25 @@ CHUNK = "chunk long, tuning boolean, n_tokens long, ids binary, folds binary, si
 def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     """Documents as rows of many: word hashes (sorted), codes into them, and per document row number, fold and tokens."""
 
+    def chunk(rows: pd.DataFrame, tuning: bool) -> pd.DataFrame:
+        h, n = word_hashes(rows["text"].tolist())
+        tokens = np.insert(h, np.cumsum(n), END)
+        words, codes = np.unique(tokens, return_inverse=True)
+        release_memory()
+        return pd.DataFrame([{
+            "chunk": new_id(), "tuning": tuning, "n_tokens": len(tokens), "ids": pack(rows["row_id"].to_numpy(np.int64)), "folds": rows["fold"].to_numpy(np.uint8).tobytes(),
+            "sizes": pack((n + 1).astype(np.int64)), "words": pack(words), "codes": pack(codes.astype(np.uint32)),
+        }])
+
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        pools = {True: Pool(chunk_bytes), False: Pool(chunk_bytes)}
+        for batch in filter(len, batches):
             for tuning, some in batch.groupby(batch["fold"] == TUNING):
-                ends = some["text"].str.len().fillna(0).cumsum().to_numpy()
-                for at in np.unique(cut := (ends // chunk_bytes).astype(int)):
-                    rows = some[cut == at]
-                    h, n = word_hashes(rows["text"].tolist())
-                    tokens = np.insert(h, np.cumsum(n), END)
-                    words, codes = np.unique(tokens, return_inverse=True)
-                    yield pd.DataFrame([{
-                        "chunk": new_id(), "tuning": bool(tuning), "n_tokens": len(tokens), "ids": pack(rows["row_id"].to_numpy(np.int64)), "folds": rows["fold"].to_numpy(np.uint8).tobytes(),
-                        "sizes": pack((n + 1).astype(np.int64)), "words": pack(words), "codes": pack(codes.astype(np.uint32)),
-                    }])
-            release_memory()
+                for rows in pools[bool(tuning)].add(some, some["text"].str.len().fillna(0).astype(int).to_numpy()):
+                    yield chunk(rows, bool(tuning))
+        for tuning, pool in pools.items():
+            for rows in pool.rest():
+                yield chunk(rows, tuning)
 
     return docs.mapInPandas(build, CHUNK)
 
@@ -73,24 +80,25 @@ class Chunk:
 
 
 def _send(chunks: DataFrame, bits: int) -> DataFrame:
-    """Each chunk's n-grams and their counts in it, one row for each of 2**bits ranges of hashes."""
-    shift = np.uint64(64 - bits)
+    """Each chunk's n-grams and their counts in it, a row for each of 2**bits ranges of hashes that has some."""
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, row in batch.iterrows():
-                c, out = Chunk(row), {"range": np.arange(1 << bits), "chunk": row["chunk"]}
-                edges = np.arange(1, 1 << bits, dtype=np.uint64) << shift
+                c, found = Chunk(row), {}
                 for name, keys, at in (("uni", c.unigrams, c.unigram_at), ("bi", c.bigrams, c.bigram_at)):
-                    cuts = [0, *np.searchsorted(keys, edges), len(keys)]
                     a, b = c.counts(at, len(keys))
-                    spans = [slice(x, y) for x, y in zip(cuts, cuts[1:])]  # noqa: B905
-                    out |= {f"{name}_keys": [pack(np.diff(keys[s], prepend=np.uint64(0))) for s in spans], f"{name}_a": [pack(a[s]) for s in spans], f"{name}_b": [pack(b[s]) for s in spans]}
-                yield pd.DataFrame(out)
+                    for r, s in zip(*spans(keys, bits), strict=True):
+                        found.setdefault(int(r), {}).update({f"{name}_keys": pack_sorted(keys[s]), f"{name}_a": pack(a[s]), f"{name}_b": pack(b[s])})
+                out = pd.DataFrame([dict.fromkeys(KINDS, b"") | {"range": r, "chunk": row["chunk"]} | f for r, f in found.items()])
+                del c, found
                 release_memory()
+                yield out
+
+    return chunks.mapInPandas(send, f"range int, chunk long, {', '.join(f'{k} binary' for k in KINDS)}")
 
-    kinds = ", ".join(f"{n}_{k} binary" for n in ("uni", "bi") for k in ("keys", "a", "b"))
-    return chunks.mapInPandas(send, f"range int, chunk long, {kinds}")
+
+KINDS = [f"{n}_{k}" for n in ("uni", "bi") for k in ("keys", "a", "b")]
 
 
 def _count(group: pd.DataFrame) -> pd.DataFrame:
@@ -98,19 +106,21 @@ def _count(group: pd.DataFrame) -> pd.DataFrame:
     out = {"range": group["range"], "chunk": group["chunk"]}
     totals = {k: np.zeros(len(group), np.int64) for k in ("vocabulary_a", "vocabulary_t", "tokens_a", "tokens_t")}
     for name in ("uni", "bi"):
-        keys = [np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for k in group[f"{name}_keys"]]
+        keys = [unpack_sorted(k) for k in group[f"{name}_keys"]]
+        cuts = np.cumsum([len(k) for k in keys])[:-1]
         found, at = np.unique(np.concatenate(keys), return_inverse=True)
+        del keys
         sums = {}
         for k in ("a", "b"):
             own = np.concatenate([unpack(x, np.uint32) for x in group[f"{name}_{k}"]])
             sums[k] = np.bincount(at, weights=own, minlength=len(found)).astype(np.uint64)
         sums["t"] = sums["a"] + sums["b"]
-        cuts = np.cumsum([len(k) for k in keys])[:-1]
         for k in ("a", "t"):
             out[f"{name}_{k}"] = [pack(x) for x in np.split(sums[k][at], cuts)]
             if name == "uni":  # said once for the range
                 totals[f"vocabulary_{k}"][0], totals[f"tokens_{k}"][0] = (sums[k] > 0).sum(), sums[k].sum()
-    release_memory()
+        del found, at, sums
+        release_memory()
     return pd.DataFrame(out | totals)
 
 
@@ -159,7 +169,7 @@ def learn_weights(histogram: pd.DataFrame, tokens: int, vocabulary: int, rounds:
     return weights
 
 
-def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of df.
 
     Tokens are a text's words, A-Z lower-cased, and an end; a null, empty or blank text is the end alone. Rows whose
@@ -178,9 +188,11 @@ def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         docs = docs.withColumn("row_id", F.col("doc_id").cast("long"))
     null_id = -(1 << 63)
     keyed = docs.select(F.coalesce("row_id", F.lit(null_id)).alias("row_id"), "text", "fold")
+    chunk_bytes = chunk_bytes or root_sized(CHUNK_BYTES, MOST_CHUNK_BYTES, input_bytes(keyed), UNIT_BYTES)
     chunks = stage_by(_chunks(keyed, chunk_bytes), "chunk", "chunks")
     total = chunks.agg(F.sum("n_tokens")).first()[0] or 0
-    bits = max(1, int(np.ceil(np.log2(total / KEYS_PER_RANGE + 1))))
+    per_range = root_sized(KEYS_PER_RANGE, MOST_PER_RANGE, total, UNIT_TOKENS)
+    bits = max(1, int(np.ceil(np.log2(total / per_range + 1))))
     answers = stage(_send(chunks, bits).groupBy("range").applyInPandas(_count, _COUNTED), "counts")
     sums = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("vocabulary_a", "tokens_a", "vocabulary_t", "tokens_t"))).first()
     vocabulary_a, tokens_a, vocabulary, tokens = sums

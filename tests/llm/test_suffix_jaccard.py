@@ -53,6 +53,48 @@ def test_remove_repeats_edges(spark, how):
     assert remove_repeats(df.limit(0), length=8).collect() == []
 
 
+def test_a_hot_stretch_weighs_one_entry_a_chunk(spark):
+    """Runs of one byte have as many anchors as bytes, all of one stretch; a passage in all texts has as many stretches as texts."""
+    from pyspark.sql import functions as F
+
+    from granary.llm import suffix_dedup as S
+
+    df = spark.createDataFrame([(i, "a" * 20_000) for i in range(4)], "row_id long, text string").select("row_id", F.col("text").cast("binary").alias("raw"))
+    sent = S._send(S._chunks(df.coalesce(1), 1 << 30), 400, 4).collect()
+    assert [(len(r.copies), bytes(r.copies)) for r in sent] == [(1, b"\2")]
+    rng = random.Random(3)
+    passage = " ".join(str(rng.random()) for _ in range(12))
+    rows = [(i, f"{rng.random()} {passage} {rng.random()}") for i in range(60)] + [(99, "a" * 3000), (98, "b" + "a" * 1000)]
+    for most in (256, 10):
+        got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), length=100, most=most, per_range=20, per_sort=10)
+        assert sorted(map(tuple, got.collect()), key=str) == brute.repeats(rows, 100)
+
+
+def test_frames_of_a_size():
+    import pandas as pd
+
+    from granary.llm.common import pooled
+
+    rng = random.Random(4)
+    for limit in (1, 5, 20, 1000):
+        batches = [pd.DataFrame({"n": [rng.randrange(12) for _ in range(rng.randrange(9))]}) for _ in range(6)]
+        frames = list(pooled(iter(batches), lambda b: b["n"], limit))
+        assert [n for f in frames for n in f["n"]] == [n for b in batches for n in b["n"]]
+        assert all(len(f) and (f["n"].sum() <= limit or len(f) == 1) for f in frames)
+        assert all(a["n"].sum() + b["n"].iloc[0] > limit for a, b in zip(frames, frames[1:], strict=False))
+
+
+def test_messages_grow_with_the_input():
+    from granary.llm import jaccard_join as J
+    from granary.llm.common import UNIT_BYTES, root_sized
+
+    def messages(size):
+        chunks = size / root_sized(J.CHUNK_BYTES, J.MOST_CHUNK_BYTES, size, UNIT_BYTES)
+        return chunks * (size / UNIT_BYTES * J.UNIT_WORDS / root_sized(J.KEYS_PER_RANGE, J.MOST_PER_RANGE, size / UNIT_BYTES * J.UNIT_WORDS, J.UNIT_WORDS))
+
+    assert messages(5 * UNIT_BYTES) == pytest.approx(5 * messages(UNIT_BYTES), rel=0.01)
+
+
 @pytest.mark.parametrize(("k", "percent", "how"), [(4, 85, {}), (5, 80, {"block": 5, "chunk_bytes": 1 << 18}), (3, 50, {"block": 7})])
 def test_jaccard_whole_table(spark, duck, k, percent, how):
     rows = duck.execute("SELECT doc_id, text FROM documents").fetchall()
