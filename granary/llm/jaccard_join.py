@@ -150,6 +150,30 @@ def _overlap(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _placed(grouped: DataFrame, percent: int, block: int) -> DataFrame:
+    """Where each document (row_id, component, n) is compared: bundle, and the blocks bi and bj that meet there.
+
+    Small groups are blocks of their own. A large one is cut into levels of set size, such that sets which link are of
+    one level or of neighbours (a smaller set has `percent` of the larger's tokens at least), and these into blocks;
+    blocks meet within a level and with those of the next.
+    """
+    width = -np.log(percent / 100) * (1 + 1e-9)
+    level = F.floor(F.log("n") / F.lit(float(width))).cast("int") if percent < 100 else F.col("n").cast("int")
+    sizes = stage(grouped.groupBy("component").agg(F.count("*").alias("m")), "group_sizes")
+    rows = grouped.join(sizes, "component").withColumn("split", F.col("m") > block)
+    rows = stage(rows.select("row_id", "component", "split", F.when(F.col("split"), level).otherwise(0).alias("level")), "levels")
+    counts = stage(rows.groupBy("component", "level").agg(F.ceil(F.count("*") / block).cast("int").alias("nb")), "level_sizes")
+    near = counts.select("component", F.col("level").alias("other"), F.col("nb").alias("other_nb"), F.explode(F.sequence(F.col("level") - 1, F.col("level") + 1)).alias("level"))
+    near = stage(counts.join(near, ["component", "level"]), "level_pairs")  # a row for each level and neighbour of a group
+    bundles = max(1, -(-rows.count() // BUNDLE))
+    number = lambda level, i: F.shiftleft(level.cast("long"), 32) + i
+    placed = rows.join(near, ["component", "level"]).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("other_nb") - 1)))
+    own, other = number(F.col("level"), F.pmod(F.xxhash64("row_id"), "nb").cast("int")), number(F.col("other"), F.col("with"))
+    bundle = F.when(F.col("split"), F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(bundles)))
+    placed = placed.select("row_id", "component", "split", bundle.alias("bundle"), own.alias("block"), F.least(own, other).alias("bi"), F.greatest(own, other).alias("bj"))
+    return stage(placed, "placed")
+
+
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, percent: int = 85, chunk_bytes: int | None = None, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links for each row of df; ids are integers.
 
@@ -203,17 +227,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     tokens = stage(reps.select("row_id", F.explode("rare").alias("token")).distinct(), "rare")
     leaders = stage(tokens.groupBy("token").agg(F.min("row_id").alias("leader"), F.count("*").alias("m")).where("m > 1").drop("m"), "leaders")
     grouped = stage(components(tokens.join(leaders, "token").select(F.col("row_id").alias("a"), F.col("leader").alias("b"))), "groups")
-    sizes = stage(grouped.groupBy("component").agg(F.count("*").alias("m")), "group_sizes")
-    blocks = F.ceil(F.col("m") / block).cast("int")
-    placed = grouped.join(sizes, "component").select(F.col("node").alias("row_id"), "component", blocks.alias("nb"))
-    bundles = max(1, -(-grouped.count() // BUNDLE))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("row_id"), "nb").cast("int"))
-    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    placed = placed.select(
-        "row_id", F.col("component"), "block", F.least("block", "with").alias("bi"), F.greatest("block", "with").alias("bj"),
-        F.when(F.col("nb") == 1, F.pmod(F.xxhash64("component"), F.lit(bundles))).otherwise(F.col("component")).alias("bundle"), (F.col("nb") > 1).alias("split"),
-    )
-    work = reps.select("row_id", "n", "prefix", "tokens", "copies").join(stage(placed, "placed"), "row_id")
+    placed = _placed(grouped.select(F.col("node").alias("row_id"), "component").join(reps.select("row_id", "n"), "row_id"), percent, block)
+    work = reps.select("row_id", "n", "prefix", "tokens", "copies").join(placed, "row_id")
     forest = stage(work.groupBy("split", "bundle", "bi", "bj").applyInPandas(lambda g: _forest(g, percent), "a long, b long, links long"), "forest")
     # The classes of an id that has several are linked by it.
     several = stage(members.groupBy("row_id").agg(F.min("class").alias("first"), F.max("class").alias("last")).where("first < last").drop("last"), "several")

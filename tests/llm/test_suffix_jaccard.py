@@ -115,6 +115,18 @@ def test_jaccard_of_a_large_group_of_near_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in got.collect()} == brute.jaccard(rows, 4, 85)
 
 
+def test_jaccard_of_a_large_group_of_many_sizes(spark):
+    """Documents with one rare token in common, from a few words to hundreds: blocks of far levels never meet, and no link is lost."""
+    rng = random.Random(6)
+    rows, base = [], [f"w{i}" for i in range(400)]
+    for i in range(260):
+        n = int(4 * 1.02 ** rng.randint(0, 220))
+        rows.append((i, " ".join(["r a r e", *base[: max(1, n - rng.randint(0, 2))]])))
+    for percent, block in ((85, 20), (60, 9), (100, 15)):
+        got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent, block=block)
+        assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in got.collect()} == brute.jaccard(rows, 4, percent)
+
+
 def test_jaccard_edges(spark):
     rows = [(1, None), (2, ""), (3, " \t"), (4, "a b"), (5, "A  b"), (6, "b a"), (9, "x"), (8, "x"), (8, "x"), (None, "q r s t u"), (10, "q r s t u"), (11, "word " * 5000)]
     df = spark.createDataFrame([(*r, "z") for r in rows], "doc_id int, text string, DOC_ID string")
