@@ -60,7 +60,9 @@ def conversation_pairs(df: DataFrame, odd: bool = False) -> DataFrame:
 
     A pair's chosen side is the conversation with the even id, or with `odd` that with the odd one. Its rejected side is the same with
     the last assistant turn answered by the last assistant turn of the other, where both have one, and ends there; without it the
-    rejected side is the other conversation itself. Rows with a null conv_id belong to no conversation and are left out.
+    rejected side is the other conversation itself. Where several rows have the number of the last assistant turn, all assistant
+    rows of it are answered, by the greatest text of the other's. Rows with a null conv_id belong to no conversation and are left
+    out; null turns come first, null texts are empty, other columns are ignored, an empty table gives no rows.
     """
     rows = pick(df, "conv_id", "turn", "role", "text").withColumns({"pair_id": F.expr("cast((conv_id - pmod(conv_id, 2)) div 2 as long)"), "own": (F.col("conv_id") % 2 != 0) == F.lit(odd)})
     ends = rows.groupBy("pair_id").agg(

@@ -19,8 +19,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 OWN_CHECKPOINT_DIR = "/tmp/checkpoints"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
-_staged: list[str] = []
-_tables: list[str] = []
+#: Paths of intermediate tables, and the names of those that the catalog knows, in the order of their writing.
+_staged: list[tuple[str, str | None]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,29 +61,46 @@ def shared_dir(spark: SparkSession) -> str:
     return (named or OWN_CHECKPOINT_DIR).rstrip("/")
 
 
-def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder, removed when the application ends."""
+def new_path(spark: SparkSession, label: str, name: str | None = None) -> str:
+    """A fresh path in the shared folder, removed when the application ends, or by discard()."""
     path = f"{shared_dir(spark)}/granary-{label}-{uuid.uuid4().hex}"
     if not _staged:
         atexit.register(clear_staged)
-    _staged.append(path)
+    _staged.append((path, name))
     return path
 
 
+def mark() -> int:
+    """How many intermediate tables there are; discard() takes it to know those of later on."""
+    return len(_staged)
+
+
+def discard(spark: SparkSession, since: int, *keep: DataFrame) -> None:
+    """Delete the intermediate tables written since a mark, but for those given; nothing unwritten may still read the others."""
+    kept = {getattr(df, "_granary_path", None) for df in keep}
+    gone = [x for x in _staged[since:] if x[0] not in kept]
+    _staged[since:] = [x for x in _staged[since:] if x[0] in kept]
+    _delete(spark, gone)
+
+
+def _delete(spark: SparkSession, tables: list[tuple[str, str | None]]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path, name in tables:
+        if name:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        path = jvm.org.apache.hadoop.fs.Path(path)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def clear_staged(spark: SparkSession | None = None) -> None:
-    """Delete the intermediate tables; results that still read them can't be computed after this."""
+    """Delete all intermediate tables; results that still read them can't be computed after this."""
     spark = spark or SparkSession.getActiveSession()
     if spark is None or spark.sparkContext._jsc is None:
         return
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _staged:
-        try:
-            while _tables:
-                spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
-            path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
-            path.getFileSystem(conf).delete(path, True)
-        except Exception:  # the JVM may be gone at exit
-            return
+    try:
+        discard(spark, 0)
+    except Exception:  # the JVM may be gone at exit
+        return
 
 
 #: Tasks, and so files, of an intermediate table: for each core of the cluster at least, and shuffle partitions that one takes.
@@ -108,6 +125,11 @@ def release_memory() -> None:
         trim(0)
 
 
+def lengths(texts: pd.Series) -> pd.Series:
+    """Characters of each text, 0 for null."""
+    return texts.map(lambda t: len(t) if isinstance(t, str) else 0).astype("int64")
+
+
 class Pool:
     """Gathers rows into frames of about `limit` bytes, whatever the batches that they come in."""
 
@@ -169,17 +191,32 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = new_path(df.sparkSession, label)
     few_files(df).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._granary_path = path
+    return out
 
 
 def stage_by(df: DataFrame, key: str, label: str) -> DataFrame:
     """Like stage, but laid out in buckets of key, so that grouping and joining by key moves only the other side."""
-    spark = df.sparkSession
-    path, name = new_path(spark, label), f"granary_{label}_{uuid.uuid4().hex}"
+    spark, name = df.sparkSession, f"granary_{label}_{uuid.uuid4().hex}"
+    path = new_path(spark, label, name)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     few_files(df).write.bucketBy(n, key).option("path", path).option("compression", "zstd").saveAsTable(name)
-    _tables.append(name)
-    return spark.table(name)
+    out = spark.table(name)
+    out._granary_path = path
+    return out
+
+
+def shielded(df: DataFrame, *names: str) -> DataFrame:
+    """All columns of df in their order, the named ones under these names and each other one under a name that clashes with nothing.
+
+    The result of an operator over it gets df's names back by toDF(*df.columns).
+    """
+    at = {}
+    for name in names:
+        exact = [i for i, c in enumerate(df.columns) if c == name]
+        at[(exact or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()])[0]] = name
+    return df.toDF(*(at.get(i, f"_column_{i}") for i in range(len(df.columns))))
 
 
 def integer_names(df: DataFrame, keys: list[str], name: str, label: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import stage
+from granary.llm.common import discard, mark, stage
 
 
 def _star(pairs: DataFrame, label: str) -> DataFrame:
@@ -17,6 +17,7 @@ def _star(pairs: DataFrame, label: str) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (its least node) for every node of an edge. Loops and repeated edges change nothing."""
     edges = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
+    since = mark()
     edges, before = stage(edges, "edges"), None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -26,6 +27,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         edges = stage(small.where("u != v").distinct(), "edges")
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("v", "u"))).first())
+        discard(edges.sparkSession, since, edges)
         if now == before:
             break
         before = now

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import UNIT_BYTES, input_bytes, new_id, pick, pooled, release_memory, root_sized, stage, stage_by, table
+from granary.llm.common import UNIT_BYTES, discard, input_bytes, lengths, mark, new_id, pick, pooled, release_memory, root_sized, stage, stage_by, table
 from granary.llm.components import components
 from granary.llm.hashing import joined, mix, pack, pack_sorted, spans, unpack, unpack_sorted, word_hashes
 
@@ -50,7 +50,7 @@ def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
 
 def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in pooled(batches, lambda b: b["text"].str.len().fillna(0).astype(int), chunk_bytes):
+        for rows in pooled(batches, lambda b: lengths(b["text"]), chunk_bytes):
             h, n = word_hashes(rows["text"].tolist())
             words, codes = np.unique(h, return_inverse=True)
             yield pd.DataFrame([{
@@ -187,6 +187,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     id_type = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("row_id"), "text")
     chunk_bytes = chunk_bytes or root_sized(CHUNK_BYTES, MOST_CHUNK_BYTES, input_bytes(docs), UNIT_BYTES)
+    since = mark()
     chunks = stage_by(_chunks(docs, chunk_bytes), "chunk", "chunks")
     total = chunks.agg(F.sum("n_tokens")).first()[0] or 0
     per_range = root_sized(KEYS_PER_RANGE, MOST_PER_RANGE, total, UNIT_WORDS)
@@ -218,6 +219,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     found = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(order, "row_id long, n long, d1 long, d2 long, prefix int, rare array<long>, tokens binary")
     found = stage(found, "sets")
+    discard(found.sparkSession, since, found)
     # Equal sets, told by their size and 128 bits, are one class, numbered as it is written; empty sets stand alone.
     digest = ["n", "d1", "d2"]
     classes = found.where("n > 0").groupBy(*digest).agg(F.min("row_id").alias("rep"), F.count_distinct("row_id").alias("copies"))
@@ -241,6 +243,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # Rows without words belong to the other rows of their id.
     empty = members.join(found.where("n = 0").select("row_id").distinct(), "row_id", "left_semi").groupBy("row_id").agg(F.min("class").alias("class"))
     empty = stage(empty.join(classes.select("class", "component"), "class").select("row_id", F.lit(0).cast("long").alias("n"), F.col("component").alias("of_id")), "empty")
+    discard(found.sparkSession, since, found, classes, empty)
     out = found.select("row_id", *digest).join(classes, digest, "left").join(empty, ["row_id", "n"], "left")
     as_id = lambda c: F.when(c != NULL_ID, c).cast(id_type)
     return out.select(

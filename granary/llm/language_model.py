@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import UNIT_BYTES, Pool, fold, input_bytes, new_id, pick, release_memory, root_sized, stage, stage_by, table
+from granary.llm.common import UNIT_BYTES, Pool, fold, input_bytes, lengths, new_id, pick, release_memory, root_sized, stage, stage_by, table
 from granary.llm.hashing import joined, pack, pack_sorted, spans, unpack, unpack_sorted, word_hashes
 
 FOLDS, HELD_OUT, TUNING = 7, 2, 3
@@ -53,7 +53,7 @@ def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
         pools = {True: Pool(chunk_bytes), False: Pool(chunk_bytes)}
         for batch in filter(len, batches):
             for tuning, some in batch.groupby(batch["fold"] == TUNING):
-                for rows in pools[bool(tuning)].add(some, some["text"].str.len().fillna(0).astype(int).to_numpy()):
+                for rows in pools[bool(tuning)].add(some, lengths(some["text"]).to_numpy()):
                     yield chunk(rows, bool(tuning))
         for tuning, pool in pools.items():
             for rows in pool.rest():

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.llm.common import fold, pick, release_memory, table
+from granary.llm.common import fold, pick, release_memory, shielded, table
 
 #: The most labelled rows that the rules are fitted on, those with the least hash of their id.
 SAMPLE_ROWS = 20_000
@@ -168,7 +168,11 @@ class RuleModel:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> RuleModel:
-    """Fit on at most sample_rows labelled rows outside the held-out fold. Ids and labels that are null take no part."""
+    """Fit on at most sample_rows labelled rows outside the held-out fold.
+
+    Ids and labels that are null take no part; of several labels of an id the larger counts; an id that several rows have
+    gives an example for each. Without labelled rows, or with one label only, the model is a constant.
+    """
     known = pick(labels, "doc_id", "quality").where("doc_id is not null and quality is not null").where(fold(F.col("doc_id"), 5) != 0)
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     some = pick(docs, "doc_id", "text").join(F.broadcast(known), "doc_id")  # sample_rows ids at most
@@ -188,8 +192,9 @@ def score_quality(docs: DataFrame, model: RuleModel) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame, model: RuleModel) -> DataFrame:
-    """The rows of docs, all columns, that the model does not reject. docs has a column text and none named _statistics."""
-    return with_statistics(docs, F.col("text")).where(model.column() >= THRESHOLD).drop("_statistics")
+    """The rows of docs, all columns under their names, that the model does not reject; judged like in score_quality, whatever the other columns are called."""
+    rows = shielded(docs, "text")
+    return with_statistics(rows, F.col("text")).where(model.column() >= THRESHOLD).drop("_statistics").toDF(*docs.columns)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,8 @@ DIGITS, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ
 RECORD = "record_type string, record_id string, origin_id string, segment_number int, total_length long, page_id string, refers_to string, payload_digest string, target_uri string, block binary"
 #: Bytes of blocks that a Python task holds before it hands them on.
 BATCH_BYTES = 8 << 20
+#: Records of an archive at most: as a segment has at most segment_chars characters, this bounds what one task reads at once.
+FILE_RECORDS = 8192
 
 
 def base32_sha1(c: Column) -> Column:
@@ -40,12 +42,13 @@ def _header(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), clean, F.lit(EOL)), F.lit(""))
 
 
-def write_warc(df: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", min_revisit_bytes: int = 0, segment_chars: int = SEGMENT_CHARS, chunk_chars: int = CHUNK_CHARS) -> None:
-    """One record per row as gzip-compressed WARC files below path.
+def write_warc(df: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", min_revisit_bytes: int = 0, segment_chars: int = SEGMENT_CHARS, chunk_chars: int = CHUNK_CHARS, file_records: int = FILE_RECORDS) -> None:
+    """One record per row as gzip-compressed WARC files of at most file_records records below path.
 
     Of rows with equal payloads of at least min_revisit_bytes, those with the largest id are responses and
     the others revisits without payload; smaller payloads are all responses. Bodies are framed in chunks;
-    blocks of over segment_chars characters go on in continuation records.
+    blocks of over segment_chars characters go on in continuation records. A null body is an empty payload, a null id or
+    URL leaves its header out, repeated rows are written each, other columns are ignored, an empty table gives no records.
     """
     rows = pick(df, id_col, url_col, body_col).toDF("page_id", "url", "body").withColumn("body", F.coalesce(F.col("body").cast("string"), F.lit("")))
     rows = rows.withColumns({"sha": F.sha2("body", 256), "size": F.octet_length("body")})
@@ -75,7 +78,7 @@ def write_warc(df: DataFrame, path: str, id_col: str = "page_id", url_col: str =
         F.lit(f"WARC/1.1{EOL}WARC-Date: 2024-01-01T00:00:00Z{EOL}"), F.when(F.col("at") == 0, first).otherwise(later),
         _header("Content-Length", F.octet_length("part")), F.lit(EOL), F.col("part"),
     )
-    rows.select(record.alias("value")).write.option("lineSep", EOL + EOL).option("compression", "gzip").text(path)
+    rows.select(record.alias("value")).write.option("lineSep", EOL + EOL).option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
 
 
 def parse_records(content: bytes) -> Iterator[dict]:
@@ -102,7 +105,7 @@ def parse_records(content: bytes) -> Iterator[dict]:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """All records below path, segments apart. Files are read whole: write archives of bounded size."""
+    """All records below path, segments apart. Files are read whole, so archives must be of bounded size, as write_warc's are."""
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0

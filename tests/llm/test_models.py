@@ -172,8 +172,9 @@ def test_decontaminate(spark, duck):
     rows = [(1, cut), (2, f"aa bb {new} cc"), (3, None), (4, ""), (5, items[k].upper()), (5, items[k].upper()), (None, items[k]), (6, "clean words " * 50)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, TEXT int")
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
-    for block in (1000, 10**6):
-        assert sorted(((r.doc_id, r.item_id) for r in contaminated(df, bench, block_chars=block).collect()), key=str) == sorted([(1, i), (2, j), (5, k), (5, k), (None, k)], key=str)
+    assert sorted(((r.doc_id, r.item_id) for r in contaminated(df, bench).collect()), key=str) == sorted([(1, i), (2, j), (5, k), (5, k), (None, k)], key=str)
+    # Seeds are then the rarest n-grams of each stretch alone: six unchanged words in a row hold one.
+    assert sorted(((r.doc_id, r.item_id) for r in contaminated(df.where("doc_id != 2 or doc_id is null"), bench, rare_items=0).collect()), key=str) == sorted([(1, i), (5, k), (5, k), (None, k)], key=str)
     assert contaminated(df.limit(0), bench).collect() == [] and contaminated(df, bench.limit(0)).collect() == []
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "one two")], "item_id int, text string")
     assert contaminated(df, odd).collect() == []
@@ -198,3 +199,43 @@ def test_decontaminate_recurring_edited_copies(spark):
     df = spark.createDataFrame([(d, " ".join(doc)) for d, doc in enumerate(docs)], "doc_id long, text string")
     bench = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id int, text string")
     assert {(r.doc_id, r.item_id): r.score for r in contaminated(df, bench).collect()} == want
+
+
+def test_decontaminate_recall_of_edited_copies(spark):
+    """Words replaced, left out and put in at random: against the alignment of every document with every item."""
+    rng = np.random.default_rng(11)
+    text = lambda n: [f"w{int(x)}" for x in rng.zipf(1.3, n).clip(max=4000)]
+    items = [text(int(n)) for n in rng.integers(12, 60, 40)] + [text(300)]
+    docs = [text(120) for _ in range(60)]
+    for rate in (0.0, 0.1, 0.2, 0.3):
+        for item in items[:-1]:
+            out = []
+            for w in item:
+                x = rng.random()
+                out += [] if x < rate / 3 else ["new"] if x < rate * 2 / 3 else [w, "more"] if x < rate else [w]
+            docs.append(text(int(rng.integers(0, 60))) + out + text(int(rng.integers(0, 60))))
+    docs.append(text(30) + items[-1][100:160] + text(30))  # a quotation of under half of a long item
+    code = {w: n for n, w in enumerate(sorted({w for d in docs + items for w in d}))}
+    coded = lambda d: np.array([code[w] for w in d])
+    want = {(d, i) for i, item in enumerate(items) for d, doc in enumerate(docs) if smith_waterman(coded(item), coded(doc))[0] >= min(len(item), 100)}
+    df = spark.createDataFrame([(d, " ".join(doc)) for d, doc in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id int, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated(df, bench).collect()}
+    assert got <= want and (len(docs) - 1, len(items) - 1) in got
+    assert len(got) >= 0.95 * len(want) and len(want) > 120
+
+
+def test_decontaminate_seeds(spark):
+    """Rare n-grams, and of stretches without one the rarest; the filter lets all seeds pass."""
+    from granary.llm import decontaminate as D
+
+    rows = [(i, f"a b c d e f g x{i}") for i in range(5)]
+    items = D.stage(D._read_items(spark.createDataFrame(rows, "item_id int, text string").selectExpr("cast(item_id as string) item_id", "text")), "items")
+    seeds = D.stage(D._seeds(items, 3, 2), "seeds")
+    nth = sorted((r.item_key, r.nth) for r in seeds.collect())
+    assert all([n for k, n in nth if k == key][-1] == 5 and len([n for k, n in nth if k == key]) == 2 for key in {k for k, _ in nth})  # one of five common ones, and "f g x"
+    bits = D._filter(seeds)
+    for r in seeds.collect():
+        first = (r.gram % 2**64) >> (64 - D.FILTER_BITS)
+        assert bits[first >> 5] >> np.uint32(first & 31) & 1
+    assert bits.nbytes == 2 << 20

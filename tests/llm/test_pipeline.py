@@ -32,16 +32,37 @@ def test_stages_by_hand(spark, duck):
     assert {r.doc_id for r in P.run(spark, SF).collect()} == set(kept["decontaminate"])
 
 
-@pytest.mark.parametrize("name", ["exact", "near", "decontaminate"])
-def test_stages_on_odd_rows(spark, name):
-    rows = [(1, None, "en", "s", 0), (1, None, "en", "s", 0), (2, "", "en", "s", 0), (None, "a b c d e f", None, None, None), (3, "x " * 50, "en", "s", 1)]
+@pytest.mark.parametrize("name", [n for n, _ in P.STAGES])
+def test_stages_on_odd_rows(spark, duck, name):
+    good = duck.execute("SELECT text FROM documents JOIN labels USING (doc_id) WHERE quality = 1 AND n_chars > 500 LIMIT 1").fetchone()[0]
+    rows = [(1, None, "en", "s", 0), (1, None, "en", "s", 0), (2, "", "en", "s", 0), (None, "a b c d e f", None, None, None), (3, "x " * 50, "en", "s", 1), (4, good, None, "s", 1), (4, good, None, "s", 1), (5, good * 40, "en", "s", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     f = dict(P.STAGES)[name]
     got = f(spark, df, SF)
-    assert got.columns == df.columns and {r.doc_id for r in got.collect()} <= {1, 2, 3, None}
+    ids = sorted((r.doc_id for r in got.collect()), key=str)
     if name == "exact":
-        assert sorted((r.doc_id for r in got.collect()), key=str) == [2, 3, None]
+        assert ids == [2, 3, 4, 5, None]
+    elif name == "pack":
+        assert set(ids) == {1, 2, 3, 4, 5, None} and got.where("piece = 0").count() == len(rows)
+    elif name == "quality":
+        assert ids.count(4) == 2 and ids.count(1) in (0, 2)
+    else:
+        assert ids == [1, 1, 2, 3, 4, 4, *([5] if name == "decontaminate" else []), None]  # 5 has the shingles of 4
     assert f(spark, df.limit(0), SF).collect() == []
+    # Columns whose names differ from others in case only, or are those of a stage's own.
+    odd = df.toDF("doc_id", "text", "TEXT", "Doc_ID", "_statistics")
+    clash = f(spark, odd, SF)
+    if name != "pack":
+        assert clash.columns == odd.columns and got.columns == df.columns
+        assert sorted(map(tuple, clash.collect()), key=str) == sorted(map(tuple, got.collect()), key=str)
+    else:
+        assert sorted((r.doc_id, r.piece, r.ids_crc32) for r in clash.where("doc_id is not null").collect()) == sorted((r.doc_id, r.piece, r.ids_crc32) for r in got.where("doc_id is not null").collect())
+
+
+def test_exact_keeps_texts_without_a_copy(spark):
+    rows = [(7, "A1"), (7, "A1"), (7, "B2"), (8, "X3"), (8, "Y4"), (9, "X3"), (None, "Z5"), (None, "Z5")]
+    got = P.exact(spark, spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, Text int"), SF).collect()
+    assert sorted(((r[0], r[1]) for r in got), key=str) == sorted([(7, "A1"), (7, "B2"), (8, "Y4"), (9, "X3"), (None, "Z5")], key=str)
 
 
 def test_stages_decide_by_row(spark, duck):
