@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,8 @@ COLUMN_TOKENS = {
 # Four-digit postcodes of the regions, and the box that coordinates should lie in.
 REGIONS = (("Brussels", 1000, 1299), ("Wallonia", 1300, 1499), ("Flanders", 1500, 3999), ("Wallonia", 4000, 7999), ("Flanders", 8000, 9999))
 LATITUDES, LONGITUDES = (49.4, 53.6), (2.5, 7.3)
+# The types of a location.
+NATIONAL, STORE = "National price (online)", "Store"
 
 
 def strip(c: Column) -> Column:
@@ -55,6 +57,18 @@ def nfc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
 
+@F.pandas_udf(T.StringType())
+def label_key(texts: pd.Series) -> pd.Series:
+    """What labels are compared by: composed, stripped, white space as one blank, case folded. Apply it to distinct labels and join back."""
+    return texts.map(lambda t: " ".join(unicodedata.normalize("NFC", t).split()).casefold(), na_action="ignore")
+
+
+def composed(df: DataFrame, column: str) -> DataFrame:
+    """df with a column's texts composed (NFC). Only texts with characters beyond ASCII go to Python: the others are composed as they are."""
+    other = flag(F.col(column).rlike(r"[^\x00-\x7F]"))
+    return df.where(~other).unionByName(df.where(other).withColumn(column, nfc(column)).select(*df.columns))
+
+
 def tokens(c: Column, least: int = 4) -> Column:
     """Distinct words of at least `least` Latin letters, in lower case."""
     return F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(f"[a-zà-ÿ]{{{least},}}"), F.lit(0)))
@@ -69,6 +83,11 @@ def finite(c: Column) -> Column:
     return ~F.isnan(c) & (F.abs(c) < float("inf"))
 
 
+def must_be_finite(c: Column, name: str) -> Column:
+    """The value, or null; NaN and infinities fail."""
+    return F.when(c.isNull() | finite(c), c).otherwise(F.raise_error(F.lit(f"{name}: a value that is not finite")).cast("double"))
+
+
 def only_value(c: Column) -> Column:
     """Aggregate: the value that all non-null rows of the group agree on, else null."""
     return F.when(F.min(c).eqNullSafe(F.max(c)), F.min(c))
@@ -85,8 +104,8 @@ def region(postcode: Column) -> Column:
     return reduce(lambda acc, r: acc.when(number.between(r[1], r[2]), r[0]), REGIONS[1:], F.when(number.between(*REGIONS[0][1:]), REGIONS[0][0]))
 
 
-def location_type(name: Column) -> Column:
-    return F.when(F.lower(strip(name)) == "default", "National").otherwise("Store")
+def location_type(name: Column, national: str = NATIONAL, store: str = STORE) -> Column:
+    return F.when(F.lower(strip(name)) == "default", national).otherwise(store)
 
 
 def outside_box(latitude: Column, longitude: Column) -> Column:

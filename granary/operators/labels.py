@@ -79,3 +79,20 @@ def payload_problems(payload: Column, path: str) -> Column:
     inner = F.get_json_object(payload, path)
     keys = F.json_object_keys(inner)
     return F.when(F.try_parse_json(payload).isNull(), "invalid_json").when(keys.isNull(), "no_entries_object").when(F.size(keys) == 0, "empty_entries")
+
+
+def label_problems(payload: Column, path: str, portion: str, units: Sequence[tuple]) -> Column:
+    """payload_problems, else a portion that is not positive and finite with a unit, an entry whose unit is not in the mapping,
+    or a value that is no finite number; null for a sound label. units: rows of MAPPING."""
+    size = F.get_json_object(payload, f"{portion}.value").try_cast("double")
+    unit = F.nullif(F.trim(F.get_json_object(payload, f"{portion}.unit")), F.lit(""))
+    known = F.array(*(F.lit(f"{r[0]}\u0000{r[1]}") for r in units)).cast("array<string>")
+    every = F.map_entries(entries(payload, path))
+    unmapped = F.filter(every, lambda e: ~flag(F.array_contains(known, F.concat(e["key"], F.lit("\u0000"), e["value"]["unit"]))))
+    number = lambda e: e["value"]["value"].try_cast("double")
+    odd = F.exists(every, lambda e: ~flag(finite(number(e))))
+    first = F.get(unmapped, F.lit(0))
+    return (
+        F.when(payload_problems(payload, path).isNotNull(), payload_problems(payload, path)).when(~flag(finite(size) & (size > 0)) | unit.isNull(), "no positive portion with a unit")
+        .when(F.size(unmapped) > 0, F.concat_ws(" ", F.lit("unmapped entry:"), first["key"], first["value"]["unit"])).when(odd, "a value that is no finite number")
+    )

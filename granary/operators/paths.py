@@ -12,10 +12,27 @@ from granary.functions.columns import flag, strip, tokens
 PATHS = "array<array<string>>"
 
 
+# What a path still needs a review for, by the first structural flag that holds.
+NAVIGATION, REPEATED, DUPLICATE, ANCESTOR = "navigation_review_required", "repeated_label_review_required", "duplicate_path_occurrence", "ancestor_path"
+BRANCHES, UNMAPPED = "multiple_branches_review_required", "unmapped"
+STRUCTURAL = ("dq_duplicate_category_path", "is_prefix_of_another_path", "dq_navigation_contamination", "dq_repeated_category_label")
+
+
+_TEXT = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_PATH = rf"\[\s*+{_TEXT}\s*+(?:,\s*+{_TEXT}\s*+)*+\]"
+#: JSON arrays of arrays of texts and nothing else; possessive, so that long texts need no stack.
+NESTED = rf"(?s)\A\s*+\[\s*+{_PATH}\s*+(?:,\s*+{_PATH}\s*+)*+\]\s*+\z"
+
+
 def parse_paths(payload: Column) -> Column:
-    """Paths of labels from JSON text; anything but an array of non-empty arrays of texts fails, null stays null."""
+    """Paths of labels from JSON text: a non-empty array of non-empty arrays of texts that are not blank. Anything else fails, null stays null.
+
+    The parser alone would turn numbers and objects into text and stop at the end of a first value, so the shape is asked for too.
+    """
     paths = F.from_json(payload, PATHS)
-    sound = paths.isNotNull() & ~F.exists(paths, lambda p: p.isNull() | (F.size(p) == 0) | F.exists(p, lambda x: x.isNull()))
+    typed = payload.rlike(NESTED)
+    wrong = F.exists(paths, lambda p: p.isNull() | (F.size(p) == 0) | F.exists(p, lambda x: x.isNull() | (strip(x) == "")))
+    sound = flag(typed) & flag(F.size(paths) > 0) & flag(~wrong)
     return F.when(payload.isNull(), F.lit(None).cast(PATHS)).when(sound, paths).otherwise(F.raise_error(F.concat(F.lit("malformed paths: "), payload)).cast(PATHS))
 
 
@@ -23,19 +40,20 @@ def _is_prefix(a: Column, b: Column) -> Column:
     return (F.size(a) < F.size(b)) & (F.slice(b, F.lit(1), F.size(a)) == a)
 
 
-def category_paths(df: DataFrame, identity: Sequence[str], paths: str, navigation: Sequence[str] = ()) -> DataFrame:
+def category_paths(df: DataFrame, identity: Sequence[str], paths: str, navigation: Sequence[str] = (), where: Column | None = None) -> DataFrame:
     """A row per path: position from 1, labels as given and normalised, depth, and the structural flags.
 
     A path is a duplicate where it stands several times among its owner's, a prefix where it begins another, repeated
-    where a label stands twice in it. Maximal paths begin no other. navigation: a leading part of no meaning.
+    where a label stands twice in it. Maximal paths begin no other. navigation: a leading part of no meaning, for rows
+    that hold `where`. The status is by the first flag of navigation, repeated label, duplicate and prefix.
     """
     clean = F.transform(paths, lambda p: F.transform(p, strip))
-    rows = df.select(*identity, F.col(paths).alias("_raw"), clean.alias("_all"))
+    rows = df.select(*identity, F.col(paths).alias("_raw"), clean.alias("_all"), flag(F.lit(True) if where is None else where).alias("_nav"))
     distinct = F.array_distinct("_all")
     maximal = F.size(F.filter(distinct, lambda p: ~F.exists(distinct, lambda q: _is_prefix(p, q))))
     rows = rows.withColumn("maximal_path_count", maximal).select("*", F.posexplode("_all").alias("_at", "category_path_normalized"))
     path, every = F.col("category_path_normalized"), F.col("_all")
-    nav = F.lit(False) if not navigation else (F.slice(path, F.lit(1), F.lit(len(navigation))) == F.array(*map(F.lit, navigation)))
+    nav = F.lit(False) if not navigation else F.col("_nav") & (F.slice(path, F.lit(1), F.lit(len(navigation))) == F.array(*map(F.lit, navigation)))
     rows = rows.withColumns({
         "category_path_position": F.col("_at") + 1,
         "category_path": F.col("_raw")[F.col("_at")],
@@ -46,19 +64,16 @@ def category_paths(df: DataFrame, identity: Sequence[str], paths: str, navigatio
         "dq_navigation_contamination": flag(nav),
     })
     status = (
-        F.when(F.col("dq_navigation_contamination"), "navigation")
-        .when(F.col("dq_repeated_category_label"), "repeated_label")
-        .when(F.col("dq_duplicate_category_path"), "duplicate")
-        .when(F.col("is_prefix_of_another_path"), "prefix")
-        .when(F.col("maximal_path_count") > 1, "multiple_branches")
-        .otherwise("unmapped")
-    )
-    return rows.withColumn("path_review_status", status).drop("_raw", "_all", "_at")
+        F.when(F.col("dq_navigation_contamination"), NAVIGATION).when(F.col("dq_repeated_category_label"), REPEATED)
+        .when(F.col("dq_duplicate_category_path"), DUPLICATE).when(F.col("is_prefix_of_another_path"), ANCESTOR)
+        .when(F.col("maximal_path_count") > 1, BRANCHES).otherwise(UNMAPPED)
+    )
+    return rows.withColumn("path_review_status", status).drop("_raw", "_all", "_at", "_nav")
 
 
 def usable_paths(paths: DataFrame) -> DataFrame:
     """Paths without a structural exclusion."""
-    return paths.where("not dq_duplicate_category_path and not is_prefix_of_another_path and not dq_repeated_category_label and not dq_navigation_contamination")
+    return paths.where(" and ".join(f"not {c}" for c in STRUCTURAL))
 
 
 def categories(paths: DataFrame, identity: Sequence[str]) -> DataFrame:
@@ -67,52 +82,6 @@ def categories(paths: DataFrame, identity: Sequence[str]) -> DataFrame:
     return usable_paths(paths).select(*identity, path.alias("category_path"), F.array_join(path, " > ").alias("category_path_text"), F.element_at(path, -1).alias("category_leaf"), "category_path_depth").distinct()
 
 
-def path_votes(paths: DataFrame, identity: Sequence[str], anchors: DataFrame, promotion: str | None = None) -> DataFrame:
-    """Per identity: the codes that labels of usable paths are anchored to, and how many paths there were and were left out.
-
-    anchors: label (lower case), code. A path with a label that matches the promotion expression is left out.
-    """
-    path = F.col("category_path_normalized")
-    off = F.col("dq_duplicate_category_path") | F.col("is_prefix_of_another_path") | F.col("dq_repeated_category_label") | F.col("dq_navigation_contamination")
-    if promotion:
-        off = off | F.exists(path, lambda x: F.lower(x).rlike(promotion))
-    rows = paths.withColumn("_off", flag(off)).withColumn("label", F.explode(F.transform(path, F.lower)))
-    rows = rows.join(anchors, "label", "left")
-    per_path = rows.groupBy(*identity, "category_path_position", "_off").agg(F.collect_set("code").alias("codes"))
-    codes = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(~F.col("_off"), F.col("codes"))))))
-    return per_path.groupBy(*identity).agg(codes.alias("candidates"), F.count("*").alias("source_path_count"), F.count_if("_off").alias("excluded_path_count"))
-
-
-def decide(votes: DataFrame, identity: Sequence[str], names: DataFrame) -> DataFrame:
-    """One code per identity, or an abstention with its reason.
-
-    One candidate decides. Else a single code of the name does, if there is no candidate or it is among them; a name never
-    overrides agreeing paths. names: identity, name_codes (array). votes and names may lack an identity of the other.
-    """
-    rows = votes.join(names, list(identity), "full_outer")
-    none = F.array().cast("array<string>")
-    rows = rows.withColumns({"candidates": F.coalesce("candidates", none), "name_codes": F.coalesce("name_codes", none), "source_path_count": F.coalesce("source_path_count", F.lit(0)), "excluded_path_count": F.coalesce("excluded_path_count", F.lit(0))})
-    found, name = F.col("candidates"), F.col("name_codes")
-    by_path = F.size(found) == 1
-    by_name = (F.size(name) == 1) & ((F.size(found) == 0) | (F.size(F.array_except(name, found)) == 0))
-    status = (
-        F.when(by_path | by_name, "classified").when(F.size(found) > 0, "conflicting_evidence").when(F.col("source_path_count") == 0, "missing_evidence")
-        .when(F.col("excluded_path_count") == F.col("source_path_count"), "excluded_evidence").otherwise("no_supported_match")
-    )
-    code = F.when(by_path, F.get(found, F.lit(0))).when(by_name, F.get(name, F.lit(0))).otherwise("unclassified")
-    basis = F.when(by_path, "paths").when(by_name & (F.size(found) > 0), "name_breaks_path_conflict").when(by_name, "name")
-    return rows.select(*identity, code.alias("code"), status.alias("status"), basis.alias("basis"), "candidates", "name_codes", "source_path_count", "excluded_path_count")
-
-
-def precedence(codes: Column, rules: Sequence[tuple[str, Sequence[str]]]) -> Column:
-    """The winner of the first rule (winner, allowed) that holds among several codes all of which it allows; else the codes."""
-    out = None
-    for winner, allowed in rules:
-        holds = (F.size(codes) > 1) & F.array_contains(codes, winner) & (F.size(F.array_except(codes, F.array(*map(F.lit, allowed)))) == 0)
-        out = F.when(holds, F.array(F.lit(winner))) if out is None else out.when(holds, F.array(F.lit(winner)))
-    return codes if out is None else out.otherwise(codes)
-
-
 def mine_tokens(df: DataFrame, text: str, code: str, support: int = 20, purity: float = 0.98, least: int = 4, stop: Sequence[str] = ()) -> DataFrame:
     """Words that stand in at least `support` rows and go with one code in at least `purity` of them; a row counts a word once.
 
@@ -126,7 +95,11 @@ def mine_tokens(df: DataFrame, text: str, code: str, support: int = 20, purity:
     return rows.where(~F.col("token").isin(*stop)) if stop else rows
 
 
-def name_codes(df: DataFrame, identity: Sequence[str], text: str, vocabulary: DataFrame, least: int = 4) -> DataFrame:
-    """identity, name_codes: the codes of the vocabulary's words (token, code) that stand in the text."""
-    words = df.select(*identity, F.explode(tokens(F.col(text), least)).alias("token")).join(vocabulary.select("token", "code"), "token")
-    return words.groupBy(*identity).agg(F.array_sort(F.collect_set("code")).alias("name_codes"))
+def name_codes(df: DataFrame, identity: Sequence[str], text: str, vocabulary: DataFrame, least: int = 4, where: Column | None = None) -> DataFrame:
+    """identity, name_codes, name_rules: the codes of the vocabulary's words (token, code) that stand in the text, and `name:` and the word for each.
+
+    Only rows that hold `where` are read, as a vocabulary is of one language.
+    """
+    rows = df if where is None else df.where(where)
+    words = rows.select(*identity, F.explode(tokens(F.col(text), least)).alias("token")).join(vocabulary.select("token", "code"), "token")
+    return words.groupBy(*identity).agg(F.array_sort(F.collect_set("code")).alias("name_codes"), F.array_sort(F.collect_set(F.concat(F.lit("name:"), "token"))).alias("name_rules"))

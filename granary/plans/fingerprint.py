@@ -16,8 +16,8 @@ def fingerprint(df: DataFrame) -> DataFrame:
     return df.select(h.alias("h")).agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("hash_sum"), F.coalesce(F.bit_xor("h"), F.lit(0)).alias("hash_xor"))
 
 
-def measure(tables: dict[str, DataFrame], metrics: dict[str, Callable[[], object]], invariants: dict[str, Callable[[], int]]) -> dict:
-    """What a baseline holds. An error in a metric or invariant is kept as text, so that one does not hide the others."""
+def measure(tables: dict[str, DataFrame], metrics: dict[str, object], invariants: dict[str, Callable[[], int]]) -> dict:
+    """What a baseline holds; metrics are values, or how to take them. An error in a metric or invariant is kept as text, so that one does not hide the others."""
 
     def said(f: Callable[[], object]) -> object:
         try:
@@ -27,7 +27,7 @@ def measure(tables: dict[str, DataFrame], metrics: dict[str, Callable[[], object
 
     return {
         "tables": {n: {"columns": [[f.name, f.dataType.simpleString()] for f in df.schema], **fingerprint(df).first().asDict()} for n, df in tables.items()},
-        "metrics": {n: said(f) for n, f in metrics.items()},
+        "metrics": {n: said(f) if callable(f) else f for n, f in metrics.items()},
         "invariants": {n: said(f) for n, f in invariants.items()},
     }
 

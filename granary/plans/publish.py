@@ -2,7 +2,9 @@
 
 Tables are written to a staging folder beside the target and checked there; then inputs and code are looked at again, the
 tables are moved in, and the manifest last. A reader that finds no manifest, or one that doesn't fit, refuses the set.
-File calls go through Hadoop's file system, so targets may lie in any store that Spark writes to.
+Inputs and tables are told by their files (names, lengths and, for inputs, times), so publishing reads none of them again;
+content hashes are taken where they are asked for. File calls go through Hadoop's file system, so targets may lie in any
+store that Spark writes to.
 """
 
 from __future__ import annotations
@@ -28,11 +30,12 @@ class PublishError(RuntimeError):
 
 @dataclass(frozen=True)
 class Job:
-    """A table, how to build it from those before it, and its checks."""
+    """A table, how to build it from those before it, its checks, and measures of it that go to the manifest and may fail it too."""
 
     name: str
     build: Callable[[dict[str, DataFrame]], DataFrame]
     check: Callable[[DataFrame], None] = lambda df: None
+    measure: Callable[[DataFrame, dict[str, DataFrame]], dict] = lambda df, tables: {}
 
 
 class Store:
@@ -52,6 +55,19 @@ class Store:
     def delete(self, name: str) -> None:
         self.fs.delete(self.at(name), True)
 
+    def files(self, name: str = "", times: bool = False) -> list[list]:
+        """Name below the folder and length of each file, and the time of its last change if asked for."""
+        found, root = [], self.at(name) if name else self.path(self.root)
+        if not self.fs.exists(root):
+            return found
+        prefix, walk = root.toUri().getPath(), self.fs.listFiles(root, True)
+        while walk.hasNext():
+            f = walk.next()
+            own = f.getPath().toUri().getPath().removeprefix(prefix)
+            if not own.endswith(".crc"):
+                found.append([own, f.getLen(), *([f.getModificationTime()] if times else [])])
+        return sorted(found)
+
     def move(self, a: str, b: str) -> None:
         if not self.fs.rename(self.at(a), self.at(b)):
             raise PublishError(f"can't move {a} to {b}")
@@ -80,28 +96,45 @@ def code_fingerprint(*folders: str | Path) -> str:
     return h.hexdigest()
 
 
-def protect_inputs(target: str, inputs: Sequence[str]) -> None:
-    """The target may neither hold an input nor lie in one."""
-    norm = lambda p: p.split(":", 1)[-1].rstrip("/") + "/"
+def resolved(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, without `..`, and on a local disk without links."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toUri().normalize()
+    own = jvm.java.io.File(uri.getPath()).getCanonicalPath() if uri.getScheme() == "file" else uri.getPath()
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{own.rstrip('/')}/"
+
+
+def protect_inputs(spark: SparkSession, target: str, inputs: Sequence[str]) -> None:
+    """The target may neither hold an input nor lie in one, also by another spelling of the path or through a link."""
+    out = resolved(spark, target)
     for i in inputs:
-        if norm(target).startswith(norm(i)) or norm(i).startswith(norm(target)):
+        own = resolved(spark, i)
+        if out.startswith(own) or own.startswith(out):
             raise PublishError(f"{target} overlaps the input {i}")
 
 
-def _described(df: DataFrame) -> dict:
-    return {"columns": [[f.name, f.dataType.simpleString()] for f in df.schema], **fingerprint(df).first().asDict()}
+def _described(store: Store, name: str, df: DataFrame, hashed: bool) -> dict:
+    out = {"columns": [[f.name, f.dataType.simpleString()] for f in df.schema], "files": store.files(name), "rows": df.count()}  # a count reads footers only
+    return out | ({"fingerprint": fingerprint(df).first().asDict()} if hashed else {})
 
 
-def publish(spark: SparkSession, target: str, inputs: dict[str, str], jobs: Sequence[Job], code: str = "", cross_check: Callable[[dict[str, DataFrame]], None] | None = None) -> dict:
+def publish(
+    spark: SparkSession, target: str, inputs: dict[str, str], jobs: Sequence[Job], code: str | Callable[[], str] = "",
+    cross_check: Callable[[dict[str, DataFrame]], dict | None] | None = None, hashed: bool = False,
+) -> dict:
     """Build all jobs from the inputs (name -> Parquet path) and publish them below target; returns the manifest.
 
-    On any failure the set published before stays as it was, and the staging folder is removed.
+    code: a fingerprint of the sources, or how to take it; that is done again before the tables move in. hashed: content
+    hashes of the tables too, one pass over each. On any failure the set published before stays as it was, and the staging
+    folder is removed.
     """
-    protect_inputs(target, list(inputs.values()))
+    protect_inputs(spark, target, list(inputs.values()))
     store, staging = Store(spark, target), f".staging-{uuid.uuid4().hex}"
     read = lambda path: spark.read.parquet(path)
-    before = {n: _described(read(p)) for n, p in inputs.items()}
-    tables, manifest = {n: read(p) for n, p in inputs.items()}, {"code": code, "inputs": before, "tables": {}}
+    look = lambda: ({n: Store(spark, p).files(times=True) for n, p in inputs.items()}, code() if callable(code) else code)
+    before = look()
+    tables, manifest = {n: read(p) for n, p in inputs.items()}, {"code": before[1], "inputs": before[0], "tables": {}}
     try:
         for job in jobs:
             began = time.time()
@@ -109,11 +142,15 @@ def publish(spark: SparkSession, target: str, inputs: dict[str, str], jobs: Sequ
             job.build(tables).write.option("compression", "zstd").parquet(path)
             tables[job.name] = read(path)
             job.check(tables[job.name])  # the written table, not the plan that made it
-            manifest["tables"][job.name] = _described(tables[job.name]) | {"seconds": round(time.time() - began, 3)}
+            metrics = job.measure(tables[job.name], tables)
+            manifest["tables"][job.name] = _described(store, f"{staging}/{job.name}", tables[job.name], hashed) | {"seconds": round(time.time() - began, 3), "metrics": metrics}
         if cross_check:
-            cross_check(tables)
-        if {n: _described(read(p)) for n, p in inputs.items()} != before:
+            manifest["metrics"] = cross_check(tables) or {}
+        now = look()
+        if now[0] != before[0]:
             raise PublishError("an input changed during the build")
+        if now[1] != before[1]:
+            raise PublishError("the code changed during the build")
         backup = f".backup-{uuid.uuid4().hex}"
         moved: list[tuple[str, str]] = []
         done: list[str] = []
@@ -126,7 +163,7 @@ def publish(spark: SparkSession, target: str, inputs: dict[str, str], jobs: Sequ
             for job in jobs:
                 store.move(f"{staging}/{job.name}", job.name)
                 done.append(job.name)
-            store.write(MANIFEST, json.dumps(manifest, indent=1, sort_keys=True))
+            store.write(MANIFEST, json.dumps(manifest, indent=1, sort_keys=True, default=str))
         except BaseException:
             for name in done:
                 store.delete(name)
@@ -141,17 +178,21 @@ def publish(spark: SparkSession, target: str, inputs: dict[str, str], jobs: Sequ
 
 
 def load(spark: SparkSession, target: str, code: str | None = None, verify: bool = True) -> dict[str, DataFrame]:
-    """The published tables, if the manifest is there and they are what it says."""
+    """The published tables, if the manifest is there and they are what it says: their files, rows and columns, and hashes where it has some."""
     store = Store(spark, target)
     if not store.exists(MANIFEST):
         raise PublishError(f"{target} has no manifest: not published, or a publication was interrupted")
     manifest = json.loads(store.read(MANIFEST))
     if code is not None and manifest["code"] != code:
         raise PublishError("the set was built by other code")
-    tables = {n: spark.read.parquet(f"{store.root}/{n}") for n in manifest["tables"]}
-    if verify:
-        for n, df in tables.items():
-            said = {k: v for k, v in manifest["tables"][n].items() if k != "seconds"}
-            if _described(df) != said:
-                raise PublishError(f"{n} is not what was published")
+    tables = {}
+    for n, said in manifest["tables"].items():
+        files = store.files(n)
+        if verify and files != said["files"]:
+            raise PublishError(f"{n} is not what was published: other files")
+        tables[n] = spark.read.parquet(f"{store.root}/{n}")
+        if verify and (tables[n].count() != said["rows"] or [[f.name, f.dataType.simpleString()] for f in tables[n].schema] != said["columns"]):
+            raise PublishError(f"{n} is not what was published: other rows or columns")
+        if verify and "fingerprint" in said and fingerprint(tables[n]).first().asDict() != said["fingerprint"]:
+            raise PublishError(f"{n} is not what was published: other contents")
     return tables

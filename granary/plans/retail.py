@@ -6,20 +6,25 @@ the builders only put the operators together. Builders are pure: tables in, tabl
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import columns as C
 from granary.operators import contracts as Q
-from granary.operators import enrich, facts, labels, mart, paths
+from granary.operators import decisions, enrich, facts, labels, mart, paths
+from granary.operators import layer_contracts as LC
 from granary.operators import mart_contracts as MC
 from granary.operators.calendar import date_dimension
 from granary.operators.keys import attach_key, surrogate_keys, unique_match
 from granary.operators.versions import canonical, collapse_duplicates, price_versions
 from granary.plans.publish import Job
+from granary.plans.reporting_groups import DUTCH, GROUPS, NAVIGATION, NAVIGATION_CONTEXT
 
 PRODUCT = ["product_id", "shop", "name", "brand", "country", "description", "categories", "language"]
 RAW = {
@@ -38,8 +43,13 @@ GRAIN = ["product_id", "shop", "location", "week"]
 
 @dataclass(frozen=True)
 class Spec:
-    """shops: code -> name. encoded: codes written backwards. shop_types: known labels; those in reversed_types are written
-    backwards. units: label entries (see labels.MAPPING). anchors: (label, code) and names: (word, code) of categories."""
+    """What is known of the retailers.
+
+    shops: code -> name. encoded: codes written backwards. shop_types: known labels; those in reversed_types are written
+    backwards. units: label entries (see labels.MAPPING). anchors: (label, code) and names: (word, code) of categories, both
+    in the rules' language. reviewed: (product_id, shop, country, payload hashes) of products held back. navigation: a
+    leading part of paths of no meaning, in navigation_context (shop, country, language).
+    """
 
     shops: dict[str, str]
     encoded: Sequence[str] = ()
@@ -48,11 +58,29 @@ class Spec:
     units: Sequence[tuple] = ()
     anchors: Sequence[tuple[str, str]] = ()
     names: Sequence[tuple[str, str]] = ()
-    promotion: str | None = None
+    rules: decisions.PathRules = decisions.PathRules()
+    reviewed: Sequence[tuple[str, str, str, Sequence[str]]] = ()
     navigation: Sequence[str] = ()
+    navigation_context: tuple[str, str, str] | None = None
     market: str = "be"
-    national: str = "National"
+    national: str = C.NATIONAL
+    store: str = C.STORE
     category_names: dict[str, str] = field(default_factory=dict)
+    mapping_version: str = "1"
+
+    @property
+    def categories(self) -> dict[str, str]:
+        return {"unclassified": "Unclassified", **self.category_names}
+
+    @classmethod
+    def read(cls, path: str | Path) -> Spec:
+        """From a JSON file with the fields by name; `rules` may be "dutch" for the rules and group names that come along."""
+        said = json.loads(Path(path).read_text())
+        if said.get("rules") == "dutch":
+            said = {"category_names": GROUPS, "navigation": NAVIGATION, "navigation_context": NAVIGATION_CONTEXT} | said | {"rules": DUTCH}
+        elif "rules" in said:
+            said["rules"] = decisions.PathRules(**said["rules"] | {"withheld": [decisions.Withheld(**w) for w in said["rules"].get("withheld", ())]})
+        return cls(**{k: [tuple(x) for x in v] if k in ("units", "anchors", "names", "reviewed") else v for k, v in said.items()})
 
 
 def clean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -85,11 +113,11 @@ def _coordinate_flags() -> dict[str, Column]:
 
 
 def locations(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
-    """The column `type` is dropped as it is empty; a value in it fails the build."""
+    """The column `type` is dropped as it is empty; a value in it, and a coordinate that is not finite, fails the build."""
     df = raw(tables, "locations")
     empty = F.when(F.col("type").isNotNull(), F.raise_error(F.lit("locations.type is no longer empty")).cast("string"))
     df = with_shop(clean(df.withColumn("sources", F.coalesce(empty, F.col("sources").cast("string"))), ["shop", "id", "country_code", "postcode", "sources"]), spec)
-    df = df.drop("type").withColumns({LAT: F.col(LAT).cast("double"), LON: F.col(LON).cast("double")})
+    df = df.drop("type").withColumns({c: C.must_be_finite(F.col(c).cast("double"), c) for c in (LAT, LON)})
     per_key = df.groupBy("shop", "id").agg((F.count("*") > 1).alias("dq_business_key_collision"))
     return df.join(per_key.withColumnsRenamed({"shop": "_s", "id": "_i"}), F.col("shop").eqNullSafe(F.col("_s")) & F.col("id").eqNullSafe(F.col("_i"))).drop("_s", "_i").withColumns(_coordinate_flags())
 
@@ -101,7 +129,7 @@ def weekly_locations(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
     backwards = C.flag(low.isin(*spec.reversed_types)) if spec.reversed_types else F.lit(False)
     kind = F.when(backwards, F.reverse(low)).otherwise(low)
     known = F.when(kind.isNull() | kind.isin(*spec.shop_types), kind).otherwise(F.raise_error(F.concat(F.lit("unknown shop type: "), low)))
-    df = df.withColumns({"shop_type": known, "is_shop_type_reversed": backwards, LAT: F.col(LAT).cast("double"), LON: F.col(LON).cast("double")})
+    df = df.withColumns({"shop_type": known, "is_shop_type_reversed": backwards, **{c: C.must_be_finite(F.col(c).cast("double"), c) for c in (LAT, LON)}})
     theirs = tables["silver_locations"].where("not dq_business_key_collision").select("shop", F.col("id").alias("location"), F.col("country_code").alias("_country"), F.col("postcode").alias("_postcode"), F.col(LAT).alias("_lat"), F.col(LON).alias("_lon"), F.lit(True).alias("_found"))
     df = Q.join_checked(df, theirs, ["shop", "location"], "1:1")
     differs = {"postcode": C.flag(F.col("postcode") != F.col("_postcode")), "latitude": C.flag(F.abs(F.col(LAT) - F.col("_lat")) > 1e-5), "longitude": C.flag(F.abs(F.col(LON) - F.col("_lon")) > 1e-5)}
@@ -116,7 +144,7 @@ def weekly_locations(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
         "_new_lat": F.when(pair, F.col("_lat")).otherwise(F.col(LAT)), "_new_lon": F.when(pair, F.col("_lon")).otherwise(F.col(LON)),
     })
     df = df.drop("postcode", LAT, LON, "_postcode", "_lat", "_lon", "_country", "_found").withColumnsRenamed({"_new_postcode": "postcode", "_new_lat": LAT, "_new_lon": LON})
-    return df.withColumns(_coordinate_flags() | {"location_type": C.location_type(F.col("location_name")), "region": C.region(F.col("postcode"))})
+    return df.withColumns(_coordinate_flags() | {"location_type": C.location_type(F.col("location_name"), spec.national, spec.store), "region": C.region(F.col("postcode"))})
 
 
 def prices(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
@@ -134,11 +162,15 @@ def weekly_prices(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
 
 
 def nutritionals(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
-    """One row per entry of each grain's canonical label; all labels are checked first, also those not taken."""
+    """One row per entry of each grain's canonical label.
+
+    All labels are checked, also those not taken: JSON with entries, a positive finite portion with a unit, and a known unit
+    and finite number for each entry. A label that fails one fails the build.
+    """
     path, payload = "$.nutrients", "nutritional_values_std"
     df = with_shop(clean(Q.require_date(raw(tables, "nutritionals"), "download_date"), ["product_id", "shop", "country", "language"]), spec)
     df = collapse_duplicates(df.drop("shop_name"))
-    problem = labels.payload_problems(F.col(payload), path)
+    problem = labels.label_problems(F.col(payload), path, "$.portion", spec.units)
     df = df.withColumn(payload, F.when(problem.isNull(), F.col(payload)).otherwise(F.raise_error(F.concat(F.lit("label: "), problem))))
     grain = ["product_id", "shop", "country", "download_date"]
     stats = df.groupBy(*grain).agg(F.count("*").alias("_rows"), F.count_distinct(payload).alias("_payloads"), F.count_distinct("language").alias("_languages"))
@@ -166,32 +198,49 @@ def nutritionals(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
 
 
 def category_paths(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
-    """Paths of both product tables; labels composed (NFC) and stripped. Each distinct text of paths is composed once."""
+    """Paths of both product tables; labels composed (NFC) and stripped. Each distinct text of paths is parsed once."""
     rows = None
     for source in ("silver_weekly_products", "silver_products"):
-        own = tables[source].select(F.lit(source).alias("source_dataset"), *IDENTITY, "language", "categories").where("categories is not null")
+        df = tables[source]
+        origin = F.when(F.col("is_categories_enriched"), "silver_products").otherwise(source) if "is_categories_enriched" in df.columns else F.lit(source)
+        own = df.select(F.lit(source).alias("source_dataset"), *IDENTITY, "language", origin.alias("category_source_dataset"), "categories").where("categories is not null")
         rows = own if rows is None else rows.unionByName(own)
-    texts = rows.select("categories").distinct().select("categories", paths.parse_paths(C.nfc("categories")).alias("_paths"))
-    rows = rows.join(texts, "categories").withColumn("source_categories_sha256", F.sha2("categories", 256))
-    return paths.category_paths(rows, ["source_dataset", *IDENTITY, "language", "source_categories_sha256"], "_paths", spec.navigation)
+    texts = C.composed(rows.select("categories", F.col("categories").alias("_text")).distinct(), "_text").select("categories", paths.parse_paths(F.col("_text")).alias("_paths"))
+    rows = rows.join(texts, "categories").withColumns({"source_categories_sha256": F.sha2("categories", 256), "normalization_rule": F.lit(NORMALIZATION)})
+    context = F.lit(False)
+    if spec.navigation_context:
+        context = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(("shop", "country", "language"), spec.navigation_context, strict=True)))
+    keep = ["source_dataset", *IDENTITY, "language", "category_source_dataset", "source_categories_sha256", "normalization_rule"]
+    return paths.category_paths(rows, keep, "_paths", spec.navigation, context)
 
 
 def primary_categories(tables: dict[str, DataFrame], spec: Spec) -> DataFrame:
+    """A decision for each identity of the product tables and labels, by paths first and the name where these give no one answer.
+
+    The weekly table's row names a product, where it has one. Reviewed products are held back.
+    """
     spark = tables["silver_products"].sparkSession
     found = tables["silver_product_category_paths"]
-    identities = tables["silver_weekly_products"].select(*IDENTITY).unionByName(tables["silver_products"].select(*IDENTITY)).distinct()
+    identities = tables["silver_weekly_products"].select(*IDENTITY).unionByName(tables["silver_products"].select(*IDENTITY)).unionByName(tables["silver_nutritionals"].select(*IDENTITY)).distinct()
     anchors = spark.createDataFrame(list(spec.anchors), "label string, code string")
-    # Positions are counted by table; both tables' paths of an identity vote together.
-    numbered = found.withColumn("category_path_position", F.concat_ws(":", "source_dataset", F.col("category_path_position").cast("string")))
-    votes = paths.path_votes(numbered, IDENTITY, F.broadcast(anchors), spec.promotion)
-    text = tables["silver_weekly_products"].select(*IDENTITY, F.col("name").alias("_a")).join(tables["silver_products"].select(*IDENTITY, F.col("name").alias("_b")), IDENTITY, "full_outer")
-    named = text.select(*IDENTITY, F.coalesce("_a", "_b").alias("name"))
+    votes = decisions.path_votes(found, IDENTITY, F.broadcast(anchors), rules=spec.rules)  # a list of the Spec
+    weekly, other = (tables[n].select(*IDENTITY, "name", "language") for n in ("silver_weekly_products", "silver_products"))
+    named = weekly.unionByName(other.join(weekly, IDENTITY, "left_anti"))
     words = spark.createDataFrame(list(spec.names), "token string, code string")
-    decided = paths.decide(votes, IDENTITY, paths.name_codes(named, IDENTITY, "name", F.broadcast(words)))
+    readable = F.col("language").eqNullSafe(F.lit(spec.rules.language)) if spec.rules.language else None
+    names = paths.name_codes(C.composed(named, "name"), IDENTITY, "name", F.broadcast(words), where=readable)
+    decided = decisions.decide(votes, IDENTITY, names)
     rows = Q.join_checked(identities, decided, IDENTITY, "1:1")
     rows = rows.withColumns({"code": F.coalesce("code", F.lit("unclassified")), "status": F.coalesce("status", F.lit("missing_evidence"))})
-    return rows.withColumn("category_name", C.lookup(F.col("code"), {"unclassified": "Unclassified", **spec.category_names}, "category"))
+    rows = rows.withColumns({c: F.coalesce(c, decisions.texts()) for c in ("candidates", "name_codes", *decisions.EVIDENCE)} | {c: F.coalesce(c, F.lit(0)) for c in ("source_path_count", "excluded_path_count")})
+    if spec.reviewed:
+        held = spark.createDataFrame(list(spec.reviewed), "product_id string, shop string, country string, hashes array<string>")
+        rows = decisions.withhold(rows, IDENTITY, found, F.broadcast(held))
+    return rows.withColumns({"category_name": C.lookup(F.col("code"), spec.categories, "category"), "mapping_version": F.lit(spec.mapping_version)})
+
 
+#: The rule by which labels of paths are normalised; it goes with each path.
+NORMALIZATION = "category_structure_v1"
 
 SILVER = {
     "silver_products": products, "silver_locations": locations, "silver_prices": prices, "silver_nutritionals": nutritionals, "silver_weekly_products": weekly_products, "silver_weekly_locations": weekly_locations,
@@ -200,11 +249,65 @@ SILVER = {
 KEYS = {"silver_products": ["product_id"], "silver_weekly_products": IDENTITY, "silver_weekly_locations": ["shop", "location"], "silver_product_primary_categories": IDENTITY, "silver_weekly_prices": [*GRAIN, "price", "price_promo"]}
 
 
+def _fails(name: str, found: dict[str, int]) -> None:
+    Q.fail_if_any(found, name)
+
+
+def measure_silver(spec: Spec) -> dict:
+    """Contracts and metrics of each clean table, over the table as it was written."""
+
+    def weekly_products(df: DataFrame, t: dict[str, DataFrame]) -> dict:
+        _fails("weekly products", LC.enrichment_violations(df, t["weekly_prices_products"].count(), [*IDENTITY, "language"], ["name", "brand", "description", "categories"], ["product_id"]))
+        filled = df.agg(*(F.count_if(f"is_{c}_enriched").alias(f"{c}_enriched") for c in ("name", "brand", "description", "categories")), F.count_if("dq_enrichment_context_mismatch").alias("context_mismatches"))
+        return filled.first().asDict()
+
+    def weekly_prices(df: DataFrame, t: dict[str, DataFrame]) -> dict:
+        found = LC.price_metrics(df, GRAIN).first().asDict()
+        _fails("weekly prices", LC.price_violations(df, found, GRAIN))
+        raw_rows = t["weekly_prices"].count()
+        return {"raw_rows": raw_rows, "exact_duplicates_removed": raw_rows - found["rows"], **found}
+
+    def nutritionals(df: DataFrame, t: dict[str, DataFrame]) -> dict:
+        observation = ["product_id", "shop", "country", "download_date"]
+        found = LC.label_metrics(df, observation)
+        chosen = df.groupBy(*observation).agg(F.max("nutrient_count").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()["rows"]
+        labelled = with_shop(clean(raw(t, "nutritionals"), ["product_id", "shop", "country"]), spec).select(*observation).distinct().count()
+        _fails("nutritionals", LC.label_violations(df, found, spec.units, chosen, labelled))
+        return found
+
+    def category_paths(df: DataFrame, t: dict[str, DataFrame]) -> dict:
+        size = lambda n: t[n].agg(F.coalesce(F.sum(F.size(F.from_json("categories", paths.PATHS))), F.lit(0))).first()[0]
+        expected = {n: int(size(n)) if t[n].where("categories is not null").count() else 0 for n in ("silver_products", "silver_weekly_products")}
+        _fails("category paths", LC.path_violations(df, sum(expected.values()), ["source_dataset", "product_id", "category_path_position"]))
+        flags = df.agg(*(F.count_if(c).alias(c) for c in paths.STRUCTURAL)).first().asDict()
+        return {f"{n}_paths": v for n, v in expected.items()} | flags
+
+    def primary_categories(df: DataFrame, t: dict[str, DataFrame]) -> dict:
+        _fails("primary categories", LC.decision_violations(df, IDENTITY, spec.categories, spec.mapping_version))
+        return {r["status"]: r["count"] for r in df.groupBy("status").count().collect()}
+
+    return {"silver_weekly_products": weekly_products, "silver_weekly_prices": weekly_prices, "silver_nutritionals": nutritionals, "silver_product_category_paths": category_paths, "silver_product_primary_categories": primary_categories}
+
+
 def silver_jobs(spec: Spec) -> list[Job]:
+    measures = measure_silver(spec)
+
     def check(name: str):
         return lambda df: Q.require_unique(df, KEYS[name], name) if name in KEYS else None
 
-    return [Job(name, lambda t, f=f: f(t, spec), check(name)) for name, f in SILVER.items()]
+    return [Job(name, lambda t, f=f: f(t, spec), check(name), measures.get(name, lambda df, t: {"rows": df.count()})) for name, f in SILVER.items()]
+
+
+def check_silver(spec: Spec):
+    """The contracts between the clean tables, for publish: shops of the domain, decisions, and joins that neither multiply nor lose rows."""
+
+    def check(t: dict[str, DataFrame]) -> dict:
+        _fails("shops", LC.code_violations({n: t[n] for n in SILVER if "shop_name" in t[n].columns}, spec.shops))
+        violations, metrics = LC.cross_table(t["silver_weekly_prices"], t["silver_weekly_products"], t["silver_weekly_locations"], t["silver_nutritionals"])
+        _fails("clean tables", violations)
+        return metrics
+
+    return check
 
 
 def dim_date(t: dict[str, DataFrame], spec: Spec) -> DataFrame:
@@ -281,14 +384,29 @@ def gold_jobs(spec: Spec) -> list[Job]:
     return [Job(name, lambda t, f=f: f(t, spec)) for name, f in GOLD.items()]
 
 
-def check_gold(t: dict[str, DataFrame]) -> None:
-    """The mart's contracts over its published tables."""
+def gold_violations(t: dict[str, DataFrame], market: str, location_types: Sequence[str] = (C.NATIONAL, C.STORE)) -> dict[str, dict[str, int]]:
+    """Each contract of the mart and how often it is broken, over published tables."""
     dims = {"product_key": t["dim_product"], "shop_key": t["dim_shop"], "date_key": t["dim_date"]}
-    MC.check_mart(
-        prices=MC.fact_violations(t["fact_weekly_prices"], ["product_key", "shop_key", "location_key", "date_key", "source_product_id"], dims | {"location_key": t["dim_location"]}),
-        nutrition=MC.fact_violations(t["fact_product_nutrition"], ["product_key", "date_key", "nutrient_key", "nutrition_basis"], dims | {"nutrient_key": t["dim_nutrient"]}),
-        bridge=MC.bridge_violations(t["bridge_product_category"], t["dim_product"], t["dim_category"], "product_key", "category_key"),
-        locations=MC.scope_violations(t["fact_weekly_prices"], t["dim_location"], "location_key", domain={"location_type": ["Store", "National"]}),
-        latest=MC.latest_violations(t["fact_product_nutrition"], ["product_key", "nutrient_key"], "date_key"),
-        product=Q.dimension_violations(t["dim_product"], "product_key", ["shop", "country", "product_id"], -1).first().asDict(),
-    )
+    prices, nutrition = t["fact_weekly_prices"], t["fact_product_nutrition"]
+    used = lambda key: prices.select(key).unionByName(nutrition.select(key)).distinct()
+    known = t["dim_product"].where("product_key != -1")
+    of_shops = prices.groupBy("source_product_id").agg((F.min("shop_key") != F.max("shop_key")).alias("several"))
+    return {
+        "prices": MC.fact_violations(prices, ["product_key", "shop_key", "location_key", "date_key", "source_product_id"], dims | {"location_key": t["dim_location"]}),
+        "nutrition": MC.fact_violations(nutrition, ["product_key", "date_key", "nutrient_key", "nutrition_basis"], dims | {"nutrient_key": t["dim_nutrient"]}),
+        "bridge": MC.bridge_violations(t["bridge_product_category"], t["dim_product"], t["dim_category"], "product_key", "category_key"),
+        "locations": MC.scope_violations(prices, t["dim_location"], "location_key", domain={"location_type": list(location_types)}),
+        "latest": MC.latest_violations(nutrition, ["product_key", "nutrient_key"], "date_key"),
+        "product": Q.dimension_violations(t["dim_product"], "product_key", ["shop", "country", "product_id"], -1).first().asDict(),
+        "scope": {
+            "products of another market": known.where(~F.col("country").eqNullSafe(F.lit(market))).count(), "ids in several shops": of_shops.where("several").count(),
+            "products unused": known.join(used("product_key"), "product_key", "left_anti").count(), "shops unused": t["dim_shop"].join(used("shop_key"), "shop_key", "left_anti").count(),
+            "nutrients unused": t["dim_nutrient"].join(nutrition, "nutrient_key", "left_anti").count(), "inferred products with evidence": known.where("is_inferred and category_status != 'missing_evidence'").count(),
+            "locations without a type": t["dim_location"].where("location_type is null").count(),
+        },
+    }
+
+
+def check_gold(t: dict[str, DataFrame], market: str = "be", location_types: Sequence[str] = (C.NATIONAL, C.STORE)) -> None:
+    """The mart's contracts over its published tables."""
+    MC.check_mart(**gold_violations(t, market, location_types))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import columns as C
 from granary.operators import contracts as Q
-from granary.operators import enrich, labels, paths
+from granary.operators import decisions, enrich, labels, paths
 from granary.operators import profiling as P
 from granary.operators.calendar import date_dimension
 from granary.operators.keys import attach_key, surrogate_keys, unique_match, with_unknown
@@ -260,7 +260,7 @@ flagged AS (SELECT *, len(path) AS depth, path = other AS dup, len(path) < len(o
 
 
 @query(f"""WITH {_PATHS_SQL} SELECT CAST(position AS INTEGER) AS category_path_position, CAST(depth AS INTEGER) AS category_path_depth,
-  CASE WHEN repeated THEN 'repeated_label' WHEN dup THEN 'duplicate' WHEN is_prefix THEN 'prefix' ELSE 'unmapped' END AS path_review_status, count(*) AS n FROM flagged GROUP BY ALL""")
+  CASE WHEN repeated THEN 'repeated_label_review_required' WHEN dup THEN 'duplicate_path_occurrence' WHEN is_prefix THEN 'ancestor_path' ELSE 'unmapped' END AS path_review_status, count(*) AS n FROM flagged GROUP BY ALL""")
 def category_paths(t: Tables) -> DataFrame:
     rows = paths.category_paths(page_paths(t), ["page_id"], "paths")
     return rows.groupBy("category_path_position", "category_path_depth", "path_review_status").agg(F.count("*").alias("n"))
@@ -281,9 +281,9 @@ SELECT coalesce(code, by_name, 'unclassified') AS code, CASE WHEN code IS NULL A
 def evidence_decision(t: Tables) -> DataFrame:
     anchors = t.spark.createDataFrame([("en", "germanic"), ("de", "germanic"), ("fr", "romance")], "label string, code string")
     names = t.spark.createDataFrame([("en", "germanic"), ("de", "germanic"), ("fr", "romance"), ("es", "romance")], "name string, code string")
-    votes = paths.path_votes(paths.category_paths(page_paths(t), ["page_id"], "paths"), ["page_id"], F.broadcast(anchors))
+    votes = decisions.path_votes(paths.category_paths(page_paths(t), ["page_id"], "paths"), ["page_id"], F.broadcast(anchors))
     named = t.pages.select("page_id", F.regexp_extract("html", '<html lang="([a-z]+)"', 1).alias("name")).join(F.broadcast(names), "name").select("page_id", F.array("code").alias("name_codes"))
-    return paths.decide(votes, ["page_id"], named).groupBy("code", "status", "basis").agg(F.count("*").alias("n"))
+    return decisions.decide(votes, ["page_id"], named).groupBy("code", "status", "basis").agg(F.count("*").alias("n"))
 
 
 _TOKENS_SQL = "tok AS (SELECT doc_id, lang, unnest(list_distinct(regexp_extract_all(lower(nfc_normalize(text)), '[a-zà-ÿ]{4,}'))) AS token FROM documents)"
@@ -294,14 +294,14 @@ mined AS (SELECT token, code, support, top FROM best WHERE support >= 20 AND top
 
 @query(f"WITH {_TOKENS_SQL}, {_MINED_SQL.format(source='tok')} SELECT token, code, support, top FROM mined")
 def token_mining(t: Tables) -> DataFrame:
-    return paths.mine_tokens(t.documents.select("lang", C.nfc("text").alias("text")), "text", "lang")
+    return paths.mine_tokens(C.composed(t.documents.select("lang", "text"), "text"), "text", "lang")
 
 
 @query(f"""WITH {_TOKENS_SQL}, train AS (SELECT * FROM tok WHERE doc_id % 2 = 0), {_MINED_SQL.format(source='train')},
 named AS (SELECT doc_id, lang, count(DISTINCT code) AS n, min(code) AS code FROM tok JOIN mined USING (token) WHERE doc_id % 2 = 1 GROUP BY ALL)
 SELECT lang, count(*) AS documents, count(*) FILTER (WHERE n = 1) AS decided, count(*) FILTER (WHERE n = 1 AND code = lang) AS agreed FROM (SELECT doc_id, d.lang, n, code FROM documents d LEFT JOIN named USING (doc_id) WHERE doc_id % 2 = 1) GROUP BY lang""")
 def holdout_agreement(t: Tables) -> DataFrame:
-    docs = t.documents.select("doc_id", "lang", C.nfc("text").alias("text"))
+    docs = C.composed(t.documents.select("doc_id", "lang", "text"), "text")
     even = F.col("doc_id") % 2 == 0
     words = paths.mine_tokens(docs.where(even), "text", "lang")
     held = docs.where(~even)
@@ -319,7 +319,7 @@ def rule_what_if(t: Tables) -> DataFrame:
     rows = paths.category_paths(page_paths(t), ["page_id"], "paths")
 
     def decided(anchors: list, name: str) -> DataFrame:
-        votes = paths.path_votes(rows, ["page_id"], F.broadcast(t.spark.createDataFrame(anchors, "label string, code string")))
+        votes = decisions.path_votes(rows, ["page_id"], F.broadcast(t.spark.createDataFrame(anchors, "label string, code string")))
         return votes.select("page_id", F.when(F.size("candidates") == 1, F.get("candidates", F.lit(0))).alias(name))
 
     both = decided(now, "before").join(decided([*now, ("es", "romance")], "after"), "page_id")
@@ -356,7 +356,7 @@ def pivot_status(t: Tables) -> DataFrame:
 
 
 @query("""SELECT region, type, outside, count(*) AS n FROM (SELECT CASE WHEN z BETWEEN 1000 AND 1299 THEN 'Brussels' WHEN z BETWEEN 1300 AND 1499 OR z BETWEEN 4000 AND 7999 THEN 'Wallonia' WHEN z BETWEEN 1500 AND 3999 OR z BETWEEN 8000 AND 9999 THEN 'Flanders' END AS region,
-  CASE WHEN c_acctbal < 0 THEN 'National' ELSE 'Store' END AS type, NOT (lat BETWEEN 49.4::DOUBLE AND 53.6::DOUBLE) AS outside FROM (SELECT c_acctbal, c_custkey AS z, 45 + c_nationkey / 2.0::DOUBLE AS lat FROM customer)) GROUP BY ALL""")
+  CASE WHEN c_acctbal < 0 THEN 'National price (online)' ELSE 'Store' END AS type, NOT (lat BETWEEN 49.4::DOUBLE AND 53.6::DOUBLE) AS outside FROM (SELECT c_acctbal, c_custkey AS z, 45 + c_nationkey / 2.0::DOUBLE AS lat FROM customer)) GROUP BY ALL""")
 def geography_rules(t: Tables) -> DataFrame:
     rows = t.customer.select(C.region(F.col("c_custkey").cast("string")).alias("region"), C.location_type(F.when(F.col("c_acctbal") < 0, " Default ")).alias("type"), C.outside_box(45 + F.col("c_nationkey") / 2.0, F.lit(4.0)).alias("outside"))
     return rows.groupBy("region", "type", "outside").agg(F.count("*").alias("n"))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary.operators import contracts as Q
-from granary.operators import enrich, keys, labels, mart, paths
+from granary.operators import decisions, enrich, keys, labels, mart, paths
 from granary.operators import mart_contracts as MC
 from granary.operators.facts import lag_ratios, reference_ratio, weekly_fact
 from granary.operators.versions import canonical, latest_flag, price_versions
@@ -104,12 +104,12 @@ def test_energy(spark, kj, kcal, mismatch):
 def test_category_paths(spark):
     df = spark.createDataFrame([(1, [["a"], ["a", "b"], [" a", "b "], ["c", "c"]]), (2, [["nav", "x"]]), (3, [["x"], ["y"]])], "id int, paths array<array<string>>")
     got = rows(paths.category_paths(df, ["id"], "paths", ["nav"]), "id", "category_path_position")
-    assert [r["path_review_status"] for r in got] == ["prefix", "duplicate", "duplicate", "repeated_label", "navigation", "multiple_branches", "multiple_branches"]
+    assert [r["path_review_status"] for r in got] == ["ancestor_path", "duplicate_path_occurrence", "duplicate_path_occurrence", "repeated_label_review_required", "navigation_review_required", "multiple_branches_review_required", "multiple_branches_review_required"]
     assert [r["maximal_path_count"] for r in got] == [2, 2, 2, 2, 1, 2, 2]
     assert got[2]["category_path_normalized"] == ["a", "b"] and got[2]["category_path"] == [" a", "b "]
 
 
-@pytest.mark.parametrize("bad", ["{", "[[null]]", "[[]]", '["a"]', "[null]"])
+@pytest.mark.parametrize("bad", ["{", "[[null]]", "[[]]", '["a"]', "[null]", "[]", '[[" "]]', "[[1,2]]", '[["a",{"b":1}]]', '[["a"]] trailing', '[["a"],[]]', '[["a",null]]', "{}", '"a"', "1", '[["a", true]]'])
 def test_malformed_paths_fail(spark, bad):
     with pytest.raises(Exception, match="malformed paths"):
         spark.createDataFrame([(bad,)], "p string").select(paths.parse_paths(F.col("p"))).collect()
@@ -119,7 +119,7 @@ def test_decisions(spark):
     none = []
     votes = [(1, ["a"], 2, 0), (2, ["a", "b"], 2, 0), (3, ["a", "b"], 2, 0), (4, none, 2, 2), (5, none, 2, 1), (6, none, 1, 0)]
     names = [(1, ["b"]), (2, ["b"]), (3, ["c"]), (6, ["d"]), (7, ["e"]), (8, ["e", "f"])]
-    got = rows(paths.decide(spark.createDataFrame(votes, "id int, candidates array<string>, source_path_count long, excluded_path_count long"), ["id"], spark.createDataFrame(names, "id int, name_codes array<string>")), "id")
+    got = rows(decisions.decide(spark.createDataFrame(votes, "id int, candidates array<string>, source_path_count long, excluded_path_count long"), ["id"], spark.createDataFrame(names, "id int, name_codes array<string>")), "id")
     assert [(r["code"], r["status"], r["basis"]) for r in got] == [
         ("a", "classified", "paths"), ("b", "classified", "name_breaks_path_conflict"), ("unclassified", "conflicting_evidence", None), ("unclassified", "excluded_evidence", None),
         ("unclassified", "no_supported_match", None), ("d", "classified", "name"), ("e", "classified", "name"), ("unclassified", "missing_evidence", None),
@@ -128,7 +128,7 @@ def test_decisions(spark):
 
 def test_precedence_first_rule_wins(spark):
     df = spark.createDataFrame([(["a", "b"],), (["a", "c"],), (["a"],), (["a", "b", "z"],)], "c array<string>")
-    got = [r[0] for r in df.select(paths.precedence(F.col("c"), [("b", ["a", "b"]), ("a", ["a", "b", "c"])])).collect()]
+    got = [r[0] for r in df.select(decisions.precedence(F.col("c"), [("b", ["a", "b"]), ("a", ["a", "b", "c"])])).collect()]
     assert got == [["b"], ["a"], ["a"], ["a", "b", "z"]]
 
 
@@ -175,3 +175,8 @@ def test_entity_dimension(spark):
     assert [(r["category_code"], r["category_status"]) for r in decided] == [("unclassified", "unknown_product"), ("c", "classified"), ("unclassified", "missing_evidence"), ("unclassified", "missing_evidence")]
     recovered = mart.recover(spark.createDataFrame([("x", "be"), ("y", "be")], "id string, ctx string"), spark.createDataFrame([("x", "nl", "n"), ("y", "nl", "n"), ("y", "fr", "n")], "id string, ctx string, name string"), ["id"], "ctx", ["name"])
     assert [tuple(r) for r in recovered.collect()] == [("x", "be", "n")]
+
+
+def test_sound_paths(spark):
+    for text, want in (('[["a"]]', [["a"]]), (' [ [ "a" , "b\\"c]" ] ,["é\\u00e9"]]\n', [["a", 'b"c]'], ["éé"]]), (None, None), ('[["' + "x" * 200_000 + '"]]', [["x" * 200_000]])):
+        assert spark.createDataFrame([(text,)], "p string").select(paths.parse_paths(F.col("p"))).first()[0] == want

@@ -3,7 +3,6 @@ import json
 import pytest
 
 from granary.operators.contracts import ContractError, require_unique
-from granary.plans import cli
 from granary.plans.fingerprint import compare, measure, update_baseline
 from granary.plans.publish import Job, PublishError, Store, load, publish
 from granary.sources.tables import describe_files, literal, read_table, register, same_rows, write_verified
@@ -53,8 +52,11 @@ def test_failures_leave_the_published_set(spark, tmp_path, source, monkeypatch):
     monkeypatch.undo()
     assert load(spark, target)["a"].agg({"x": "max"}).first()[0] == 18
     assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith((".staging", ".backup"))]
-    with pytest.raises(PublishError, match="overlaps"):
-        publish(spark, f"{tmp_path}/in/out", source, jobs())
+    (tmp_path / "link").symlink_to(tmp_path / "in")
+    for inside in (f"{tmp_path}/in/out", f"{tmp_path}/x/../in/out", f"file://{tmp_path}/in", f"{tmp_path}/link/out", str(tmp_path)):
+        with pytest.raises(PublishError, match="overlaps"):
+            publish(spark, inside, source, jobs())
+    publish(spark, f"{tmp_path}/in-beside", source, jobs())
 
 
 def test_changed_input_is_noticed(spark, tmp_path, source):
@@ -66,6 +68,27 @@ def test_changed_input_is_noticed(spark, tmp_path, source):
         publish(spark, f"{tmp_path}/out", source, [Job("a", build)])
 
 
+def test_changed_code_and_contents_are_noticed(spark, tmp_path, source):
+    versions = iter(["v1", "v2"])
+    with pytest.raises(PublishError, match="code changed"):
+        publish(spark, f"{tmp_path}/out", source, jobs(), code=lambda: next(versions))
+    manifest = publish(spark, f"{tmp_path}/out", source, jobs(), code=lambda: "v3", hashed=True)
+    assert manifest["code"] == "v3" and load(spark, f"{tmp_path}/out", "v3")["a"].count() == 10
+    said = json.loads((tmp_path / "out/_manifest.json").read_text())
+    said["tables"]["a"]["fingerprint"]["hash_xor"] += 1
+    (tmp_path / "out/_manifest.json").write_text(json.dumps(said))
+    for crc in (tmp_path / "out").glob("._manifest*"):
+        crc.unlink()
+    with pytest.raises(PublishError, match="other contents"):
+        load(spark, f"{tmp_path}/out")
+
+
+def test_measures_go_to_the_manifest(spark, tmp_path, source):
+    job = Job("a", lambda t: t["numbers"], measure=lambda df, t: {"rows": df.count(), "of": t["numbers"].count()})
+    manifest = publish(spark, f"{tmp_path}/out", source, [job], cross_check=lambda t: {"tables": len(t)})
+    assert manifest["tables"]["a"]["metrics"] == {"rows": 10, "of": 10} and manifest["metrics"] == {"tables": 2}
+
+
 def test_baseline(spark, tmp_path):
     df = spark.range(5)
 
@@ -83,14 +106,6 @@ def test_baseline(spark, tmp_path):
         update_baseline(now(invariant=lambda: 1), tmp_path / "b.json")
 
 
-def test_cli(spark, tmp_path, capsys):
-    target, base = f"{tmp_path}/mart", f"{tmp_path}/base.json"
-    assert cli.main(["verify", "--target", target]) == 1
-    assert cli.main(["build", "--input", "/root/testdata/sf0.001", "--target", target]) == 0
-    assert cli.main(["parity", "--target", target, "--baseline", base, "--update-baseline"]) == 0
-    assert cli.main(["parity", "--target", target, "--baseline", base]) == 0
-
-
 def test_sources(spark, tmp_path):
     df = literal(spark, [(2, "b"), (1, "a"), (3, None)], "k int, v string")
     back = write_verified(df, f"{tmp_path}/t.parquet", ["k"], ["k"])
