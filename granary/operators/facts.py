@@ -7,25 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions.columns import n_values
+from granary.functions.columns import flag, n_values
 
 
 def weekly_fact(obs: DataFrame, grain: Sequence[str], price: str = "price", promo: str = "price_promo") -> DataFrame:
     """One row per grain. A value is given only where all versions of the week agree; ranges and counts always.
 
-    Distinct counts are over the few versions of one grain, taken from sets in one shuffle.
+    Whether versions agree, and how many there are where a grain has two rows at most, follows from the least and the
+    greatest value, in one hash aggregate. Values are counted in sets only for grains of more rows that differ, which are few;
+    where nothing asks for the numbers of versions, the optimizer leaves that join out.
     """
     promotion = F.col(promo) < F.col(price)
     rows = obs.select(*grain, F.col(price).alias("regular"), F.col(promo).alias("promo"), F.coalesce(promotion, F.lit(False)).alias("on"))
     rows = rows.withColumn("effective", F.when(F.col("on"), F.col("promo")).otherwise(F.col("regular")))
     kinds = ("regular", "promo", "effective")
     agg = rows.groupBy(*grain).agg(
-        F.count("*").alias("price_observation_versions"),
-        *(n_values(F.col(k)).alias(f"{k}_price_versions") for k in kinds),
-        *(f(F.col(k)).alias(f"{k}_price_{s}") for k in kinds for s, f in (("min", F.min), ("max", F.max))),
+        F.count("*").alias("price_observation_versions"), *(f(F.col(k)).alias(f"{k}_price_{s}") for k in kinds for s, f in (("min", F.min), ("max", F.max))),
         F.bool_and("on").alias("all_on"), F.bool_or("on").alias("any_on"),
     )
-    one = lambda k: F.col(f"{k}_price_versions") == 1
+    differ = lambda k: F.col(f"{k}_price_min") != F.col(f"{k}_price_max")
+    several = agg.where((F.col("price_observation_versions") > 2) & (differ("regular") | differ("promo") | differ("effective"))).select(*grain)
+    counted = rows.join(several, list(grain), "left_semi").groupBy(*grain).agg(*(n_values(F.col(k)).alias(f"_{k}") for k in kinds))
+    agg = agg.join(counted, list(grain), "left")
+    versions = lambda k: F.coalesce(f"_{k}", F.when(F.col(f"{k}_price_min").isNull(), 0).when(differ(k), 2).otherwise(1).cast("long"))
+    agg = agg.withColumns({f"{k}_price_versions": versions(k) for k in kinds})
+    one = lambda k: F.col(f"{k}_price_min") == F.col(f"{k}_price_max")
     state = F.when(F.col("all_on") == F.col("any_on"), F.col("any_on"))
     promoted = state & one("promo")
     both = promoted & one("regular")
@@ -40,8 +46,8 @@ def weekly_fact(obs: DataFrame, grain: Sequence[str], price: str = "price", prom
         *(f"{k}_price_{s}" for k in kinds for s in ("min", "max")),
         "price_observation_versions", *(f"{k}_price_versions" for k in kinds),
         state.alias("is_promotion"),
-        (F.col("regular_price_versions") > 1).alias("has_intraweek_price_variation"),
-        (F.col("effective_price_versions") > 1).alias("has_effective_price_variation"),
+        flag(differ("regular")).alias("has_intraweek_price_variation"),
+        flag(differ("effective")).alias("has_effective_price_variation"),
         (F.col("all_on") != F.col("any_on")).alias("promotion_state_conflict"),
     )
 
@@ -74,7 +80,10 @@ def reference_ratio(fact: DataFrame, keys: Sequence[str], place: str, reference,
     return fact.join(base, list(keys), "left").withColumn(name, F.when(F.col(place) != reference, log_ratio(F.col(column), F.col("_base")))).drop("_base")
 
 
-def matched_change(df: DataFrame, by: Sequence[str], column: str, least: int = 500) -> DataFrame:
-    """Geometric mean change of a log ratio, null below `least` pairs, and the number of pairs."""
-    n = F.count(column)
-    return df.groupBy(*by).agg(n.alias("pairs"), F.when(n >= least, F.exp(F.avg(column)) - 1).alias("change"))
+def matched_changes(df: DataFrame, by: Sequence[str], columns: dict[str, str], least: int = 500) -> DataFrame:
+    """For each name and column of log ratios: the geometric mean change, null below `least` pairs, and the number of pairs (name_pairs); one aggregate for all."""
+    aggs = []
+    for name, column in columns.items():
+        n = F.count(column)
+        aggs += [n.alias(f"{name}_pairs"), F.when(n >= least, F.exp(F.avg(column)) - 1).alias(name)]
+    return df.groupBy(*by).agg(*aggs)

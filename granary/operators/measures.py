@@ -19,14 +19,86 @@ def share(a: Column, b: Column) -> Column:
 
 
 def overview(fact: DataFrame, by: Sequence[str], product: str = "product_id", location: str = "location", week: str = "week") -> DataFrame:
-    """Observations, observed members and promotions of each group."""
+    """Observations, observed members and promotions of each group.
+
+    Rows are first brought to one for each product of a group, which combines before the shuffle; places and weeks are
+    counted from distinct pairs, so that no row is expanded once for each count.
+    """
     on = F.col("is_promotion")
-    agg = fact.groupBy(*by).agg(
-        F.count("*").alias("price_observations"), F.count_distinct(product).alias("observed_products"), F.count_distinct(location).alias("observed_locations"), F.count_distinct(week).alias("observed_weeks"),
-        F.count_if(on).alias("promotion_observations"), F.count_distinct(F.when(on, F.col(product))).alias("products_on_promotion"),
-        F.round(F.avg(F.when(on, F.col("discount_pct"))), 6).alias("average_promo_depth"), F.min(week).alias("first_week"),
+    per = fact.groupBy(*by, product).agg(
+        F.count("*").alias("n"), F.count_if(on).alias("on"), F.sum(F.when(on, F.col("discount_pct"))).alias("depth"), F.count(F.when(on, F.col("discount_pct"))).alias("deep"), F.min(week).alias("first_week"),
+    )
+    products = per.groupBy(*by).agg(
+        F.sum("n").alias("price_observations"), F.count(product).alias("observed_products"), F.sum("on").alias("promotion_observations"), F.count_if((F.col("on") > 0) & F.col(product).isNotNull()).alias("products_on_promotion"),
+        F.round(F.try_divide(F.sum("depth"), F.sum("deep")), 6).alias("average_promo_depth"), F.min("first_week").alias("first_week"),
     )
-    return agg.withColumns({"promotion_rate": share(F.col("promotion_observations"), F.col("price_observations")), "share_of_products_promoted": share(F.col("products_on_promotion"), F.col("observed_products"))})
+    out = products.withColumns({"promotion_rate": share(F.col("promotion_observations"), F.col("price_observations")), "share_of_products_promoted": share(F.col("products_on_promotion"), F.col("observed_products"))})
+    return _beside(out, observed(fact, by, {"observed_locations": location, "observed_weeks": week}), by)
+
+
+def observed(fact: DataFrame, by: Sequence[str], members: dict[str, str]) -> DataFrame:
+    """How many values of each column (name -> column) a group has, from distinct pairs of group and value."""
+    out = None
+    for name, column in members.items():
+        pairs = fact.select(*by, F.col(column).alias("_member")).distinct()
+        own = pairs.groupBy(*by).agg(F.count("_member").alias(name))
+        out = own if out is None else _beside(out, own, by)
+    return out
+
+
+def _beside(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Two tables of one row a group side by side; null groups are groups."""
+    if not by:
+        return a.crossJoin(b)  # a row each
+    renamed = b.withColumnsRenamed({c: f"_b_{c}" for c in by})
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
+    return a.join(renamed, same, "left").drop(*(f"_b_{c}" for c in by))
+
+
+def first_observation(fact: DataFrame, by: Sequence[str], week: str = "week") -> DataFrame:
+    """The earliest date of each group's rows, whatever dates are asked about elsewhere: those of the rows themselves count."""
+    return fact.groupBy(*by).agg(F.min(week).alias("first_observation"))
+
+
+def products_index(fact: DataFrame, by: Sequence[str], week: str = "week", product: str = "product_id") -> DataFrame:
+    """Products of every week of each group, and as an index to those of the group's first week (100).
+
+    Weeks are few beside rows: their products are counted once, and the first week's count joins them back.
+    """
+    weekly = fact.select(*by, week, product).distinct().groupBy(*by, week).agg(F.count(product).alias("observed_products"))
+    base = weekly.groupBy(*by).agg(F.min_by("observed_products", week).alias("_base"))
+    rows = _beside(weekly, base, by)
+    return rows.withColumn("observed_products_index", share(F.col("observed_products"), F.col("_base")) * 100).drop("_base")
+
+
+def usable_products(labels: DataFrame, by: Sequence[str], product: str = "product_key", usable: str = "is_value_usable") -> DataFrame:
+    """Products with a usable label entry in each group."""
+    return labels.where(F.col(usable)).select(*by, product).distinct().groupBy(*by).agg(F.count(product).alias("products_with_usable_labels"))
+
+
+def average_value(
+    labels: DataFrame, by: Sequence[str], entry: str, value: str, basis: str = "nutrition_basis", usable: str = "is_value_usable", latest: str = "is_latest_observation", per: str = "per_100g",
+) -> DataFrame:
+    """The average value per 100 g of each group that has one entry only: usable ones of each product's latest observation."""
+    wanted = F.col(usable) & F.col(latest) & (F.col(basis) == per)
+    rows = labels.groupBy(*by).agg(F.min(entry).alias("_a"), F.max(entry).alias("_b"), F.avg(F.when(wanted, F.col(value))).alias("_v"))
+    return rows.select(*by, F.when(F.col("_a") == F.col("_b"), F.col("_v")).alias("average_value_per_100g"))
+
+
+# Colours of bars.
+TEAL, LIGHT_TEAL, GREY = "#12A19B", "#A8DCD9", "#B4B2A9"
+
+
+def category_colour(category: Column, muted: Sequence[str] = ("Other / Unclassified", "Non-FMCG / General Merchandise")) -> Column:
+    """Grey for groups that say nothing; where there is no one category the colour is that of all others."""
+    return F.when(category.isin(*muted), GREY).otherwise(TEAL)
+
+
+def premium_colour(index: Column, above: float = 0.01) -> Column:
+    """Teal above the reference price, light at or below it and where there is no index."""
+    return F.when(index > above, TEAL).otherwise(LIGHT_TEAL)
 
 
 def per_week(fact: DataFrame, by: Sequence[str], week: str = "week", product: str = "product_id") -> DataFrame:

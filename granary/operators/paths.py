@@ -103,3 +103,24 @@ def name_codes(df: DataFrame, identity: Sequence[str], text: str, vocabulary: Da
     rows = df if where is None else df.where(where)
     words = rows.select(*identity, F.explode(tokens(F.col(text), least)).alias("token")).join(vocabulary.select("token", "code"), "token")
     return words.groupBy(*identity).agg(F.array_sort(F.collect_set("code")).alias("name_codes"), F.array_sort(F.collect_set(F.concat(F.lit("name:"), "token"))).alias("name_rules"))
+
+
+def leave_one_out(df: DataFrame, key: str, text: str, code: str, group: str, support: int = 20, purity: float = 0.98, least: int = 4) -> DataFrame:
+    """Per group: rows, those that words mined from all other groups decide, and those of these that agree with their own code.
+
+    Words are counted once over all groups; what a group has itself is taken off for its own vocabulary, so there is one
+    pass whatever the number of groups. Ties of the leading code go to the least.
+    """
+    rows = df.where(F.col(group).isNotNull()).select(key, F.col(code).alias("code"), F.col(group).alias("group"), F.explode_outer(tokens(F.col(text), least)).alias("token"))
+    words = rows.where("token is not null")
+    own = words.groupBy("group", "token", "code").agg(F.count("*").alias("own"))
+    every = own.groupBy("token", "code").agg(F.sum("own").alias("n"))
+    asked = own.select("group", "token").distinct().join(every, "token").join(own, ["group", "token", "code"], "left")
+    asked = asked.withColumn("n", F.col("n") - F.coalesce("own", F.lit(0))).where("n > 0")
+    best = asked.groupBy("group", "token").agg(F.sum("n").alias("support"), F.min(F.struct((-F.col("n")).alias("n"), "code")).alias("best"))
+    mined = best.where((F.col("support") >= support) & (-F.col("best.n") >= purity * F.col("support"))).select("group", "token", F.col("best.code").alias("_code"))
+    named = words.join(mined, ["group", "token"]).groupBy(key, "group", "code").agg(F.min("_code").alias("a"), F.max("_code").alias("b"))
+    decided = named.groupBy("group").agg(F.count_if(F.col("a") == F.col("b")).alias("decided"), F.count_if((F.col("a") == F.col("b")) & (F.col("a") == F.col("code"))).alias("agreed"))
+    total = df.where(F.col(group).isNotNull()).groupBy(F.col(group).alias("group")).agg(F.count("*").alias("documents"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return total.join(decided, "group", "left").select(F.col("group").alias(group), "documents", zero("decided"), zero("agreed"))

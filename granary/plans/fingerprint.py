@@ -6,13 +6,13 @@ import json
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """Rows, the sum and the exclusive or of row hashes: equal for equal contents in any order and layout."""
-    h = F.xxhash64(*sorted(df.columns))
+def fingerprint(df: DataFrame, row_hash: Callable[..., Column] = F.xxhash64) -> DataFrame:
+    """Rows, the sum and the exclusive or of row hashes: equal for equal contents in any order and layout. row_hash: of the columns by name."""
+    h = row_hash(*(F.col(c) for c in sorted(df.columns)))
     return df.select(h.alias("h")).agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("hash_sum"), F.coalesce(F.bit_xor("h"), F.lit(0)).alias("hash_xor"))
 
 

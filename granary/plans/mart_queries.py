@@ -70,22 +70,38 @@ def category_bridge_profile(t: Tables) -> DataFrame:
     return dim.join(per, "category_key").groupBy(F.col("category_path_depth").cast("bigint").alias("category_path_depth")).agg(F.count("*").alias("categories"), F.sum("m").alias("memberships"))
 
 
-@query("SELECT * FROM (VALUES ('bridge', 0::BIGINT), ('fact', 0), ('latest', 0), ('reconciled', 0)) v(contract, violations)")
+@query("""WITH items AS (SELECT l_orderkey AS o, l_partkey AS p, l_suppkey AS s, l_shipdate AS d FROM lineitem),
+bridge AS (SELECT p, s FROM items UNION ALL SELECT p, s FROM items WHERE s % 7 = 0 UNION ALL SELECT -1, s FROM items WHERE s % 5 = 0),
+facts AS (SELECT CASE WHEN p % 11 = 0 THEN -1 WHEN p % 13 = 0 THEN -p ELSE p END AS p, s, o FROM items),
+latest AS (SELECT s, d, d = max(d) OVER (PARTITION BY s) OR p % 3 = 0 AS is_latest FROM items WHERE s % 2 = 0 UNION ALL SELECT s, d, FALSE FROM items WHERE s % 2 = 1)
+SELECT 'bridge' AS contract, 'repeated memberships' AS rule, (SELECT count(*) FROM (SELECT 1 FROM bridge GROUP BY p, s HAVING count(*) > 1)) AS violations
+UNION ALL SELECT 'bridge', 'members unknown', (SELECT count(*) FROM bridge ANTI JOIN part ON p = p_partkey)
+UNION ALL SELECT 'bridge', 'categories unknown', (SELECT count(*) FROM bridge WHERE s NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 <> 0))
+UNION ALL SELECT 'bridge', 'categories unused', (SELECT count(*) FROM supplier WHERE s_suppkey % 3 <> 0 AND s_suppkey NOT IN (SELECT s FROM bridge))
+UNION ALL SELECT 'bridge', 'Unknown in the bridge', (SELECT count(*) FROM bridge WHERE p = -1)
+UNION ALL SELECT 'fact', 'repeated grain', (SELECT count(*) FROM (SELECT 1 FROM facts GROUP BY p, s HAVING count(*) > 1))
+UNION ALL SELECT 'fact', 'p orphans', (SELECT count(*) FROM facts WHERE p < 0)
+UNION ALL SELECT 'fact', 'p unknown', (SELECT count(*) FROM facts WHERE p = -1)
+UNION ALL SELECT 'latest', 'no latest', (SELECT count(*) FROM (SELECT s FROM latest GROUP BY s HAVING NOT bool_or(is_latest)))
+UNION ALL SELECT 'latest', 'several latest', (SELECT count(*) FROM (SELECT s FROM latest GROUP BY s HAVING count(DISTINCT d) FILTER (WHERE is_latest) > 1))
+UNION ALL SELECT 'reconciled', 'source grains missing', (SELECT count(*) FROM (SELECT DISTINCT p FROM items) WHERE p NOT IN (SELECT p FROM facts))
+UNION ALL SELECT 'reconciled', 'fact grains from nowhere', (SELECT count(*) FROM (SELECT DISTINCT p FROM facts) WHERE p NOT IN (SELECT p FROM items))
+UNION ALL SELECT 'scope', 'p unused', (SELECT count(*) FROM part WHERE p_partkey NOT IN (SELECT p FROM facts))
+UNION ALL SELECT 'scope', 'p_size outside its domain', (SELECT count(*) FROM part WHERE p_size NOT IN (1, 2, 3))
+UNION ALL SELECT 'scope', 'p_brand has several values', (SELECT count(DISTINCT p_brand) - 1 FROM part)""")
 def mart_contract_suite(t: Tables) -> DataFrame:
-    """Violations of the mart's contracts, summed by contract."""
-    rows = fact(t)
-    dim = surrogate_keys(rows, ["product_id"], "product_key")
-    keyed = rows.join(dim, "product_id")
-    members = paths.categories(paths.category_paths(page_paths(t), ["page_id", "host"], "paths"), ["page_id", "host"]).select("page_id", "host", "category_path_text")
-    categories, bridge = mart.category_dimension(members, ["host", "category_path_text"], "category_key", "page_id")
-    latest = mart.latest_flag(rows, ["product_id", "location"], "week")
+    """The mart's contracts over a mart with planted faults of every kind: copies, Unknown members, keys of nothing, wrong flags."""
+    items = t.lineitem.select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"), F.col("l_shipdate").alias("d"))
+    bridge = items.select("p", "s").unionByName(items.where("s % 7 = 0").select("p", "s")).unionByName(items.where("s % 5 = 0").select(F.lit(-1).cast("long").alias("p"), "s"))
+    facts = items.select(F.when(F.col("p") % 11 == 0, -1).when(F.col("p") % 13 == 0, -F.col("p")).otherwise(F.col("p")).alias("p"), "s", "o")
+    parts, suppliers = t.part.select(F.col("p_partkey").alias("p"), "p_size", "p_brand"), t.supplier.where("s_suppkey % 3 != 0").select(F.col("s_suppkey").alias("s"))
+    even = mart.latest_flag(items.where("s % 2 = 0"), ["s"], "d").withColumn("is_latest_observation", F.col("is_latest_observation") | (F.col("p") % 3 == 0))
+    latest = even.unionByName(items.where("s % 2 = 1").withColumn("is_latest_observation", F.lit(False)))
     found = {
-        "bridge": MC.bridge_violations(bridge, t.pages.select("page_id"), categories, "page_id", "category_key"),
-        "fact": MC.fact_violations(keyed, ["product_key", "location", "week"], {"product_key": dim}) | MC.scope_violations(keyed, dim, "product_key"),
-        "latest": MC.latest_violations(latest, ["product_id", "location"], "week"),
-        "reconciled": MC.reconcile(t.lineitem.select(F.col("l_partkey").alias("product_id")), rows, ["product_id"]),
-    }
-    return t.spark.createDataFrame([(k, int(sum(v.values()))) for k, v in found.items()], "contract string, violations long")
+        "bridge": MC.bridge_violations(bridge, parts, suppliers, "p", "s"), "fact": MC.fact_violations(facts, ["p", "s"], {"p": parts}), "latest": MC.latest_violations(latest, ["s"], "d"),
+        "reconciled": MC.reconcile(items, facts, ["p"]), "scope": MC.scope_violations(facts, parts, "p", ["p_brand"], {"p_size": [1, 2, 3]}),
+    }
+    return t.spark.createDataFrame([(c, k, int(n)) for c, rules in found.items() for k, n in rules.items()], "contract string, rule string, violations long")
 
 
 @query(fact_sql() + """

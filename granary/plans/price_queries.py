@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from granary.functions.columns import week_of
 from granary.operators import measures as M
 from granary.operators import profiling as P
-from granary.operators.facts import lag_ratios, matched_change, reference_ratio, weekly_fact
+from granary.operators.facts import lag_ratios, matched_changes, reference_ratio, weekly_fact
 from granary.operators.versions import price_versions
 from granary.plans.registry import Tables, query
 
@@ -92,9 +92,8 @@ SELECT location, count(paid) AS pairs, round(CASE WHEN count(paid) >= 50 THEN ex
   round(CASE WHEN count(paid) >= 50 AND count(shelf) >= 50 THEN (exp(avg(paid)) - exp(avg(shelf))) * 100 END, 6) AS promotion_effect_pp FROM ratios GROUP BY location""")
 def yoy_ratio(t: Tables) -> DataFrame:
     rows = lag_ratios(fact(t), ["product_id", "location"], "week", YEAR, {"log_paid": "effective_price", "log_shelf": "regular_price"})
-    paid, shelf = (matched_change(rows, ["location"], c, 50) for c in ("log_paid", "log_shelf"))
-    both = paid.withColumnRenamed("change", "paid").join(shelf.select("location", F.col("change").alias("shelf")), "location")
-    return both.select("location", "pairs", F.round("paid", 6).alias("paid_change"), F.round("shelf", 6).alias("shelf_change"), F.round((F.col("paid") - F.col("shelf")) * 100, 6).alias("promotion_effect_pp"))
+    both = matched_changes(rows, ["location"], {"paid": "log_paid", "shelf": "log_shelf"}, 50)
+    return both.select("location", F.col("paid_pairs").alias("pairs"), F.round("paid", 6).alias("paid_change"), F.round("shelf", 6).alias("shelf_change"), F.round((F.col("paid") - F.col("shelf")) * 100, 6).alias("promotion_effect_pp"))
 
 
 @query(fact_sql("l_returnflag") + """,

@@ -40,10 +40,15 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, s
     return reader.load()
 
 
-#: The catalog's own estimate of each table's rows and size, for the JDBC option `query`.
+#: A catalog's own estimate of each table's rows and size, of one kind of database.
 CATALOG_QUERY = "SELECT relname AS table_name, reltuples::bigint AS estimated_rows, pg_total_relation_size(oid) AS bytes FROM pg_class WHERE relkind = 'r'"
 
 
+def read_catalog(spark: SparkSession, url: str, properties: dict[str, str], query: str = CATALOG_QUERY, timeout_s: int = 60) -> DataFrame:
+    """What the database says of its own tables, without a scan of any; the query runs there."""
+    return spark.read.format("jdbc").option("url", url).option("query", query).option("queryTimeout", timeout_s).options(**properties).load()
+
+
 def write_verified(df: DataFrame, path: str, key: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
     """Write, read back, and compare rows and the key's uniqueness with what was written.
 

@@ -137,3 +137,19 @@ def test_snapshot_is_whole_and_kept(spark, tmp_path):
     with pytest.raises(PublishError, match="not what was published"):
         open_snapshot(spark, target)
     assert set(jdbc_readers(spark, "jdbc:postgresql://h/d", {"a": "public.a"}, {})) == {"a"}
+
+
+def test_database(spark, tmp_path):
+    """Spark brings an embedded database along: tables are read in parts, with a limit of time, and its catalog is asked."""
+    from granary.sources.extract import jdbc_readers, open_snapshot, snapshot
+    from granary.sources.tables import read_catalog, read_jdbc
+
+    url, properties = "jdbc:derby:memory:prices;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    spark.range(20).selectExpr("id as k", "cast(id * 2 as double) as v").write.jdbc(url, "prices", properties=properties)
+    whole, parts = read_jdbc(spark, url, "prices", properties), read_jdbc(spark, url, "prices", properties, 10, ("k", 0, 20, 4))
+    assert whole.count() == 20 and parts.rdd.getNumPartitions() == 4 and same_rows(whole, parts)
+    assert read_jdbc(spark, url, '(SELECT "k" FROM prices WHERE "v" > 30) q', properties).count() == 4
+    rows = read_catalog(spark, url, properties, "SELECT TABLENAME AS table_name FROM SYS.SYSTABLES WHERE TABLETYPE = 'T'").collect()
+    assert [r[0] for r in rows] == ["PRICES"]
+    snapshot(spark, f"{tmp_path}/raw", jdbc_readers(spark, url, {"prices": "prices"}, properties))
+    assert open_snapshot(spark, f"{tmp_path}/raw")["prices"].count() == 20
