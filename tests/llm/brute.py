@@ -57,3 +57,25 @@ def base_scores(rows):
     train = Counter(w for i, x in tokens if fold(i) != 2 for w in x)
     n, v = sum(train.values()), len(train)
     return [(i, fold(i) == 2, len(x), sum(train[w] > 0 for w in x), n, sum(math.log10((train[w] + 1) / (n + v + 1)) for w in x)) for i, x in tokens]
+
+
+def bigram_counts(rows, folds):
+    """Token and pair counts of the rows of some folds; a document begins after an end."""
+    one, two = Counter(), Counter()
+    for i, t in rows:
+        if zlib.crc32(("" if i is None else str(i)).encode()) % 7 in folds:
+            words = [*WORD.findall((t or "").translate(LOW)), None]
+            one.update(words)
+            two.update(zip([None, *words], words))  # noqa: B905
+    return one, two
+
+
+def bigram_places(rows, counts, folds):
+    """For each document of the folds: counts of the context, the pair and the token of each place."""
+    one, two = counts
+    out = {}
+    for i, t in rows:
+        if zlib.crc32(("" if i is None else str(i)).encode()) % 7 in folds:
+            words = [*WORD.findall((t or "").translate(LOW)), None]
+            out[i] = np.array([(one[a], two[a, b], one[b]) for a, b in zip([None, *words], words)], float)  # noqa: B905
+    return out

@@ -28,6 +28,47 @@ def test_language_model_base_and_held_out(spark, duck):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_language_model_scores_and_weights(spark, duck):
+    """Scores against plain counts and the same weights; the weights against expectation-maximisation without a grid."""
+    import brute
+    import pandas as pd
+
+    rows = duck.execute("SELECT doc_id, text FROM documents").fetchall()
+    train = {0, 1, 4, 5, 6}
+    one, two = brute.bigram_counts(rows, train)
+    tokens, vocabulary = sum(one.values()), len(one)
+    places = np.concatenate(list(brute.bigram_places(rows, (one, two), {3}).values()))
+    grid = lambda v: np.where(v > 0, np.rint(np.log2(np.maximum(v, 1e-300)) * L.GRID), L.LEAST).astype(int)
+    context, pair, token = places.T
+    ratio = np.divide(pair, context, out=np.zeros(len(pair)), where=context > 0)
+    cells = pd.DataFrame({"bucket": L.bucket(context), "pair": grid(ratio), "token": grid(token)}).value_counts().reset_index(name="n")
+    weights = L.learn_weights(cells, tokens, vocabulary)
+    exact = np.tile([0.5, 0.4, 0.1], (66, 1))
+    exact[0] = [0, 0.5, 0.5]
+    p, b = L.estimates(context, pair, token, tokens, vocabulary), L.bucket(context)
+    for _ in range(60):
+        share = exact[b] * p
+        share /= share.sum(axis=1)[:, None]
+        seen = np.stack([np.bincount(b, weights=x, minlength=66) for x in share.T], axis=1)
+        every = seen[1:].sum(axis=0) / seen[1:].sum()
+        exact[1:] = (seen[1:] + 100 * every) / (seen[1:].sum(axis=1) + 100)[:, None]
+        if seen[0].sum():
+            exact[0] = seen[0] / seen[0].sum()
+    used = np.unique(b)
+    assert np.abs(weights - exact)[used].max() < 0.02
+    everything = brute.bigram_counts(rows, train | {3})
+    total, distinct = sum(everything[0].values()), len(everything[0])
+    got = {r.doc_id: r.score for r in L.language_scores(spark.read.parquet(f"{SF}/documents.parquet"), chunk_bytes=1 << 18).collect()}
+    sums = {}
+    for i, own in brute.bigram_places(rows, everything, set(range(7))).items():
+        context, pair, token = own.T
+        mixed = [(w[L.bucket(context)] * L.estimates(context, pair, token, total, distinct)).sum(axis=1) for w in (weights, exact)]
+        sums[i] = [np.log10(m).sum() for m in mixed]
+        assert got[i] == pytest.approx(sums[i][0], rel=1e-9, abs=1e-6)
+    held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 7 == 2]
+    assert sum(sums[i][0] for i in held) == pytest.approx(sum(sums[i][1] for i in held), rel=1e-3)
+
+
 def test_language_model_edges(spark):
     rows = [(None, "a b"), (1, None), (2, ""), (2, ""), (3, " \n"), (4, "x" * 3000 + " y " * 1000), (5, "É é A a")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, TEXT int")
@@ -239,3 +280,19 @@ def test_decontaminate_seeds(spark):
         first = (r.gram % 2**64) >> (64 - D.FILTER_BITS)
         assert bits[first >> 5] >> np.uint32(first & 31) & 1
     assert bits.nbytes == 2 << 20
+
+
+def test_quality_scores_against_plain_rules(spark):
+    """The compiled column gives each whole text what the rules give to its statistics."""
+    from granary.llm import quality as Q
+    from granary.llm.common import table
+
+    docs = table(spark, SF, "documents")
+    model = Q.fit_quality(docs, table(spark, SF, "labels"))
+    rows = docs.select("doc_id", "text").collect() + [(-1, None), (-2, ""), (-3, " \n"), (-4, "word " * 60_000), (-5, "x")]
+    x = np.array([Q.statistics(t) for _, t in rows])
+    want = {i: v for (i, _), v in zip(rows, model.score(x), strict=True)}
+    got = Q.score_quality(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), model).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.score == pytest.approx(want[r.doc_id], abs=1e-9) and r.predicted == (r.score >= 0.3) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)

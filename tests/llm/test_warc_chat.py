@@ -25,6 +25,32 @@ def test_round_trip_of_edges(spark):
     assert {r.record_type for r in round_trip(df, min_revisit_bytes=1).where("payload_bytes = 0").collect()} == {"response"}
 
 
+def test_revisits_of_a_whole_table(spark, duck, tmp_path):
+    """Every third page twice more, and empty ones: the largest id of equal payloads is the response."""
+    rows = [*duck.execute("SELECT page_id, url, html FROM pages").fetchall(), (900_001, "u", None), (900_002, None, "")]
+    rows += [(1_000_000 + k * 10_000 + i, u, t) for k in (1, 2) for i, u, t in rows if i % 3 == 0 or i > 900_000]
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5).write.parquet(f"{tmp_path}/pages.parquet")
+    largest = {}
+    for i, _, t in rows:
+        largest[t or ""] = max(i, largest.get(t or "", i))
+    got = op1_warc(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    text = {i: t or "" for i, _, t in rows}
+    for r in got:
+        first = largest[text[r.page_id]]
+        assert (r.record_type, r.refers_to) == (("response", None) if first == r.page_id else ("revisit", first))
+        assert (r.payload_bytes, r.payload_digest, r.status) == (len(text[r.page_id].encode()), digest(text[r.page_id]), "ok")
+
+
+def test_archives_are_of_bounded_size(spark, tmp_path):
+    write_warc(spark.createDataFrame([(i, "u", f"page {i} " * 50) for i in range(25)], "page_id long, url string, html string").coalesce(1), f"{tmp_path}/w", segment_chars=200, file_records=10)
+    files = spark.read.format("binaryFile").load(f"{tmp_path}/w").collect()
+    from granary.llm.warc import parse_records
+
+    sizes = [len(list(parse_records(bytes(f.content)))) for f in files]
+    assert max(sizes) <= 10 and len(sizes) >= 5 and reassemble(read_warc(spark, f"{tmp_path}/w")).where("status = 'ok'").count() == 25
+
+
 def test_whole_table(spark, duck):
     want = {i: (len(t.encode()), digest(t)) for i, t in duck.execute("SELECT page_id, html FROM pages").fetchall()}
     got = op1_warc(spark, SF).collect()
@@ -73,7 +99,16 @@ def test_conversations_against_brute_force(spark, duck):
     turns = {}
     for c, t, role, text in duck.execute("SELECT conv_id, turn, role, text FROM conversations ORDER BY conv_id, turn").fetchall():
         turns.setdefault(c, []).append((role, text))
-    want = {}
+    want, masks = {}, {}
+
+    def marks(completion):
+        at, out = 0, []
+        for role, text in completion:
+            begin = at + len(f"<|im_start|>{role}\n")
+            at = begin + len(f"{text}<|im_end|>\n")
+            out += [f"{begin}-{at}"] if role == "assistant" else []
+        return ";".join(out)
+
     for k in {c // 2 for c in turns}:
         a, b = turns.get(2 * k, []), turns.get(2 * k + 1, [])
         last = lambda x: max((i for i, t in enumerate(x) if t[0] == "assistant"), default=None)
@@ -83,8 +118,10 @@ def test_conversations_against_brute_force(spark, duck):
             n += 1
         show = lambda x: "".join(f"<|im_start|>{role}\n{text}<|im_end|>\n" for role, text in x)
         want[k] = (n, show(a[:n]), show(a[n:]), show(r[n:]))
-    got = {r.pair_id: (r.n_prompt_turns, r.prompt, r.chosen, r.rejected) for r in op4_preference_format(spark, SF).collect()}
-    assert got == want
+        masks[k] = [marks(a[n:]), marks(r[n:])]
+    rows = op4_preference_format(spark, SF).collect()
+    assert {r.pair_id: (r.n_prompt_turns, r.prompt, r.chosen, r.rejected) for r in rows} == want
+    assert {r.pair_id: [r.chosen_mask, r.rejected_mask] for r in rows} == masks
     assert conversation_pairs(spark.createDataFrame([(None, 0, "user", "x")], "conv_id long, turn long, role string, text string")).collect() == []
 
 
