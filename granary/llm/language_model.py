@@ -1,13 +1,14 @@
-"""Bigram scoring with deleted interpolation.
+"""Trigram scoring with deleted interpolation.
 
-The probability of a token mixes its maximum-likelihood estimate after the token before it, its unigram estimate
-and an add-one floor. The mixture weights depend on how frequent the context is, and are learned by
-expectation-maximisation on documents held out of the counts.
+The probability of a token mixes its maximum-likelihood estimates after the two tokens and the one token before it, its
+unigram estimate and an add-one floor. The mixture weights depend on how frequent the context is (the two tokens before,
+where these occur again in the corpus, else the one), and are learned by expectation-maximisation on documents held out of
+the counts.
 
 Texts are hashed once into written chunks of a few MB. Each chunk sends its distinct unigrams and bigrams, by hash,
-to the task that counts that range of hashes, and gets the corpus counts back in the same order; so what moves is
-one entry per distinct n-gram of a chunk, a frequent word weighs no more than a rare one, and no table of counts
-has to fit anywhere.
+to the task that counts that range of hashes, and gets the corpus counts back in the same order; then, in the same way,
+its trigrams whose first two tokens occur again. So what moves is one entry per distinct n-gram of a chunk, a frequent
+word weighs no more than a rare one, and no table of counts has to fit anywhere.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import UNIT_BYTES, Pool, fold, input_bytes, lengths, new_id, pick, release_memory, root_sized, stage, stage_by, table
+from granary.llm.common import UNIT_BYTES, Pool, collect_garbage, fold, input_bytes, lengths, new_id, pick, release_memory, root_sized, stage, stage_by, table
 from granary.llm.hashing import joined, pack, pack_sorted, spans, unpack, unpack_sorted, word_hashes
 
 FOLDS, HELD_OUT, TUNING = 7, 2, 3
@@ -29,9 +30,14 @@ KEYS_PER_RANGE, MOST_PER_RANGE = 400_000, 3_000_000
 #: Tokens in a table of UNIT_BYTES, about.
 UNIT_TOKENS = 28_000_000
 END = np.uint64(0x5E17E17E17E17E1)
-#: Steps of the histogram that the weights are learned from, to the doubling of a probability or count.
-GRID = 8
-LEAST = -40 * GRID
+#: A trigram is counted where its first two tokens occur so often in the corpus.
+LEAST_CONTEXT = 2
+#: Steps to the doubling, and doublings below 1, of the cells that weights are learned from; cells keep the mean of what falls in.
+GRID, RATIOS, COUNTS = 2, 16, 40
+#: Stands for the logarithm of nothing.
+NONE = -1000.0
+#: Buckets of contexts of one token, and of those of two.
+BUCKETS = 66
 
 CHUNK = "chunk long, tuning boolean, n_tokens long, ids binary, folds binary, sizes binary, words binary, codes binary"
 
@@ -73,9 +79,21 @@ class Chunk:
         self.context_at[first] = np.searchsorted(self.unigrams, END)  # a document begins after an end
         self.bigrams, self.bigram_at = np.unique(joined(self.unigrams[self.context_at], self.unigrams[self.unigram_at]), return_inverse=True)
 
-    def counts(self, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """How often each n-gram stands in this chunk's documents for counting, and in those for tuning."""
+    def second_context(self, bigram_counts: np.ndarray) -> np.ndarray:
+        """The count of the two tokens before each; 0 for a document's first."""
+        out = np.roll(bigram_counts[self.bigram_at], 1)
+        out[self.first] = 0
+        return out
+
+    def trigrams(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct hashes of the trigrams that end at the wanted places, and the place of each in these."""
+        before = np.roll(self.bigrams[self.bigram_at], 1)[wanted]
+        return np.unique(joined(before, self.unigrams[self.unigram_at[wanted]]), return_inverse=True)
+
+    def counts(self, at: np.ndarray, n: int, where: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """How often each n-gram stands in this chunk's documents for counting, and in those for tuning; at: of each token, or of those where."""
         of = np.repeat(self.folds, self.sizes)
+        of = of if where is None else of[where]
         return tuple(np.bincount(at[m], minlength=n).astype(np.uint32) for m in ((of != HELD_OUT) & (of != TUNING), of == TUNING))
 
 
@@ -127,43 +145,110 @@ def _count(group: pd.DataFrame) -> pd.DataFrame:
 _COUNTED = "range int, chunk long, uni_a binary, uni_t binary, bi_a binary, bi_t binary, vocabulary_a long, vocabulary_t long, tokens_a long, tokens_t long"
 
 
-def _gather(row, answers: pd.DataFrame, k: str) -> tuple[Chunk, np.ndarray, np.ndarray, np.ndarray]:
-    """The chunk, and for each token the counts of its context, of it after that, and of it."""
-    c, answers = Chunk(row), answers.sort_values("range")
-    uni, bi = (np.concatenate([unpack(x, np.uint64) for x in answers[f"{n}_{k}"]]).astype(np.float64) for n in ("uni", "bi"))
-    return c, uni[c.context_at], bi[c.bigram_at], uni[c.unigram_at]
+def _send_trigrams(left: pd.DataFrame, right: pd.DataFrame, bits: int) -> pd.DataFrame:
+    """A chunk's trigrams after contexts that occur again, and their counts in it, a row for each range that has some."""
+    if not len(left):
+        return pd.DataFrame(columns=["range", "chunk", "keys", "a", "b"])
+    c = Chunk(left.iloc[0])
+    wanted = c.second_context(_said(right, "bi_t")) >= LEAST_CONTEXT
+    keys, at = c.trigrams(wanted)
+    a, b = c.counts(at, len(keys), wanted)
+    ranges, parts = spans(keys, bits)
+    release_memory()
+    return pd.DataFrame({
+        "range": ranges, "chunk": np.full(len(ranges), left["chunk"].iloc[0]), "keys": [pack_sorted(keys[s]) for s in parts], "a": [pack(a[s]) for s in parts], "b": [pack(b[s]) for s in parts],
+    })
+
+
+def _count_trigrams(group: pd.DataFrame) -> pd.DataFrame:
+    """Corpus counts of one range's trigrams, for each chunk in its own order."""
+    keys = [unpack_sorted(k) for k in group["keys"]]
+    cuts = np.cumsum([len(k) for k in keys])[:-1]
+    found, at = np.unique(np.concatenate(keys), return_inverse=True)
+    del keys
+    a, b = (np.bincount(at, weights=np.concatenate([unpack(x, np.uint32) for x in group[k]]), minlength=len(found)).astype(np.uint64) for k in ("a", "b"))
+    out = {f"tri_{k}": [pack(x) for x in np.split(v[at], cuts)] for k, v in (("a", a), ("t", a + b))}
+    release_memory()
+    return pd.DataFrame({"range": group["range"], "chunk": group["chunk"], **out})
+
+
+def _said(answers: pd.DataFrame, column: str) -> np.ndarray:
+    """A chunk's answers of one kind in the order of its n-grams."""
+    rows = answers[answers[column].notna()].sort_values("range")[column]
+    return np.concatenate([unpack(x, np.uint64) for x in rows] or [np.zeros(0, np.uint64)]).astype(np.float64)
+
+
+class Counts:
+    """For each token of a chunk: the corpus counts of the token, of the one and the two before it, and of it after these.
+
+    second and triple are 0 where the two before do not occur again.
+    """
+
+    def __init__(self, row, answers: pd.DataFrame, k: str):
+        self.chunk = c = Chunk(row)
+        uni, bi, again = _said(answers, f"uni_{k}"), _said(answers, f"bi_{k}"), _said(answers, "bi_t")
+        self.context, self.pair, self.token = uni[c.context_at], bi[c.bigram_at], uni[c.unigram_at]
+        wanted = c.second_context(again) >= LEAST_CONTEXT
+        _, at = c.trigrams(wanted)
+        self.second, self.triple = np.where(wanted, c.second_context(bi), 0), np.zeros(len(wanted))
+        self.triple[wanted] = _said(answers, f"tri_{k}")[at]
 
 
-def bucket(context: np.ndarray) -> np.ndarray:
-    """0 for unseen contexts, else 1 + the rounded-down base-2 logarithm of the count."""
-    return np.where(context > 0, np.frexp(context)[1], 0)
+def bucket(context: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """0 for unseen contexts; 1 + the rounded-down base-2 logarithm of the count of one token; that of two tokens, after those of one."""
+    level = lambda c: np.where(c > 0, np.frexp(c)[1], 0)
+    return np.where(second > 0, BUCKETS + level(second), level(context))
 
 
-def estimates(context: np.ndarray, pair: np.ndarray, token: np.ndarray, tokens: int, vocabulary: int) -> np.ndarray:
-    """The three estimates that are mixed, as columns."""
+def ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.divide(a, b, out=np.zeros(len(a)), where=b > 0)
+
+
+def estimates(triple: np.ndarray, pair: np.ndarray, token: np.ndarray, tokens: int, vocabulary: int) -> np.ndarray:
+    """The four estimates that are mixed, as columns, from the two conditional ratios and the token's count."""
     floor = (token + 1) / (tokens + vocabulary + 1)
-    return np.stack([np.divide(pair, context, out=np.zeros(len(pair)), where=context > 0), token / tokens if tokens else floor, floor], axis=1)
+    return np.stack([triple, pair, token / tokens if tokens else floor, floor], axis=1)
+
+
+def cells(bucket: np.ndarray, triple: np.ndarray, pair: np.ndarray, token: np.ndarray) -> pd.DataFrame:
+    """Observations alike in bucket, ratios and count as one row: how many, and the sums of the three logarithms.
+
+    There are at most 2 * BUCKETS * (GRID * RATIOS + 2) ** 2 * (GRID * COUNTS + 2) rows, whatever the corpus.
+    """
+    log = lambda v: np.where(v > 0, np.log2(np.maximum(v, 1e-300)), NONE)
+    logs = [log(triple), log(pair), log(token)]
+    step = lambda v, least, most: np.where(v == NONE, 0, 1 + np.rint((np.clip(v, least, most) - least) * GRID)).astype(np.int64)
+    r, c = GRID * RATIOS + 2, GRID * COUNTS + 2
+    key = ((bucket.astype(np.int64) * r + step(logs[0], -RATIOS, 0)) * r + step(logs[1], -RATIOS, 0)) * c + step(logs[2], 0, COUNTS)
+    found, at, n = np.unique(key, return_inverse=True, return_counts=True)
+    sums = {name: np.bincount(at, weights=v, minlength=len(found)) for name, v in zip(("triple", "pair", "token"), logs, strict=True)}
+    return pd.DataFrame({"cell": found, "bucket": (found // (r * r * c)).astype(np.int32), "n": n, **sums})
+
+
+CELLS = "cell long, bucket int, n long, triple double, pair double, token double"
 
 
 def learn_weights(histogram: pd.DataFrame, tokens: int, vocabulary: int, rounds: int = 60) -> np.ndarray:
-    """Weights by bucket from rows (bucket, pair, token, n): the steps of the conditional estimate and of the token's count.
+    """Weights by bucket from cells, summed over chunks.
 
-    Buckets share the weights of all contexts to the extent of one observation of a hundred.
+    Buckets share the weights of all contexts of as many tokens to the extent of one observation of a hundred.
     """
-    weights = np.tile([0.5, 0.4, 0.1], (66, 1))
-    weights[0] = [0, 0.5, 0.5]
+    weights = np.concatenate((np.tile([0, 0.5, 0.4, 0.1], (BUCKETS, 1)), np.tile([0.4, 0.3, 0.2, 0.1], (BUCKETS, 1))))
+    weights[0] = [0, 0, 0.5, 0.5]
     if not len(histogram):
         return weights
     b, n = histogram["bucket"].to_numpy(), histogram["n"].to_numpy(float)
-    step = lambda c: np.where(histogram[c] <= LEAST, 0, np.exp2(histogram[c].clip(lower=LEAST) / GRID)).astype(float)
-    pair, token = np.minimum(step("pair"), 1), step("token")
-    p = estimates(np.ones(len(b)), pair, token, tokens, vocabulary)
+    mean = lambda c: histogram[c].to_numpy() / n
+    value = lambda c: np.where(mean(c) <= NONE + 1, 0, np.exp2(np.maximum(mean(c), NONE / 2)))
+    p = estimates(np.minimum(value("triple"), 1), np.minimum(value("pair"), 1), value("token"), tokens, vocabulary)
     for _ in range(rounds):
         share = weights[b] * p
         share *= (n / share.sum(axis=1))[:, None]
-        seen = np.stack([np.bincount(b, weights=s, minlength=66) for s in share.T], axis=1)
-        every = seen[1:].sum(axis=0) / max(seen[1:].sum(), 1e-9) if seen[1:].sum() else weights[1]
-        weights[1:] = (seen[1:] + 100 * every) / (seen[1:].sum(axis=1) + 100)[:, None]
+        seen = np.stack([np.bincount(b, weights=s, minlength=2 * BUCKETS) for s in share.T], axis=1)
+        for own in (slice(1, BUCKETS), slice(BUCKETS, 2 * BUCKETS)):
+            total = seen[own].sum()
+            every = seen[own].sum(axis=0) / total if total else weights[own.start]
+            weights[own] = (seen[own] + 100 * every) / (seen[own].sum(axis=1) + 100)[:, None]
         if seen[0].sum():
             weights[0] = seen[0] / seen[0].sum()
     return weights
@@ -197,32 +282,40 @@ def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sums = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("vocabulary_a", "tokens_a", "vocabulary_t", "tokens_t"))).first()
     vocabulary_a, tokens_a, vocabulary, tokens = sums
 
+    collect_garbage(answers.sparkSession)
+    asked = answers.select("chunk", "range", "bi_t").groupBy("chunk")
+    third = chunks.groupBy("chunk").cogroup(asked).applyInPandas(lambda x, y: _send_trigrams(x, y, bits), "range int, chunk long, keys binary, a binary, b binary")
+    third = stage(third.groupBy("range").applyInPandas(_count_trigrams, "range int, chunk long, tri_a binary, tri_t binary"), "trigrams")
+    collect_garbage(answers.sparkSession)
+    every = answers.drop("vocabulary_a", "vocabulary_t", "tokens_a", "tokens_t").unionByName(third, allowMissingColumns=True)
+
     def tally(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
-            return pd.DataFrame(columns=["bucket", "pair", "token", "n"])
-        _, context, pair, token = _gather(left.iloc[0], right, "a")
-        log = lambda v: np.where(v > 0, np.rint(np.log2(np.maximum(v, 1e-300)) * GRID), LEAST).astype(np.int32)
-        cells = np.stack([bucket(context), log(np.divide(pair, context, out=np.zeros(len(pair)), where=context > 0)), log(token)])
-        found, n = np.unique(cells, axis=1, return_counts=True)
-        return pd.DataFrame({"bucket": found[0], "pair": found[1], "token": found[2], "n": n})
+            return pd.DataFrame(columns=["cell", "bucket", "n", "triple", "pair", "token"])
+        c = Counts(left.iloc[0], right, "a")
+        out = cells(bucket(c.context, c.second), ratio(c.triple, c.second), ratio(c.pair, c.context), c.token)
+        release_memory()
+        return out
 
     tuning = chunks.where("tuning")
-    asked = answers.select("chunk", "range", "uni_a", "bi_a").join(tuning.select("chunk"), "chunk", "left_semi")
-    cells = tuning.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInPandas(tally, "bucket int, pair int, token int, n long")
-    # Of bounded size at any input: the grid has at most 66 buckets x 320 steps of a ratio x 512 of a count.
-    weights = learn_weights(cells.groupBy("bucket", "pair", "token").agg(F.sum("n").alias("n")).toPandas(), tokens_a, vocabulary_a)
+    asked = every.select("chunk", "range", "uni_a", "bi_a", "bi_t", "tri_a").join(tuning.select("chunk"), "chunk", "left_semi")
+    found = tuning.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInPandas(tally, CELLS)
+    found = found.groupBy("cell", "bucket").agg(*(F.sum(c).alias(c) for c in ("n", "triple", "pair", "token")))
+    weights = learn_weights(found.orderBy("cell").toPandas(), tokens_a, vocabulary_a)  # of bounded size, see cells
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        c, context, pair, token = _gather(left.iloc[0], right, "t")
-        p = estimates(context, pair, token, tokens, vocabulary)
+        n = Counts(left.iloc[0], right, "t")
+        c, token = n.chunk, n.token
+        p = estimates(ratio(n.triple, n.second), ratio(n.pair, n.context), token, tokens, vocabulary)
         add = lambda v: np.add.reduceat(v, c.first)
+        mixed = (weights[bucket(n.context, n.second)] * p).sum(axis=1)
         release_memory()
         return pd.DataFrame({
             "row_id": c.ids, "held_out": c.folds == HELD_OUT, "n_tokens": c.sizes, "n_known": add((token > 0).astype(np.int64)), "train_tokens": tokens,
-            "base_score": add(np.log10(p[:, 2])), "score": add(np.log10((weights[bucket(context)] * p).sum(axis=1))),
+            "base_score": add(np.log10(p[:, 3])), "score": add(np.log10(mixed)),
         })
 
-    out = chunks.groupBy("chunk").cogroup(answers.select("chunk", "range", "uni_t", "bi_t").groupBy("chunk")).applyInPandas(
+    out = chunks.groupBy("chunk").cogroup(every.select("chunk", "range", "uni_t", "bi_t", "tri_t").groupBy("chunk")).applyInPandas(
         score, "row_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
     rest = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]

@@ -59,23 +59,30 @@ def base_scores(rows):
     return [(i, fold(i) == 2, len(x), sum(train[w] > 0 for w in x), n, sum(math.log10((train[w] + 1) / (n + v + 1)) for w in x)) for i, x in tokens]
 
 
-def bigram_counts(rows, folds):
-    """Token and pair counts of the rows of some folds; a document begins after an end."""
-    one, two = Counter(), Counter()
+def ngram_counts(rows, folds):
+    """Counts of the tokens, pairs and triples of the rows of some folds; a document begins after an end, and has no two tokens before its first."""
+    one, two, three = Counter(), Counter(), Counter()
     for i, t in rows:
         if zlib.crc32(("" if i is None else str(i)).encode()) % 7 in folds:
             words = [*WORD.findall((t or "").translate(LOW)), None]
+            padded = [None, *words]
             one.update(words)
-            two.update(zip([None, *words], words))  # noqa: B905
-    return one, two
+            two.update(zip(padded, words))  # noqa: B905
+            three.update(zip(padded, words, words[1:]))  # noqa: B905
+    return one, two, three
 
 
-def bigram_places(rows, counts, folds):
-    """For each document of the folds: counts of the context, the pair and the token of each place."""
-    one, two = counts
+def ngram_places(rows, counts, folds, again):
+    """For each document of the folds and each place: counts of the two tokens before (0 where `again` has them once), the triple, the one before, the pair, the token."""
+    one, two, three = counts
     out = {}
     for i, t in rows:
         if zlib.crc32(("" if i is None else str(i)).encode()) % 7 in folds:
             words = [*WORD.findall((t or "").translate(LOW)), None]
-            out[i] = np.array([(one[a], two[a, b], one[b]) for a, b in zip([None, *words], words)], float)  # noqa: B905
+            found = []
+            for j, w in enumerate(words):
+                a, b = words[j - 2] if j > 1 else None, words[j - 1] if j else None
+                known = j > 0 and again[a, b] >= 2
+                found.append((two[a, b] if known else 0, three[a, b, w] if known else 0, one[b], two[b, w], one[w]))
+            out[i] = np.array(found, float)
     return out

@@ -29,41 +29,37 @@ def test_language_model_base_and_held_out(spark, duck):
 
 
 def test_language_model_scores_and_weights(spark, duck):
-    """Scores against plain counts and the same weights; the weights against expectation-maximisation without a grid."""
+    """Scores against plain counts and the same weights; the weights against expectation-maximisation over single observations."""
     import brute
-    import pandas as pd
 
     rows = duck.execute("SELECT doc_id, text FROM documents").fetchall()
     train = {0, 1, 4, 5, 6}
-    one, two = brute.bigram_counts(rows, train)
-    tokens, vocabulary = sum(one.values()), len(one)
-    places = np.concatenate(list(brute.bigram_places(rows, (one, two), {3}).values()))
-    grid = lambda v: np.where(v > 0, np.rint(np.log2(np.maximum(v, 1e-300)) * L.GRID), L.LEAST).astype(int)
-    context, pair, token = places.T
-    ratio = np.divide(pair, context, out=np.zeros(len(pair)), where=context > 0)
-    cells = pd.DataFrame({"bucket": L.bucket(context), "pair": grid(ratio), "token": grid(token)}).value_counts().reset_index(name="n")
-    weights = L.learn_weights(cells, tokens, vocabulary)
-    exact = np.tile([0.5, 0.4, 0.1], (66, 1))
-    exact[0] = [0, 0.5, 0.5]
-    p, b = L.estimates(context, pair, token, tokens, vocabulary), L.bucket(context)
+    counts, everything = brute.ngram_counts(rows, train), brute.ngram_counts(rows, train | {3})
+    tokens, vocabulary = sum(counts[0].values()), len(counts[0])
+    second, triple, context, pair, token = np.concatenate(list(brute.ngram_places(rows, counts, {3}, everything[1]).values())).T
+    b = L.bucket(context, second)
+    ratios = L.ratio(triple, second), L.ratio(pair, context)
+    weights = L.learn_weights(L.cells(b, *ratios, token), tokens, vocabulary)
+    exact = np.concatenate((np.tile([0, 0.5, 0.4, 0.1], (66, 1)), np.tile([0.4, 0.3, 0.2, 0.1], (66, 1))))
+    exact[0] = [0, 0, 0.5, 0.5]
+    p = L.estimates(*ratios, token, tokens, vocabulary)
     for _ in range(60):
         share = exact[b] * p
         share /= share.sum(axis=1)[:, None]
-        seen = np.stack([np.bincount(b, weights=x, minlength=66) for x in share.T], axis=1)
-        every = seen[1:].sum(axis=0) / seen[1:].sum()
-        exact[1:] = (seen[1:] + 100 * every) / (seen[1:].sum(axis=1) + 100)[:, None]
+        seen = np.stack([np.bincount(b, weights=x, minlength=132) for x in share.T], axis=1)
+        for own in (slice(1, 66), slice(66, 132)):
+            every = seen[own].sum(axis=0) / seen[own].sum()
+            exact[own] = (seen[own] + 100 * every) / (seen[own].sum(axis=1) + 100)[:, None]
         if seen[0].sum():
             exact[0] = seen[0] / seen[0].sum()
-    used = np.unique(b)
-    assert np.abs(weights - exact)[used].max() < 0.02
-    everything = brute.bigram_counts(rows, train | {3})
+    assert np.abs(weights - exact)[np.unique(b)].max() < 0.03
     total, distinct = sum(everything[0].values()), len(everything[0])
     got = {r.doc_id: r.score for r in L.language_scores(spark.read.parquet(f"{SF}/documents.parquet"), chunk_bytes=1 << 18).collect()}
     sums = {}
-    for i, own in brute.bigram_places(rows, everything, set(range(7))).items():
-        context, pair, token = own.T
-        mixed = [(w[L.bucket(context)] * L.estimates(context, pair, token, total, distinct)).sum(axis=1) for w in (weights, exact)]
-        sums[i] = [np.log10(m).sum() for m in mixed]
+    for i, own in brute.ngram_places(rows, everything, set(range(7)), everything[1]).items():
+        second, triple, context, pair, token = own.T
+        p = L.estimates(L.ratio(triple, second), L.ratio(pair, context), token, total, distinct)
+        sums[i] = [np.log10((w[L.bucket(context, second)] * p).sum(axis=1)).sum() for w in (weights, exact)]
         assert got[i] == pytest.approx(sums[i][0], rel=1e-9, abs=1e-6)
     held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 7 == 2]
     assert sum(sums[i][0] for i in held) == pytest.approx(sum(sums[i][1] for i in held), rel=1e-3)
@@ -80,14 +76,14 @@ def test_language_model_edges(spark):
 
 
 def test_weights_are_probabilities_and_prefer_what_predicts():
-    import pandas as pd
-
     rng = np.random.default_rng(0)
-    cells = pd.DataFrame({"bucket": rng.integers(0, 9, 500), "pair": rng.integers(-40, 0, 500), "token": rng.integers(0, 80, 500), "n": 5})
-    w = L.learn_weights(cells, 10_000, 1000)
-    assert np.allclose(w.sum(axis=1), 1) and (w >= 0).all()
-    sure = pd.DataFrame({"bucket": [5], "pair": [0], "token": [8], "n": [10_000]})
-    assert L.learn_weights(sure, 10_000, 1000)[5, 0] > 0.95
+    b, ratios = rng.integers(0, 132, 500), [rng.random(500) * (rng.random(500) < 0.7) for _ in range(2)]
+    w = L.learn_weights(L.cells(b, *ratios, rng.integers(0, 80, 500).astype(float)), 10_000, 1000)
+    assert np.allclose(w.sum(axis=1), 1) and (w >= 0).all() and not w[:66, 0].any()
+    sure, none, ones = np.full(10_000, 5), np.zeros(10_000), np.ones(10_000)
+    assert L.learn_weights(L.cells(sure, none, ones, 2 * ones), 10_000, 1000)[5, 1] > 0.95
+    assert L.learn_weights(L.cells(sure + 66, ones, 0.01 * ones, 2 * ones), 10_000, 1000)[71, 0] > 0.95
+    assert len(L.learn_weights(L.cells(sure[:0], none[:0], ones[:0], ones[:0]), 0, 0)) == 132
 
 
 def test_packing_plan():
