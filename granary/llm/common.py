@@ -6,6 +6,7 @@ import atexit
 import ctypes
 import gc
 import re
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -78,7 +79,6 @@ def mark() -> int:
 
 def discard(spark: SparkSession, since: int, *keep: DataFrame) -> None:
     """Delete the intermediate tables written since a mark, but for those given; nothing unwritten may still read the others."""
-    collect_garbage(spark)
     kept = {getattr(df, "_granary_path", None) for df in keep}
     gone = [x for x in _staged[since:] if x[0] not in kept]
     _staged[since:] = [x for x in _staged[since:] if x[0] in kept]
@@ -86,9 +86,14 @@ def discard(spark: SparkSession, since: int, *keep: DataFrame) -> None:
 
 
 def collect_garbage(spark: SparkSession) -> None:
-    """Have the driver forget plans that are done with, so that Spark removes their shuffle files: it does when they are collected, which else may be long after."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Have the driver forget plans that are done with, so that Spark removes their shuffle files: it does when they are collected, which else may be long after.
+
+    Twice, as what the first round frees may hold more; the files go in the background meanwhile.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
 
 
 def _delete(spark: SparkSession, tables: list[tuple[str, str | None]]) -> None:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import UNIT_BYTES, discard, input_bytes, lengths, mark, new_id, pick, pooled, release_memory, root_sized, stage, stage_by, table
+from granary.llm.common import UNIT_BYTES, collect_garbage, discard, input_bytes, lengths, mark, new_id, pick, pooled, release_memory, root_sized, stage, stage_by, table
 from granary.llm.components import components
 from granary.llm.hashing import joined, mix, pack, pack_sorted, spans, unpack, unpack_sorted, word_hashes
 
@@ -193,6 +193,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     per_range = root_sized(KEYS_PER_RANGE, MOST_PER_RANGE, total, UNIT_WORDS)
     bits = max(1, int(np.ceil(np.log2(total / per_range + 1))))
     answers = stage(_send(chunks, words, bits).groupBy("range").applyInPandas(_count, "range int, chunk long, df binary"), "frequencies")
+    collect_garbage(answers.sparkSession)
 
     def order(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """Per document: size, digest, and where its rarest tokens are not its own alone, the shared tokens by rarity."""

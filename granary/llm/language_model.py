@@ -286,6 +286,7 @@ def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     asked = answers.select("chunk", "range", "bi_t").groupBy("chunk")
     third = chunks.groupBy("chunk").cogroup(asked).applyInPandas(lambda x, y: _send_trigrams(x, y, bits), "range int, chunk long, keys binary, a binary, b binary")
     third = stage(third.groupBy("range").applyInPandas(_count_trigrams, "range int, chunk long, tri_a binary, tri_t binary"), "trigrams")
+    del asked
     collect_garbage(answers.sparkSession)
     every = answers.drop("vocabulary_a", "vocabulary_t", "tokens_a", "tokens_t").unionByName(third, allowMissingColumns=True)
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import UNIT_BYTES, input_bytes, new_id, pick, pooled, release_memory, root_sized, stage, stage_by, table
+from granary.llm.common import UNIT_BYTES, collect_garbage, input_bytes, new_id, pick, pooled, release_memory, root_sized, stage, stage_by, table
 from granary.llm.hashing import mix, pack, pack_sorted, runs, spans, unpack, unpack_sorted
 
 LENGTH = 400
@@ -367,6 +367,7 @@ def remove_repeats(
     sort_bits = max(bits, int(np.ceil(np.log2(anchors / per_sort + 1))))  # so a sorting task has anchors of one range
     sent = _send(chunks, length, bits).groupBy("range").applyInPandas(lambda g: _classify(g, most), "range int, chunk long, hash binary, digest binary, kind binary")
     sent = stage(sent, "anchors")
+    collect_garbage(sent.sparkSession)
     kinds = sent.select("range", "chunk", "kind")
 
     def stretches(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -384,6 +385,8 @@ def remove_repeats(
     found = chunks.groupBy("chunk").cogroup(kinds.groupBy("chunk")).applyInPandas(stretches, "range int, part int, hash long, digest long, several boolean, starts long, stretch binary")
     found = found.groupBy("part").applyInPandas(lambda g: _sort(g, length), "range int, hash binary, digest binary, starts binary, again binary")
     again = stage(sent.groupBy("range").cogroup(found.groupBy("range")).applyInPandas(_reply, "range int, chunk long, again binary"), "repeats")
+    del found
+    collect_garbage(sent.sparkSession)
 
     def strings(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         c = Chunk(left.iloc[0], length)
