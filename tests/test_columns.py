@@ -43,7 +43,7 @@ def test_nfc_and_tokens(spark):
 def test_box_location_type_and_flags(spark):
     df = spark.createDataFrame([(50.0, 4.0, "Default "), (49.39, 4.0, None), (None, 4.0, "x"), (53.6, 7.3, "default")], "a double, b double, n string")
     assert [r[0] for r in df.select(C.outside_box(F.col("a"), F.col("b"))).collect()] == [False, True, False, False]
-    assert [r[0] for r in df.select(C.location_type(F.col("n"))).collect()] == ["National", "Store", "Store", "National"]
+    assert [r[0] for r in df.select(C.location_type(F.col("n"))).collect()] == ["National price (online)", "Store", "Store", "National price (online)"]
 
 
 def test_iso_week_53(spark):
