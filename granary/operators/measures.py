@@ -132,18 +132,22 @@ def listing_bands(fact: DataFrame, by: Sequence[str], week: str = "week", produc
 def churn(fact: DataFrame, by: Sequence[str], week: str = "week", product: str = "product_id") -> DataFrame:
     """By month: products new against the calendar month before, and gone since; null where the group has no such month.
 
-    A product's months are distinct rows; each is matched with the same product a month on and a month back by plain
-    equality joins.
+    Each row stands for its product in its month and as "before" in the next one, so one aggregate by group, month and product
+    tells both, combined before the shuffle, and no table is joined with itself. A missing product is one like others.
     """
-    months = fact.select(*by, F.trunc(week, "month").alias("month"), product).distinct()
-    known = months.select(*by, "month").distinct()
-    before = known.select(*by, F.add_months("month", 1).alias("month"), F.lit(True).alias("has_before"))
-    prior = months.select(*by, F.add_months("month", 1).cast("date").alias("month"), product)
-    new = months.join(prior, [*by, "month", product], "left_anti").groupBy(*by, "month").agg(F.count("*").alias("new"))
-    gone = prior.join(months, [*by, "month", product], "left_anti").groupBy(*by, "month").agg(F.count("*").alias("gone"))
-    rows = known.join(before, [*by, "month"], "left").join(new, [*by, "month"], "left").join(gone, [*by, "month"], "left")
-    there = F.col("has_before").isNotNull()
-    return rows.select(*by, "month", F.when(there, F.coalesce("new", F.lit(0))).alias("newly_observed"), F.when(there, F.coalesce("gone", F.lit(0))).alias("no_longer_observed"), F.when(there, -F.coalesce("gone", F.lit(0))).alias("products_leaving"))
+    later = F.explode(F.array(F.lit(0), F.lit(1)))
+    seen = fact.select(*by, F.trunc(week, "month").alias("_month"), product, later.alias("_later"))
+    seen = seen.select(*by, F.add_months("_month", F.col("_later")).alias("month"), product, "_later")
+    own = seen.groupBy(*by, "month", product).agg(F.bool_or(F.col("_later") == 0).alias("here"), F.bool_or(F.col("_later") == 1).alias("before"))
+    rows = own.groupBy(*by, "month").agg(
+        F.count_if(F.col("here") & ~F.col("before")).alias("new"),
+        F.count_if(F.col("before") & ~F.col("here")).alias("gone"),
+        F.bool_or("here").alias("known"),
+        F.bool_or("before").alias("there"),
+    )
+    when = lambda c, name: F.when(F.col("there"), c).alias(name)
+    new, gone = F.col("new"), F.col("gone")
+    return rows.where("known").select(*by, "month", when(new, "newly_observed"), when(gone, "no_longer_observed"), when(-gone, "products_leaving"))
 
 
 def average_churn(monthly: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -100,6 +100,22 @@ def join_profile(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataF
     )
 
 
+def key_audit(keys: Sequence[tuple[str, DataFrame, str, DataFrame, str]], key_type: str = "long") -> DataFrame:
+    """For each foreign key (name, table, column, table referred to, its column): rows without a member, and members without a row.
+
+    The keys of all tables go through one aggregate by name and key, combined before its exchange, so a hot key is no task of
+    its own and there is no join. Missing keys match nothing; a foreign key of empty tables has a row of zeros.
+    """
+    spark, names = keys[0][1].sparkSession, F.array(*(F.lit(key[0]) for key in keys))
+    rows = spark.range(1).select(F.explode(names).alias("foreign_key"), F.lit(None).cast(key_type).alias("k"), F.lit(0).alias("a"), F.lit(0).alias("b"))
+    for name, fact, column, dim, other in keys:
+        for df, c, side in ((fact, column, 1), (dim, other, 0)):
+            rows = rows.unionAll(df.select(F.lit(name), F.col(c).cast(key_type), F.lit(side), F.lit(1 - side)))
+    per = rows.groupBy("foreign_key", "k").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    alone = lambda side, against: F.sum(F.when(F.col("k").isNull() | (F.col(against) == 0), F.col(side)).otherwise(0))
+    return per.groupBy("foreign_key").agg(alone("a", "b").alias("orphan_rows"), alone("b", "a").alias("unused_members"))
+
+
 def agreement(left: DataFrame, right: DataFrame, key: Sequence[str], column: str) -> DataFrame:
     """Of a left join by a unique key: rows matched, unmatched, and matched with another value, in per cent too."""
     other = right.select(*key, F.col(column).alias("_other"), F.lit(True).alias("_found"))

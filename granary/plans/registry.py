@@ -13,7 +13,7 @@ ORACLES: dict[str, str] = {}
 
 
 class Tables:
-    """The tables of a folder, read when asked for."""
+    """The tables of a folder, each opened once, when it is first asked for: to open one reads its files' schema."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -21,7 +21,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return read_table(self.spark, self.sf_dir, name)
+        self.__dict__[name] = read_table(self.spark, self.sf_dir, name)
+        return self.__dict__[name]
 
 
 def query(sql: str | None):

@@ -56,13 +56,7 @@ _FKS = [
 
 @query(" UNION ALL ".join(f"SELECT '{f}.{k}' AS foreign_key, (SELECT count(*) FROM {f} ANTI JOIN {d} ON {f}.{k} = {d}.{x}) AS orphan_rows, (SELECT count(*) FROM {d} ANTI JOIN {f} ON {f}.{k} = {d}.{x}) AS unused_members" for f, k, d, x in _FKS))
 def fk_audit(t: Tables) -> DataFrame:
-    """Both sides are counted by key first, so one join of keys says which rows and members have no partner."""
-    out = None
-    for fact, key, dim, other in _FKS:
-        found = P.join_profile(getattr(t, fact).select(F.col(key).alias("k")), getattr(t, dim).select(F.col(other).alias("k")), ["k"])
-        row = found.select(F.lit(f"{fact}.{key}").alias("foreign_key"), (F.col("left_rows") - F.col("left_rows_matched")).alias("orphan_rows"), (F.col("right_rows") - F.col("right_rows_matched")).alias("unused_members"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    return P.key_audit([(f"{fact}.{key}", getattr(t, fact), key, getattr(t, dim), other) for fact, key, dim, other in _FKS])
 
 
 @query("SELECT o_orderstatus, count(*) AS orders_without_items, min(o_orderkey) AS first_order FROM orders ANTI JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderstatus")

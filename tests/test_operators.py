@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary.operators import contracts as Q
-from granary.operators import decisions, enrich, keys, labels, mart, paths
+from granary.operators import decisions, enrich, keys, labels, mart, measures, paths, profiling
 from granary.operators import mart_contracts as MC
 from granary.operators.facts import lag_ratios, reference_ratio, weekly_fact
 from granary.operators.versions import canonical, latest_flag, price_versions
@@ -180,3 +180,21 @@ def test_entity_dimension(spark):
 def test_sound_paths(spark):
     for text, want in (('[["a"]]', [["a"]]), (' [ [ "a" , "b\\"c]" ] ,["é\\u00e9"]]\n', [["a", 'b"c]'], ["éé"]]), (None, None), ('[["' + "x" * 200_000 + '"]]', [["x" * 200_000]])):
         assert spark.createDataFrame([(text,)], "p string").select(paths.parse_paths(F.col("p"))).first()[0] == want
+
+
+def test_churn_follows_products_of_every_group_from_month_to_month(spark):
+    rows = [("a", date(2020, 1, 6), 1), ("a", date(2020, 1, 13), 1), ("a", date(2020, 1, 6), 2), ("a", date(2020, 2, 3), 2), ("a", date(2020, 2, 3), 3)]
+    rows += [("a", date(2020, 4, 6), 3), (None, date(2020, 1, 6), 9), (None, date(2020, 2, 3), 9)]
+    fact = spark.createDataFrame(rows, "shop string, week date, product_id long")
+    found = {(r["shop"], r["month"].month): tuple(r)[2:] for r in measures.churn(fact, ["shop"]).collect()}
+    none = (None, None, None)
+    assert found == {("a", 1): none, ("a", 2): (1, 1, -1), ("a", 4): none, (None, 1): none, (None, 2): (0, 0, 0)}
+    assert measures.churn(fact.where("false"), ["shop"]).collect() == []
+
+
+def test_key_audit_counts_rows_and_members_without_a_partner(spark):
+    fact = spark.createDataFrame([(1,), (1,), (2,), (4,), (4,), (None,)], "k long")
+    dim = spark.createDataFrame([(1,), (2,), (3,), (None,)], "id int")
+    none = dim.where("false")
+    found = profiling.key_audit([("used", fact, "k", dim, "id"), ("back", dim, "id", fact, "k"), ("void", none, "id", none, "id")])
+    assert {r["foreign_key"]: (r["orphan_rows"], r["unused_members"]) for r in found.collect()} == {"used": (3, 2), "back": (2, 3), "void": (0, 0)}
