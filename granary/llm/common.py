@@ -47,7 +47,11 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
 
 
 def ascii_lower(c: Column) -> Column:
-    return F.translate(c, UPPER, LOWER)
+    """A-Z in lower case, all else as it is; null stays null.
+
+    lower() is several times faster than translate(), and the same where each character is one byte.
+    """
+    return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
 def fold(c: Column, mod: int) -> Column:

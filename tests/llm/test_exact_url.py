@@ -3,6 +3,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 
 from granary.llm import catalog
+from granary.llm.common import LOWER, UPPER, ascii_lower
 from granary.llm.exact_dedup import exact_dedup
 from granary.llm.url_filter import PatternRule, RuleIndex, SiteRule, filter_urls, split_url
 
@@ -60,3 +61,13 @@ def test_rules_are_fetched_by_their_rarest_token():
     assert set(index.by_token) == {"com", *(f"rare{i}" for i in range(50))} and len(index.always) == 1
     *_, verdict, run = index.judge("http://a.org/common/rare7/x")
     assert verdict == "block" and run == 2
+
+
+def test_lower_casing_touches_a_to_z_only(spark):
+    """Every code point, alone and beside letters, against translate()."""
+    points = spark.range(1, 0x110000).where("id not between 55296 and 57343")  # no surrogates
+    point = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    for text in (point, F.concat(F.lit("AzÉ"), point, F.lit("Z"))):
+        rows = points.select(text.alias("text"))
+        assert rows.where(~ascii_lower(F.col("text")).eqNullSafe(F.translate("text", UPPER, LOWER))).isEmpty()
+    assert [r[0] for r in spark.createDataFrame([(None,), ("",), ("[A@Z`",)], "text string").select(ascii_lower(F.col("text"))).collect()] == [None, "", "[a@z`"]
