@@ -1,5 +1,6 @@
 """Plain versions of the operators, for small tables."""
 
+import datetime
 import hashlib
 import math
 import re
@@ -86,3 +87,42 @@ def ngram_places(rows, counts, folds, again):
                 found.append((two[a, b] if known else 0, three[a, b, w] if known else 0, one[b], two[b, w], one[w]))
             out[i] = np.array(found, float)
     return out
+
+
+def assemblies(lines, sales):
+    """Closings of the sale assembly, row by row."""
+    day = lambda t: (t.date() - datetime.date(1970, 1, 1)).days
+    cents = lambda a: 0 if a is None or a != a or abs(a) >= 9e16 else math.floor(100 * a + 0.5)
+    batch = lambda d: min(max(math.floor((d - 19723) * 10 / 160), 0), 9)
+    arrived, per = defaultdict(lambda: defaultdict(list)), defaultdict(list)
+    for line in dict.fromkeys(x for x in lines if x[0] is not None):
+        h = zlib.crc32(f"{line[0]}:{'' if line[1] is None else line[1]}".encode())
+        d = 19723 + h % 152 if line[8] is None else day(line[8]) + h % 15
+        arrived[d][line[0]].append((cents(line[5]), None))
+        per[line[0]].append((d, cents(line[5])))
+    for sale in dict.fromkeys(x for x in sales if x[0] is not None):
+        kind, own = zlib.crc32(str(sale[0]).encode()) % 5, per.get(sale[0], [])
+        last = max((d for d, _ in own), default=0)
+        due = cents(sale[3]) if kind == 0 else sum(c for d, c in own if kind > 1 or d < last)
+        arrived[day(sale[5]) if sale[5] else 19723][sale[0]].append((None, due))
+    opened, last_of, out, prior = {}, {}, [], -math.inf
+    for b in range(10):
+        days = sorted(d for d in arrived if batch(d) == b)
+        for d in days:
+            for i, rows in arrived[d].items():
+                first, n, c, due = opened.get(i, (d, 0, 0, None))
+                got = [x for x, _ in rows if x is not None]
+                n, c = n + len(got), c + sum(got)
+                due = min((x for _, x in rows if x is not None), default=None) if due is None else due
+                opened[i] = first, n, c, due
+                last_of[i] = d
+                if due is not None and n and c == due:
+                    out.append((i, first, d, n, c, due, "complete", b))
+                    del opened[i]
+        for i, (first, n, c, due) in list(opened.items()):
+            if b == 9 or first + 10 <= prior:
+                status = "headless" if due is None else "orphan" if not n else "short" if c < due else "over"
+                out.append((i, first, last_of[i], n, c, due, status, b))
+                del opened[i]
+        prior = max([prior, *days[-1:]])
+    return out
