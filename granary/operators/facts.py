@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from granary.functions.columns import flag, n_values
 
@@ -57,27 +58,34 @@ def log_ratio(now: Column, then: Column) -> Column:
     return F.when((now > 0) & (then > 0), F.ln(now / then))
 
 
-def unique_rows(fact: DataFrame, grain: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Rows whose grain stands once, so that joining them can't multiply rows."""
-    rows = fact.groupBy(*grain).agg(F.count("*").alias("_n"), *(F.min(c).alias(c) for c in columns))
-    return rows.where("_n = 1").drop("_n")
+def _all_known(columns: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(c).isNotNull()
+    return out
 
 
 def lag_ratios(fact: DataFrame, series: Sequence[str], at: str, days: int, ratios: dict[str, str]) -> DataFrame:
-    """fact with the log ratio of each column to that of the same series exactly `days` before; null without such a row.
+    """fact with the log ratio of each column to that of the same series exactly `days` before; null without such a row,
+    where there are several, and where the series or the date is null.
 
-    The earlier side's date is moved on, which leaves a plain equality join.
+    The row before is a frame of one date in the series' own order, so the fact is read once and not joined with itself;
+    over a table in buckets of the series (sources/shared.py) nothing is shuffled. A series has a row a date, not more.
     """
-    columns = list(dict.fromkeys(ratios.values()))
-    earlier = unique_rows(fact, [*series, at], columns).withColumn(at, F.date_add(at, days)).withColumnsRenamed({c: f"_then_{c}" for c in columns})
-    joined = fact.join(earlier, [*series, at], "left")
-    return joined.withColumns({name: log_ratio(F.col(c), F.col(f"_then_{c}")) for name, c in ratios.items()}).drop(*(f"_then_{c}" for c in columns))
+    then = W.partitionBy(*series).orderBy(F.unix_date(at)).rangeBetween(-days, -days)
+    known = _all_known([*series, at]) & (F.count(F.lit(1)).over(then) == 1)
+    return fact.withColumns({name: F.when(known, log_ratio(F.col(c), F.min(c).over(then))) for name, c in ratios.items()})
 
 
 def reference_ratio(fact: DataFrame, keys: Sequence[str], place: str, reference, column: str, name: str) -> DataFrame:
-    """fact with the log ratio of the column to that of the reference place, for rows elsewhere."""
-    base = unique_rows(fact.where(F.col(place) == reference), keys, [column]).withColumnRenamed(column, "_base")
-    return fact.join(base, list(keys), "left").withColumn(name, F.when(F.col(place) != reference, log_ratio(F.col(column), F.col("_base")))).drop("_base")
+    """fact with the log ratio of the column to that of the reference place, for rows elsewhere; null where the reference
+    has no row or several, or a key is null.
+
+    The rows of a key, one for each place, stand together; the fact is not joined with itself.
+    """
+    here, there = W.partitionBy(*keys), F.col(place) == reference
+    known = _all_known(keys) & (F.col(place) != reference) & (F.count_if(there).over(here) == 1)
+    return fact.withColumn(name, F.when(known, log_ratio(F.col(column), F.min(F.when(there, F.col(column))).over(here))))
 
 
 def matched_changes(df: DataFrame, by: Sequence[str], columns: dict[str, str], least: int = 500) -> DataFrame:

@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from granary.operators.bitmaps import counted, counted_masks, merged_masks, ordinal_masks, presence, week_ordinal
+from granary.operators.joins import beside
+
 
 def share(a: Column, b: Column) -> Column:
     """Null where there is nothing to divide by."""
@@ -33,7 +36,7 @@ def overview(fact: DataFrame, by: Sequence[str], product: str = "product_id", lo
         F.round(F.try_divide(F.sum("depth"), F.sum("deep")), 6).alias("average_promo_depth"), F.min("first_week").alias("first_week"),
     )
     out = products.withColumns({"promotion_rate": share(F.col("promotion_observations"), F.col("price_observations")), "share_of_products_promoted": share(F.col("products_on_promotion"), F.col("observed_products"))})
-    return _beside(out, observed(fact, by, {"observed_locations": location, "observed_weeks": week}), by)
+    return beside(out, observed(fact, by, {"observed_locations": location, "observed_weeks": week}), by)
 
 
 def observed(fact: DataFrame, by: Sequence[str], members: dict[str, str]) -> DataFrame:
@@ -42,21 +45,10 @@ def observed(fact: DataFrame, by: Sequence[str], members: dict[str, str]) -> Dat
     for name, column in members.items():
         pairs = fact.select(*by, F.col(column).alias("_member")).distinct()
         own = pairs.groupBy(*by).agg(F.count("_member").alias(name))
-        out = own if out is None else _beside(out, own, by)
+        out = own if out is None else beside(out, own, by)
     return out
 
 
-def _beside(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Two tables of one row a group side by side; null groups are groups."""
-    if not by:
-        return a.crossJoin(b)  # a row each
-    renamed = b.withColumnsRenamed({c: f"_b_{c}" for c in by})
-    same = F.lit(True)
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
-    return a.join(renamed, same, "left").drop(*(f"_b_{c}" for c in by))
-
-
 def first_observation(fact: DataFrame, by: Sequence[str], week: str = "week") -> DataFrame:
     """The earliest date of each group's rows, whatever dates are asked about elsewhere: those of the rows themselves count."""
     return fact.groupBy(*by).agg(F.min(week).alias("first_observation"))
@@ -69,7 +61,7 @@ def products_index(fact: DataFrame, by: Sequence[str], week: str = "week", produ
     """
     weekly = fact.select(*by, week, product).distinct().groupBy(*by, week).agg(F.count(product).alias("observed_products"))
     base = weekly.groupBy(*by).agg(F.min_by("observed_products", week).alias("_base"))
-    rows = _beside(weekly, base, by)
+    rows = beside(weekly, base, by)
     return rows.withColumn("observed_products_index", share(F.col("observed_products"), F.col("_base")) * 100).drop("_base")
 
 
@@ -101,32 +93,50 @@ def premium_colour(index: Column, above: float = 0.01) -> Column:
     return F.when(index > above, TEAL).otherwise(LIGHT_TEAL)
 
 
+def weekly_presence(fact: DataFrame, by: Sequence[str], week: str = "week", product: str = "product_id") -> DataFrame:
+    """Bitmaps of the products of each group and week, beside observations and promotions. Products are whole numbers."""
+    return presence(fact, [*by, week], product, sums={"n": F.lit(1), "promoted": F.coalesce(F.col("is_promotion"), F.lit(False)).cast("long")})
+
+
 def per_week(fact: DataFrame, by: Sequence[str], week: str = "week", product: str = "product_id") -> DataFrame:
     """Of each group: the least weekly promotion rate, the average products a week (weeks without rows skipped), the share of
-    weeks that a product is listed, and products a week indexed to the first week."""
-    weekly = fact.groupBy(*by, week).agg(F.count_distinct(product).alias("products"), share(F.count_if("is_promotion"), F.count("*")).alias("rate"))
+    weeks that a product is listed, and products a week indexed to the first week.
+
+    Both counts of products, of weeks and of all weeks, come from one table of bitmaps.
+    """
+    there = weekly_presence(fact, by, week, product)
+    weekly = counted(there, [*by, week], sums=["n", "promoted"]).withColumnRenamed("keys", "products").withColumn("rate", share(F.col("promoted"), F.col("n")))
     rows = weekly.groupBy(*by).agg(F.min("rate").alias("lowest_weekly_promotion_rate"), F.avg("products").alias("average_weekly_products"), F.min_by("products", week).alias("first_products"), F.max_by("products", week).alias("last_products"))
-    whole = fact.groupBy(*by).agg(F.count_distinct(product).alias("observed_products"))
-    rows = rows.join(whole, list(by)) if by else rows.crossJoin(whole)
+    rows = beside(rows, counted(there, by).withColumnRenamed("keys", "observed_products"), by)
     return rows.withColumns({"share_of_weeks_listed": share(F.col("average_weekly_products"), F.col("observed_products")), "last_products_index": share(F.col("last_products") * 100, F.col("first_products"))})
 
 
+def average_weekly(there: DataFrame, by: Sequence[str], name: str, week: str = "week") -> DataFrame:
+    """Average products a week of each group of a table of weekly_presence by these columns and others."""
+    return counted(there, [*by, week]).groupBy(*by).agg(F.avg("keys").alias(name))
+
+
 def range_share(fact: DataFrame, by: Sequence[str], within: Sequence[str], week: str = "week", product: str = "product_id") -> DataFrame:
-    """Average weekly products of a group as a share of those of the wider group `within`."""
-    own = per_week(fact, by, week, product).select(*by, "average_weekly_products")
-    wide = per_week(fact, within, week, product).select(*within, F.col("average_weekly_products").alias("wider"))
-    rows = own.join(wide, list(within)) if within else own.crossJoin(wide)
+    """Average weekly products of a group as a share of those of the wider group `within`, which is by some of its columns.
+
+    The wider group's bitmaps are those of its parts put together.
+    """
+    there = weekly_presence(fact, by, week, product)
+    rows = beside(average_weekly(there, by, "average_weekly_products", week), average_weekly(there, within, "wider", week), within)
     return rows.withColumn("share_of_weekly_range", share(F.col("average_weekly_products"), F.col("wider"))).drop("wider")
 
 
 def listing_bands(fact: DataFrame, by: Sequence[str], week: str = "week", product: str = "product_id") -> DataFrame:
-    """Shares of products by the weeks they are listed, against all weeks of the group: at most 4; more, but under half; half to under 90 %; 90 % and more."""
-    weeks = fact.groupBy(*by, product).agg(F.count_distinct(week).alias("w"))
-    total = fact.groupBy(*by).agg(F.count_distinct(week).alias("all_weeks"))
-    rows = weeks.join(total, list(by)) if by else weeks.crossJoin(total)
+    """Shares of products by the weeks they are listed, against all weeks of the group: at most 4; more, but under half; half to under 90 %; 90 % and more.
+
+    Weeks of a product are bits of a few numbers, of which the group's are an OR; products are then one row for each number of weeks.
+    """
+    masks = ordinal_masks(fact, [*by, product], week_ordinal(F.col(week)))
+    per = counted_masks(masks, [*by, product], "w").groupBy(*by, "w").agg(F.count("*").alias("n"))
+    rows = beside(per, counted_masks(merged_masks(masks, by), by, "all_weeks"), by)
     w, half, most = F.col("w"), F.col("all_weeks") * 0.5, F.col("all_weeks") * 0.9
     bands = {"listed_4_weeks_or_less": w <= 4, "listed_under_half": (w > 4) & (w < half), "listed_half_to_90": (w >= half) & (w < most), "core_range": w >= most}
-    return rows.groupBy(*by).agg(*(share(F.count_if(c), F.count("*")).alias(n) for n, c in bands.items()))
+    return rows.groupBy(*by).agg(*(share(F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)), F.sum("n")).alias(n) for n, c in bands.items()))
 
 
 def churn(fact: DataFrame, by: Sequence[str], week: str = "week", product: str = "product_id") -> DataFrame:
@@ -163,16 +173,23 @@ def category_benchmark(values: DataFrame, product: str, category: Sequence[str],
 
 
 def high_shares(values: DataFrame, product: str, by: Sequence[str], basis: str, halved: str, entry: str, value: str, limits: dict[str, float]) -> DataFrame:
-    """Share of products whose greatest value of an entry is above its limit (half of it on the basis `halved`), and of any entry."""
-    top = values.where(F.col(entry).isin(*limits)).groupBy(*by, product, basis, entry).agg(F.max(value).alias("v"))
-    limit = None
-    for name, most in limits.items():
-        limit = F.when(F.col(entry) == name, F.lit(float(most))) if limit is None else limit.when(F.col(entry) == name, F.lit(float(most)))
-    top = top.withColumn("high", F.col("v") > limit * F.when(F.col(basis) == halved, 0.5).otherwise(1.0))
-    per = top.groupBy(*by, product, entry).agg(F.max("high").alias("high"))
-    each = per.groupBy(*by, entry).agg(F.count_if("high").alias("high_products"), F.count("*").alias("products"))
-    any_ = per.groupBy(*by, product).agg(F.max("high").alias("high")).groupBy(*by).agg(F.count_if("high").alias("high_products"), F.count("*").alias("products"))
-    rows = each.unionByName(any_.withColumn(entry, F.lit("any")))
+    """Share of products with a value of an entry above its limit (half of it on the basis `halved`), and of any entry.
+
+    One aggregate by product has a flag for each limit.
+    """
+    scale = F.when(F.col(basis) == halved, 0.5).otherwise(1.0)
+    flags = []
+    for i, (name, most) in enumerate(limits.items()):
+        own = F.col(entry) == name
+        flags += [F.bool_or(own).alias(f"_has{i}"), F.bool_or(own & (F.col(value) > most * scale)).alias(f"_high{i}")]
+    per = values.where(F.col(entry).isin(*limits)).groupBy(*by, product).agg(*flags)
+    n = range(len(limits))
+    counts = [F.count_if(f"_{k}{i}").alias(f"_{k}{i}") for i in n for k in ("high", "has")]
+    per = per.withColumn("_any", F.coalesce(F.greatest(*(F.coalesce(f"_high{i}", F.lit(False)) for i in n)) if len(limits) > 1 else F.col("_high0"), F.lit(False)))
+    rows = per.groupBy(*by).agg(*counts, F.count_if("_any").alias("_high_any"), F.count("*").alias("_has_any"))
+    each = [F.struct(F.lit(name).alias(entry), F.col(f"_high{i}").alias("high_products"), F.col(f"_has{i}").alias("products")) for i, name in enumerate(limits)]
+    each.append(F.struct(F.lit("any").alias(entry), F.col("_high_any").alias("high_products"), F.col("_has_any").alias("products")))
+    rows = rows.select(*by, F.explode(F.array(*each)).alias("_e")).select(*by, "_e.*").where("products > 0")
     return rows.withColumn("share_high", share(F.col("high_products"), F.col("products")))
 
 
