@@ -20,13 +20,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm.common import UNIT_BYTES, input_bytes, lengths, new_id, pick, pooled, release_memory, root_sized, stage, stage_by, table
-from granary.llm.hashing import joined, mix, pack, spans, unpack
+from granary.llm.hashing import joined, mix, pack, unpack
 
 #: Characters of a chunk, and distinct words of chunks that one range has, about: the least and the most.
 CHUNK_CHARS, MOST_CHUNK_CHARS = 4 << 20, 10 << 20
@@ -100,8 +99,8 @@ def _same(buffer: np.ndarray, a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -
     return True
 
 
-def words_of(texts: list[str | None]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
-    """Hashes (sorted) and bytes of the distinct pre-tokens of texts, the place of every pre-token's in these, and how many each text has."""
+def words_of(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct pre-tokens of texts, frequent ones first; the place of every pre-token's in these; and how many each text has."""
     edge = [_EDGE]
     characters = np.concatenate([x for t in texts for x in (np.frombuffer((t or "").encode("utf-32-le", "surrogatepass"), "<u4"), edge)])
     starts = cuts(characters)
@@ -115,13 +114,23 @@ def words_of(texts: list[str | None]) -> tuple[np.ndarray, list[bytes], np.ndarr
     sizes = np.diff(begins, append=at[-1])[~is_edge]
     begins = begins[~is_edge]
     del characters, width, at
-    for seed in itertools.count():  # another one, should two words have one hash; their range of hashes then is another
+    for seed in itertools.count():  # another one, should two words have one hash
         found, first, codes = np.unique(_hashes(buffer, begins, sizes, seed), return_index=True, return_inverse=True)
         if (sizes[first][codes] == sizes).all() and _same(buffer, begins[first][codes], begins, sizes):
             break
-    raw = buffer.tobytes()
+    order = np.argsort(-np.bincount(codes, minlength=len(found)), kind="stable")
+    place = np.empty(len(order), np.uint32)
+    place[order] = np.arange(len(order))
+    raw, first = buffer.tobytes(), first[order]
     words = [raw[s : s + k] for s, k in zip(begins[first].tolist(), sizes[first].tolist(), strict=True)]
-    return found, words, codes, n
+    return words, place[codes], n
+
+
+def ranges_of(words: list[bytes], bits: int) -> np.ndarray:
+    """Which of 2**bits ranges of hashes each word is in."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    buffer = np.frombuffer(b"".join(words) + bytes(8), np.uint8)
+    return (_hashes(buffer, np.cumsum(sizes) - sizes, sizes) >> np.uint64(64 - bits)).astype(np.int32)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -161,8 +170,7 @@ def decode_ids(ids: np.ndarray, path: str) -> bytes:
     return flat[np.arange(ends[-1]) + np.repeat(start[ids] - (ends - known), known)].tobytes()
 
 
-#: order: the place by hash of each word, these by frequency as codes name them.
-CHUNK = "chunk long, ids binary, sizes binary, codes binary, hashes binary, words binary, order binary"
+CHUNK = "chunk long, n_words long, ids binary, sizes binary, codes binary, words binary"
 
 
 def _bytes_of(words: list[bytes]) -> bytes:
@@ -181,15 +189,8 @@ def _chunks(docs: DataFrame, chars: int) -> DataFrame:
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in pooled(batches, lambda b: lengths(b["text"]) + 1, chars):
-            h, words, codes, n = words_of(rows["text"].tolist())
-            # Frequent words have small codes, of which most bytes are zero.
-            rank = np.empty(len(h), np.int64)
-            order = np.argsort(-np.bincount(codes, minlength=len(h)), kind="stable")
-            rank[order] = np.arange(len(h))
-            out = {
-                "chunk": new_id(), "ids": pack(rows["row_id"].to_numpy(np.int64)), "sizes": pack(n.astype(np.int64)), "codes": pack(rank[codes].astype(np.uint32)),
-                "hashes": pack(h), "words": _bytes_of(words), "order": pack(order.astype(np.uint32)),
-            }
+            words, codes, n = words_of(rows["text"].tolist())
+            out = {"chunk": new_id(), "n_words": len(words), "ids": pack(rows["row_id"].to_numpy(np.int64)), "sizes": pack(n.astype(np.int64)), "codes": pack(codes), "words": _bytes_of(words)}
             del words, codes
             yield pd.DataFrame([out])
             release_memory()
@@ -203,13 +204,14 @@ def _send(chunks: DataFrame, bits: int) -> DataFrame:
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                h, words = unpack(row.hashes, np.uint64), _words_of(row.words)
-                if len(h):
-                    ranges, parts = spans(h, bits)
-                    yield pd.DataFrame({"range": ranges, "chunk": row.chunk, "words": [_bytes_of(words[p]) for p in parts]})
+                words, found = _words_of(row.words), {}
+                for word, own in zip(words, ranges_of(words, bits).tolist(), strict=True):
+                    found.setdefault(own, []).append(word)
+                if found:
+                    yield pd.DataFrame({"range": list(found), "chunk": row.chunk, "words": [_bytes_of(x) for x in found.values()]})
                 release_memory()
 
-    return chunks.select("chunk", "hashes", "words").mapInPandas(send, "range int, chunk long, words binary")
+    return chunks.select("chunk", "words").mapInPandas(send, "range int, chunk long, words binary")
 
 
 def _encode_range(group: pd.DataFrame, path: str) -> pd.DataFrame:
@@ -229,7 +231,7 @@ def _encode_range(group: pd.DataFrame, path: str) -> pd.DataFrame:
     return pd.DataFrame({"range": group["range"], "chunk": group["chunk"], "n_ids": sizes, "word_ids": ids})
 
 
-def _place(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+def _place(left: pd.DataFrame, right: pd.DataFrame, bits: int) -> pd.DataFrame:
     """The ids of each text of a chunk: those of its words, in their positions."""
     if not len(left):
         return pd.DataFrame({"row_id": np.zeros(0, np.int64), "ids": []})
@@ -238,8 +240,10 @@ def _place(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     gather = lambda c: np.concatenate([unpack(x, np.uint32) for x in answers[c]] or [np.zeros(0, np.uint32)])
     size, ids = gather("n_ids").astype(np.int64), gather("word_ids")
     start = np.cumsum(size) - size
-    order, codes = unpack(row["order"], np.uint32), unpack(row["codes"], np.uint32)
-    at = order[codes]
+    # Answers are by range, and in a range in the order of the chunk's words.
+    place = np.empty(len(size), np.uint32)
+    place[np.argsort(ranges_of(_words_of(row["words"]), bits), kind="stable")] = np.arange(len(size))
+    at = place[unpack(row["codes"], np.uint32)]
     n = size[at]
     ends = np.cumsum(n)
     flat = ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[at] - (ends - n), n)].astype(np.int32)
@@ -268,16 +272,21 @@ def encode(df: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "t
     size = input_bytes(keyed)
     chunks = stage_by(_chunks(keyed, chunk_chars or root_sized(CHUNK_CHARS, MOST_CHUNK_CHARS, size, UNIT_BYTES)), "chunk", "chunks")
     per_range = root_sized(WORDS_PER_RANGE, MOST_PER_RANGE, size, UNIT_BYTES)
-    total = chunks.agg(F.sum(F.octet_length("hashes") / 8)).first()[0] or 0
+    total = chunks.agg(F.sum("n_words")).first()[0] or 0
     bits = max(1, int(np.ceil(np.log2(total / per_range + 1))))
     answers = _send(chunks, bits).groupBy("range").applyInPandas(lambda g: _encode_range(g, ranks), "range int, chunk long, n_ids binary, word_ids binary")
-    asked = chunks.select("chunk", "ids", "sizes", "codes", "order").groupBy("chunk")
-    out = asked.cogroup(answers.groupBy("chunk")).applyInPandas(_place, "row_id long, ids array<int>")
+    asked = chunks.drop("n_words").groupBy("chunk")
+    out = asked.cogroup(answers.groupBy("chunk")).applyInPandas(lambda a, b: _place(a, b, bits), "row_id long, ids array<int>")
     if plain:
         return out.select(F.when(F.col("row_id") != null_id, F.col("row_id")).cast(dict(docs.dtypes)["doc_id"]).alias("doc_id"), "ids")
     return stage(out, "ids").join(docs.select("row_id", "doc_id"), "row_id").select("doc_id", "ids")
 
 
+def _id_lists(ids: pa.ListArray) -> Iterator[np.ndarray]:
+    flat, bounds = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy().tolist()
+    return (flat[a:b] for a, b in zip(bounds, bounds[1:], strict=False))
+
+
 def decode(df: DataFrame, ranks: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
     """df with the bytes of its ids as a further column, by the vocabulary in the file `ranks`; null ids decode to null.
 
@@ -292,8 +301,7 @@ def decode(df: DataFrame, ranks: str, ids_col: str = "ids", to: str = "decoded")
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(at)
-            flat, bounds = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy().tolist()
-            found = [decode_ids(flat[a:b], ranks) if there else None for a, b, there in zip(bounds, bounds[1:], pc.is_valid(ids).to_pylist(), strict=False)]
+            found = [decode_ids(x, ranks) if there else None for x, there in zip(_id_lists(ids), ids.is_valid().to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, "decoded"])
 
     return own.mapInArrow(look_up, schema).toDF(*df.columns, to)
@@ -307,11 +315,9 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("ids")
-            flat, bounds = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy().tolist()
-            sha = [hashlib.sha256(flat[a:b].astype("<u4")).hexdigest() for a, b in zip(bounds, bounds[1:], strict=False)]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_tokens": pa.array(np.diff(bounds), pa.int64()), "ids_sha256": sha, "decoded": batch.column("decoded")})
-
-    id_type = dict(encoded.dtypes)["doc_id"]
-    found = decode(encoded, ranks).mapInArrow(digest, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded binary")
-    return found.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+            every = [(len(x), hashlib.sha256(x.astype("<u4")).hexdigest(), hashlib.sha256(decode_ids(x, ranks)).hexdigest()) for x in _id_lists(batch.column("ids"))]
+            n, ids, decoded = zip(*every, strict=True) if every else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            release_memory()
+
+    return encoded.mapInArrow(digest, f"doc_id {dict(encoded.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")

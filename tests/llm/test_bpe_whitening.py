@@ -67,7 +67,7 @@ def test_words_of_one_hash_are_told_apart(monkeypatch):
         return np.zeros(len(starts), np.uint64) if seed < 2 else plain(buffer, starts, sizes, seed)
 
     monkeypatch.setattr(B, "_hashes", collides)
-    _, words, codes, n = B.words_of(["a b", "b"])
+    words, codes, n = B.words_of(["a b", "b"])
     assert seeds == [0, 1, 2] and [words[c] for c in codes] == [b"a", b" b", b"b"] and n.tolist() == [2, 1]
 
 
