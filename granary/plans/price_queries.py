@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from granary.functions.columns import week_of
 from granary.operators import measures as M
 from granary.operators import profiling as P
+from granary.operators.bitmaps import counted_sets, cube, presence, rollup, week_ordinal
 from granary.operators.facts import lag_ratios, matched_changes, reference_ratio, weekly_fact
 from granary.operators.versions import price_versions
 from granary.plans.registry import Tables, query
+from granary.sources.shared import write_layout, written
 
 PLACE = ["product_id", "location", "week"]
 YEAR = 364
@@ -227,6 +229,45 @@ def classified_share(t: Tables) -> DataFrame:
 s AS (SELECT f.location, f.product_id, f.week, p_brand FROM fact f JOIN part ON product_id = p_partkey)
 SELECT p_brand, location, count(DISTINCT product_id) AS products, count(*) AS observations, min(week) AS first_week FROM s GROUP BY ROLLUP (p_brand, location)""")
 def brand_rollup(t: Tables) -> DataFrame:
-    """The drill from brand to place, with its totals."""
+    """The drill from brand to place, with its totals: products of the upper levels are an OR of the bitmaps below."""
     rows = fact(t).join(t.part.select(F.col("p_partkey").alias("product_id"), "p_brand"), "product_id")
-    return rows.rollup("p_brand", "location").agg(F.count_distinct("product_id").alias("products"), F.count("*").alias("observations"), F.min("week").alias("first_week"))
+    there = presence(rows, ["p_brand", "location"], "product_id", sums={"observations": F.lit(1)}, least={"first_week": F.col("week")})
+    return counted_sets(there, rollup("p_brand", "location"), sums=["observations"], least=["first_week"]).withColumnRenamed("keys", "products")
+
+
+@query(fact_sql() + """
+SELECT location, year, count(DISTINCT product_id) AS products, count(DISTINCT product_id) FILTER (WHERE is_promotion) AS promoted_products, count(DISTINCT week) AS weeks, count(*) AS observations, min(week) AS first_week
+FROM (SELECT *, CAST(year(week) AS INTEGER) AS year FROM fact) GROUP BY CUBE (location, year)""")
+def presence_cube(t: Tables) -> DataFrame:
+    """Products, promoted products and weeks of every grouping of place and year, from one written table of bitmaps."""
+    rows = fact(t).withColumn("year", F.year("week"))
+    there = presence(
+        rows, ["location", "year"], "product_id", narrow={"weeks": week_ordinal(F.col("week"))}, where={"promoted_products": F.col("is_promotion")},
+        sums={"observations": F.lit(1)}, least={"first_week": F.col("week")},
+    )
+    found = counted_sets(written(there, "presence"), cube("location", "year"), wide=["keys", "promoted_products"], narrow=["weeks"], sums=["observations"], least=["first_week"])
+    return found.withColumnRenamed("keys", "products")
+
+
+@query(fact_sql("l_returnflag") + f""",
+earlier AS (SELECT product_id, location, CAST(week + {YEAR} AS DATE) AS week, min(effective_price) AS e FROM fact GROUP BY product_id, location, week HAVING count(*) = 1),
+base AS (SELECT product_id, week, min(effective_price) AS b FROM fact WHERE location = 'N' GROUP BY product_id, week HAVING count(*) = 1),
+years AS (SELECT location, CASE WHEN effective_price > 0 AND e > 0 THEN ln(effective_price / e) END AS r FROM fact LEFT JOIN earlier USING (product_id, location, week)),
+stores AS (SELECT location, CASE WHEN location <> 'N' AND effective_price > 0 AND b > 0 THEN ln(effective_price / b) END AS r FROM fact LEFT JOIN base USING (product_id, week))
+SELECT 'year' AS against, location, count(r) AS pairs, round(exp(avg(r)) - 1, 6) AS change FROM years GROUP BY location
+UNION ALL SELECT 'reference', location, count(r), round(exp(avg(r)) - 1, 6) FROM stores GROUP BY location""")
+def published_ratios(t: Tables) -> DataFrame:
+    """Both kinds of ratio over one table in buckets of the product: neither shuffles a row of the fact."""
+    rows = fact(t, "l_returnflag").select(*PLACE, "effective_price")
+    layout = write_layout(rows, ["product_id"], PLACE, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    return bucketed_ratios(layout)
+
+
+def bucketed_ratios(layout: DataFrame) -> DataFrame:
+    year = lag_ratios(layout, ["product_id", "location"], "week", YEAR, {"r": "effective_price"})
+    reference = reference_ratio(layout, ["product_id", "week"], "location", "N", "effective_price", "r")
+    out = None
+    for name, ratios in (("year", year), ("reference", reference)):
+        own = ratios.groupBy("location").agg(F.count("r").alias("pairs"), F.round(F.exp(F.avg("r")) - 1, 6).alias("change")).withColumn("against", F.lit(name))
+        out = own if out is None else out.unionByName(own)
+    return out

@@ -11,7 +11,7 @@ from granary.operators import decisions, enrich, labels, paths
 from granary.operators import profiling as P
 from granary.operators.calendar import date_dimension
 from granary.operators.keys import attach_key, surrogate_keys, unique_match, with_unknown
-from granary.operators.versions import canonical, latest_flag
+from granary.operators.versions import canonical, latest_flag, latest_rows
 from granary.plans.fingerprint import fingerprint
 from granary.plans.registry import Tables, query
 
@@ -234,6 +234,14 @@ def canonical_version(t: Tables) -> DataFrame:
     return canonical(rows, ["user_id", "event_type", "day"], ["complete"], "props", [F.col("event_id")]).select("user_id", "event_type", "day", "event_id", "grain_rows", "selection_reason")
 
 
+@query("""WITH r AS (SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day, value, row_number() OVER (PARTITION BY user_id, event_type ORDER BY CAST(ts AS DATE) DESC, ts DESC, event_id DESC) AS rn,
+  count(*) OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE)) AS n FROM events)
+SELECT event_id, user_id, event_type, day, value, n AS rows_of_last_date FROM r WHERE rn = 1""")
+def last_event(t: Tables) -> DataFrame:
+    rows = t.events.select("event_id", "user_id", "event_type", F.col("ts").cast("date").alias("day"), "ts", "value")
+    return latest_rows(rows, ["user_id", "event_type"], "day", ["ts", "event_id"]).drop("ts")
+
+
 @query("SELECT user_id, event_type, CAST(ts AS DATE) AS day, count(*) AS n, round(avg(value), 6) AS value FROM events QUALIFY true GROUP BY ALL".replace(" QUALIFY true", "") .replace("FROM events GROUP BY ALL", "FROM (SELECT *, CAST(ts AS DATE) = max(CAST(ts AS DATE)) OVER (PARTITION BY user_id, event_type) AS latest FROM events) WHERE latest GROUP BY ALL"))
 def latest_observation(t: Tables) -> DataFrame:
     rows = latest_flag(t.events.withColumn("day", F.col("ts").cast("date")), ["user_id", "event_type"], "day").where("is_latest_observation")
