@@ -24,7 +24,7 @@ import granary
 from granary.plans import parity as P
 from granary.plans import retail as R
 from granary.plans.fingerprint import compare, measure, update_baseline
-from granary.plans.publish import code_fingerprint, load, publish
+from granary.plans.publish import code_fingerprint, current, load, publish
 from granary.session import local_session
 from granary.sources.extract import jdbc_readers, open_snapshot, snapshot
 
@@ -43,16 +43,20 @@ def raw(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def silver(spark: SparkSession, args: argparse.Namespace) -> None:
-    open_snapshot(spark, args.raw)
+    found = current(spark, args.raw)
+    open_snapshot(spark, args.raw, found)
     spec = R.Spec.read(args.spec)
-    manifest = publish(spark, args.silver, {n: f"{args.raw}/{n}" for n in R.RAW}, R.silver_jobs(spec), code, R.check_silver(spec))
+    paths = found.paths()
+    manifest = publish(spark, args.silver, {n: paths[n] for n in R.RAW}, R.silver_jobs(spec), code, R.check_silver(spec))
     print(json.dumps({n: t["metrics"] for n, t in manifest["tables"].items()} | {"cross_table": manifest["metrics"]}, default=str))
 
 
 def gold(spark: SparkSession, args: argparse.Namespace) -> None:
-    load(spark, args.silver, code())
+    found = current(spark, args.silver)
+    load(spark, args.silver, code(), found=found)
     spec = R.Spec.read(args.spec)
-    manifest = publish(spark, args.gold, {n: f"{args.silver}/{n}" for n in R.SILVER}, R.gold_jobs(spec), code, lambda t: R.check_gold(t, spec.market, (spec.national, spec.store)))
+    paths = found.paths()
+    manifest = publish(spark, args.gold, {n: paths[n] for n in R.SILVER}, R.gold_jobs(spec), code, lambda t: R.check_gold(t, spec.market, (spec.national, spec.store)))
     print(json.dumps({n: t["rows"] for n, t in manifest["tables"].items()}))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.plans.publish import Job, PublishError, Store, load, publish
+from granary.plans.publish import Job, Published, PublishError, current, load, publish
 from granary.sources.tables import read_jdbc
 
 
@@ -20,11 +20,11 @@ def snapshot(spark: SparkSession, target: str, readers: dict[str, Callable[[], D
 
     Rows are counted in the written tables; the manifest holds counts, schemas and fingerprints.
     """
-    if Store(spark, target).exists("_manifest.json") and not replace:
+    if current(spark, target) and not replace:
         raise PublishError(f"{target} holds a snapshot")
     return publish(spark, target, {}, [Job(name, lambda _, read=read: read()) for name, read in readers.items()], code="snapshot")
 
 
-def open_snapshot(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+def open_snapshot(spark: SparkSession, target: str, found: Published | None = None) -> dict[str, DataFrame]:
     """The tables, if none was changed since."""
-    return load(spark, target, "snapshot")
+    return load(spark, target, "snapshot", found=found)

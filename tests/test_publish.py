@@ -4,7 +4,7 @@ import pytest
 
 from granary.operators.contracts import ContractError, require_unique
 from granary.plans.fingerprint import compare, measure, update_baseline
-from granary.plans.publish import Job, PublishError, Store, load, publish
+from granary.plans.publish import COMMITS, LEASE, VERSIONS, Job, Lease, PublishError, Store, commits, current, load, publish
 from granary.sources.tables import describe_files, literal, read_table, register, same_rows, write_verified
 
 
@@ -20,38 +20,26 @@ def jobs(k=1):
 
 def test_publish_load_and_refuse(spark, tmp_path, source):
     target = f"{tmp_path}/out"
-    with pytest.raises(PublishError, match="no manifest"):
+    with pytest.raises(PublishError, match="nothing was published"):
         load(spark, target)
     manifest = publish(spark, target, source, jobs(2), code="v1")
     assert manifest["tables"]["b"]["rows"] == 10
     assert load(spark, target, "v1")["b"].agg({"y": "max"}).first()[0] == 19
     with pytest.raises(PublishError, match="other code"):
         load(spark, target, "v2")
-    spark.range(3).selectExpr("id as x").write.mode("overwrite").parquet(f"{target}/a")
+    spark.range(3).selectExpr("id as x").write.mode("overwrite").parquet(current(spark, target).paths()["a"])
     with pytest.raises(PublishError, match="not what was published"):
         load(spark, target)
-    assert sorted(p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".") and not p.name.endswith(".crc")) == ["_manifest.json", "a", "b"]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")) == [COMMITS, VERSIONS]
+    assert sorted(p.name for p in (tmp_path / "out/commits").iterdir() if not p.name.startswith(".")) == ["0000000001.json"]
 
 
-def test_failures_leave_the_published_set(spark, tmp_path, source, monkeypatch):
+def test_failures_leave_the_published_set(spark, tmp_path, source):
     target = f"{tmp_path}/out"
     publish(spark, target, source, jobs(2))
     with pytest.raises(ContractError):
         publish(spark, target, source, [jobs(0)[0]])
-    move, calls = Store.move, []
-
-    def crash(self, a, b):
-        calls.append(a)
-        if len(calls) == 4:
-            raise OSError("disk gone")
-        return move(self, a, b)
-
-    monkeypatch.setattr(Store, "move", crash)
-    with pytest.raises(OSError, match="disk gone"):
-        publish(spark, target, source, jobs(3))
-    monkeypatch.undo()
-    assert load(spark, target)["a"].agg({"x": "max"}).first()[0] == 18
-    assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith((".staging", ".backup"))]
+    assert load(spark, target)["a"].agg({"x": "max"}).first()[0] == 18 and len(list((tmp_path / "out/versions").iterdir())) == 1
     (tmp_path / "link").symlink_to(tmp_path / "in")
     for inside in (f"{tmp_path}/in/out", f"{tmp_path}/x/../in/out", f"file://{tmp_path}/in", f"{tmp_path}/link/out", str(tmp_path)):
         with pytest.raises(PublishError, match="overlaps"):
@@ -59,6 +47,103 @@ def test_failures_leave_the_published_set(spark, tmp_path, source, monkeypatch):
     publish(spark, f"{tmp_path}/in-beside", source, jobs())
 
 
+class Dies:
+    """The k-th call to the store, and every one after it, fails as in a process that was killed: nothing is cleared up."""
+
+    def __init__(self, monkeypatch, k):
+        self.left, self.last = k, None
+        for name in ("write", "delete", "rename_new", "files", "names", "read"):
+            monkeypatch.setattr(Store, name, self.wrapped(name, getattr(Store, name)))
+
+    def wrapped(self, name, f):
+        def call(*args, **kwargs):
+            self.left -= 1
+            if self.left <= 0:
+                self.last = self.last or name
+                raise KeyboardInterrupt("killed")
+            return f(*args, **kwargs)
+
+        return call
+
+
+def test_a_writer_killed_at_any_step_leaves_the_old_set_or_the_new_one(spark, tmp_path, source, monkeypatch):
+    target, steps, seen, k = f"{tmp_path}/out", set(), set(), 0
+    one = [Job("a", lambda t: t["numbers"].selectExpr("id * 2 as x").coalesce(1))]
+    publish(spark, target, source, one)
+    while k < 80:
+        k += 1
+        with monkeypatch.context() as patched:
+            dies = Dies(patched, k)
+            try:
+                publish(spark, target, source, [Job("a", lambda t, k=k: t["numbers"].selectExpr(f"id * 2 + {k} * 100 as x").coalesce(1))], lease_seconds=0.0)
+            except KeyboardInterrupt:
+                steps.add(dies.last)
+            else:
+                break
+        got = load(spark, target)["a"].agg({"x": "max"}).first()[0]  # checks files, rows and columns too
+        seen.add("new" if got == 18 + 100 * k else "old")
+        assert got == 18 + 100 * k or got < 18 + 100 * k
+        assert (got - 18) % 100 == 0
+    assert load(spark, target)["a"].agg({"x": "max"}).first()[0] == 18 + 100 * k
+    assert seen == {"old", "new"} and steps >= {"write", "delete", "rename_new", "files", "names"} and k > 12
+    assert len(Store(spark, target).names(VERSIONS)) <= 2 and not Store(spark, target).exists(LEASE)
+
+
+def test_of_two_writers_one_wins(spark, tmp_path, source):
+    target = f"{tmp_path}/out"
+
+    def publish_within(seconds):
+        def build(t):
+            publish(spark, target, source, jobs(5), lease_seconds=seconds)
+            return t["numbers"].selectExpr("id as x")
+
+        return [Job("a", build)]
+
+    with pytest.raises(PublishError, match="is being written until"):  # the second gives up before it builds anything
+        publish(spark, target, source, publish_within(60))
+    assert current(spark, target) is None
+    with pytest.raises(PublishError, match="another writer published meanwhile"):  # the first one's lease had run out
+        publish(spark, target, source, publish_within(60), lease_seconds=-1)
+    assert load(spark, target)["a"].agg({"x": "max"}).first()[0] == 45
+    assert [n for n, _ in commits(Store(spark, target))] == [1] and len(Store(spark, target).names(VERSIONS)) == 1
+
+
+def test_create_is_for_one(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = Store(spark, f"{tmp_path}/s")
+    with ThreadPoolExecutor(8) as pool:
+        won = [i for i, ours in enumerate(pool.map(lambda i: store.create("c/x", str(i)), range(16))) if ours]
+    assert len(won) == 1 and store.read("c/x") == str(won[0]) and store.names("c") == ["x"]
+
+
+def test_lease_is_renewed_and_taken_over(spark, tmp_path):
+    store = Store(spark, f"{tmp_path}/s")
+    with Lease(store, 60) as a:
+        assert a.held()
+        a.renew()
+        with pytest.raises(PublishError, match="is being written"):
+            Lease(store, 60).__enter__()
+    assert not store.exists(LEASE)
+    late = Lease(store, -1).__enter__()
+    with Lease(store, 60) as b:
+        assert b.held() and not late.held()
+        late.renew()
+        late.__exit__()
+        assert b.held()
+
+
+def test_readers_keep_their_set_through_the_next_commit(spark, tmp_path, source):
+    target = f"{tmp_path}/out"
+    publish(spark, target, source, jobs(1))
+    old = current(spark, target)
+    publish(spark, target, source, jobs(2))
+    assert load(spark, target, found=old)["a"].agg({"x": "max"}).first()[0] == 9 and current(spark, target).number == 2
+    publish(spark, target, source, jobs(3))
+    with pytest.raises(PublishError, match="other files"):
+        load(spark, target, found=old)
+
+
 def test_changed_input_is_noticed(spark, tmp_path, source):
     def build(t):
         spark.range(11).write.mode("overwrite").parquet(source["numbers"])
@@ -74,12 +159,12 @@ def test_changed_code_and_contents_are_noticed(spark, tmp_path, source):
         publish(spark, f"{tmp_path}/out", source, jobs(), code=lambda: next(versions))
     manifest = publish(spark, f"{tmp_path}/out", source, jobs(), code=lambda: "v3", hashed=True)
     assert manifest["code"] == "v3" and load(spark, f"{tmp_path}/out", "v3")["a"].count() == 10
-    said = json.loads((tmp_path / "out/_manifest.json").read_text())
-    said["tables"]["a"]["fingerprint"]["hash_xor"] += 1
-    (tmp_path / "out/_manifest.json").write_text(json.dumps(said))
-    for crc in (tmp_path / "out").glob("._manifest*"):
-        crc.unlink()
+    found = current(spark, f"{tmp_path}/out")
+    found.manifest["tables"]["a"]["fingerprint"]["hash_xor"] += 1
     with pytest.raises(PublishError, match="other contents"):
+        load(spark, f"{tmp_path}/out", found=found)
+    Store(spark, found.path).write("_manifest.json", json.dumps(found.manifest))
+    with pytest.raises(PublishError, match="not the published one"):
         load(spark, f"{tmp_path}/out")
 
 
@@ -133,7 +218,7 @@ def test_snapshot_is_whole_and_kept(spark, tmp_path):
     assert open_snapshot(spark, target)["a"].count() == 4
     snapshot(spark, target, {"a": lambda: spark.range(5)}, replace=True)
     assert open_snapshot(spark, target)["a"].count() == 5
-    spark.range(1).write.mode("overwrite").parquet(f"{target}/a")
+    spark.range(1).write.mode("overwrite").parquet(current(spark, target).paths()["a"])
     with pytest.raises(PublishError, match="not what was published"):
         open_snapshot(spark, target)
     assert set(jdbc_readers(spark, "jdbc:postgresql://h/d", {"a": "public.a"}, {})) == {"a"}

@@ -6,7 +6,7 @@ import pytest
 from granary.operators.contracts import ContractError
 from granary.operators.decisions import PathRules
 from granary.plans import retail as R
-from granary.plans.publish import load, publish
+from granary.plans.publish import current, load, publish
 
 SPEC = R.Spec(
     shops={"alpha": "Alpha", "beta": "Beta"}, encoded=["ahpla"], shop_types=["super", "hyper"], reversed_types=["repus"],
@@ -56,7 +56,8 @@ def test_snapshot(spark, raw, tmp_path):
     found = {(r["product_id"], r["shop"]): (r["code"], r["status"], r["basis"]) for r in rows(silver["silver_product_primary_categories"], "product_id")}
     assert found == {("1", "alpha"): ("dairy", "classified", "paths"), ("2", "alpha"): ("dairy", "classified", "name"), ("3", "beta"): ("unclassified", "missing_evidence", None)}
 
-    inputs = {n: f"{tmp_path}/silver/{n}" for n in R.SILVER}
+    paths = current(spark, f"{tmp_path}/silver").paths()
+    inputs = {n: paths[n] for n in R.SILVER}
     publish(spark, f"{tmp_path}/gold", inputs, R.gold_jobs(SPEC), cross_check=R.check_gold)
     gold = load(spark, f"{tmp_path}/gold")
     products = {r["product_id"]: r for r in rows(gold["dim_product"], "product_key")}
@@ -152,7 +153,7 @@ def test_commands(spark, raw, tmp_path, monkeypatch, capsys):
     assert said["metrics"]["pricing.first_week"] == "2020-01-06" and said["metrics"]["shared_period.start"] == "2020-12-01" and said["metrics"]["dim_product.unknown_member_unclassified"] == 1
     assert said["metrics"]["silver_category_paths.prefix_paths"] == 2 and said["metrics"]["fact_weekly_prices.inferred_product_rows"] == 1
     assert cli.main(["all", *base]) == 0
-    manifest = json.loads((tmp_path / "silver/_manifest.json").read_text())
+    manifest = current(spark, at["silver"]).manifest
     assert manifest["metrics"]["weekly_price_rows"] == 4 and manifest["metrics"]["weekly_product_unmatched_rows"] == 1
     assert manifest["tables"]["silver_nutritionals"]["metrics"]["written_observations"] == 1
     broken = raw | {"weekly_prices": raw["weekly_prices"].selectExpr("product_id", "shop", "'nowhere' location", "week", "price", "price_promo")}
