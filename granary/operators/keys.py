@@ -8,27 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from granary.sources.shared import written
+
 UNKNOWN = -1
-#: Identities that one task may number; more are numbered by ranges.
-SMALL = 200_000
 
 
 def surrogate_keys(df: DataFrame, identity: Sequence[str], name: str, start: int = 1) -> DataFrame:
     """Distinct identities numbered from start in their sorted order.
 
-    Large sets are range-partitioned: a row's number is its rank in its partition plus the rows of those before.
-    The ranges are the sort's own and are pinned by a checkpoint, so both passes see the same ones.
+    They are dealt out and sorted by ranges: a row's number is its rank in its range plus the rows of the ranges before.
+    The table that is written holds the ranges, so the count of each and the numbering see the same ones, and what stands
+    before it runs once. Few identities are one range.
     """
-    rows = df.select(*identity).distinct()
-    if rows.count() <= SMALL:
-        return rows.select((F.row_number().over(W.orderBy(*identity)) + start - 1).cast("long").alias(name), *identity)
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
-    ranged = rows.repartitionByRange(*identity).sortWithinPartitions(*identity)
-    placed = ranged.withColumn("_at", F.monotonically_increasing_id()).checkpoint()
-    placed = placed.select("*", F.shiftright("_at", 33).alias("_part"), F.expr("_at & ((1L << 33) - 1)").alias("_nth"))
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # a row for each partition
+    ranged = df.select(*identity).distinct().repartitionByRange(*identity).sortWithinPartitions(*identity)
+    placed = written(ranged.withColumn("_at", F.monotonically_increasing_id()), "identities")
+    placed = placed.select(*identity, F.shiftright("_at", 33).alias("_part"), F.expr("_at & ((1L << 33) - 1)").alias("_nth"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # a row for each range
     base = placed.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     return placed.join(F.broadcast(base), "_part").select((F.col("_base") + F.col("_nth") + start).alias(name), *identity)
 

@@ -70,11 +70,14 @@ def test_fallback_fills_only_in_context(spark):
         enrich.fallback(mine, other.unionAll(other), ["k"], ["name"], ["ctx"])
 
 
-def test_surrogate_keys_small_and_by_ranges(spark, monkeypatch):
+def test_surrogate_keys_by_one_range_and_several(spark):
     df = spark.range(1000).select((F.col("id") % 700).alias("a"))
     small = rows(keys.surrogate_keys(df, ["a"], "k"), "k")
-    monkeypatch.setattr(keys, "SMALL", 10)
-    assert rows(keys.surrogate_keys(df, ["a"], "k"), "k") == small
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert rows(keys.surrogate_keys(df, ["a"], "k"), "k") == small
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert small[0] == {"k": 1, "a": 0} and small[-1] == {"k": 700, "a": 699}
     dim = keys.with_unknown(keys.surrogate_keys(df, ["a"], "k"), "k", {})
     assert dim.where("k = -1").collect()[0]["a"] is None
