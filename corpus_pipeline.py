@@ -7,10 +7,10 @@ stays empty.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import ascii_lower, discard, mark, shielded, stage, table, without
+from granary.llm.common import BROADCAST_IDS, ascii_lower, discard, mark, shielded, stage, table, without
 from granary.llm.decontaminate import contaminated
 from granary.llm.exact_dedup import exact_dedup
 from granary.llm.jaccard_join import jaccard_components
@@ -46,18 +46,31 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.toDF(*docs.columns)
 
 
+def _hash() -> Column:
+    return F.xxhash64(F.isnull("doc_id"), "doc_id", F.isnull("text"), "text").bitwiseAND((1 << 63) - 1)
+
+
 def _numbered(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """rows with a number for each distinct pair of id and text as _row, and a written table of _row and doc_id.
 
-    Numbers are hashes, so that every scan gives the same; one under which two pairs meet, told by SHA-256, is not used.
+    Numbers are hashes, so that every scan gives the same. Pairs of which several have one hash, told by SHA-256, are
+    few (some 50 of 3 * 10**10) and have written numbers below 0 instead, so any number of rows has its own.
     """
-    for seed in range(100):
-        row = F.xxhash64(F.lit(seed), F.isnull("doc_id"), "doc_id", F.isnull("text"), "text").bitwiseAND((1 << 63) - 1)
-        numbered = rows.withColumn("_row", row)
-        names = stage(numbered.select("_row", "doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha")).distinct(), "rows")
-        if names.count() == names.select("_row").distinct().count():
-            return numbered, names.drop("sha")
-    raise RuntimeError("every hash of the rows collides")
+    hashed = rows.withColumn("_row", _hash()).withColumn("_sha", F.sha2(F.col("text").cast("binary"), 256))
+    names = stage(hashed.select("_row", "doc_id", "_sha").distinct(), "rows")
+    shared = names.groupBy("_row").count().where("count > 1").select("_row")
+    if shared.isEmpty():
+        return hashed.drop("_sha"), names.drop("_sha")
+    own = stage(names.join(shared, "_row", "left_semi").withColumn("_own", -1 - F.monotonically_increasing_id()), "shared")
+    other = own.toDF("_hash", "_id", "_text", "_own")
+    if own.count() <= BROADCAST_IDS:
+        other = F.broadcast(other)
+    same = (F.col("_row") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_sha").eqNullSafe(F.col("_text"))
+
+    def renamed(df: DataFrame) -> DataFrame:
+        return df.join(other, same, "left").withColumn("_row", F.coalesce("_own", "_row")).drop("_sha", "_hash", "_id", "_text", "_own")
+
+    return renamed(hashed), stage(renamed(names), "rows")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
