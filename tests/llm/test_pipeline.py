@@ -2,6 +2,7 @@ import brute
 import corpus_pipeline as P
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
 from granary.llm.common import stage
 
@@ -65,7 +66,11 @@ def test_exact_keeps_texts_without_a_copy(spark):
     assert sorted(((r[0], r[1]) for r in got), key=str) == sorted([(7, "A1"), (7, "B2"), (8, "Y4"), (9, "X3"), (None, "Z5")], key=str)
 
 
-def test_stages_decide_by_row(spark, duck):
+@pytest.mark.parametrize("hash_of", ["its own", "octet_length(text) % 2", "7L"])
+def test_stages_decide_by_row(spark, duck, monkeypatch, hash_of):
+    """Also where rows share their hash, or all have the same."""
+    if hash_of != "its own":
+        monkeypatch.setattr(P, "_hash", lambda: F.coalesce(F.expr(hash_of).cast("long"), F.lit(0)))
     text = lambda c, last: " ".join(f"{c}{i}" for i in range(60)) + f" {last}"
     run = lambda f, rows: sorted(((r.doc_id, r.text) for r in f(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()), key=str)
     rows = [(None, text("a", "x")), (7, text("a", "y")), (9, text("a", "z")), (1, text("b", "x")), (5, text("b", "y")), (5, text("c", "x")), (None, text("d", "x")), (None, text("d", "y"))]
