@@ -36,22 +36,27 @@ def repeats(df: DataFrame, key: Sequence[str]) -> int:
     return df.groupBy(*key).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0))).first()[0]
 
 
-def price_metrics(df: DataFrame, grain: Sequence[str], price: str = "price", promo: str = "price_promo", key: str = "price_observation_id") -> DataFrame:
-    """One row: what price_violations and a report ask of a written table of price versions."""
+def price_figures(grain: Sequence[str], price: str = "price", promo: str = "price_promo") -> dict[str, Column]:
+    """Aggregates over single rows of price versions: they can be observed while the table is written, or summed up by key."""
     many = F.col("has_multiple_price_versions")
     a, b = F.col(price), F.col(promo)
-    per = df.groupBy(key).agg(
-        F.count("*").alias("_n"), F.count_if(_null([*grain, price, promo])).alias("incomplete"), F.count_if((a.isNotNull() & ~finite(a)) | (b.isNotNull() & ~finite(b))).alias("not_finite"),
-        F.count_if("dq_non_positive_price").alias("price_not_positive"), F.count_if("dq_non_positive_promo_price").alias("promo_not_positive"),
-        F.count_if(~many.eqNullSafe(F.col("price_version_count") > 1)).alias("version_flag_wrong"),
-        F.count_if(many).alias("multiple_version_rows"), F.sum(F.when(many, 1 / F.col("price_version_count"))).alias("grains"),
-        F.count_if("is_promotion").alias("promotion_rows"), F.count_if("dq_promo_above_price").alias("promo_above_price_rows"),
-    )
-    summed = ("incomplete", "not_finite", "price_not_positive", "promo_not_positive", "version_flag_wrong", "multiple_version_rows", "promotion_rows", "promo_above_price_rows")
-    zero = lambda c: F.coalesce(c, F.lit(0))
+    return {
+        "incomplete": F.count_if(_null([*grain, price, promo])), "not_finite": F.count_if((a.isNotNull() & ~finite(a)) | (b.isNotNull() & ~finite(b))),
+        "price_not_positive": F.count_if("dq_non_positive_price"), "promo_not_positive": F.count_if("dq_non_positive_promo_price"),
+        "version_flag_wrong": F.count_if(~many.eqNullSafe(F.col("price_version_count") > 1)), "multiple_version_rows": F.count_if(many),
+        "promotion_rows": F.count_if("is_promotion"), "promo_above_price_rows": F.count_if("dq_promo_above_price"),
+        "multiple_version_grains": F.sum(F.when(many, 1 / F.col("price_version_count"))),  # a fraction for each row, to be rounded
+    }
+
+
+def price_metrics(df: DataFrame, grain: Sequence[str], price: str = "price", promo: str = "price_promo", key: str = "price_observation_id") -> DataFrame:
+    """One row: what price_violations and a report ask of a written table of price versions."""
+    figures = price_figures(grain, price, promo)
+    per = df.groupBy(key).agg(F.count("*").alias("_n"), *(c.alias(n) for n, c in figures.items()))
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return per.agg(
-        zero(F.sum("_n")).alias("rows"), zero(F.sum(F.col("_n") - 1)).alias("repeated_ids"), *(zero(F.sum(c)).alias(c) for c in summed),
-        F.round(zero(F.sum("grains"))).cast("long").alias("multiple_version_grains"),
+        zero(F.col("_n")).alias("rows"), zero(F.col("_n") - 1).alias("repeated_ids"), *(zero(n).alias(n) for n in figures if n != "multiple_version_grains"),
+        F.round(zero("multiple_version_grains")).cast("long").alias("multiple_version_grains"),
     )
 
 
@@ -60,12 +65,17 @@ def price_violations(df: DataFrame, metrics: Mapping, grain: Sequence[str], pric
     return {"empty": int(not metrics["rows"]), **{n: metrics[n] for n in names}, "exact_duplicates": repeats(df, [*grain, price, promo])}
 
 
-def enrichment_violations(df: DataFrame, source_rows: int, identity: Sequence[str], attributes: Sequence[str], key: Sequence[str]) -> dict[str, int]:
-    """An enriched table has the rows of its source, whole identities, unique keys, and filled nothing where the context differs."""
+def enrichment_figures(identity: Sequence[str], attributes: Sequence[str]) -> dict[str, Column]:
+    """Parts of an identity that are missing, and rows filled where the context differs."""
     filled = F.lit(False)
     for a in attributes:
         filled = filled | F.col(f"is_{a}_enriched")
-    out = _one(df, {"rows": F.count("*"), **{f"{c}_missing": F.count_if(F.col(c).isNull()) for c in identity}, "unsafe_enrichment": F.count_if(F.col("dq_enrichment_context_mismatch") & filled)})
+    return {**{f"{c}_missing": F.count_if(F.col(c).isNull()) for c in identity}, "unsafe_enrichment": F.count_if(F.col("dq_enrichment_context_mismatch") & filled)}
+
+
+def enrichment_violations(df: DataFrame, source_rows: int, identity: Sequence[str], attributes: Sequence[str], key: Sequence[str]) -> dict[str, int]:
+    """An enriched table has the rows of its source, whole identities, unique keys, and filled nothing where the context differs."""
+    out = _one(df, {"rows": F.count("*"), **enrichment_figures(identity, attributes)})
     return {"rows_changed": abs(out.pop("rows") - source_rows), **out, "repeated_keys": repeats(df, key)}
 
 
@@ -73,13 +83,17 @@ def enrichment_violations(df: DataFrame, source_rows: int, identity: Sequence[st
 LINEAGE = ("source_dataset", "shop", "country", "language", "category_source_dataset", "source_categories_sha256", "normalization_rule", "path_review_status")
 
 
+def path_figures(key: Sequence[str], lineage: Sequence[str] = LINEAGE) -> dict[str, Column]:
+    return {"depth_wrong": F.count_if(F.col("category_path_depth") != F.size("category_path")), "lineage_missing": F.count_if(_null([*lineage, *key]))}
+
+
 def path_violations(paths: DataFrame, expected: int, key: Sequence[str], lineage: Sequence[str] = LINEAGE) -> dict[str, int]:
     """All paths of the parents are there once, as deep as they say, with their lineage."""
-    out = _one(paths, {"rows": F.count("*"), "depth_wrong": F.count_if(F.col("category_path_depth") != F.size("category_path")), "lineage_missing": F.count_if(_null([*lineage, *key]))})
+    out = _one(paths, {"rows": F.count("*"), **path_figures(key, lineage)})
     return {"unaccounted": abs(out.pop("rows") - expected), **out, "repeated_occurrences": repeats(paths, key)}
 
 
-def decision_violations(df: DataFrame, identity: Sequence[str], names: Mapping[str, str], version: str | None = None, statuses: Sequence[str] = STATUSES) -> dict[str, int]:
+def decision_figures(identity: Sequence[str], names: Mapping[str, str], version: str | None = None, statuses: Sequence[str] = STATUSES) -> dict[str, Column]:
     """Codes and names of the domain, known statuses, one version, and decisions that their evidence bears."""
     code, status, found, ids = F.col("code"), F.col("status"), F.col("candidates"), F.col("matched_rule_ids")
     classified = status == "classified"
@@ -97,11 +111,33 @@ def decision_violations(df: DataFrame, identity: Sequence[str], names: Mapping[s
     }
     if version is not None:
         aggs["version_stale"] = F.count_if(~F.col("mapping_version").eqNullSafe(version))
-    return {"repeated_identities": repeats(df, identity), **_one(df, aggs)}
+    return aggs
+
+
+def decision_violations(df: DataFrame, identity: Sequence[str], names: Mapping[str, str], version: str | None = None, statuses: Sequence[str] = STATUSES) -> dict[str, int]:
+    """Counts of decision_figures, and of identities that stand twice."""
+    return {"repeated_identities": repeats(df, identity), **_one(df, decision_figures(identity, names, version, statuses))}
 
 
 def label_metrics(df: DataFrame, observation: Sequence[str], product: str = "product_id") -> dict:
-    """Counters of the written label entries, in one pass over observations of few entries each."""
+    """label_counts, and the distinct names of entries."""
+    return label_counts(df, observation, product) | {"distinct_nutrients": df.select("nutrient_name").distinct().count()}
+
+
+def label_figures(units: Sequence[tuple]) -> dict[str, Column]:
+    """Entries in units that the mapping doesn't give, and how many of the mapping's names occur; over single rows."""
+    known = F.struct("nutrient_name", "nutrient_unit").isin([F.struct(F.lit(e).alias("nutrient_name"), F.lit(u).alias("nutrient_unit")) for e, u in sorted({(x[0], x[2]) for x in units})])
+    there = F.lit(0)
+    for name in sorted({x[0] for x in units}):
+        there = there + F.coalesce(F.max((F.col("nutrient_name") == name).cast("int")), F.lit(0))
+    return {"units_wrong": F.count_if(~flag(known)), "distinct_nutrients": there}
+
+
+def label_counts(df: DataFrame, observation: Sequence[str], product: str = "product_id", entries: str | None = None) -> dict:
+    """Counters of the written label entries, in one pass over observations of few entries each; a product is part of its observation.
+
+    entries: a column with the number of a label's entries; `entries_of_labels` is their sum over observations.
+    """
     value, raw, factor = F.col("nutrient_value"), F.col("nutrient_value_raw").try_cast("double"), F.col("unit_conversion_factor")
     odd = F.col("dq_incompatible_nutrient_unit")
     wrong = (odd & (value.isNotNull() | factor.isNotNull())) | (~odd & (value.isNull() | factor.isNull() | ~flag(finite(factor)) | flag(factor <= 0) | ~value.eqNullSafe(raw * factor)))
@@ -118,24 +154,25 @@ def label_metrics(df: DataFrame, observation: Sequence[str], product: str = "pro
     # Entries of an observation are few: its distinct names come from a set, and observations are counted as rows.
     per = df.groupBy(*observation).agg(
         *(c.alias(n) for n, c in rows.items()), F.size(F.collect_set("nutrient_name")).alias("_names"), F.max(energy).alias("_energy"), F.max(mismatch).alias("_mismatch"), F.max("dq_mass_exceeds_portion").alias("_mass"),
+        F.max(F.col(entries) if entries else F.lit(0)).alias("_entries"),
     )
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    out = _one(per, {
-        **{n: zero(F.sum(n)) for n in rows}, "duplicate_grains": zero(F.sum(F.col("rows") - F.col("missing_nutrient_names") - F.col("_names"))), "written_observations": F.count("*"),
+    summed = {n: F.sum(n) for n in rows} | {
+        "duplicate_grains": F.sum(F.col("rows") - F.col("missing_nutrient_names") - F.col("_names")), "written_observations": F.count("*"), "entries_of_labels": F.sum("_entries"),
         "comparable_energy_observations": F.count_if("_energy"), "energy_mismatch_observations": F.count_if("_mismatch"),
-    })
-    products = df.groupBy(product).agg(F.max("dq_mass_exceeds_portion").alias("_mass"))
-    out |= _one(products, {"distinct_products": F.count("*"), "mass_exceeds_portion_products": F.count_if("_mass")})
-    return out | {"distinct_nutrients": df.select("nutrient_name").distinct().count()}
+    }
+    # Observations of a product meet next, so that products are counted in the same pass.
+    products = per.groupBy(product).agg(*(c.alias(n) for n, c in summed.items()), F.max("_mass").alias("_mass"))
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return _one(products, {**{n: zero(n) for n in summed}, "distinct_products": F.count("*"), "mass_exceeds_portion_products": F.count_if("_mass")})
 
 
 def label_violations(df: DataFrame, metrics: Mapping, units: Sequence[tuple], expected_rows: int, expected_observations: int) -> dict[str, int]:
     """units: entries of labels.MAPPING. The expected figures come from the labels that were chosen."""
-    known = F.struct("nutrient_name", "nutrient_unit").isin([F.struct(F.lit(e).alias("nutrient_name"), F.lit(u).alias("nutrient_unit")) for e, u in sorted({(x[0], x[2]) for x in units})])
+    wrong = metrics["units_wrong"] if "units_wrong" in metrics else df.agg(label_figures(units)["units_wrong"]).first()[0]
     return {
         "rows_not_reconciled": abs(metrics["rows"] - expected_rows), "observations_not_reconciled": abs(metrics["written_observations"] - expected_observations),
         "repeated_grain": metrics["duplicate_grains"], "quality_flags_wrong": metrics["invalid_quality_flags"], "not_finite": metrics["non_finite_values"], "names_missing": metrics["missing_nutrient_names"],
-        "units_wrong": df.where(~flag(known)).count(), "lineage_missing": metrics["missing_lineage_rows"], "conversion_wrong": metrics["invalid_conversion_rows"],
+        "units_wrong": wrong, "lineage_missing": metrics["missing_lineage_rows"], "conversion_wrong": metrics["invalid_conversion_rows"],
         "unknown_beyond_incompatible": abs(metrics["missing_numeric_values"] - metrics["unconvertible_unit_rows"]),
     }
 

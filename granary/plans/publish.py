@@ -23,14 +23,16 @@ import json
 import re
 import time
 import uuid
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from pathlib import Path
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
+from granary.operators.contracts import fail_if_any
 from granary.plans.fingerprint import fingerprint
+from granary.sources.measured import REPEATED, write_measured
 
 MANIFEST = "_manifest.json"
 VERSIONS, COMMITS, LEASE = "versions", "commits", "lease.json"
@@ -46,12 +48,20 @@ class PublishError(RuntimeError):
 
 @dataclass(frozen=True)
 class Job:
-    """A table, how to build it from those before it, its checks, and measures of it that go to the manifest and may fail it too."""
+    """A table, how to build it from those before it, its checks, and measures of it that go to the manifest and may fail it too.
+
+    observe, key: aggregates, and a key whose uniqueness is proven, both taken while the rows are written; a repeated key
+    fails the job. judge: from what was observed and the metrics of the jobs before to further metrics, or an error. check
+    and measure read the written table once more, each time they ask it something.
+    """
 
     name: str
     build: Callable[[dict[str, DataFrame]], DataFrame]
     check: Callable[[DataFrame], None] = lambda df: None
-    measure: Callable[[DataFrame, dict[str, DataFrame]], dict] = lambda df, tables: {}
+    measure: Callable[[DataFrame, dict[str, DataFrame], dict], dict] = lambda df, tables, seen: {}
+    observe: Mapping[str, Column] = field(default_factory=dict)
+    key: Sequence[str] = ()
+    judge: Callable[[dict, dict[str, dict]], dict] = lambda seen, before: {}
 
 
 class Store:
@@ -239,11 +249,16 @@ def publish(
         try:
             for job in jobs:
                 began = time.time()
-                job.build(tables).write.option("compression", "zstd").parquet(f"{store.root}/{own}/{job.name}")
+                seen = write_measured(job.build(tables), f"{store.root}/{own}/{job.name}", job.observe, job.key)
                 tables[job.name] = read(f"{store.root}/{own}/{job.name}")
+                said = _described(store, f"{own}/{job.name}", tables[job.name], hashed)
+                if said["rows"] != seen["rows"]:
+                    raise PublishError(f"{job.name}: {said['rows']} rows in the files of {seen['rows']} written")
+                fail_if_any({REPEATED: seen.pop(REPEATED, 0)}, job.name)
+                metrics = seen | job.judge(seen, {n: m["metrics"] for n, m in manifest["tables"].items()})
                 job.check(tables[job.name])  # the written table, not the plan that made it
-                metrics = job.measure(tables[job.name], tables)
-                manifest["tables"][job.name] = _described(store, f"{own}/{job.name}", tables[job.name], hashed) | {"seconds": round(time.time() - began, 3), "metrics": metrics}
+                metrics |= job.measure(tables[job.name], tables, metrics)
+                manifest["tables"][job.name] = said | {"seconds": round(time.time() - began, 3), "metrics": metrics}
                 lease.renew()
             if cross_check:
                 manifest["metrics"] = cross_check(tables) or {}

@@ -246,56 +246,79 @@ SILVER = {
     "silver_products": products, "silver_locations": locations, "silver_prices": prices, "silver_nutritionals": nutritionals, "silver_weekly_products": weekly_products, "silver_weekly_locations": weekly_locations,
     "silver_weekly_prices": weekly_prices, "silver_product_category_paths": category_paths, "silver_product_primary_categories": primary_categories,
 }
-KEYS = {"silver_products": ["product_id"], "silver_weekly_products": IDENTITY, "silver_weekly_locations": ["shop", "location"], "silver_product_primary_categories": IDENTITY, "silver_weekly_prices": [*GRAIN, "price", "price_promo"]}
+#: Keys of the clean tables, proven while they are written. A price id stands for its grain and both prices.
+KEYS = {
+    "silver_products": ["product_id"], "silver_weekly_products": ["product_id"], "silver_weekly_locations": ["shop", "location"], "silver_product_primary_categories": IDENTITY,
+    "silver_weekly_prices": ["price_observation_id"], "silver_product_category_paths": ["source_dataset", "product_id", "category_path_position"],
+}
+ENRICHED = ("name", "brand", "description", "categories")
 
 
 def _fails(name: str, found: dict[str, int]) -> None:
     Q.fail_if_any(found, name)
 
 
+def observed_silver(spec: Spec) -> dict[str, dict[str, Column]]:
+    """What is taken of each clean table while it is written."""
+    # The paths of the product tables are counted with them, so that they need not be parsed once more to account for each.
+    paths_of = {"category_texts": F.count("categories"), "category_paths": F.coalesce(F.sum(F.json_array_length("categories")), F.lit(0))}
+    filled = {f"{c}_enriched": F.count_if(f"is_{c}_enriched") for c in ENRICHED} | {"context_mismatches": F.count_if("dq_enrichment_context_mismatch")}
+    return {
+        "silver_products": paths_of, "silver_weekly_products": paths_of | filled | LC.enrichment_figures([*IDENTITY, "language"], ENRICHED),
+        "silver_weekly_prices": LC.price_figures(GRAIN), "silver_nutritionals": LC.label_figures(spec.units),
+        "silver_product_category_paths": LC.path_figures(KEYS["silver_product_category_paths"]) | {c: F.count_if(c) for c in paths.STRUCTURAL},
+        "silver_product_primary_categories": LC.decision_figures(IDENTITY, spec.categories, spec.mapping_version) | {f"status_{s}": F.count_if(F.col("status") == s) for s in decisions.STATUSES},
+    }
+
+
+def judge_silver(spec: Spec) -> dict:
+    """Contracts and metrics of each clean table from what was observed while it and those before it were written."""
+
+    def weekly_prices(seen: dict, before: dict) -> dict:
+        broken = ("incomplete", "not_finite", "price_not_positive", "promo_not_positive", "version_flag_wrong")
+        _fails("weekly prices", {"empty": int(not seen["rows"]), **{n: seen[n] for n in broken}})
+        return {"multiple_version_grains": round(seen["multiple_version_grains"])}
+
+    def category_paths(seen: dict, before: dict) -> dict:
+        expected = {f"{n}_paths": before[n]["category_paths"] for n in ("silver_products", "silver_weekly_products")}
+        _fails("category paths", {"unaccounted": abs(seen["rows"] - sum(expected.values())), **{n: seen[n] for n in ("depth_wrong", "lineage_missing")}})
+        return expected
+
+    def primary_categories(seen: dict, before: dict) -> dict:
+        _fails("primary categories", {n: seen[n] for n in LC.decision_figures(IDENTITY, spec.categories, spec.mapping_version)})
+        return {s: n for s in decisions.STATUSES if (n := seen[f"status_{s}"])}
+
+    return {"silver_weekly_prices": weekly_prices, "silver_product_category_paths": category_paths, "silver_product_primary_categories": primary_categories}
+
+
 def measure_silver(spec: Spec) -> dict:
-    """Contracts and metrics of each clean table, over the table as it was written."""
+    """What needs the sources' rows (counted from footers), or groups of the written table, of which one pass is taken."""
 
-    def weekly_products(df: DataFrame, t: dict[str, DataFrame]) -> dict:
-        _fails("weekly products", LC.enrichment_violations(df, t["weekly_prices_products"].count(), [*IDENTITY, "language"], ["name", "brand", "description", "categories"], ["product_id"]))
-        filled = df.agg(*(F.count_if(f"is_{c}_enriched").alias(f"{c}_enriched") for c in ("name", "brand", "description", "categories")), F.count_if("dq_enrichment_context_mismatch").alias("context_mismatches"))
-        return filled.first().asDict()
+    def weekly_products(df: DataFrame, t: dict[str, DataFrame], seen: dict) -> dict:
+        broken = {n: seen[n] for n in LC.enrichment_figures([*IDENTITY, "language"], ENRICHED)}
+        _fails("weekly products", {"rows_changed": abs(seen["rows"] - t["weekly_prices_products"].count()), **broken})
+        return {}
 
-    def weekly_prices(df: DataFrame, t: dict[str, DataFrame]) -> dict:
-        found = LC.price_metrics(df, GRAIN).first().asDict()
-        _fails("weekly prices", LC.price_violations(df, found, GRAIN))
+    def weekly_prices(df: DataFrame, t: dict[str, DataFrame], seen: dict) -> dict:
         raw_rows = t["weekly_prices"].count()
-        return {"raw_rows": raw_rows, "exact_duplicates_removed": raw_rows - found["rows"], **found}
+        return {"raw_rows": raw_rows, "exact_duplicates_removed": raw_rows - seen["rows"]}
 
-    def nutritionals(df: DataFrame, t: dict[str, DataFrame]) -> dict:
+    def nutritionals(df: DataFrame, t: dict[str, DataFrame], seen: dict) -> dict:
         observation = ["product_id", "shop", "country", "download_date"]
-        found = LC.label_metrics(df, observation)
-        chosen = df.groupBy(*observation).agg(F.max("nutrient_count").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()["rows"]
+        found = LC.label_counts(df, observation, entries="nutrient_count") | seen
         labelled = with_shop(clean(raw(t, "nutritionals"), ["product_id", "shop", "country"]), spec).select(*observation).distinct().count()
-        _fails("nutritionals", LC.label_violations(df, found, spec.units, chosen, labelled))
+        _fails("nutritionals", LC.label_violations(df, found, spec.units, found.pop("entries_of_labels"), labelled))
         return found
 
-    def category_paths(df: DataFrame, t: dict[str, DataFrame]) -> dict:
-        size = lambda n: t[n].agg(F.coalesce(F.sum(F.size(F.from_json("categories", paths.PATHS))), F.lit(0))).first()[0]
-        expected = {n: int(size(n)) if t[n].where("categories is not null").count() else 0 for n in ("silver_products", "silver_weekly_products")}
-        _fails("category paths", LC.path_violations(df, sum(expected.values()), ["source_dataset", "product_id", "category_path_position"]))
-        flags = df.agg(*(F.count_if(c).alias(c) for c in paths.STRUCTURAL)).first().asDict()
-        return {f"{n}_paths": v for n, v in expected.items()} | flags
-
-    def primary_categories(df: DataFrame, t: dict[str, DataFrame]) -> dict:
-        _fails("primary categories", LC.decision_violations(df, IDENTITY, spec.categories, spec.mapping_version))
-        return {r["status"]: r["count"] for r in df.groupBy("status").count().collect()}
-
-    return {"silver_weekly_products": weekly_products, "silver_weekly_prices": weekly_prices, "silver_nutritionals": nutritionals, "silver_product_category_paths": category_paths, "silver_product_primary_categories": primary_categories}
+    return {"silver_weekly_products": weekly_products, "silver_weekly_prices": weekly_prices, "silver_nutritionals": nutritionals}
 
 
 def silver_jobs(spec: Spec) -> list[Job]:
-    measures = measure_silver(spec)
-
-    def check(name: str):
-        return lambda df: Q.require_unique(df, KEYS[name], name) if name in KEYS else None
-
-    return [Job(name, lambda t, f=f: f(t, spec), check(name), measures.get(name, lambda df, t: {"rows": df.count()})) for name, f in SILVER.items()]
+    observed, judged, measured = observed_silver(spec), judge_silver(spec), measure_silver(spec)
+    return [
+        Job(name, lambda t, f=f: f(t, spec), observe=observed.get(name, {}), key=KEYS.get(name, ()), judge=judged.get(name, Job.judge), measure=measured.get(name, Job.measure))
+        for name, f in SILVER.items()
+    ]
 
 
 def check_silver(spec: Spec):

@@ -169,7 +169,7 @@ def test_changed_code_and_contents_are_noticed(spark, tmp_path, source):
 
 
 def test_measures_go_to_the_manifest(spark, tmp_path, source):
-    job = Job("a", lambda t: t["numbers"], measure=lambda df, t: {"rows": df.count(), "of": t["numbers"].count()})
+    job = Job("a", lambda t: t["numbers"], measure=lambda df, t, seen: {"rows": seen["rows"], "of": t["numbers"].count()})
     manifest = publish(spark, f"{tmp_path}/out", source, [job], cross_check=lambda t: {"tables": len(t)})
     assert manifest["tables"]["a"]["metrics"] == {"rows": 10, "of": 10} and manifest["metrics"] == {"tables": 2}
 
