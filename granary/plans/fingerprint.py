@@ -10,7 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def fingerprint(df: DataFrame, row_hash: Callable[..., Column] = F.xxhash64) -> DataFrame:
+def null_aware(*columns: Column) -> Column:
+    """A row's hash in which a null counts where it stands: the hash alone skips nulls, so that (1, null) and (null, 1) would be alike."""
+    return F.xxhash64(*columns, F.concat(F.lit(""), *(c.isNull().cast("int").cast("string") for c in columns)))
+
+
+def fingerprint(df: DataFrame, row_hash: Callable[..., Column] = null_aware) -> DataFrame:
     """Rows, the sum and the exclusive or of row hashes: equal for equal contents in any order and layout. row_hash: of the columns by name."""
     h = row_hash(*(F.col(c) for c in sorted(df.columns)))
     return df.select(h.alias("h")).agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("hash_sum"), F.coalesce(F.bit_xor("h"), F.lit(0)).alias("hash_xor"))

@@ -22,3 +22,11 @@ def test_fingerprint_ignores_order_and_layout(spark):
     df = spark.read.parquet(f"{SF}/orders.parquet")
     assert fingerprint(df).first() == fingerprint(df.repartition(7).select(*reversed(df.columns))).first()
     assert fingerprint(df).first() != fingerprint(df.where("o_orderkey > 1")).first()
+
+
+def test_fingerprint_tells_where_a_null_stands(spark):
+    from granary.plans.fingerprint import fingerprint
+
+    a, b = (spark.createDataFrame(rows, "x int, y int") for rows in ([(1, None)], [(None, 1)]))
+    assert fingerprint(a).first() != fingerprint(b).first()
+    assert fingerprint(a.limit(0)).first()["rows"] == 0
