@@ -2,13 +2,13 @@
 
 The probability of a token mixes its maximum-likelihood estimates after the two tokens and the one token before it, its
 unigram estimate and an add-one floor. The mixture weights depend on how frequent the context is (the two tokens before,
-where these occur again in the corpus, else the one), and are learned by expectation-maximisation on documents held out of
-the counts.
+where these were counted, else the one), and are learned by expectation-maximisation on documents held out of the counts.
 
 Texts are hashed once into written chunks of a few MB. Each chunk sends its distinct unigrams and bigrams, by hash,
 to the task that counts that range of hashes, and gets the corpus counts back in the same order; then, in the same way,
-its trigrams whose first two tokens occur again. So what moves is one entry per distinct n-gram of a chunk, a frequent
-word weighs no more than a rare one, and no table of counts has to fit anywhere.
+its trigrams. Two tokens that were counted once, and that no document held out of all counts has, are followed by one
+token once, which their own chunk knows: those trigrams, most of all, need not be sent. So what moves is one entry per
+distinct n-gram of a chunk, a frequent word weighs no more than a rare one, and no table of counts has to fit anywhere.
 """
 
 from __future__ import annotations
@@ -30,10 +30,8 @@ KEYS_PER_RANGE, MOST_PER_RANGE = 400_000, 3_000_000
 #: Tokens in a table of UNIT_BYTES, about.
 UNIT_TOKENS = 28_000_000
 END = np.uint64(0x5E17E17E17E17E1)
-#: A trigram is counted where its first two tokens occur so often in the corpus.
-LEAST_CONTEXT = 2
 #: Steps to the doubling, and doublings below 1, of the cells that weights are learned from; cells keep the mean of what falls in.
-GRID, RATIOS, COUNTS = 2, 16, 40
+GRID, RATIOS, COUNTS = 1, 16, 40
 #: Stands for the logarithm of nothing.
 NONE = -1000.0
 #: Buckets of contexts of one token, and of those of two.
@@ -79,9 +77,9 @@ class Chunk:
         self.context_at[first] = np.searchsorted(self.unigrams, END)  # a document begins after an end
         self.bigrams, self.bigram_at = np.unique(joined(self.unigrams[self.context_at], self.unigrams[self.unigram_at]), return_inverse=True)
 
-    def second_context(self, bigram_counts: np.ndarray) -> np.ndarray:
-        """The count of the two tokens before each; 0 for a document's first."""
-        out = np.roll(bigram_counts[self.bigram_at], 1)
+    def second_context(self, of_bigrams: np.ndarray) -> np.ndarray:
+        """What is said of the two tokens before each; 0 for a document's first."""
+        out = np.roll(of_bigrams[self.bigram_at], 1)
         out[self.first] = 0
         return out
 
@@ -96,6 +94,12 @@ class Chunk:
         of = of if where is None else of[where]
         return tuple(np.bincount(at[m], minlength=n).astype(np.uint32) for m in ((of != HELD_OUT) & (of != TUNING), of == TUNING))
 
+    def held_out_bigrams(self) -> np.ndarray:
+        """Which bigrams stand in a document held out of all counts."""
+        out = np.zeros(len(self.bigrams), np.uint8)
+        out[self.bigram_at[np.repeat(self.folds, self.sizes) == HELD_OUT]] = 1
+        return out
+
 
 def _send(chunks: DataFrame, bits: int) -> DataFrame:
     """Each chunk's n-grams and their counts in it, a row for each of 2**bits ranges of hashes that has some."""
@@ -108,6 +112,9 @@ def _send(chunks: DataFrame, bits: int) -> DataFrame:
                     a, b = c.counts(at, len(keys))
                     for r, s in zip(*spans(keys, bits), strict=True):
                         found.setdefault(int(r), {}).update({f"{name}_keys": pack_sorted(keys[s]), f"{name}_a": pack(a[s]), f"{name}_b": pack(b[s])})
+                held = c.held_out_bigrams()
+                for r, s in zip(*spans(c.bigrams, bits), strict=True):
+                    found[int(r)]["bi_h"] = pack(held[s])
                 out = pd.DataFrame([dict.fromkeys(KINDS, b"") | {"range": r, "chunk": row["chunk"]} | f for r, f in found.items()])
                 del c, found
                 release_memory()
@@ -116,11 +123,14 @@ def _send(chunks: DataFrame, bits: int) -> DataFrame:
     return chunks.mapInPandas(send, f"range int, chunk long, {', '.join(f'{k} binary' for k in KINDS)}")
 
 
-KINDS = [f"{n}_{k}" for n in ("uni", "bi") for k in ("keys", "a", "b")]
+KINDS = [*(f"{n}_{k}" for n in ("uni", "bi") for k in ("keys", "a", "b")), "bi_h"]
 
 
 def _count(group: pd.DataFrame) -> pd.DataFrame:
-    """Corpus counts of one range's n-grams, for each chunk in its own order: without the tuning documents (a), and with them (t)."""
+    """Corpus counts of one range's n-grams, for each chunk in its own order: without the tuning documents (a), and with them (t).
+
+    bi_w: whether trigrams that begin with a bigram have to be counted, see Counts.
+    """
     out = {"range": group["range"], "chunk": group["chunk"]}
     totals = {k: np.zeros(len(group), np.int64) for k in ("vocabulary_a", "vocabulary_t", "tokens_a", "tokens_t")}
     for name in ("uni", "bi"):
@@ -137,20 +147,25 @@ def _count(group: pd.DataFrame) -> pd.DataFrame:
             out[f"{name}_{k}"] = [pack(x) for x in np.split(sums[k][at], cuts)]
             if name == "uni":  # said once for the range
                 totals[f"vocabulary_{k}"][0], totals[f"tokens_{k}"][0] = (sums[k] > 0).sum(), sums[k].sum()
+        if name == "bi":
+            held = np.zeros(len(found), bool)
+            held[at[np.concatenate([unpack(x, np.uint8) for x in group["bi_h"]]) > 0]] = True
+            wanted = (sums["t"] > 1) | (held & (sums["t"] > 0))
+            out["bi_w"] = [pack(x) for x in np.split(wanted.astype(np.uint8)[at], cuts)]
         del found, at, sums
         release_memory()
     return pd.DataFrame(out | totals)
 
 
-_COUNTED = "range int, chunk long, uni_a binary, uni_t binary, bi_a binary, bi_t binary, vocabulary_a long, vocabulary_t long, tokens_a long, tokens_t long"
+_COUNTED = "range int, chunk long, uni_a binary, uni_t binary, bi_a binary, bi_t binary, bi_w binary, vocabulary_a long, vocabulary_t long, tokens_a long, tokens_t long"
 
 
 def _send_trigrams(left: pd.DataFrame, right: pd.DataFrame, bits: int) -> pd.DataFrame:
-    """A chunk's trigrams after contexts that occur again, and their counts in it, a row for each range that has some."""
+    """A chunk's trigrams after wanted contexts, and their counts in it, a row for each range that has some."""
     if not len(left):
         return pd.DataFrame(columns=["range", "chunk", "keys", "a", "b"])
     c = Chunk(left.iloc[0])
-    wanted = c.second_context(_said(right, "bi_t")) >= LEAST_CONTEXT
+    wanted = c.second_context(_said(right, "bi_w", np.uint8)) > 0
     keys, at = c.trigrams(wanted)
     a, b = c.counts(at, len(keys), wanted)
     ranges, parts = spans(keys, bits)
@@ -172,25 +187,27 @@ def _count_trigrams(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"range": group["range"], "chunk": group["chunk"], **out})
 
 
-def _said(answers: pd.DataFrame, column: str) -> np.ndarray:
+def _said(answers: pd.DataFrame, column: str, dtype: type = np.uint64) -> np.ndarray:
     """A chunk's answers of one kind in the order of its n-grams."""
     rows = answers[answers[column].notna()].sort_values("range")[column]
-    return np.concatenate([unpack(x, np.uint64) for x in rows] or [np.zeros(0, np.uint64)]).astype(np.float64)
+    return np.concatenate([unpack(x, dtype) for x in rows] or [np.zeros(0, dtype)]).astype(np.float64)
 
 
 class Counts:
     """For each token of a chunk: the corpus counts of the token, of the one and the two before it, and of it after these.
 
-    second and triple are 0 where the two before do not occur again.
+    Two tokens before that are not wanted were counted never, or once and are in no held-out document. Counted once, they
+    stand here only, so they and the trigram have one count. In a tuning document that is none of the counts without these.
     """
 
     def __init__(self, row, answers: pd.DataFrame, k: str):
         self.chunk = c = Chunk(row)
-        uni, bi, again = _said(answers, f"uni_{k}"), _said(answers, f"bi_{k}"), _said(answers, "bi_t")
+        uni, bi = _said(answers, f"uni_{k}"), _said(answers, f"bi_{k}")
         self.context, self.pair, self.token = uni[c.context_at], bi[c.bigram_at], uni[c.unigram_at]
-        wanted = c.second_context(again) >= LEAST_CONTEXT
+        wanted = c.second_context(_said(answers, "bi_w", np.uint8)) > 0
         _, at = c.trigrams(wanted)
-        self.second, self.triple = np.where(wanted, c.second_context(bi), 0), np.zeros(len(wanted))
+        self.second = c.second_context(bi)
+        self.triple = self.second.copy()
         self.triple[wanted] = _said(answers, f"tri_{k}")[at]
 
 
@@ -283,7 +300,7 @@ def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     vocabulary_a, tokens_a, vocabulary, tokens = sums
 
     collect_garbage(answers.sparkSession)
-    asked = answers.select("chunk", "range", "bi_t").groupBy("chunk")
+    asked = answers.select("chunk", "range", "bi_w").groupBy("chunk")
     third = chunks.groupBy("chunk").cogroup(asked).applyInPandas(lambda x, y: _send_trigrams(x, y, bits), "range int, chunk long, keys binary, a binary, b binary")
     third = stage(third.groupBy("range").applyInPandas(_count_trigrams, "range int, chunk long, tri_a binary, tri_t binary"), "trigrams")
     del asked
@@ -299,7 +316,7 @@ def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return out
 
     tuning = chunks.where("tuning")
-    asked = every.select("chunk", "range", "uni_a", "bi_a", "bi_t", "tri_a").join(tuning.select("chunk"), "chunk", "left_semi")
+    asked = every.select("chunk", "range", "uni_a", "bi_a", "bi_w", "tri_a").join(tuning.select("chunk"), "chunk", "left_semi")
     found = tuning.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInPandas(tally, CELLS)
     found = found.groupBy("cell", "bucket").agg(*(F.sum(c).alias(c) for c in ("n", "triple", "pair", "token")))
     weights = learn_weights(found.orderBy("cell").toPandas(), tokens_a, vocabulary_a)  # of bounded size, see cells
@@ -316,7 +333,7 @@ def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             "base_score": add(np.log10(p[:, 3])), "score": add(np.log10(mixed)),
         })
 
-    out = chunks.groupBy("chunk").cogroup(every.select("chunk", "range", "uni_t", "bi_t", "tri_t").groupBy("chunk")).applyInPandas(
+    out = chunks.groupBy("chunk").cogroup(every.select("chunk", "range", "uni_t", "bi_t", "bi_w", "tri_t").groupBy("chunk")).applyInPandas(
         score, "row_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
     rest = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]

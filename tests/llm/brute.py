@@ -73,8 +73,8 @@ def ngram_counts(rows, folds):
     return one, two, three
 
 
-def ngram_places(rows, counts, folds, again):
-    """For each document of the folds and each place: counts of the two tokens before (0 where `again` has them once), the triple, the one before, the pair, the token."""
+def ngram_places(rows, counts, folds):
+    """For each document of the folds and each place: counts of the two tokens before (0 for the first), the triple, the one before, the pair, the token."""
     one, two, three = counts
     out = {}
     for i, t in rows:
@@ -83,8 +83,7 @@ def ngram_places(rows, counts, folds, again):
             found = []
             for j, w in enumerate(words):
                 a, b = words[j - 2] if j > 1 else None, words[j - 1] if j else None
-                known = j > 0 and again[a, b] >= 2
-                found.append((two[a, b] if known else 0, three[a, b, w] if known else 0, one[b], two[b, w], one[w]))
+                found.append((two[a, b] if j else 0, three[a, b, w] if j else 0, one[b], two[b, w], one[w]))
             out[i] = np.array(found, float)
     return out
 

@@ -29,14 +29,14 @@ def test_language_model_base_and_held_out(spark, duck):
 
 
 def test_language_model_scores_and_weights(spark, duck):
-    """Scores against plain counts and the same weights; the weights against expectation-maximisation over single observations."""
+    """Scores against plain counts of all trigrams and the same weights; the weights against expectation-maximisation over single observations."""
     import brute
 
     rows = duck.execute("SELECT doc_id, text FROM documents").fetchall()
     train = {0, 1, 4, 5, 6}
     counts, everything = brute.ngram_counts(rows, train), brute.ngram_counts(rows, train | {3})
     tokens, vocabulary = sum(counts[0].values()), len(counts[0])
-    second, triple, context, pair, token = np.concatenate(list(brute.ngram_places(rows, counts, {3}, everything[1]).values())).T
+    second, triple, context, pair, token = np.concatenate(list(brute.ngram_places(rows, counts, {3}).values())).T
     b = L.bucket(context, second)
     ratios = L.ratio(triple, second), L.ratio(pair, context)
     weights = L.learn_weights(L.cells(b, *ratios, token), tokens, vocabulary)
@@ -56,7 +56,7 @@ def test_language_model_scores_and_weights(spark, duck):
     total, distinct = sum(everything[0].values()), len(everything[0])
     got = {r.doc_id: r.score for r in L.language_scores(spark.read.parquet(f"{SF}/documents.parquet"), chunk_bytes=1 << 18).collect()}
     sums = {}
-    for i, own in brute.ngram_places(rows, everything, set(range(7)), everything[1]).items():
+    for i, own in brute.ngram_places(rows, everything, set(range(7))).items():
         second, triple, context, pair, token = own.T
         p = L.estimates(L.ratio(triple, second), L.ratio(pair, context), token, total, distinct)
         sums[i] = [np.log10((w[L.bucket(context, second)] * p).sum(axis=1)).sum() for w in (weights, exact)]
