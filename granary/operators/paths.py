@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,26 +40,57 @@ def _is_prefix(a: Column, b: Column) -> Column:
     return (F.size(a) < F.size(b)) & (F.slice(b, F.lit(1), F.size(a)) == a)
 
 
+def _bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of c, which is computed once however often f has it."""
+    return F.element_at(F.transform(F.array(c), f), 1)
+
+
+def _runs(paths: Column) -> Column:
+    """The distinct paths of an array in order, each with its places from 0 and labels as given, and whether it begins another.
+
+    In order, all that a path begins stands right behind it, so only neighbours are compared: one sort, whatever the owner has.
+    """
+    given = F.transform(paths, lambda p, i: F.struct(F.transform(p, strip).alias("path"), i.alias("at"), p.alias("given")))
+
+    def path(s: Column, i: Column) -> Column:
+        return F.get(s, i)["path"]
+
+    def starts(s: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | ~path(s, i).eqNullSafe(path(s, i - 1)))
+
+    def run(s: Column, begins: Column, begin: Column, nth: Column) -> Column:
+        end = F.coalesce(F.get(begins, nth + 1), F.size(s))
+        places = F.transform(F.slice(s, begin + 1, end - begin), lambda e: F.struct(e["at"].alias("at"), e["given"].alias("given")))
+        return F.struct(path(s, begin).alias("path"), flag(_is_prefix(path(s, begin), path(s, end))).alias("is_prefix"), places.alias("places"))
+
+    def all_runs(s: Column) -> Column:
+        found = _bound(starts(s), lambda begins: F.transform(begins, lambda begin, nth: run(s, begins, begin, nth)))
+        return F.when(F.size(s) > 0, found)
+
+    return _bound(F.sort_array(given), all_runs)
+
+
 def category_paths(df: DataFrame, identity: Sequence[str], paths: str, navigation: Sequence[str] = (), where: Column | None = None) -> DataFrame:
     """A row per path: position from 1, labels as given and normalised, depth, and the structural flags.
 
     A path is a duplicate where it stands several times among its owner's, a prefix where it begins another, repeated
     where a label stands twice in it. Maximal paths begin no other. navigation: a leading part of no meaning, for rows
-    that hold `where`. The status is by the first flag of navigation, repeated label, duplicate and prefix.
+    that hold `where`. The status is by the first flag of navigation, repeated label, duplicate and prefix. Each row of
+    df is an owner, those with one identity too; null and empty arrays have no rows.
     """
-    clean = F.transform(paths, lambda p: F.transform(p, strip))
-    rows = df.select(*identity, F.col(paths).alias("_raw"), clean.alias("_all"), flag(F.lit(True) if where is None else where).alias("_nav"))
-    distinct = F.array_distinct("_all")
-    maximal = F.size(F.filter(distinct, lambda p: ~F.exists(distinct, lambda q: _is_prefix(p, q))))
-    rows = rows.withColumn("maximal_path_count", maximal).select("*", F.posexplode("_all").alias("_at", "category_path_normalized"))
-    path, every = F.col("category_path_normalized"), F.col("_all")
+    rows = df.select(*identity, flag(F.lit(True) if where is None else where).alias("_nav"), _runs(F.col(paths)).alias("_runs"))
+    rows = rows.withColumn("maximal_path_count", F.size(F.filter("_runs", lambda r: ~r["is_prefix"])))
+    rows = rows.select(*identity, "_nav", "maximal_path_count", F.explode("_runs").alias("_run"))
+    rows = rows.select(
+        *identity, "_nav", "maximal_path_count", F.col("_run.path").alias("category_path_normalized"), F.col("_run.is_prefix").alias("is_prefix_of_another_path"),
+        (F.size("_run.places") > 1).alias("dq_duplicate_category_path"), F.col("_run.places").alias("_places"),
+    ).select("*", F.explode("_places").alias("_place")).drop("_places")
+    path = F.col("category_path_normalized")
     nav = F.lit(False) if not navigation else F.col("_nav") & (F.slice(path, F.lit(1), F.lit(len(navigation))) == F.array(*map(F.lit, navigation)))
     rows = rows.withColumns({
-        "category_path_position": F.col("_at") + 1,
-        "category_path": F.col("_raw")[F.col("_at")],
+        "category_path_position": F.col("_place.at") + 1,
+        "category_path": F.col("_place.given"),
         "category_path_depth": F.size(path),
-        "dq_duplicate_category_path": F.size(F.filter(every, lambda p: p == path)) > 1,
-        "is_prefix_of_another_path": F.exists(every, lambda p: _is_prefix(path, p)),
         "dq_repeated_category_label": F.size(F.array_distinct(path)) < F.size(path),
         "dq_navigation_contamination": flag(nav),
     })
@@ -68,7 +99,7 @@ def category_paths(df: DataFrame, identity: Sequence[str], paths: str, navigatio
         .when(F.col("dq_duplicate_category_path"), DUPLICATE).when(F.col("is_prefix_of_another_path"), ANCESTOR)
         .when(F.col("maximal_path_count") > 1, BRANCHES).otherwise(UNMAPPED)
     )
-    return rows.withColumn("path_review_status", status).drop("_raw", "_all", "_at", "_nav")
+    return rows.withColumn("path_review_status", status).drop("_nav", "_place")
 
 
 def usable_paths(paths: DataFrame) -> DataFrame:

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from granary.functions import columns as C
 from granary.operators import labels, paths
+from granary.operators import sketches as S
+from granary.operators.joins import beside
 from granary.operators.measures import share
 from granary.operators.versions import canonical
 from granary.plans.registry import Tables, query
 from granary.plans.table_queries import page_paths, part_labels
+from granary.sources.shared import written
 
 
 @query("""SELECT c_mktsegment, count(*) AS customers, count(*) FILTER (WHERE e.user_id IS NULL) AS without_events, count(*) FILTER (WHERE e.user_id IS NULL) / CAST(count(*) AS DOUBLE) AS missing_share
@@ -127,3 +130,23 @@ def seeded_sample(t: Tables) -> DataFrame:
 def seeded_split(t: Tables) -> DataFrame:
     part = F.when(F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 1) < "8", "train").otherwise("held_out")
     return t.orders.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_order"))
+
+
+_QUANTILES = {"lower_quartile": 0.25, "median": 0.5, "upper_quartile": 0.75}
+
+
+@query("""WITH v AS (SELECT l_returnflag, CAST(date_trunc('month', l_shipdate) AS DATE) AS month, CAST(l_extendedprice AS DOUBLE) AS price FROM lineitem),
+s AS (SELECT l_returnflag, 'month' AS span, month AS span_start, price FROM v UNION ALL SELECT l_returnflag, 'year', CAST(date_trunc('year', month) AS DATE), price FROM v UNION ALL SELECT l_returnflag, 'all', NULL, price FROM v)
+SELECT l_returnflag, span, span_start, count(*) AS n, min(price) AS least, max(price) AS greatest, true AS lower_quartile_near, true AS median_near, true AS upper_quartile_near FROM s GROUP BY ALL""")
+def price_quantiles(t: Tables) -> DataFrame:
+    """Prices of months, years and all time from sketches of months: size and bounds, and whether quartiles have their rank among
+    all rows, which are counted for it. Near is three times the error of 99 of 100 sketches."""
+    by, month = ["l_returnflag"], F.trunc("l_shipdate", "month")
+    rows = t.lineitem.select(*by, month.alias("month"), "l_extendedprice")
+    monthly = written(S.quantile_sketches(rows, [*by, "month"], "l_extendedprice"), "sketches")
+    found = written(S.spans(monthly, by, "month", _QUANTILES), "spans")  # random, so told once
+    ranks = S.rank_intervals(rows, by, "month", "l_extendedprice", found, list(_QUANTILES))
+    near = 3 * S.rank_error()
+    within = lambda name, q: ((F.col(f"{name}_below") - near <= q) & (F.col(f"{name}_upto") + near >= q)).alias(f"{name}_near")
+    both = beside(found, ranks, [*by, "span", "span_start"])
+    return both.select(*by, "span", "span_start", "n", "least", "greatest", *(within(*q) for q in _QUANTILES.items()))
