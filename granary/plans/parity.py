@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.operators.contracts import ContractError
 from granary.operators.layer_contracts import repeats
 
 Tables = dict[str, DataFrame]
@@ -93,7 +95,7 @@ def _of_table(t: Tables, name: str, aggs: dict[str, Column]) -> dict:
 
 
 def metrics(t: Tables) -> dict:
-    """All 39 by name. An error is kept as text under what was asked, so that one does not hide the others."""
+    """All 39 by name. An error of Spark's or of a contract is kept as text under what was asked, so that one does not hide the others; all else is raised."""
     parts = {name: (lambda name=name, aggs=aggs: _of_table(t, name, aggs)) for name, aggs in _one_pass().items()}
     parts |= {name: (lambda name=name: _distinct(t, name)) for name in DISTINCT}
     parts |= {"bridge": lambda: _bridge(t), "inferred rows": lambda: _inferred_rows(t), "periods": lambda: _periods(t)}
@@ -101,7 +103,7 @@ def metrics(t: Tables) -> dict:
     for name, f in parts.items():
         try:
             out |= f()
-        except Exception as e:
+        except (PySparkException, ContractError) as e:
             out[name] = f"error: {type(e).__name__}: {str(e)[:200]}"
     return out
 
