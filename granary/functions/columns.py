@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -63,10 +63,28 @@ def label_key(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: " ".join(unicodedata.normalize("NFC", t).split()).casefold(), na_action="ignore")
 
 
+@cache
+def _unsettled() -> str:
+    """A regular expression for one character that composing may change, move or join to the one before it; all others end what a change can reach."""
+    pairs = (unicodedata.decomposition(chr(n)).split() for n in range(0xC0, 0x30000))
+    seconds = {int(p[1], 16) for p in pairs if len(p) == 2 and p[0][0] != "<"} | {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}
+    each = (n for n in range(0x300, 0x110000) if not 0xD800 <= n < 0xE000)
+    found = [n for n in each if n in seconds or unicodedata.combining(chr(n)) or not unicodedata.is_normalized("NFC", chr(n))]
+    starts = [n for n, before in zip(found, [-1, *found], strict=False) if n != before + 1]
+    ends = [n for n, after in zip(found, [*found[1:], -1], strict=True) if n != after - 1]
+    return r"[[^\x00-\x{2FF}]&&[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in zip(starts, ends, strict=True)) + "]]"
+
+
 def composed(df: DataFrame, column: str) -> DataFrame:
-    """df with a column's texts composed (NFC). Only texts with characters beyond ASCII go to Python: the others are composed as they are."""
-    other = flag(F.col(column).rlike(r"[^\x00-\x7F]"))
-    return df.where(~other).unionByName(df.where(other).withColumn(column, nfc(column)).select(*df.columns))
+    """df with a column's texts composed (NFC). Only the places of a text that composing may change go to Python, each with the character before it.
+
+    What stands between them is composed as it is, and most texts have no such place.
+    """
+    other = flag(F.col(column).rlike(_unsettled()))
+    place = F.lit(rf"[^\n]?{_unsettled()}+")
+    rows = df.where(other).withColumn("_places", nfc(F.array_join(F.regexp_extract_all(column, place, F.lit(0)), "\n")))
+    both = F.zip_with(F.split(column, place), F.split("_places", "\n"), lambda between, at: F.concat(between, F.coalesce(at, F.lit(""))))
+    return df.where(~other).unionByName(rows.withColumn(column, F.array_join(both, "")).select(*df.columns))
 
 
 def tokens(c: Column, least: int = 4) -> Column:

@@ -1,3 +1,6 @@
+import random
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,6 +43,25 @@ def test_nfc_and_tokens(spark):
     assert values(spark, C.tokens(F.col("x")), [("Café CAFÉ the cafés ab",), (None,)]) == [["café", "cafés"], None]
 
 
+def test_composed_sends_only_places_that_change_to_python(spark, monkeypatch):
+    rng = random.Random(1)
+    marks = "\u0301\u0338\u0345\u0323\u0344\u0f71\u3099\u1100\u1161\u11a8\uac00\u212b\uf900\U0002f800\U0001d15e\u0958e<A\nа\u2028か中\U0001f600\x00i"
+    texts = [None, "", "plain", "caf\u00e9 \u4e2d\U0001f600", "\u0301", "\u0301\n\u0301a\u0323\u0301", "\uf900" * 20_000, *("".join(rng.choices(marks, k=rng.randint(1, 60))) for _ in range(2_000))]
+    texts += [unicodedata.normalize("NFD", "Ångström, crème brûlée 한국어 がぎ ") * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, x string")
+    assert [r["x"] for r in C.composed(df, "x").orderBy("n").collect()] == [t and unicodedata.normalize("NFC", t) for t in texts]
+
+    @F.pandas_udf("string")
+    def short(texts):
+        assert texts.str.len().max() < 100, "whole texts in Python"
+        return texts.map(lambda t: unicodedata.normalize("NFC", t))
+
+    monkeypatch.setattr(C, "nfc", short)
+    long = "words of a long text – “quoted”, with é " * 5_000
+    rows = spark.createDataFrame([(long + "cafe\u0301",), (long,)], "x string")
+    assert [r["x"] for r in C.composed(rows, "x").collect()].count(long + "caf\u00e9") == 1
+
+
 def test_box_location_type_and_flags(spark):
     df = spark.createDataFrame([(50.0, 4.0, "Default "), (49.39, 4.0, None), (None, 4.0, "x"), (53.6, 7.3, "default")], "a double, b double, n string")
     assert [r[0] for r in df.select(C.outside_box(F.col("a"), F.col("b"))).collect()] == [False, True, False, False]
