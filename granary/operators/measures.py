@@ -139,22 +139,36 @@ def listing_bands(fact: DataFrame, by: Sequence[str], week: str = "week", produc
     return rows.groupBy(*by).agg(*(share(F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)), F.sum("n")).alias(n) for n, c in bands.items()))
 
 
+#: Months of one number in churn: bits 1 to 62, behind bit 0 for the month before them.
+MONTHS = 62
+
+
 def churn(fact: DataFrame, by: Sequence[str], week: str = "week", product: str = "product_id") -> DataFrame:
     """By month: products new against the calendar month before, and gone since; null where the group has no such month.
 
-    Each row stands for its product in its month and as "before" in the next one, so one aggregate by group, month and product
-    tells both, combined before the shuffle, and no table is joined with itself. A missing product is one like others.
+    A product's months are bits of a few numbers, in a hash aggregate whose groups don't grow with the rows of a product; the
+    months before are the same bits shifted by one, so no table is joined with itself. The last month of a number is also bit
+    0 of the next one. How often a product stands in a month changes nothing. A missing product is one like others.
     """
-    later = F.explode(F.array(F.lit(0), F.lit(1)))
-    seen = fact.select(*by, F.trunc(week, "month").alias("_month"), product, later.alias("_later"))
-    seen = seen.select(*by, F.add_months("_month", F.col("_later")).alias("month"), product, "_later")
-    own = seen.groupBy(*by, "month", product).agg(F.bool_or(F.col("_later") == 0).alias("here"), F.bool_or(F.col("_later") == 1).alias("before"))
-    rows = own.groupBy(*by, "month").agg(
+    month = (F.year(week) * 12 + F.month(week) - 1).cast("long")
+    seen = fact.select(*by, product, F.floor(month / MONTHS).alias("_word"), F.coalesce(F.pmod(month, F.lit(MONTHS)) + 1, F.lit(1)).cast("int").alias("_bit"))
+    place = F.struct("_word", "_bit")
+    next_one = F.struct((F.col("_word") + 1).alias("_word"), F.lit(0).alias("_bit"))
+    seen = seen.select(*by, product, F.explode(F.when(F.col("_bit") == MONTHS, F.array(place, next_one)).otherwise(F.array(place))).alias("_at"))
+    masks = seen.groupBy(*by, product, F.col("_at._word").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, _at._bit)")).alias("_here"))
+    # Rows without a week are a month that has itself before it.
+    masks = masks.withColumn("_before", F.when(F.col("_word").isNull(), F.col("_here")).otherwise(F.shiftleft("_here", 1)))
+    bits = masks.select(*by, "_word", "_here", "_before", F.explode(F.sequence(F.lit(1), F.lit(MONTHS))).alias("_bit"))
+    has = lambda c: F.expr(f"(shiftright({c}, _bit) & 1L) = 1L")
+    own = bits.select(*by, "_word", "_bit", has("_here").alias("here"), has("_before").alias("before")).where("here or before")
+    rows = own.groupBy(*by, "_word", "_bit").agg(
         F.count_if(F.col("here") & ~F.col("before")).alias("new"),
         F.count_if(F.col("before") & ~F.col("here")).alias("gone"),
         F.bool_or("here").alias("known"),
         F.bool_or("before").alias("there"),
     )
+    n = F.col("_word") * MONTHS + F.col("_bit") - 1
+    rows = rows.withColumn("month", F.make_date(F.floor(n / 12).cast("int"), (F.pmod(n, F.lit(12)) + 1).cast("int"), F.lit(1)))
     when = lambda c, name: F.when(F.col("there"), c).alias(name)
     new, gone = F.col("new"), F.col("gone")
     return rows.where("known").select(*by, "month", when(new, "newly_observed"), when(gone, "no_longer_observed"), when(-gone, "products_leaving"))

@@ -136,7 +136,7 @@ gone AS (SELECT location, month, count(*) AS g FROM prior ANTI JOIN months USING
 SELECT k.location, k.month, CASE WHEN p.month IS NOT NULL THEN coalesce(n, 0) END AS newly_observed, CASE WHEN p.month IS NOT NULL THEN coalesce(g, 0) END AS no_longer_observed, CASE WHEN p.month IS NOT NULL THEN -coalesce(g, 0) END AS products_leaving
 FROM known k LEFT JOIN (SELECT DISTINCT location, month FROM prior) p USING (location, month) LEFT JOIN new USING (location, month) LEFT JOIN gone USING (location, month)""")
 def assortment_churn(t: Tables) -> DataFrame:
-    return M.churn(fact(t), ["location"])
+    return M.churn(observations(t), ["location"])
 
 
 @query(fact_sql() + """,
@@ -147,7 +147,7 @@ new AS (SELECT location, month, count(*) AS n FROM months ANTI JOIN prior USING
 gone AS (SELECT location, month, count(*) AS g FROM prior ANTI JOIN months USING (location, month, product_id) GROUP BY ALL)
 SELECT location, round(avg(coalesce(n, 0)), 6) AS avg_entering, round(avg(coalesce(g, 0)), 6) AS avg_leaving FROM known LEFT JOIN new USING (location, month) LEFT JOIN gone USING (location, month) GROUP BY location""")
 def average_monthly_churn(t: Tables) -> DataFrame:
-    rows = M.average_churn(M.churn(fact(t), ["location"]), ["location"])
+    rows = M.average_churn(M.churn(observations(t), ["location"]), ["location"])
     return rows.select("location", F.round("avg_entering", 6).alias("avg_entering"), F.round("avg_leaving", 6).alias("avg_leaving"))
 
 

@@ -201,3 +201,24 @@ def test_key_audit_counts_rows_and_members_without_a_partner(spark):
     none = dim.where("false")
     found = profiling.key_audit([("used", fact, "k", dim, "id"), ("back", dim, "id", fact, "k"), ("void", none, "id", none, "id")])
     assert {r["foreign_key"]: (r["orphan_rows"], r["unused_members"]) for r in found.collect()} == {"used": (3, 2), "back": (2, 3), "void": (0, 0)}
+
+
+def test_churn_keeps_months_of_a_product_in_few_numbers(spark):
+    import random
+    from datetime import date, timedelta
+
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", None]), rng.choice([1, 2, 3, None]), date(1988, 1, 4) + timedelta(days=7 * rng.randrange(1_000))) for _ in range(600)] + [("a", 1, None)]
+    there = {(p, i, w and (w.year, w.month)) for p, i, w in rows}
+    last = lambda m: (m[0] - (m[1] == 1), (m[1] - 2) % 12 + 1)
+    want = {("a", None): (0, 0)}
+    for p, m in {(p, m) for p, _, m in there if m}:
+        now, then = ({i for q, i, n in there if q == p and n == at} for at in (m, last(m)))
+        want[p, m] = (len(now - then), len(then - now)) if then else (None, None)
+    df = spark.createDataFrame(rows, "place string, product_id long, week date")
+    found = measures.churn(df, ["place"])
+    assert {(r["place"], r["month"] and (r["month"].year, r["month"].month)): tuple(r)[2:4] for r in found.collect()} == want
+    # No aggregate has a group for each product and month.
+    plan = measures.churn(df, ["place"])._jdf.queryExecution().executedPlan().toString().splitlines()
+    by_product = [x for x in plan if "HashAggregate" in x and "product_id" in x]
+    assert by_product and not [x for x in by_product if "month" in x]
