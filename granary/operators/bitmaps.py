@@ -85,13 +85,14 @@ def cube(*by: str) -> list[list[str]]:
 WORD, MASK = "_word", "_mask"
 
 
-def ordinal_masks(rows: DataFrame, by: Sequence[str], ordinal: Column) -> DataFrame:
+def ordinal_masks(rows: DataFrame, by: Sequence[str], ordinal: Column, least: dict[str, Column] | None = None) -> DataFrame:
     """For each group and word of 64 ordinals: which of these the group has, as the bits of one number, in a hash aggregate.
 
-    Null ordinals set no bit; their group stays.
+    Null ordinals set no bit; their group stays. least: least values of columns.
     """
     bit = F.expr("shiftleft(1L, cast(_n & 63 as int))")
-    return rows.select(*by, ordinal.cast("long").alias("_n")).groupBy(*by, F.shiftright("_n", 6).alias(WORD)).agg(F.bit_or(bit).alias(MASK))
+    rows = rows.select(*by, ordinal.cast("long").alias("_n"), *(c.alias(name) for name, c in (least or {}).items()))
+    return rows.groupBy(*by, F.shiftright("_n", 6).alias(WORD)).agg(F.bit_or(bit).alias(MASK), *(F.min(name).alias(name) for name in least or {}))
 
 
 def merged_masks(masks: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from granary.functions.columns import week_of
 from granary.operators import measures as M
 from granary.operators import profiling as P
-from granary.operators.bitmaps import counted_sets, cube, presence, rollup, week_ordinal
+from granary.operators.bitmaps import MASK, counted_sets, cube, ordinal_masks, presence, rollup, week_ordinal
 from granary.operators.facts import lag_ratios, matched_changes, reference_ratio, weekly_fact
 from granary.operators.versions import price_versions
 from granary.plans.registry import Tables, query
@@ -229,9 +229,15 @@ def classified_share(t: Tables) -> DataFrame:
 s AS (SELECT f.location, f.product_id, f.week, p_brand FROM fact f JOIN part ON product_id = p_partkey)
 SELECT p_brand, location, count(DISTINCT product_id) AS products, count(*) AS observations, min(week) AS first_week FROM s GROUP BY ROLLUP (p_brand, location)""")
 def brand_rollup(t: Tables) -> DataFrame:
-    """The drill from brand to place, with its totals: products of the upper levels are an OR of the bitmaps below."""
-    rows = fact(t).join(t.part.select(F.col("p_partkey").alias("product_id"), "p_brand"), "product_id")
-    there = presence(rows, ["p_brand", "location"], "product_id", sums={"observations": F.lit(1)}, least={"first_week": F.col("week")})
+    """The drill from brand to place, with its totals: products of the upper levels are an OR of the bitmaps below.
+
+    The weeks of a product at a place, which are its observations, are bits of a few numbers; only these meet brands and bitmaps.
+    """
+    week = F.col("week")
+    weeks = ordinal_masks(observations(t), ["product_id", "location"], F.floor(F.datediff(week, F.lit("1970-01-05").cast("date")) / 7), {"first_week": week})
+    per = weeks.withColumn("n", F.coalesce(F.bit_count(MASK), F.lit(1)).cast("long"))  # without a week it is one observation too
+    rows = per.join(t.part.select(F.col("p_partkey").alias("product_id"), "p_brand"), "product_id")
+    there = presence(rows, ["p_brand", "location"], "product_id", sums={"observations": F.col("n")}, least={"first_week": F.col("first_week")})
     return counted_sets(there, rollup("p_brand", "location"), sums=["observations"], least=["first_week"]).withColumnRenamed("keys", "products")
 
 

@@ -140,3 +140,16 @@ def test_latest_rows_and_flags_equal_a_window(spark, versions):
     flagged = latest_flag(rows, ["g"], "d", "l").select("id", "l")
     assert sorted(map(str, flagged.collect())) == sorted(map(str, spark.sql("SELECT id, d = max(d) OVER (PARTITION BY g) l FROM dated").collect()))
     assert "Window" not in executed(latest_flag(rows, ["g"], "d"))
+
+
+def test_brand_rollup_has_no_group_for_each_week(spark, tmp_path):
+    lines = [(1, "F", "1601-03-05"), (1, "F", "1601-03-06"), (1, "F", "2020-01-06"), (1, "O", None), (1, "O", None), (2, "F", "2020-01-01"), (3, "F", "2020-01-01"), (None, "F", "2020-01-01")]
+    lines = spark.createDataFrame(lines, "l_partkey long, l_linestatus string, d string").selectExpr("*", "cast(d AS timestamp_ntz) AS l_shipdate", "'R' AS l_returnflag", "2.0D AS l_quantity", "4.0D AS l_extendedprice", "0.0D AS l_discount")
+    lines.drop("d").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "x"), (2, "x"), (4, "y")], "p_partkey long, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    df = Q.brand_rollup(Tables(spark, str(tmp_path)))
+    found = {(r["p_brand"], r["location"]): (r["products"], r["observations"], str(r["first_week"])) for r in df.collect()}
+    every = (2, 4, "1601-03-05")
+    assert found == {("x", "F"): (2, 3, "1601-03-05"), ("x", "O"): (1, 1, "None"), ("x", None): every, (None, None): every}
+    keys = [x.split("keys=[")[1].split("]")[0] for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Aggregate(keys=[" in x]
+    assert keys and not [k for k in keys if "week" in k]
