@@ -26,9 +26,14 @@ def used_members(members: DataFrame, facts: Sequence[DataFrame], key: Sequence[s
 
 def recover(missing: DataFrame, described: DataFrame, key: Sequence[str], context: str, attributes: Sequence[str]) -> DataFrame:
     """Members without a description in their own context, described by others' where exactly one context has the key;
-    each attribute only where its rows agree."""
-    per = described.groupBy(*key).agg(n_values(F.col(context)).alias("_n"), *(only_value(F.col(a)).alias(a) for a in attributes))
-    return missing.select(*key, context).distinct().join(per.where("_n = 1").drop("_n"), list(key))
+    each attribute only where its rows agree.
+
+    Rows that say the same are one first, in a hash aggregate: what follows holds texts and sets, and sorts what it gets.
+    They are counted, and the count asked for, as the optimizer takes out a step before sets and least values that only drops repeats.
+    """
+    said = described.groupBy(*dict.fromkeys([*key, context, *attributes])).agg(F.count("*").alias("_rows"))
+    per = said.groupBy(*key).agg(n_values(F.col(context)).alias("_n"), F.sum("_rows").alias("_rows"), *(only_value(F.col(a)).alias(a) for a in attributes))
+    return missing.select(*key, context).distinct().join(per.where("_n = 1 and _rows > 0").drop("_n", "_rows"), list(key))
 
 
 def infer(missing: DataFrame, key: Sequence[str], name: str, text: str) -> DataFrame:

@@ -222,3 +222,14 @@ def test_churn_keeps_months_of_a_product_in_few_numbers(spark):
     plan = measures.churn(df, ["place"])._jdf.queryExecution().executedPlan().toString().splitlines()
     by_product = [x for x in plan if "HashAggregate" in x and "product_id" in x]
     assert by_product and not [x for x in by_product if "month" in x]
+
+
+def test_recover_sets_and_texts_get_distinct_rows_only(spark):
+    rows = [("x", "nl", "n"), ("x", "nl", "n"), ("x", None, "n"), ("y", "nl", "n"), ("y", "nl", "m"), ("z", "nl", "n"), ("z", "fr", "n"), ("w", None, "n"), (None, "nl", "n")] * 3
+    described = spark.createDataFrame(rows, "id string, ctx string, name string")
+    df = mart.recover(spark.createDataFrame([(i, "be") for i in ("x", "y", "z", "w", None)], "id string, ctx string"), described, ["id"], "ctx", ["name"])
+    assert {(r["id"], r["name"]) for r in df.collect()} == {("x", "n"), ("y", None)}
+    # The aggregate that reads the rows holds neither sets nor least texts.
+    plan = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Aggregate(" in x]
+    held = [n for n, x in enumerate(plan) if "collect_set" in x]
+    assert held and [x for x in plan[max(held) + 1 :] if "HashAggregate" in x and "functions=[partial_count(1)]" in x]
