@@ -53,6 +53,21 @@ def test_remove_repeats_edges(spark, how):
     assert remove_repeats(df.limit(0), length=8).collect() == []
 
 
+def test_a_passage_shorter_than_the_length_stays(spark, duck):
+    """Benchmark passages of over 50 words have under 400 bytes: quoted twice they stay at 400, and go whole at the length of the shortest."""
+    passages = [t for (t,) in duck.execute("SELECT text FROM benchmark").fetchall() if len(t.split()) > 50]
+    sizes = [len(t.encode()) for t in passages]
+    assert passages and max(sizes) < 400
+    rng = random.Random(8)
+    passages += ["".join(rng.choice("abc ") for _ in range(n)) for n in (399, 400)]
+    rows = [(2 * i + j, f"{before}{t}{after}") for i, t in enumerate(passages) for j, (before, after) in enumerate(("ik", "jl"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in remove_repeats(df).collect()}
+    assert got == {i: 400 * (i // 2 == len(passages) - 1) for i, _ in rows}
+    got = {r.doc_id: r.n_removed for r in remove_repeats(df, length=min(sizes)).collect()}
+    assert got == {i: len(t.encode()) - 2 for i, t in rows}
+
+
 def test_a_hot_stretch_weighs_one_entry_a_chunk(spark):
     """Runs of one byte have as many anchors as bytes, all of one stretch; a passage in all texts has as many stretches as texts."""
     from pyspark.sql import functions as F
